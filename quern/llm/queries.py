@@ -7,13 +7,33 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import leaks, residue
+from quern.llm import leaks, pieces, refine, residue
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = refine.copies(_table(spark, sf_dir, "interim_records"))
+    return found.where("rec_id <> kept_rec_id").select("kept_rec_id", "rec_id")
+
+
+def p2_collapsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One record for each class of copies, with the number of its copies."""
+    return refine.collapsed(_table(spark, sf_dir, "interim_records"))
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pieces.pieces(_table(spark, sf_dir, "chunks"), _table(spark, sf_dir, "split_limits"))
+    return found.where("piece = 1").select("row_no", "boundary")
+
+
+def p3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of every oversized chunk."""
+    return pieces.pieces(_table(spark, sf_dir, "chunks"), _table(spark, sf_dir, "split_limits"))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residue.residue(_table(spark, sf_dir, "chunks")).select("row_no")
 
@@ -34,7 +54,7 @@ def p6_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p4_found, p4_clean, p6_found, p6_clean)}
+    return {f.__name__: f for f in (p2_found, p2_collapsed, p3_found, p3_pieces, p4_found, p4_clean, p6_found, p6_clean)}
 
 
 #: Twelve consecutive words of a document, normalised as the operator does, against those of every item.
@@ -47,5 +67,25 @@ SELECT DISTINCT dg.doc_id, eg.item_id FROM dg JOIN eg USING (g)
 """
 
 
+_FIELDS = ("id", "text", "doc_id", "doc_title", "revision", "pub_date", "tier", "chunk_type", "control_id", "section_path", "source_url", "sha256_source")
+_P2 = (
+    "WITH k AS (SELECT rec_id, concat_ws('|', "
+    + ", ".join(rf"regexp_replace(lower(coalesce(json_extract_string(payload, '$.{f}'), '')), '[^\p{{L}}\p{{N}}]', '', 'g')" for f in _FIELDS)
+    + r""") AS key FROM interim_records WHERE json_valid(payload)),
+     m AS (SELECT rec_id, min(rec_id) OVER (PARTITION BY key) AS kept_rec_id FROM k)
+SELECT kept_rec_id, rec_id FROM m WHERE rec_id <> kept_rec_id
+"""
+)
+
+_P3 = r"""
+WITH big AS (SELECT row_no, text, max_chars FROM chunks JOIN split_limits USING (chunk_type) WHERE length(text) > max_chars),
+     para AS (SELECT row_no, max_chars, unnest(regexp_split_to_array(text, '\n(?:[ \t]*\n)+')) AS p FROM big),
+     para2 AS (SELECT row_no, max_chars, regexp_replace(p, '^\s+|\s+$', '', 'g') AS p FROM para),
+     sent AS (SELECT row_no, max_chars, length(p) AS n, unnest(string_split(regexp_replace(p, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1))) AS s FROM para2)
+SELECT row_no, CASE WHEN max(n) <= any_value(max_chars) THEN 'paragraph' WHEN max(length(s)) <= any_value(max_chars) THEN 'sentence' ELSE 'none' END AS boundary
+FROM sent GROUP BY row_no
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"p6_found": _P6}
+    return {"p2_found": _P2, "p3_found": _P3, "p6_found": _P6}
