@@ -182,16 +182,20 @@ def judged(labels: DataFrame, most: int = MAX_LABELLED) -> DataFrame:
     return rows.groupBy("doc_id").agg(F.percentile("band", 0.5).alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
 
 
+#: How much the share of documents around a limit counts against it, beside the share of judgements it misses.
+VALLEY = 0.3
+
+
 def limits(t: np.ndarray, label: np.ndarray, weights: np.ndarray, grid: np.ndarray) -> list[float]:
-    """Three limits between the bands: where readers agree best, and among those nearly as good, where fewest documents lie."""
+    """Three limits between the bands: where few judgements are missed and few documents lie."""
     found: list[float] = []
-    density = np.convolve(weights, [1, 1, 1], "same")
+    density = np.convolve(weights, [1, 1, 1], "same") / (weights.sum() or 1.0)
     for k in BANDS[:-1]:
         wrong = np.array([np.sum((t > g) & (label <= k)) + np.sum((t <= g) & (label > k)) for g in grid])
-        good = np.flatnonzero(wrong <= wrong.min() + 0.005 * len(t) + 0.5)
-        low = good[density[good] == density[good].min()]
-        at = grid[low[len(low) // 2]] if len(t) else (k - 2) * 1.0
-        found.append(max(at, found[-1] if found else -np.inf))
+        cost = wrong / max(1, len(t)) + VALLEY * density
+        low = np.flatnonzero(cost <= cost.min() + 1e-12)
+        at = float(grid[low[len(low) // 2]]) if len(t) else k - 2.0
+        found.append(max(at, found[-1]) if found else at)
     return found
 
 
