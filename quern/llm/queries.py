@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import leaks, pieces, reading, refine, residue
+from quern.llm import leaks, mixing, pieces, reading, refine, residue
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +53,16 @@ def p6_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.without_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "eval_items"))
 
 
+def p7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every slot of the mixture with the tokens of the documents that fill it."""
+    return mixing.mixture(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "mix_targets"))
+
+
+def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wanted and actual shares by source."""
+    return mixing.shares(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "mix_targets"))
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     levels = reading.reading_levels(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "reading_labels"))
     return levels.select("doc_id", "band").distinct()
@@ -62,13 +72,12 @@ def p8_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many documents of each source, plainly spelled, have each band."""
     documents = _table(spark, sf_dir, "documents")
     levels = reading.reading_levels(documents, _table(spark, sf_dir, "reading_labels"))
-    source = F.regexp_replace(F.lower(F.trim("source")), "[\\s_-]+", "_")
-    named = documents.select("doc_id", F.coalesce(source, F.lit("")).alias("source"))
+    named = documents.select("doc_id", F.coalesce(mixing.plain_source(F.col("source")), F.lit("")).alias("source"))
     return levels.join(named, "doc_id").groupBy("source", "band").agg(F.count("*").alias("documents"), F.round(F.avg("level"), 3).alias("mean_level"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p2_collapsed, p3_found, p3_pieces, p4_found, p4_clean, p6_found, p6_clean, p8_found, p8_profile)}
+    return {f.__name__: f for f in (p2_found, p2_collapsed, p3_found, p3_pieces, p4_found, p4_clean, p6_found, p6_clean, p7_mixture, p7_shares, p8_found, p8_profile)}
 
 
 #: Twelve consecutive words of a document, normalised as the operator does, against those of every item.
