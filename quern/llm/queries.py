@@ -7,13 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import leaks, mixing, pieces, reading, refine, residue
+from quern.llm import leaks, mixing, pieces, reading, refine, residue, scans
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scans.faults(_table(spark, sf_dir, "chunks"))
+
+
+def p1_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text that has faults, as continuous paragraphs."""
+    return scans.repaired(_table(spark, sf_dir, "chunks")).where("faults > 0")
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = refine.copies(_table(spark, sf_dir, "interim_records"))
     return found.where("rec_id <> kept_rec_id").select("kept_rec_id", "rec_id")
@@ -77,7 +86,7 @@ def p8_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p2_collapsed, p3_found, p3_pieces, p4_found, p4_clean, p6_found, p6_clean, p7_mixture, p7_shares, p8_found, p8_profile)}
+    return {f.__name__: f for f in (p1_found, p1_repaired, p2_found, p2_collapsed, p3_found, p3_pieces, p4_found, p4_clean, p6_found, p6_clean, p7_mixture, p7_shares, p8_found, p8_profile)}
 
 
 #: Twelve consecutive words of a document, normalised as the operator does, against those of every item.
