@@ -321,6 +321,7 @@ class Furniture:
         weak = [number[i] or times[shapes[i]] > 1 or self._named(lines[i], about) for i in range(len(lines))]
         # A list of short items has no text lines between which furniture could stand.
         listed = sum(len(lines[i].split()) <= 4 for i in filled) > 0.6 * len(filled)
+        paged = (any(number), any(self._named(lines[i], about) for i in filled))
         out: list[tuple] = [()] * len(lines)
         for place, i in enumerate(filled):
             line = lines[i].strip()
@@ -341,7 +342,7 @@ class Furniture:
             out[i] = (
                 ("number", number[i]), ("number", number[i], runs_on), ("number", number[i], repeated > 1), ("repeated", repeated), ("repeated", repeated, ends), ("repeated", repeated, runs_on), ("named", named), ("named", named, near), ("named", named, ends), ("named", named, titled or capitals, digits or bars),
                 ("near", near, titled or capitals, ends), ("form", capitals, titled, digits, bars), ("ends", ends), ("words", words), ("runs on", runs_on, open_before), ("runs on", runs_on, ends, titled or capitals), ("full", len(lines[i].rstrip()) > 0.8 * longest, ends), ("first", place == 0, named), ("last", place == len(filled) - 1, number[i]),
-                ("near", near, named, repeated > 1), ("runs on", runs_on, named, number[i]), ("listed", listed), ("listed", listed, number[i], repeated > 1), ("listed", listed, named), ("turn", runs_on or not open_before, repeated > 1, number[i], titled or capitals), ("low", low, number[i], repeated > 1), ("edge", place in (0, len(filled) - 1), repeated > 1, number[i]), ("bias",),
+                ("near", near, named, repeated > 1), ("runs on", runs_on, named, number[i]), ("listed", listed), ("listed", listed, number[i], repeated > 1), ("listed", listed, named), ("turn", runs_on or not open_before, repeated > 1, number[i], titled or capitals), ("low", low, number[i], repeated > 1), ("paged", paged, number[i], named, repeated > 1), ("paged", paged, near, runs_on), ("edge", place in (0, len(filled) - 1), repeated > 1, number[i]), ("bias",),
             )
         return out
 
