@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.plans import nested
+from quern.plans import nested, text
 
-_MODULES = (nested,)
+_MODULES = (text, nested)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
