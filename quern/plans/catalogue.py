@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.plans import nested, text
+from quern.plans import build, nested, text
 
-_MODULES = (text, nested)
+_MODULES = (text, build, nested)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -23,7 +23,7 @@ def normalized_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "chunks").select("row_no", T.normalize_text(F.concat("text", F.lit(ODD))).alias("text"))
 
 
-def _normal_sql(text: str) -> str:
+def normal_sql(text: str) -> str:
     plain = f"translate({text}, '‘’“”–—−' || chr(160) || chr(8199) || chr(8239), '''''\"\"---   ')"
     for one, several in (*T.SEVERAL_FOR_ONE.items(), ("​", "")):
         plain = f"replace({plain}, {'chr(8203)' if one == '​' else repr(one)}, '{several}')"
@@ -168,7 +168,7 @@ def encoded_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (normalized_texts, slugs, length_floors, control_ids, leading_furniture, plain_pages, ranked_links, other_addresses, supersession, paragraph_lengths, repeated_texts, vocabulary, predicates, encoded_rows)}
 ORACLES = {
-    "normalized_texts": f"SELECT row_no, {_normal_sql(f'(text || {_ODD_SQL})')} AS text FROM chunks",
+    "normalized_texts": f"SELECT row_no, {normal_sql(f'(text || {_ODD_SQL})')} AS text FROM chunks",
     "slugs": f"SELECT doc_id, {_SLUG} AS slug, doc_id || '/section/' || {_SLUG} AS id FROM manifest_docs",
     "length_floors": f"SELECT chunk_type, count(*) AS n, min(f)::INT AS floor, sum(CASE WHEN length(text) BETWEEN f AND 8000 THEN 0 ELSE 1 END)::BIGINT AS outside FROM (SELECT *, CASE WHEN chunk_type IN {schemas.STRUCTURED_TYPES} THEN 80 ELSE 200 END AS f FROM chunks) GROUP BY chunk_type",
     "control_ids": rf"""SELECT control_id, regexp_matches(control_id, '^({"|".join(schemas.CONTROL_FAMILIES)})-\d+(\.\d+)?$') AS known,
