@@ -2,7 +2,7 @@
 
 The merged schema of all records is inferred first, in one distributed pass: for every kind of node, which fields it has
 and of which types, and how deep the nesting goes. Fields that hold objects in arrays somewhere become child tables,
-also where one object stands alone instead of in an array. Then every level is exploded below the one before it, all
+also where one object stands alone instead of in an array. Then every level is opened below the one before it, all
 in one stage without a shuffle, as VARIANT values in the JVM. A row carries its parent's key and its place in the array.
 """
 
@@ -12,7 +12,7 @@ import json
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: A merged schema has a row for each kind and field; records that use data as field names would make it unbounded.
@@ -63,46 +63,61 @@ def infer_schema(records: DataFrame, column: str, root: str) -> DataFrame:
     return found.groupBy("kind", "field", "type").agg(F.max("depth").alias("depth"))
 
 
-def _quoted(name: str) -> str:
-    return "'$[\"" + name.replace("\\", "\\\\").replace('"', '\\"').replace("'", "\\'") + "\"]'"
+def _literal(name: str) -> str:
+    return "'" + name.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _children(name: str) -> str:
-    """SQL for the objects in field `name` of the node `v` at `path`, as an array of structs; one alone has ordinal 0."""
-    at = f"variant_get(v, {_quoted(name)}, 'variant')"
-    many = f"try_variant_get(v, {_quoted(name)}, 'array<variant>')"
-    alone = f"CASE WHEN schema_of_variant({at}) LIKE 'OBJECT%' THEN array({at}) END"
-    label = name.replace("'", "\\'")
+_OBJECT = "map<string, variant>"
+
+
+def _attributes(node: str, columns: dict[str, tuple[str, ...]]) -> str:
+    """SQL for the wanted values of a node (a map of its fields), as a struct of strings."""
+    values = []
+    for name, (first, *rest) in columns.items():
+        value = f"{node}[{_literal(first)}]"
+        for step in rest:
+            value = f"try_cast({value} AS {_OBJECT})[{_literal(step)}]"
+        values.append(f"try_cast({value} AS string) AS `{name}`")
+    return f"struct({', '.join(values)})"
+
+
+def _children(name: str, columns: dict[str, tuple[str, ...]]) -> str:
+    """SQL for the objects in field `name` of the node `n`, as an array of structs; one alone has ordinal 0."""
+    label, at = _literal(name), f"n.m[{_literal(name)}]"
+    many = f"transform(try_cast({at} AS array<variant>), x -> try_cast(x AS {_OBJECT}))"
+    alone = f"array(try_cast({at} AS {_OBJECT}))"
     return (
-        f"filter(transform(coalesce({many}, {alone}, array()), (x, i) -> struct('{label}' AS kind, concat_ws('.', nullif(path, ''), '{label}', i) AS path, path AS parent, int(i) AS ordinal, x AS v)),"
-        " c -> schema_of_variant(c.v) LIKE 'OBJECT%')"
+        f"filter(transform(CASE WHEN {at} IS NULL THEN array() ELSE coalesce({many}, {alone}) END, (x, i) -> struct({label} AS kind, concat_ws('.', nullif(n.path, ''), {label}, i) AS path, n.path AS parent, int(i) AS ordinal,"
+        f" {_attributes('x', columns)} AS values, x AS m)), c -> c.m IS NOT NULL)"
     )
 
 
-def explode_tree(records: DataFrame, key: str, column: str, root: str, fields: list[str], depth: int) -> DataFrame:
-    """key, kind (the field), path, parent, ordinal, node (VARIANT) of every object below `root` reached over `fields`.
+def explode_tree(records: DataFrame, key: str, column: str, root: str, fields: list[str], depth: int, columns: dict[str, tuple[str, ...]]) -> DataFrame:
+    """key, kind (the field), path, parent, ordinal, values of every object below `root` reached over `fields`.
 
-    Each level explodes the newest nodes and hands on the older ones, so a record is read once, whatever its depth.
+    Within the row of a record each level is one array, made from the level before; all are exploded together at the
+    end. So a record is read once and every node is handled once, whatever the depth. A node is opened one level at a
+    time, as a map of its fields.
     """
-    rows = records.where(F.col(column).isNotNull()).select(F.col(key), F.expr(f"variant_get(try_parse_json({column}), '$.{root}', 'variant')").alias("v"))
-    rows = rows.where("v IS NOT NULL AND schema_of_variant(v) LIKE 'OBJECT%'")
-    node = "struct(string(NULL) AS kind, '' AS path, string(NULL) AS parent, int(NULL) AS ordinal, v)"
-    rows = rows.select(key, F.expr(node).alias("n"), F.lit(True).alias("new"))
-    for _ in range(depth):
-        flat = rows.select(key, "n.*", "new")
-        below = f"CASE WHEN new THEN concat({', '.join(map(_children, fields))}) ELSE array() END"
-        own = "array(struct(struct(kind, path, parent, ordinal, v) AS n, false AS new))"
-        rows = flat.select(key, F.explode(F.expr(f"concat({own}, transform({below}, c -> struct(c AS n, true AS new)))")).alias("r")).select(key, "r.n", "r.new")
-    return rows.select(key, "n.kind", "n.path", "n.parent", "n.ordinal", F.col("n.v").alias("node")).where("kind IS NOT NULL")
-
-
-def nodes(records: DataFrame, key: str, column: str, root: str, fields: list[str] | None = None) -> DataFrame:
+    top = f"try_cast(try_cast(try_parse_json({column}) AS {_OBJECT})[{_literal(root)}] AS {_OBJECT})"
+    rows = records.where(F.col(column).isNotNull()).select(F.col(key).alias("_key"), F.expr(top).alias("m")).where("m IS NOT NULL")
+    rows = rows.select("_key", F.expr("array(struct('' AS path, m))").alias("_0"))
+    for level in range(depth):
+        below = f"flatten(transform(_{level}, n -> concat({', '.join(_children(f, columns) for f in fields)})))"
+        rows = rows.select("*", F.expr(below).alias(f"_{level + 1}"))
+    levels = [F.expr(f"transform(_{k}, n -> struct(n.kind, n.path, n.parent, n.ordinal, n.values))") for k in range(1, depth + 1)]
+    none = F.expr(f"filter(array(struct('' AS kind, '' AS path, '' AS parent, 0 AS ordinal, {_attributes(f'CAST(NULL AS {_OBJECT})', columns)} AS values)), n -> false)")
+    return rows.select(F.col("_key").alias(key), F.explode(F.concat(none, *levels)).alias("n")).select(key, "n.kind", "n.path", "n.parent", "n.ordinal", "n.values")
+
+
+def nodes(records: DataFrame, key: str, column: str, root: str, fields: list[str] | None = None, columns: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
     """Every object in the nested arrays of JSON texts, linked to its parent.
 
     Returns key, kind (the field it is in), path (fields and positions from the root, joined by dots), parent (the path
     of the enclosing node, empty at the top), ordinal (its position in the array, from 0), node_key and parent_key (64-bit
-    surrogate keys over key and path), node_id (its id as written, empty if it has none), node (VARIANT). `fields`
-    restricts the search to fields of these names; by default all that hold arrays of objects somewhere.
+    surrogate keys over key and path), node_id (its id as written, empty if it has none), and the values named in
+    `columns` (name -> names of the fields that lead to it) as strings. `fields` restricts the search to fields of these names; by
+    default all that hold arrays of objects somewhere.
     Null, empty and unreadable texts, and such without an object under `root`, have no nodes; nulls and plain values in
     the arrays are no nodes but keep their positions; empty arrays have none. Records with the same key or the same
     text each give their nodes. Other columns are ignored. A null key stays null.
@@ -115,31 +130,22 @@ def nodes(records: DataFrame, key: str, column: str, root: str, fields: list[str
     depth = 1 + max((r["depth"] for r in schema if r["field"] in listed and r["type"] in ("object", "array<object>")), default=-1)
     if depth > MAX_DEPTH:
         raise ValueError(f"nested more than {MAX_DEPTH} levels deep")
-    flat = explode_tree(records.select(key, column), key, column, root, listed, depth)
+    flat = explode_tree(records.select(key, column), key, column, root, listed if depth else [], depth, {"node_id": ("id",)} | (columns or {}))
     return flat.select(
         key, "kind", "path", "parent", "ordinal",
         F.xxhash64(key, "path").alias("node_key"), F.when(F.col("parent") != "", F.xxhash64(key, "parent")).alias("parent_key"),
-        F.expr("coalesce(try_variant_get(node, '$.id', 'string'), '')").alias("node_id"), "node",
+        F.coalesce("values.node_id", F.lit("")).alias("node_id"), *[f"values.{name}" for name in columns or {}],
     )
 
 
-def child_table(flat: DataFrame, field: str, columns: dict[str, str]) -> DataFrame:
-    """The table of one kind of node: its links, and the given paths of the node as columns (name -> JSON path)."""
-    return flat.where(F.col("kind") == field).select(*[c for c in flat.columns if c not in ("kind", "node")], *[_get(path).alias(name) for name, path in columns.items()])
-
-
-def _get(path: str) -> Column:
-    return F.expr(f"try_variant_get(node, '{path}', 'string')")
-
-
 #: Kinds of OSCAL nodes by the field that holds them, and the columns of their tables (fixed values).
 OSCAL_KINDS = {"groups": "group", "controls": "control", "params": "param", "parts": "part"}
-OSCAL_COLUMNS = {
-    "groups": {"class": "$.class", "title": "$.title"},
-    "controls": {"class": "$.class", "title": "$.title"},
-    "params": {"label": "$.label", "how_many": '$.select["how-many"]', "choice": "$.select.choice"},
-    "parts": {"name": "$.name", "prose": "$.prose"},
-    "props": {"name": "$.name", "value": "$.value", "class": "$.class"},
+OSCAL_COLUMNS: dict[str, dict[str, tuple[str, ...]]] = {
+    "groups": {"class": ("class",), "title": ("title",)},
+    "controls": {"class": ("class",), "title": ("title",)},
+    "params": {"label": ("label",), "how_many": ("select", "how-many"), "choice": ("select", "choice")},
+    "parts": {"name": ("name",), "prose": ("prose",)},
+    "props": {"name": ("name",), "value": ("value",), "class": ("class",)},
 }
 
 
@@ -150,5 +156,5 @@ def catalog_nodes(files: DataFrame) -> DataFrame:
 
 def catalog_table(files: DataFrame, field: str) -> DataFrame:
     """One flat table of all catalogs: groups, controls, params, parts or props."""
-    flat = nodes(files, "file_id", "mini_catalog", "catalog", [*OSCAL_KINDS, *({field} - set(OSCAL_KINDS))])
-    return child_table(flat, field, OSCAL_COLUMNS[field])
+    fields = [*OSCAL_KINDS, *({field} - set(OSCAL_KINDS))]
+    return nodes(files, "file_id", "mini_catalog", "catalog", fields, OSCAL_COLUMNS[field]).where(F.col("kind") == field).drop("kind")
