@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.plans import build, nested, text
+from quern.plans import build, catalogs, nested, text
 
-_MODULES = (text, build, nested)
+_MODULES = (text, build, catalogs, nested)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
