@@ -84,7 +84,7 @@ def stripped(payload: Column) -> Column:
 
 def keyed(records: DataFrame) -> DataFrame:
     """rec_id, payload and the cheap key of every record with a payload: a hash of stripped length and letter histogram."""
-    rows = records.where("payload IS NOT NULL").select("rec_id", "payload", stripped(F.col("payload")).alias("stripped"))
+    rows = records.where("payload IS NOT NULL AND rec_id IS NOT NULL").select("rec_id", "payload", stripped(F.col("payload")).alias("stripped"))
     size = F.length("stripped")
     histogram = [size - F.length(F.replace("stripped", F.lit(letter))) for letter in HISTOGRAM]
     return rows.select("rec_id", "payload", F.xxhash64(size, *histogram).alias("cheap"))
@@ -124,7 +124,7 @@ def copies(records: DataFrame) -> DataFrame:
 
     The kept record has a row too, with itself. Payloads that are null, cut off, or not a JSON object are no copies of
     anything, and an empty table has none. A rec_id that occurs twice counts as two copies of one record but has one
-    row. Other columns are ignored.
+    row. Rows without a rec_id take no part. Other columns are ignored.
     """
     keys = members(records).persist(StorageLevel.MEMORY_AND_DISK)
     classes = keys.groupBy("cheap", "k1", "k2").agg(F.min("rec_id").alias("kept_rec_id"), F.count("*").alias("copies")).where("copies > 1")

@@ -115,7 +115,7 @@ FILLER: list[tuple[str, str]] = [
 PSEUDO_LATIN = frozenset("lorem ipsum dolor sit amet consectetur adipiscing elit sed eiusmod tempor incididunt labore dolore magna aliqua enim minim veniam quis nostrud exercitation ullamco laboris nisi aliquip commodo consequat duis aute irure reprehenderit voluptate velit esse cillum fugiat nulla pariatur excepteur sint occaecat cupidatat proident sunt culpa officia deserunt mollit anim laborum vestibulum fringilla pellentesque curabitur aenean etiam phasellus tellus".split())
 _LATIN_END = re.compile(r"(?:us|um|is|or|as|at|em|os|am|ae|ur|it|et|[aeo])$")
 #: Common words of the corpus languages; a run of words without any is not a sentence in them.
-COMMON = frozenset("the a an and or of to in on for is are was be by with as at from that this it its not no if when all any each must may should can will has have had but they them their our we you your one only before after which there so than".split())
+COMMON = frozenset("the a an and or of to in on for is are was be by with as at from that this it its not no if when all any each must may should can will has have had but they them their our we you your one only before after which there so than el los las del que por con una para su les des du dans pour une sur pas au aux avec der die das und ist von mit dem den ein eine gli che per".split())
 #: Keys that lie side by side, and stopgap words (fixed values).
 KEYS = ("qwertyuiop", "asdfghjkl", "zxcvbnm", "azertyuiop", "qsdfghjklm", "wxcvbn")
 STOPGAP = frozenset("foo bar baz qux bla blah blabla xxx yyy zzz test tests testing".split())
@@ -154,7 +154,7 @@ def _filler(low: str, possible: set[int]) -> str | None:
         if not COMMON.isdisjoint(sentence.split()):
             continue
         w = _RUN.findall(sentence)
-        if len(w) < 3 or sum(bool(_LATIN_END.search(x)) for x in w) < 0.85 * len(w) or "|" in sentence or len(set(w)) == 1:
+        if len(w) < 3 or sum(x in PSEUDO_LATIN or bool(_LATIN_END.search(x)) for x in w) < 0.85 * len(w) or "|" in sentence or len(set(w)) == 1:
             continue
         latin += 1 + (len(w) >= 4 and not PSEUDO_LATIN.isdisjoint(w))
         if latin >= 2:
