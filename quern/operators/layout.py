@@ -118,7 +118,7 @@ def sectioned(lines: DataFrame) -> DataFrame:
     The last heading of level k above a line is an ancestor if no higher heading stands between them: no stack is needed.
     """
     # What is read more than once is written once: a running sum or carried value reads its input twice.
-    content = stored(with_levels(without_furniture(lines)).withColumn("level", F.least("level", F.lit(MAX_LEVEL))), "content")
+    content = stored(with_levels(without_furniture(lines)).withColumn("level", F.when(F.col("level") > MAX_LEVEL, MAX_LEVEL).otherwise(F.col("level"))), "content")
     numbered = stored(ordered.running_sum(content, "section", F.when(F.col("level").isNotNull(), 1).otherwise(0), KEY, "line_no"), "numbered")
     heads = numbered.where("level IS NOT NULL").select(*KEY, "line_no", "section", "level", T.strip(F.col("text")).alias("heading"), "page")
     values = {f"a{k}": F.when(F.col("level") == k, F.struct("line_no", "heading")) for k in range(1, MAX_LEVEL)}

@@ -28,7 +28,7 @@ def read_artifacts(spark: SparkSession, path: str) -> DataFrame:
 def sanity_problem(content: Column, format_: Column, url: Column) -> Column:
     """What is wrong with an artifact, null if nothing: a PDF must start like one, a catalog must be JSON with `catalog`
     or `profile`, a web source JSON with something in it or a page."""
-    text = F.try_validate_utf8(F.decode(content, "utf-8"))
+    text = F.try_validate_utf8(content.cast("string"))
     parsed = F.try_parse_json(text)
     keys = F.json_object_keys(text)
     head = F.lower(F.decode(F.substring(content, 1, 4096), "iso-8859-1"))
