@@ -33,13 +33,17 @@ SUPERSESSION_NOTE = r"(?i)check (?:the )?landing page|if rev\w* \d+ is final|in
 CONTROL_CHARACTERS = r"[\p{C}&&[^\n\t]]"
 
 
+#: Every character that is white space, by rule.
+WHITE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
+
+
 def strip(text: Column) -> Column:
     """Without white space of any kind at both ends."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+\z", "")
+    return F.btrim(text, F.lit(WHITE))
 
 
 def lstrip(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)^\s+", "")
+    return F.ltrim(text, F.lit(WHITE))
 
 
 def normalize_text(text: Column) -> Column:

@@ -15,12 +15,12 @@ from quern.operators import ordered
 from quern.session import stored
 
 # Patterns on which results depend.
-PAGE_NUMBER = r"(?i)^(?:page\s+)?[ivxlcdm\d]+(?:\s+of\s+\d+)?\z"
+PAGE_NUMBER = r"(?i:^(?:page\s+)?[ivxlcdm\d]+(?:\s+of\s+\d+)?\z)"
 RULE = r"^[_\-=–—\s]{6,}\z"
 LEADERS = r"\.{4,}\s*\d*\s*\z"
 BOILERPLATE = (
-    r"(?i)this publication is available free of charge", r"(?i)^https?://(?:dx\.)?doi\.org/", r"(?i)^\s*NIST (?:Special Publication|SP)\s+[\d\-.A-Za-z]+\s*\z",
-    r"(?i)national institute of standards and technology", r"(?i)u\.s\. department of commerce",
+    r"(?i:this publication is available free of charge)", r"(?i:^https?://(?:dx\.)?doi\.org/)", r"(?i:^\s*NIST (?:Special Publication|SP)\s+[\d\-.A-Za-z]+\s*\z)",
+    r"(?i:national institute of standards and technology)", r"(?i:u\.s\. department of commerce)",
 )
 CONTENTS_ENTRY = r"(?i)^\S[^\n]{2,90}?[\s.]+(?:\d{1,3}|[ivxl]{1,6})\z"
 NUMBERED = r"^(\d+(?:\.\d+)*)\s+\S"
@@ -72,11 +72,9 @@ def contents_pages(lines: DataFrame, entries: int = 5) -> DataFrame:
 
 def without_furniture(lines: DataFrame) -> DataFrame:
     """Lines that are content: not blank, no rule, page number, leader, boilerplate, repeating line or contents page."""
-    text = T.strip(F.col("text"))
-    plain = (text == "") | text.rlike(RULE) | text.rlike(PAGE_NUMBER) | text.rlike(LEADERS)
-    for pattern in BOILERPLATE:
-        plain = plain | text.rlike(pattern)
-    kept = lines.where(~plain).withColumn("key", furniture_key(F.col("text")))
+    # One pattern for all, so that a line is stripped and read once.
+    plain = "|".join(f"(?:{p})" for p in (r"^\z", RULE, PAGE_NUMBER, LEADERS, *BOILERPLATE))
+    kept = lines.where(~T.strip(F.col("text")).rlike(plain)).withColumn("key", furniture_key(F.col("text")))
     return kept.join(repeating_furniture(lines), [*KEY, "key"], "left_anti").join(contents_pages(lines), [*KEY, "page"], "left_anti").select(*lines.columns)
 
 
@@ -239,21 +237,25 @@ def vocabulary(lines: DataFrame) -> DataFrame:
 
 
 def join_lines(texts: Column, known: Column | None = None) -> Column:
-    """Wrapped lines as one text. With the document's words (array `known`) a hyphen at a line end goes if the joined word
-    is known and the hyphened one is not, or neither is; without them it stays before a space."""
-
-    def step(joined: Column, raw: Column) -> Column:
-        text = T.strip(raw)
-        plain = F.concat(joined, F.lit(" "), text)
-        if known is None:
-            rest = plain
-        else:
-            prefix, suffix = F.lower(F.regexp_extract(joined, r"([A-Za-z]+)-\z", 1)), F.regexp_extract(text, "^([a-z]+)", 1)
-            compound = F.array_contains(known, F.concat(prefix, F.lit("-"), suffix))
-            rest = F.when((prefix == "") | (suffix == ""), plain).when(compound, F.concat(joined, text)).otherwise(F.concat(F.regexp_replace(joined, "-\\z", ""), text))
-        return F.when(text == "", joined).when(joined == "", text).otherwise(rest)
-
-    return F.aggregate(texts, F.lit(""), step)
+    """Wrapped lines as one text. With the document's words (array `known`) a hyphen at a line end stays if the hyphened
+    word is known, and goes otherwise; without them it stays before a space."""
+
+    lines = F.filter(F.transform(texts, T.strip), lambda t: t != "")
+    if known is None:
+        return F.array_join(lines, " ")
+    # The state is what is finished and the last line, which grows only where lines are joined.
+    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("last"))
+
+    def step(state: Column, text: Column) -> Column:
+        last = state["last"]
+        prefix, suffix = F.lower(F.regexp_extract(last, r"([A-Za-z]+)-\z", 1)), F.regexp_extract(text, "^([a-z]+)", 1)
+        compound = F.array_contains(known, F.concat(prefix, F.lit("-"), suffix))
+        grown = F.struct(state["done"].alias("done"), F.concat(F.when(compound, last).otherwise(F.regexp_replace(last, "-\\z", "")), text).alias("last"))
+        apart = F.struct(F.when(last == "", state["done"]).otherwise(F.array_append(state["done"], last)).alias("done"), text.alias("last"))
+        return F.when(last.endswith("-") & (prefix != "") & (suffix != ""), grown).otherwise(apart)
+
+    walked = F.aggregate(lines, start, step, lambda s: F.array_join(F.array_append(s["done"], s["last"]), " "))
+    return F.when(F.exists(lines, lambda t: t.endswith("-")), walked).otherwise(F.array_join(lines, " "))
 
 
 def needed_words(blocks: DataFrame, words: DataFrame) -> DataFrame:
