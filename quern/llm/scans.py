@@ -42,7 +42,7 @@ _CONFUSED = set("0©1|I!ï5$9628@(<¢é3€ƒ+7ü×¥öá/")
 #: Words of a smaller share of all words are not kept; so at most 1,000,000 words are collected and broadcast.
 LEAST_SHARE = 1e-6
 #: Rows from which training lines are taken, and words from which training words are.
-SAMPLE_ROWS = 600
+SAMPLE_ROWS = 1_200
 SAMPLE_WORDS = 1_500
 #: A corrected word must be so many times as frequent as what it replaces.
 RATIO = 20.0
@@ -320,7 +320,7 @@ class Furniture:
         # The text lines before and after, with those that may be furniture passed over.
         weak = [number[i] or times[shapes[i]] > 1 or self._named(lines[i], about) for i in range(len(lines))]
         # A list of short items has no text lines between which furniture could stand.
-        listed = sum(len(lines[i].split()) <= 4 for i in filled) > 0.6 * len(filled)
+        listed = sum(len(lines[i].strip()) < 28 for i in filled) > 0.6 * len(filled)
         paged = (any(number), any(self._named(lines[i], about) for i in filled))
         out: list[tuple] = [()] * len(lines)
         for place, i in enumerate(filled):
@@ -495,7 +495,7 @@ class Repairer:
         return found
 
     def _word(self, token: str) -> str | None:
-        core = token.strip(_OPEN + _CLOSE)
+        core = token.lstrip(_OPEN).rstrip(_CLOSE)
         low = core.lower()
         if low in self.words.trusted or not any(c.isalpha() for c in token):
             return None
