@@ -1,15 +1,15 @@
 """Problem 6: passages of held-out test items inside training documents.
 
 A generalised suffix automaton of the normalised items is streamed over the words of every document. The automaton
-is small, as the items are a fixed hand-made set; their number and words are checked before it is built. Documents
+of one block of items has a bounded size, which is checked before it is built. Documents
 are never shuffled for the search: each task streams its own.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
 from collections.abc import Iterator
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,9 +19,10 @@ from quern.llm.arrow import map_rows
 #: A word is an unbroken run of letters and digits.
 WORD = re.compile(r"[^\W_]+")
 MIN_WORDS = 12
-#: Bounds under which the automaton may be built on the driver and broadcast (about 250 bytes a word).
-MAX_ITEMS = 200_000
-MAX_ITEM_WORDS = 5_000_000
+#: Words of items in one automaton, of about 700 bytes each; more items are searched for in several blocks.
+BLOCK_WORDS = 200_000
+#: Items are collected to the driver block by block; more blocks than this are taken for an error.
+MAX_BLOCKS = 50
 
 
 def words(text: str | None) -> list[str]:
@@ -126,30 +127,42 @@ class SuffixAutomaton:
             done = at
 
 
-def build_automaton(items: DataFrame, item_id: str = "item_id", text: str = "item_text", least: int = MIN_WORDS) -> SuffixAutomaton:
-    """Collects the items, whose number and size are checked first, and builds the automaton."""
-    kept = items.where(F.col(text).isNotNull()).select(F.col(item_id), F.col(text))
-    size = kept.agg(F.count("*").alias("n"), F.sum(F.length(text)).alias("chars")).first()
-    if size.n > MAX_ITEMS or (size.chars or 0) > 8 * MAX_ITEM_WORDS:
-        raise ValueError(f"{size.n} items of {size.chars} characters are more than the automaton is meant for")
-    return SuffixAutomaton([(r[0], words(r[1])) for r in kept.collect()], least)
+def _blocks(items: DataFrame, block_words: int) -> list[DataFrame]:
+    """The items with text, as item_id and text, in blocks of about `block_words` words at most; the size is asked first."""
+    kept = items.where("item_text IS NOT NULL").select("item_id", F.col("item_text").alias("text"))
+    # A word and what follows it take at least two characters.
+    size = kept.agg(F.sum(F.length("text"))).first()[0] or 0
+    count = max(1, -(-size // (2 * block_words)))
+    if count > MAX_BLOCKS:
+        raise ValueError(f"items of {size} characters are more than the search is meant for")
+    return [kept] if count == 1 else [kept.where(F.pmod(F.xxhash64("item_id"), F.lit(count)) == k) for k in range(count)]
+
+
+def build_automaton(items: DataFrame, least: int = MIN_WORDS) -> SuffixAutomaton:
+    """The automaton of one block of items."""
+    return SuffixAutomaton([(r[0], words(r[1])) for r in items.collect()], least)
 
 
 FOUND = "doc_id bigint, item_id bigint, words int, spans array<struct<first:int,last:int>>"
 
 
-def leaks(documents: DataFrame, items: DataFrame, least: int = MIN_WORDS) -> DataFrame:
+def leaks(documents: DataFrame, items: DataFrame, least: int = MIN_WORDS, block_words: int = BLOCK_WORDS) -> DataFrame:
     """One row for each document and item that share at least `least` consecutive words.
 
     words: how many of the document's words lie in such passages; spans: their first and last word, from 0.
     Null, empty or short texts match nothing; items of fewer than `least` words cannot leak; a document that comes
     twice gives its rows twice, an item that comes twice under one id counts once. Other columns are ignored.
     """
-    spark = documents.sparkSession
-    automaton = spark.sparkContext.broadcast(build_automaton(items, least=least))
+    texts = documents.where(F.col("text").isNotNull()).select("doc_id", "text")
+    found = [_search(texts, build_automaton(block, least)) for block in _blocks(items, block_words)]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _search(texts: DataFrame, automaton: SuffixAutomaton) -> DataFrame:
+    shared = texts.sparkSession.sparkContext.broadcast(automaton)
 
     def start():
-        sam = automaton.value
+        sam = shared.value
 
         def find(doc_id: int, text: str) -> list[tuple]:
             hits: dict[int, list[list[int]]] = {}
@@ -164,7 +177,7 @@ def leaks(documents: DataFrame, items: DataFrame, least: int = MIN_WORDS) -> Dat
 
         return find
 
-    return map_rows(documents.where(F.col("text").isNotNull()).select("doc_id", "text"), FOUND, start)
+    return map_rows(texts, FOUND, start)
 
 
 CLEAN = "doc_id bigint, text string, removed_words int, total_words int, coverage double, verdict string"
@@ -176,11 +189,13 @@ def without_leaks(documents: DataFrame, items: DataFrame, least: int = MIN_WORDS
     verdict: `clean` if nothing matched, `cut` if passages were removed, `dropped` (and text null) if they cover more
     than `max_coverage` of the words. Null texts stay null and are `clean`. Removal never touches other words.
     """
-    spark = documents.sparkSession
-    automaton = spark.sparkContext.broadcast(build_automaton(items, least=least))
+    blocks = _blocks(items, BLOCK_WORDS)
+    automata = documents.sparkSession.sparkContext.broadcast([build_automaton(block, least) for block in blocks[:1]])
+    if len(blocks) > 1:
+        raise ValueError("cutting reads every document once, so all items must fit one block")
 
     def start():
-        sam = automaton.value
+        (sam,) = automata.value
 
         def cut(doc_id: int, text: str | None) -> list[tuple]:
             tokens = words(text)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -60,14 +61,11 @@ def test_removal(spark):
     assert got[6].text == "filler " * 50_000
 
 
-def test_bounds(spark):
-    _, items = frames(spark)
-    old, L.MAX_ITEMS = L.MAX_ITEMS, 1
-    try:
-        try:
-            L.build_automaton(items)
-            raise AssertionError("a table of items over the bound must not be collected")
-        except ValueError:
-            pass
-    finally:
-        L.MAX_ITEMS = old
+def test_blocks_give_the_same(spark, monkeypatch):
+    documents, items = frames(spark)
+    whole = sorted(tuple(r)[:3] for r in L.leaks(documents.where("doc_id > 0"), items).collect())
+    assert len(L._blocks(items, 20)) > 1
+    assert sorted(tuple(r)[:3] for r in L.leaks(documents.where("doc_id > 0"), items, block_words=20).collect()) == whole
+    monkeypatch.setattr(L, "MAX_BLOCKS", 1)
+    with pytest.raises(ValueError, match="more than"):
+        L.leaks(documents, items, block_words=20)
