@@ -161,12 +161,17 @@ def drop_front_matter(found: DataFrame, starts: DataFrame) -> tuple[DataFrame, D
     """(sections from the body on, rejections): one rejection for each document says what was dropped before its start."""
     joined = found.join(starts, KEY)
     gone = (F.col("page") < F.col("start")) & ~F.col("heading").rlike(KEPT_FRONT)
-    dropped = joined.where(gone).groupBy(*KEY).agg(F.collect_set("heading").alias("gone"), F.count("*").alias("n"), F.first("start").alias("s"))
-    kept = joined.where(~gone).join(dropped.select(*KEY, "gone"), KEY, "left")
-    trail = F.when(F.col("gone").isNull(), F.col("trail")).otherwise(F.filter("trail", lambda h: ~F.array_contains(F.col("gone"), h)))
+    dropped = joined.where(gone)
+    summary = dropped.groupBy(*KEY).agg(F.count("*").alias("n"), F.first("start").alias("s"))
+    # A dropped heading is no ancestor of anything that stays.
+    names = dropped.select(*KEY, F.col("heading").alias("ancestor")).distinct()
+    kept = joined.where(~gone)
+    trails = kept.select(*KEY, "section", F.posexplode("trail").alias("place", "ancestor")).join(names, [*KEY, "ancestor"], "left_anti")
+    trails = trails.groupBy(*KEY, "section").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "ancestor"))), lambda x: x["ancestor"]).alias("_trail"))
+    met = kept.join(trails, [*KEY, "section"], "left").withColumn("trail", F.coalesce("_trail", F.array().cast("array<string>")))
     detail = F.concat(F.lit("dropped "), F.col("n").cast("string"), F.lit(" section(s) before page "), F.col("s").cast("string"))
-    rejected = dropped.select("doc_id", F.concat(F.lit("pages 1-"), (F.col("s") - 1).cast("string")).alias("ref"), F.lit("front_matter").alias("rule"), detail.alias("detail"), F.lit("parse_pdf").alias("stage"))
-    return kept.withColumn("trail", trail).select(*found.columns), rejected
+    rejected = summary.select("doc_id", F.concat(F.lit("pages 1-"), (F.col("s") - 1).cast("string")).alias("ref"), F.lit("front_matter").alias("rule"), detail.alias("detail"), F.lit("parse_pdf").alias("stage"))
+    return met.select(*found.columns), rejected
 
 
 def _path() -> Column:

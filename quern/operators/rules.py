@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from quern import schemas
 from quern.functions import text as T
 from quern.operators import dedupe
+from quern.session import stored
 
 ENCODING = "encoding_clean"
 ORDER = (
@@ -76,13 +77,17 @@ def validate(rows: DataFrame, manifest: DataFrame, provenance: DataFrame) -> tup
     Of rows that share an id or a fingerprint with an accepted earlier row, the later ones go. Rows with bad encoding
     are compared with earlier ones, but no later row is compared with them.
     """
-    judged = tagged(rows, manifest, provenance)
-    passed = judged.where("failed IS NULL").drop("failed")
-    compared = passed.select("seq", "id", T.fingerprint(F.col("text")).alias("print"), (~encoding_fails(F.col("text"))).alias("registers"))
-    verdicts = dedupe.greedy(compared, "seq", "id", "print", "registers")
-    decided = passed.join(verdicts, "seq")
+    text = F.col("text")
+    judged = tagged(rows, manifest, provenance).select(
+        "seq", "id", "doc_id", "failed", F.when(F.col("failed").isNull(), F.sha2(T.fingerprint(text), 256)).alias("print"), F.when(F.col("failed").isNull(), ~encoding_fails(text)).alias("registers")
+    )
+    # Written once, without the texts; they are only read again for the rows that stay.
+    judged = stored(judged, "judged")
+    passed = judged.where("failed IS NULL")
+    decided = passed.join(dedupe.greedy(passed, "seq", "id", "print", "registers"), "seq")
     rule = F.when(F.col("verdict") == "left", "unique_id").when(F.col("verdict") == "right", "near_dupe").when(F.col("verdict") == "unregistered", ENCODING)
     detail = F.when(F.col("verdict") == "left", "duplicate row id").when(F.col("verdict") == "right", F.concat(F.lit("text identical to row "), F.col("of").cast("string"))).otherwise("replacement or control characters in text")
     late = decided.where(rule.isNotNull()).select("doc_id", F.col("id").alias("ref"), rule.alias("rule"), detail.alias("detail"), F.lit("validate").alias("stage"))
     early = judged.where("failed IS NOT NULL").select("doc_id", F.col("id").alias("ref"), "failed.rule", "failed.detail", F.lit("validate").alias("stage"))
-    return decided.where("verdict = 'accepted'").select(*rows.columns), early.unionByName(late)
+    valid = rows.join(decided.where("verdict = 'accepted'").select("seq"), "seq", "left_semi").select(*rows.columns)
+    return valid, early.unionByName(late)

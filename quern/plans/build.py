@@ -63,7 +63,8 @@ def rejections_by_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rejections_by(_validated(spark, sf_dir)[1], "stage", "rule")
 
 
-#: The two keys agree on these tables: a repeated id is a repeated delivery of the same text, so windows are exact here.
+#: Which rows stay is found by windows, which is exact where no row shares its two keys with different accepted rows; why
+#: the others go is then asked against the rows that stay, as only those count.
 _VALID = (
     "WITH "
     + _TAGGED
@@ -71,7 +72,8 @@ _VALID = (
 p AS (SELECT row_no, id, doc_id, lower(regexp_replace(regexp_replace(text, '\s+', ' ', 'g'), '^\s+|\s+$', '', 'g')) AS print,
   NOT (contains(text, chr(65533)) OR regexp_matches(text, '[\x00-\x08\x0b-\x1f\x7f-\x9f\p{Cf}\p{Co}]')) AS clean FROM t WHERE rule IS NULL),
 w AS (SELECT *, min(row_no) FILTER (clean) OVER (PARTITION BY id) AS first_id, min(row_no) FILTER (clean) OVER (PARTITION BY print) AS first_print FROM p),
-v AS (SELECT *, CASE WHEN first_id < row_no THEN 'unique_id' WHEN first_print < row_no THEN 'near_dupe' WHEN NOT clean THEN 'encoding_clean' END AS late FROM w)
+a AS (SELECT * FROM w WHERE clean AND NOT coalesce(first_id < row_no, false) AND NOT coalesce(first_print < row_no, false)),
+v AS (SELECT w.*, CASE WHEN i.row_no < w.row_no THEN 'unique_id' WHEN x.row_no < w.row_no THEN 'near_dupe' WHEN NOT w.clean THEN 'encoding_clean' END AS late FROM w LEFT JOIN a AS i ON i.id = w.id LEFT JOIN a AS x ON x.print = w.print)
 """
 )
 
