@@ -19,11 +19,11 @@ from __future__ import annotations
 import json
 from hashlib import blake2b
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm.arrow import map_rows
+from quern.session import stored
 
 #: Letters of which the cheap histogram is made, frequent ones in the corpus languages.
 HISTOGRAM = "etaoinsr"
@@ -126,7 +126,7 @@ def copies(records: DataFrame) -> DataFrame:
     anything, and an empty table has none. A rec_id that occurs twice counts as two copies of one record but has one
     row. Rows without a rec_id take no part. Other columns are ignored.
     """
-    keys = members(records).persist(StorageLevel.MEMORY_AND_DISK)
+    keys = stored(members(records), "members")
     classes = keys.groupBy("cheap", "k1", "k2").agg(F.min("rec_id").alias("kept_rec_id"), F.count("*").alias("copies")).where("copies > 1")
     found = keys.join(classes.hint("shuffle_hash"), ["cheap", "k1", "k2"])
     return found.select("kept_rec_id", "rec_id", "copies")
