@@ -234,3 +234,8 @@ def control_sort_key(control_id: Column) -> Column:
 def words(text: Column) -> Column:
     """Words of letters, apostrophes and hyphens, in lower case."""
     return F.transform(F.regexp_extract_all(text, F.lit("([A-Za-z][A-Za-z'’-]*)"), 1), F.lower)
+
+
+def task_sort_key(key: Column) -> Column:
+    """Struct (letter, number) by which task keys such as P-2 and P-11 sort."""
+    return F.struct(F.substring(key, 1, 1).alias("letter"), F.coalesce(F.regexp_extract(key, r"-(\d+)\z", 1).try_cast("int"), F.lit(0)).alias("number"))

@@ -71,3 +71,10 @@ def first_rows(df: DataFrame, key: list[str], by: list[Column], keep: list[str])
     """One row for each key, the first by `by`: aggregated before the shuffle, so a hot key costs nothing."""
     least = F.min(F.struct(*[b.alias(f"_b{i}") for i, b in enumerate(by)], F.struct(*keep).alias("_kept")))
     return df.groupBy(*key).agg(least.alias("_m")).select(*key, "_m._kept.*")
+
+
+def first_n(df: DataFrame, key: list[str], order: str, n: int, width: int = WIDTH) -> DataFrame:
+    """The first `n` rows of each key: first of every range, then of what is left of the key."""
+    ranged = _ranged(df, order, width)
+    few = ranged.withColumn("_n", F.row_number().over(_within(key).orderBy(order))).where(F.col("_n") <= n)
+    return few.withColumn("_n", F.row_number().over(Window.partitionBy(*key).orderBy(order))).where(F.col("_n") <= n).drop("_n", "_range")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quern import schemas
 from quern.functions import text as T
+from quern.operators import ordered
 
 #: Expected ranges of a full build (fixed values); None is no bound.
 EXPECTED = {"control_rows": (900, 1200), "families": (20, 20), "ai_rmf_subcategories": (60, 80), "ssdf_practices": (40, None)}
@@ -84,6 +85,11 @@ def sorted_controls(ids: DataFrame, column: str) -> DataFrame:
     return gathered.select(F.array_join(F.transform("l", lambda x: T.display_id(x["id"])), ", ").alias("controls"), "base", "enhancements")
 
 
+def samples(rows: DataFrame, by: str, order: str, n: int) -> DataFrame:
+    """The first `n` rows of each kind; ranges of the order send at most `n` each to the window of their kind."""
+    return ordered.first_n(rows, [by], order, n)
+
+
 def summary_markdown(valid: DataFrame, rejections: DataFrame, warnings: DataFrame) -> str:
     """The build's summary as text. Only counts by document, type and rule reach the driver."""
     counts = rows_by_document_and_type(valid).collect()

@@ -118,6 +118,15 @@ def incremental_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return artifacts.fetch_actions(_table(spark, sf_dir, "manifest_docs"), latest, latest).select("doc_id", "action")
 
 
+def fetch_action_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return incremental_skip(spark, sf_dir).groupBy("action").agg(F.count("*").alias("n"))
+
+
+def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first three chunks of each type, for a reader to look at."""
+    return quality.samples(_rows(spark, sf_dir), "chunk_type", "seq", 3).select("chunk_type", "row_no")
+
+
 def counts_by_document_and_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rows_by_document_and_type(_rows(spark, sf_dir))
 
@@ -167,11 +176,16 @@ def rows_of_retrieved(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        tagged_rows, validated_rows, rejections_by_rule, near_duplicates, chunked_rows, trailing_stubs, merged_sections, incremental_skip, counts_by_document_and_type, family_counts, length_stats,
+        tagged_rows, validated_rows, rejections_by_rule, near_duplicates, chunked_rows, trailing_stubs, merged_sections, incremental_skip, fetch_action_counts, sample_rows, counts_by_document_and_type, family_counts, length_stats,
         text_bytes, expected_counts, control_list, export_order, logged_rejections, rows_without_manifest, rows_of_retrieved,
     )
 }
 ORACLES = {
+    "incremental_skip": """WITH p AS (SELECT doc_id, sha256 FROM provenance QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY coalesce(retrieved_at, '') DESC, coalesce(sha256, '') DESC) = 1)
+SELECT m.doc_id, CASE WHEN format IN ('embedded-in-oscal', 'web') THEN 'skipped' WHEN format = 'pdf-manual' THEN CASE WHEN sha256 IS NULL THEN 'manual-missing' ELSE 'manual' END WHEN sha256 IS NOT NULL THEN 'cached' ELSE 'download' END AS action FROM manifest_docs m LEFT JOIN p USING (doc_id)""",
+    "fetch_action_counts": """WITH p AS (SELECT doc_id, sha256 FROM provenance QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY coalesce(retrieved_at, '') DESC, coalesce(sha256, '') DESC) = 1)
+SELECT CASE WHEN format IN ('embedded-in-oscal', 'web') THEN 'skipped' WHEN format = 'pdf-manual' THEN CASE WHEN sha256 IS NULL THEN 'manual-missing' ELSE 'manual' END WHEN sha256 IS NOT NULL THEN 'cached' ELSE 'download' END AS action, count(*) AS n FROM manifest_docs m LEFT JOIN p USING (doc_id) GROUP BY 1""",
+    "sample_rows": "SELECT chunk_type, row_no FROM chunks QUALIFY row_number() OVER (PARTITION BY chunk_type ORDER BY row_no) <= 3",
     "tagged_rows": "WITH " + _TAGGED + " SELECT row_no, rule FROM t",
     "validated_rows": _VALID + "SELECT row_no, id, doc_id FROM v WHERE late IS NULL",
     "rejections_by_rule": _VALID + "SELECT 'validate' AS stage, rule, count(*) AS n FROM (SELECT rule FROM t WHERE rule IS NOT NULL UNION ALL SELECT late FROM v WHERE late IS NOT NULL) GROUP BY rule",

@@ -115,6 +115,12 @@ w AS (SELECT *, count(*) OVER o AS section, max(CASE WHEN level = 1 THEN line_no
 WINDOW o AS (PARTITION BY doc_id ORDER BY line_no), p AS (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 d AS (SELECT *, level > 1 AND p1 IS NOT NULL AS h1, level > 2 AND p2 IS NOT NULL AND p2 > coalesce(p1, -1) AS h2 FROM w)
 SELECT doc_id, line_no, level, section, (h1::INT + h2::INT)::INT AS depth, CASE WHEN h2 THEN '1.1 head ' || p2 WHEN h1 THEN '1 head ' || p1 END AS parent FROM d""",
+    "dehyphenated": r"""WITH c AS (SELECT row_no, doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '') AS l FROM chunks WHERE doc_id IS NOT NULL),
+v AS (SELECT DISTINCT doc_id, lower(unnest(regexp_extract_all(text, '[A-Za-z][A-Za-z''’-]*'))) AS word FROM chunks WHERE doc_id IS NOT NULL),
+p AS (SELECT row_no, doc_id, i, l[i] AS t, l[i + 1] AS nxt FROM c, unnest(range(1, len(l) + 1)) AS u(i)),
+h AS (SELECT *, regexp_extract(t, '([A-Za-z]+)-$', 1) AS a, regexp_extract(nxt, '^([a-z]+)', 1) AS b FROM p),
+s AS (SELECT h.row_no, i, CASE WHEN nxt IS NULL THEN t WHEN a = '' OR b = '' THEN t || ' ' WHEN v.word IS NOT NULL THEN t ELSE t[:-2] END AS piece FROM h LEFT JOIN v ON v.doc_id = h.doc_id AND v.word = lower(a) || '-' || b)
+SELECT row_no, coalesce(string_agg(piece, '' ORDER BY i), '') AS text FROM c LEFT JOIN s USING (row_no) GROUP BY row_no""",
     "definitions": r"""WITH l AS (SELECT doc_id, row_no * 100000 + i - 1 AS line_no, regexp_replace(t[i], '^\s+|\s+$', '', 'g') AS t FROM (SELECT doc_id, row_no, string_split(text, chr(10)) AS t FROM chunks WHERE doc_id IS NOT NULL), unnest(range(1, len(t) + 1)) AS u(i)),
 s AS (SELECT *, regexp_matches(t, '^[A-Z][A-Za-z0-9()/,''’\- ]{2,70}?\s*[:–—]\s+[A-Z(\[][^\n]*$') AS st FROM l), e AS (SELECT *, sum(CASE WHEN st THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY line_no) AS entry FROM s),
 g AS (SELECT doc_id, entry, min(line_no) AS first_line, regexp_replace(max(CASE WHEN st THEN regexp_extract(t, '^([A-Z][A-Za-z0-9()/,''’\- ]{2,70}?)\s*[:–—]\s+[A-Z(\[]', 1) END), '\s+', ' ', 'g') AS term, string_agg(CASE WHEN st THEN regexp_extract(t, '^[A-Z][A-Za-z0-9()/,''’\- ]{2,70}?\s*[:–—]\s+([A-Z(\[][^\n]*)$', 1) ELSE t END, ' ' ORDER BY line_no) AS body FROM e WHERE entry > 0 GROUP BY doc_id, entry)

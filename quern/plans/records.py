@@ -16,7 +16,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def decoded_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Interim payloads read strictly: the row, or why there is none."""
     read = records.decoded(_table(spark, sf_dir, "interim_records"))
-    return read.select("rec_id", F.col("problem").isNull().alias("good"), "row.id", "row.chunk_type", "row.tier", F.length("row.text").alias("chars"))
+    return read.select("rec_id", F.col("problem").isNull().alias("good"), "row.id", "row.chunk_type", F.coalesce("row.tier", F.lit(-1)).alias("tier"), F.coalesce(F.length("row.text"), F.lit(-1)).alias("chars"))
 
 
 def manifest_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +64,7 @@ QUERIES = {f.__name__: f for f in (decoded_payloads, manifest_problems, provenan
 _FIELDS = ", ".join(f"'{f}'" for f in sorted(schemas.ROW_FIELDS))
 ORACLES = {
     "decoded_payloads": f"""WITH g AS (SELECT rec_id, CASE WHEN json_valid(payload) AND list_sort(json_keys(payload)) = [{_FIELDS}] THEN payload END AS p FROM interim_records)
-SELECT rec_id, p IS NOT NULL AS good, p->>'id' AS id, p->>'chunk_type' AS chunk_type, CASE WHEN json_type(p->'tier') <> 'VARCHAR' THEN (p->>'tier')::INT END AS tier, length(p->>'text')::INT AS chars FROM g""",
+SELECT rec_id, p IS NOT NULL AS good, p->>'id' AS id, p->>'chunk_type' AS chunk_type, coalesce(CASE WHEN json_type(p->'tier') <> 'VARCHAR' THEN (p->>'tier')::INT END, -1) AS tier, coalesce(length(p->>'text'), -1)::INT AS chars FROM g""",
     "manifest_problems": r"""WITH p AS (
 SELECT doc_id, 'format ' || coalesce(format, 'null') || ' is unknown' AS problem FROM manifest_docs WHERE coalesce(format NOT IN ('oscal', 'pdf', 'embedded-in-oscal', 'pdf-manual', 'web'), true)
 UNION ALL SELECT doc_id, 'tier must be 1 or 2, got ' || coalesce(tier::VARCHAR, 'null') FROM manifest_docs WHERE coalesce(tier NOT IN (1, 2), true)

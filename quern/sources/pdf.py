@@ -3,6 +3,8 @@
     spark.dataSource.register(PdfLines)
     spark.read.format("pdf_lines").load(folder)
 
+and their tables as grids, the largest of each page, by `PdfGrids` (format pdf_grids).
+
 One task reads one file. A line's size and weight are those of its longest span, so that a stray footnote mark does not
 make or break a heading.
 """
@@ -46,18 +48,42 @@ class _Reader(DataSourceReader):
         return [_File(str(p)) for p in sorted(Path(self.folder).rglob("*.pdf"))]
 
     def read(self, partition: _File) -> Iterator[tuple]:
-        number = 0
         with pymupdf.open(partition.value) as document:
-            for page, content in enumerate(document, start=1):
-                for block in content.get_text("dict")["blocks"]:
-                    for raw in block.get("lines", []):
-                        line = line_of(raw["spans"], raw["bbox"], page)
-                        if line:
-                            yield (Path(partition.value).stem, number, *line)
-                            number += 1
+            yield from self.rows(Path(partition.value).stem, document)
+
+
+class _Lines(_Reader):
+    def rows(self, name: str, document) -> Iterator[tuple]:
+        number = 0
+        for page, content in enumerate(document, start=1):
+            for block in content.get_text("dict")["blocks"]:
+                for raw in block.get("lines", []):
+                    line = line_of(raw["spans"], raw["bbox"], page)
+                    if line:
+                        yield (name, number, *line)
+                        number += 1
+
 
+class _Grids(_Reader):
+    def rows(self, name: str, document) -> Iterator[tuple]:
+        for page, content in enumerate(document, start=1):
+            tables = [t.extract() for t in content.find_tables().tables]
+            if tables:
+                yield name, page, max(tables, key=len)
+
+
+class _Pdf(DataSource):
+    kind: type[_Reader]
+
+    def reader(self, schema) -> DataSourceReader:
+        if pymupdf is None:
+            raise ImportError("reading PDF files needs pymupdf")
+        return self.kind(self.options["path"])
+
+
+class PdfLines(_Pdf):
+    kind = _Lines
 
-class PdfLines(DataSource):
     @classmethod
     def name(cls) -> str:
         return "pdf_lines"
@@ -65,7 +91,13 @@ class PdfLines(DataSource):
     def schema(self):
         return schemas.LINE
 
-    def reader(self, schema) -> DataSourceReader:
-        if pymupdf is None:
-            raise ImportError("reading PDF files needs pymupdf")
-        return _Reader(self.options["path"])
+
+class PdfGrids(_Pdf):
+    kind = _Grids
+
+    @classmethod
+    def name(cls) -> str:
+        return "pdf_grids"
+
+    def schema(self):
+        return "doc_id string, page int, grid array<array<string>>"

@@ -55,6 +55,19 @@ SECTIONS = (("section_about", "About"), ("section_actions", "Suggested Actions")
 PLAYBOOK = "type string, title string, description string, section_about string, section_actions string, section_doc string, section_ref string"
 
 
+def read_playbook(spark: SparkSession, path: str, doc_id: str) -> DataFrame:
+    """The records of a playbook file, a JSON array of objects, with their place."""
+    text = spark.read.text(path, wholetext=True)
+    return text.select(F.lit(doc_id).alias("doc_id"), F.posexplode(F.from_json("value", f"array<struct<{PLAYBOOK}>>")).alias("place", "r")).select("doc_id", F.col("place").cast("bigint").alias("place"), "r.*")
+
+
+def read_catalogs(spark: SparkSession, path: str) -> DataFrame:
+    """file_id, doc_id, mini_catalog of every JSON file: the name of a file without its ending is its document."""
+    text = spark.read.text(path, wholetext=True).select("*", F.col("_metadata.file_path").alias("file"))
+    name = F.regexp_extract("file", r"([^/]+?)(?:\.json)?\z", 1)
+    return text.select(F.xxhash64("file").alias("file_id"), name.alias("doc_id"), F.col("value").alias("mini_catalog"))
+
+
 def playbook(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows, rejections) of guidance records with `doc_id` and `place` (order in the file, from 0).
 

@@ -112,6 +112,18 @@ def test_playbook(spark):
     assert sorted((r.ref, r.rule) for r in rejected.collect()) == [("GOVERN 1.1", "duplicate_subcategory"), ("MAP 1.1", "playbook_entry_too_short"), ("record[2]", "missing_title"), ("record[4]", "missing_title")]
 
 
+def test_json_files(spark, tmp_path):
+    (tmp_path / "pb.json").write_text(json.dumps([{"title": "A", "type": "Map"}, {"title": "B", "other": 1}], indent=1))
+    assert [(r.doc_id, r.place, r.title, r.type) for r in records.read_playbook(spark, str(tmp_path / "pb.json"), "PB").orderBy("place").collect()] == [("PB", 0, "A", "Map"), ("PB", 1, "B", None)]
+    (tmp_path / "CAT-1.json").write_text('{"catalog": {}}')
+    assert sorted(r.doc_id for r in records.read_catalogs(spark, str(tmp_path)).collect()) == ["CAT-1", "pb"]
+
+
+def test_samples(spark):
+    df = spark.createDataFrame([("a" if k % 3 else "b", k) for k in range(100)], "t string, o bigint")
+    assert sorted((r.t, r.o) for r in quality.samples(df, "t", "o", 2).collect()) == [("a", 1), ("a", 2), ("b", 0), ("b", 3)]
+
+
 def test_quality(spark):
     rows = spark.createDataFrame([tuple((ROW | {"id": f"{k}", "text": "x" * n, "chunk_type": t, "control_id": c}).values()) for k, (n, t, c) in enumerate([(10, "section", None), (300, "section", None), (250, "section", None), (9000, "section", None), (90, "control", "ac-1"), (90, "control_enhancement", "ac-1.1"), (90, "ai_rmf_subcategory", None)])], schemas.ROW)
     stats = {r.chunk_type: r for r in quality.length_stats(rows).collect()}

@@ -91,3 +91,8 @@ def test_paragraphs_and_words(spark):
     assert value(spark, T.paragraphs, "a\n\n \n\nb \n\n") == ["a", "b"]
     assert value(spark, T.words, "Don't re-use 3 Keys") == ["don't", "re-use", "keys"]
     assert value(spark, T.fingerprint, " A\n b ") == "a b"
+
+
+def test_task_order(spark):
+    df = spark.createDataFrame([("P-11",), ("P-2",), ("C-3",)], "k string")
+    assert [r.k for r in df.orderBy(T.task_sort_key(F.col("k"))).collect()] == ["C-3", "P-2", "P-11"]
