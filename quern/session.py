@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -40,7 +42,9 @@ def shared_dir(spark: SparkSession) -> str:
         return current
     if not context.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="quern-"))
+    temporary = tempfile.mkdtemp(prefix="quern-")
+    atexit.register(shutil.rmtree, temporary, ignore_errors=True)
+    context.setCheckpointDir("file://" + temporary)
     return context.getCheckpointDir()
 
 
