@@ -604,31 +604,30 @@ class Repairer:
     def _paragraphs(lines: list[str], body: list[int], tokens: dict[int, list[str]], glue: dict[int, str], furniture: list[bool]) -> str:
         """The text lines as paragraphs: a blank line ends one unless it belongs to a page break within a sentence."""
         paragraphs: list[str] = []
-        now = ""
+        # The pieces of the paragraph so far, with the spaces between them.
+        now: list[str] = []
         for k, i in enumerate(body):
-            words = [t for t in tokens[i] if t]
-            line = " ".join(words)
+            line = " ".join(t for t in tokens[i] if t)
             if k:
                 last = body[k - 1]
                 between = range(last + 1, i)
                 page = any(furniture[x] for x in between)
                 blank = any(not lines[x].strip() for x in between)
-                ended = now.rstrip("\"'”’)").endswith((".", "!", "?", ":"))
+                ended = bool(now) and now[-1].rstrip("\"'”’)").endswith((".", "!", "?", ":"))
                 indented = lines[i][:1] in " \t" and lines[last][:1] not in " \t"
                 listed = bool(re.match(r"\s*(?:[a-z]\.|\d+\.|[•*–-])\s", lines[i]))
                 if last not in glue and (blank and (not page or ended) or ended and indented or listed and not page):
-                    paragraphs.append(now)
-                    now = ""
+                    paragraphs.append("".join(now))
+                    now = []
             if not now:
-                now = line
+                now = [line]
             elif k and body[k - 1] in glue:
-                if now.endswith("\0"):
-                    now = f"{now[:-1]} {line}".rstrip()
-                else:
-                    now = now[:-1] + glue[body[k - 1]] + line
+                whole = now[-1].endswith("\0")
+                now[-1] = now[-1][:-1]
+                now.append((f" {line}" if line else "") if whole else glue[body[k - 1]] + line)
             else:
-                now = f"{now} {line}"
-        return "\n\n".join(p.replace("\0", "") for p in [*paragraphs, now] if p)
+                now.append(f" {line}")
+        return "\n\n".join(p.replace("\0", "") for p in [*paragraphs, "".join(now)] if p)
 
 
 _DIVIDED = tuple(f"{mark}{space}\n" for mark in MARKS for space in ("", " ", "  "))
