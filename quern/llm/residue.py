@@ -64,7 +64,7 @@ _ANY_SIGN = re.compile(r"[{<«\[(%@~|]|&lt;|&LT;|__|##|XX|[A-Z]_[A-Z]|FILL|\$\("
 #: The project's own brackets, and things that look like placeholders but are ordinary notation.
 OWN = re.compile(r"\[\s*(?:assignment\s*:|selection\b)", re.I)
 #: Code blocks, and words by which a text teaches the notation itself.
-FENCE = re.compile(r"```.*?(?:```|\Z)|~~~.*?(?:~~~|\Z)|<(code|pre)\b.{0,20000}?</\1>|`[^`\n]+`", re.S | re.I)
+FENCE = re.compile(r"```.*?(?:```|\Z)|~~~.*?(?:~~~|\Z)|<(code|pre)\b.{0,2000}?</\1>|`[^`\n]+`", re.S | re.I)
 TEACHES = re.compile(
     r"\b(?:syntax|notation|tutorial|for example|e\.g\.|template (?:engine|language)|placeholders? (?:such as|like|of the form|are written)|is written as|are written as|denotes?|enclos(?:e|es|ing)|escap(?:e|ed|ing)|variable called|snippet|source code|expression)\b", re.I
 )
@@ -74,7 +74,8 @@ def _placeholder(text: str) -> str | None:
     """The first kind of placeholder that stands in the text itself and neither in code nor in a lesson on notation."""
     if not _ANY_SIGN.search(text):
         return None
-    prose = FENCE.sub(" ", text) if "`" in text or "~~~" in text or "<code" in text or "<pre" in text else text
+    fenced = "`" in text or "~~~" in text or "</code>" in text or "</pre>" in text
+    prose = FENCE.sub(" ", text) if fenced else text
     total, lessons, first = 0, 0, None
     lower = prose.lower()
     for name, sign, pattern in _COMPILED:

@@ -319,14 +319,20 @@ class Furniture:
         longest = max((len(lines[i].rstrip()) for i in filled), default=0)
         # The text lines before and after, with those that may be furniture passed over.
         weak = [number[i] or times[shapes[i]] > 1 or self._named(lines[i], about) for i in range(len(lines))]
+        earlier, later = [""] * len(filled), [""] * len(filled)
+        for place in range(1, len(filled)):
+            i = filled[place - 1]
+            earlier[place] = earlier[place - 1] if weak[i] else lines[i].rstrip()
+        for place in range(len(filled) - 2, -1, -1):
+            i = filled[place + 1]
+            later[place] = later[place + 1] if weak[i] else lines[i].strip()
         # A list of short items has no text lines between which furniture could stand.
         listed = sum(len(lines[i].strip()) < 28 for i in filled) > 0.6 * len(filled)
         paged = (any(number), any(self._named(lines[i], about) for i in filled))
         out: list[tuple] = [()] * len(lines)
         for place, i in enumerate(filled):
             line = lines[i].strip()
-            before = next((lines[j].rstrip() for j in reversed(filled[:place]) if not weak[j]), "")
-            after = next((lines[j].strip() for j in filled[place + 1 :] if not weak[j]), "")
+            before, after = earlier[place], later[place]
             open_before = bool(before) and before[-1] not in ".!?:;"
             runs_on = open_before and (after[:1].islower() or before[-1] in MARKS)
             near = any(number[j] for j in filled[max(0, place - 1) : place + 2] if j != i)
