@@ -74,7 +74,8 @@ def test_strict_rows(spark):
     problems = [r.problem for r in records.decoded(df).collect()]
     assert problems[0] is None and "unknown fields: extra" in problems[2] and "missing fields: tier" in problems[3] and all(problems[1:])
     assert records.strict_rows(df.limit(1)).first().asDict() == ROW
-    with pytest.raises(Exception, match="not a complete JSON object"):
+    # Which of the bad rows is met first depends on which task is faster.
+    with pytest.raises(Exception, match="not a complete JSON object|missing fields|unknown fields"):
         records.strict_rows(df).collect()
 
 
