@@ -91,7 +91,7 @@ def chunked_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trailing_stubs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Short sections without a section to fold into, with short meaning under 600 characters so that there are many."""
+    """Short sections without a section to fold into."""
     return _merged(spark, sf_dir)[1]
 
 
@@ -100,9 +100,8 @@ def merged_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _merged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Sections whose text is cut to its first line fold more often; the whole table is used."""
-    rows = _rows(spark, sf_dir).withColumn("text", F.split_part("text", F.lit("\n"), F.lit(1)))
-    merged, rejected = chunking.merge_short_sections(rows)
+    """Whole texts of the whole table, judged and folded."""
+    merged, rejected = chunking.merge_short_sections(_rows(spark, sf_dir))
     return merged.select("row_no", "doc_id", "chunk_type", "text"), rejected.select("doc_id", "ref", "rule").distinct()
 
 
