@@ -14,8 +14,10 @@ from __future__ import annotations
 
 import random
 import re
+from array import array
 from bisect import bisect_left
 from collections import Counter, defaultdict
+from zlib import crc32
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,6 +25,7 @@ from pyspark.sql import functions as F
 
 from quern.llm.arrow import map_rows
 from quern.llm.perceptron import AveragedPerceptron
+from quern.session import stored
 
 # --- fixed values --------------------------------------------------------------------------------------------------
 
@@ -39,7 +42,8 @@ _CONFUSED = set("0©1|I!ï5$9628@(<¢é3€ƒ+7ü×¥öá/")
 
 # --- parameters ----------------------------------------------------------------------------------------------------
 
-#: Words of a smaller share of all words are not kept; so at most 1,000,000 words are collected and broadcast.
+#: Words of a smaller share of all words are not broadcast, so at most 1,000,000 are; the rarer ones are joined to the
+#: texts that ask for them.
 LEAST_SHARE = 1e-6
 #: Rows from which training lines are taken, and words from which training words are.
 SAMPLE_ROWS = 1_200
@@ -74,23 +78,128 @@ def scan_signs(text: str, fine: set[str]) -> bool:
 
 # --- the lexicon ---------------------------------------------------------------------------------------------------
 
+def _is_trusted(word: str, n: int, scanned: int) -> bool:
+    return scanned <= 0.5 * n and len(word) > 1 or word in ("a", "i")
+
+
 class Lexicon:
     """Words of the corpus with their counts; `trusted` are those that do not stand mostly in scanned rows."""
 
     def __init__(self, rows: list[tuple[str, int, int]]) -> None:
         self.count = {w: n for w, n, _ in rows}
-        self.trusted = {w for w, n, scanned in rows if scanned <= 0.5 * n and len(w) > 1 or w in ("a", "i")}
+        self.trusted = {w for w, n, scanned in rows if _is_trusted(w, n, scanned)}
         self.sorted = sorted(w for w in self.trusted if "-" not in w)
+        self.added: list[str] = []
+        self.starts: set[str] = set()
 
     def begins(self, prefix: str) -> bool:
         """Whether a trusted word begins so."""
         i = bisect_left(self.sorted, prefix)
-        return i < len(self.sorted) and self.sorted[i].startswith(prefix)
+        return i < len(self.sorted) and self.sorted[i].startswith(prefix) or prefix in self.starts
+
+    def add(self, rows: list[tuple[str, int, int]]) -> None:
+        """Rare words that a text asks for. They are right for any text, and go when there are many of them."""
+        if len(self.added) > 100_000:
+            for w in self.added:
+                self.count.pop(w, None)
+                self.trusted.discard(w)
+            self.added, self.starts = [], set()
+        for w, n, scanned in rows:
+            if w in self.count:
+                continue
+            self.added.append(w)
+            self.count[w] = n
+            if _is_trusted(w, n, scanned):
+                self.trusted.add(w)
+                if "-" not in w:
+                    self.starts.update(w[:k] for k in range(len(w) + 1))
+
+    def unsure_count(self, word: str, better: int | None) -> None:
+        """Called where it matters whether `word` is RATIO times rarer than a word with the count `better`, if any is better."""
 
     def bucket(self, word: str) -> int:
         return min(6, len(str(self.count.get(word, 0)))) if word in self.trusted else 0
 
 
+#: Places in each bitmap of rare words; when it fills up, more texts are looked up, with the same result.
+BITS = 1 << 24
+_TRUSTED, _OTHER, _STARTS = range(3)
+
+
+class Bitmaps:
+    """Hashed places of the rare trusted words, of the other rare words, and of the beginnings of the trusted ones."""
+
+    def __init__(self, rare: DataFrame, bits: int = BITS) -> None:
+        self.size = bits
+
+        def run(batches):
+            masks: Counter = Counter()
+
+            def out():
+                kinds, slots = [k for k, _ in masks], [s for _, s in masks]
+                return pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(slots, pa.int32()), pa.array(list(masks.values()), pa.int64())], names=["kind", "slot", "mask"])
+
+            for batch in batches:
+                for word, n, scanned in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                    trusted = _is_trusted(word, n, scanned)
+                    entries = [(_TRUSTED if trusted else _OTHER, word)]
+                    if trusted and "-" not in word:
+                        entries += [(_STARTS, word[:k]) for k in range(min(len(word), 60) + 1)]
+                    for kind, entry in entries:
+                        slot, bit = divmod(crc32(entry.encode()) % bits, 32)
+                        masks[kind, slot] |= 1 << bit
+                    if len(masks) > 300_000:
+                        yield out()
+                        masks = Counter()
+            yield out()
+
+        found = rare.select("word", "n", "scanned").mapInArrow(run, "kind int, slot int, mask bigint").groupBy("kind", "slot").agg(F.bit_or("mask").alias("mask")).toArrow()
+        self.bits = [array("I", bytes(bits // 8)) for _ in range(3)]
+        for batch in found.to_batches(max_chunksize=50_000):
+            for kind, slot, mask in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                self.bits[kind][slot] = mask
+
+    def may_hold(self, kind: int, word: str) -> bool:
+        slot, bit = divmod(crc32(word.encode()) % self.size, 32)
+        return bool(self.bits[kind][slot] >> bit & 1)
+
+
+class _Asking(set):
+    """Trusted words that notes which others may be rare trusted ones."""
+
+    def __init__(self, words: set[str], bitmaps: Bitmaps, asked: set[str]) -> None:
+        super().__init__(words)
+        self.bitmaps, self.asked = bitmaps, asked
+
+    def __contains__(self, word) -> bool:
+        if set.__contains__(self, word):
+            return True
+        if self.bitmaps.may_hold(_TRUSTED, word):
+            self.asked.add(word)
+        return False
+
+
+class AskingLexicon(Lexicon):
+    """The frequent words; `asked` gathers the words whose rare counts would be needed to be sure.
+
+    An answer given while nothing is asked is what all words together would give.
+    """
+
+    def __init__(self, words: Lexicon, bitmaps: Bitmaps, bound: float) -> None:
+        self.count, self.sorted, self.added, self.starts = words.count, words.sorted, [], set()
+        self.asked: set[str] = set()
+        self.bitmaps, self.bound = bitmaps, bound
+        self.trusted = _Asking(words.trusted, bitmaps, self.asked)
+
+    def begins(self, prefix: str) -> bool:
+        return super().begins(prefix) or self.bitmaps.may_hold(_STARTS, prefix)
+
+    def unsure_count(self, word: str, better: int | None) -> None:
+        # A rare word has fewer than `bound` occurrences; a rare outcome that is asked for may be the better one.
+        if word not in self.count and (self.asked or better is not None and better < RATIO * self.bound) and self.bitmaps.may_hold(_OTHER, word):
+            self.asked.add(word)
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
     """word, n, scanned: how often every word occurs in all texts, and in those that show signs of scanning."""
 
@@ -129,11 +238,16 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 def lexicon(texts: DataFrame, least_share: float = LEAST_SHARE) -> Lexicon:
     """The words whose share of all words is at least `least_share`: at most 1 / least_share of them, whatever the corpus."""
-    counts = word_counts(texts).persist()
+    return all_words(texts, least_share)[0]
+
+
+def all_words(texts: DataFrame, least_share: float) -> tuple[Lexicon, DataFrame | None, float]:
+    """The frequent words, the table of the others (None if there are none), and the count from which a word is frequent."""
+    counts = stored(word_counts(texts), "words")
     total = counts.agg(F.sum("n")).first()[0] or 0
-    rows = counts.where((F.col("n") >= F.lit(least_share * total)) & (F.length("word") <= 60)).collect()
-    counts.unpersist()
-    return Lexicon([tuple(r) for r in rows])
+    frequent = (F.col("n") >= F.lit(least_share * total)) & (F.length("word") <= 60)
+    rare = counts.where(~frequent)
+    return Lexicon([tuple(r) for r in counts.where(frequent).collect()]), None if rare.isEmpty() else rare, least_share * total
 
 
 # --- the character editor ------------------------------------------------------------------------------------------
@@ -234,6 +348,7 @@ class Editor:
         get = self.weights.get
         found = self.search(x, lambda fs: sum(get(f, 0.0) for f in fs))
         best = found[0][1]
+        self.words.unsure_count(x, self.words.count[best] if len(found) > 1 and best != x else None)
         if len(found) == 1 or best == x or self.words.count[best] < RATIO * self.words.count.get(x, 0) or self.words.count[best] < 2:
             return None
         return best
@@ -254,7 +369,10 @@ class Joiner:
         if word not in self.cache:
             if len(self.cache) > 200_000:
                 self.cache.clear()
-            self.cache[word] = bool(self.editor.weights) and self.editor.correct(word) is not None
+            known = bool(self.editor.weights) and self.editor.correct(word) is not None
+            if isinstance(self.words, AskingLexicon) and self.words.asked:
+                return int(known)
+            self.cache[word] = known
         return int(self.cache[word])
 
     def features(self, first: str, second: str, mark: str, spaced: bool) -> tuple:
@@ -482,6 +600,7 @@ class Repairer:
         self.furniture = Furniture(furniture)
         self.right: set[str] = set()
         self.wrong: dict[str, str] = {}
+        self.asks: dict[str, frozenset[str]] = {}
 
     def word(self, token: str) -> str | None:
         """The token with its word put right, or None if nothing is wrong with it. Cached, as most tokens recur."""
@@ -489,7 +608,22 @@ class Repairer:
             return None
         if token in self.wrong:
             return self.wrong[token]
-        found = self._word(token)
+        if isinstance(self.words, AskingLexicon):
+            if token in self.asks:
+                self.words.asked |= self.asks[token]
+                return None
+            before = set(self.words.asked)
+            self.words.asked.clear()
+            found = self._word(token)
+            mine = frozenset(self.words.asked)
+            self.words.asked |= before
+            if mine:
+                if len(self.asks) > 100_000:
+                    self.asks.clear()
+                self.asks[token] = mine
+                return None
+        else:
+            found = self._word(token)
         if found is None:
             if len(self.right) > 500_000:
                 self.right.clear()
@@ -509,6 +643,9 @@ class Repairer:
             parts = re.split(r"([-/])", token)
             if len(parts) > 1 and all(len(p) != 1 or not p.isalnum() for p in parts[::2]):
                 fixed = [self._word(p) if k % 2 == 0 and len(p) > 2 else None for k, p in enumerate(parts)]
+                if isinstance(self.words, AskingLexicon) and self.words.asked:
+                    # What a part would be is open, so all of them are asked for.
+                    _ = [p.strip(_OPEN + _CLOSE).lower() in self.words.trusted for p in parts[::2]]
                 if any(fixed) and sum(f is not None or not p or p.strip(_OPEN + _CLOSE).lower() in self.words.trusted for f, p in zip(fixed[::2], parts[::2])) == len(parts[::2]):
                     return "".join(f or p for f, p in zip(fixed, parts))
             return None
@@ -537,7 +674,8 @@ class Repairer:
         spoilt = {t for t in unsure if self.word(t) is not None}
         divided = "\n" in text and any(m in text for m in _DIVIDED)
         paged = self._may_have_furniture(text, doc_id, title, path)
-        if not spoilt and not divided and not paged:
+        asking = isinstance(self.words, AskingLexicon)
+        if not spoilt and not divided and not paged and not (asking and self.words.asked):
             return [], text
         lines = text.split("\n")
         furniture = self.furniture.find(lines, Furniture.about(doc_id, title, path)) if paged else [False] * len(lines)
@@ -552,6 +690,9 @@ class Repairer:
             m, n = _LAST.search(end[:-1]), _FIRST.match(tokens[j][0])
             if not m or not n:
                 continue
+            if asking:
+                for between in ("", "-"):
+                    self.word(tokens[i][-1][:-1] + between + tokens[j][0])
             if self.joiner.goes(m.group(0), n.group(0), end[-1], lines[i] != end):
                 glue[i] = ""
                 faults.append((i + 1, "broken_word"))
@@ -641,9 +782,9 @@ _LAST = re.compile(r"[^\W\d_]*[^\s\W][^\s-]*$")
 _FIRST = re.compile(r"[^\s-]*[^\s\W]")
 
 
-def prepare(chunks: DataFrame) -> tuple[Lexicon, dict, dict, dict]:
-    """Counts the words of all texts and trains the models."""
-    words = lexicon(chunks)
+def prepare(chunks: DataFrame, least_share: float = LEAST_SHARE) -> tuple[tuple[Lexicon, dict, dict, dict], DataFrame | None, float]:
+    """Counts the words of all texts and trains the models: (what every task uses, table of rare words, their bound)."""
+    words, rare, bound = all_words(chunks, least_share)
     editor = Editor(words)
     editor.train()
     joiner = Joiner(words, editor)
@@ -651,21 +792,67 @@ def prepare(chunks: DataFrame) -> tuple[Lexicon, dict, dict, dict]:
     rows = chunks.where("text IS NOT NULL AND length(text) BETWEEN 300 AND 20000").select("text", "doc_id", "doc_title", "section_path", F.xxhash64("row_no").alias("h")).orderBy("h", "text").limit(SAMPLE_ROWS).collect()
     furniture = Furniture()
     furniture.train([tuple(r)[:4] for r in rows if not scan_signs(r.text, set())])
-    return words, editor.weights, joiner.weights, furniture.weights
+    return (words, editor.weights, joiner.weights, furniture.weights), rare, bound
 
 
-def _with_models(chunks: DataFrame, schema: str, rows_of) -> DataFrame:
-    needed = chunks.select("row_no", "text", "doc_id", "doc_title", "section_path")
-    shared = chunks.sparkSession.sparkContext.broadcast(prepare(needed))
+def _with_models(chunks: DataFrame, schema: str, rows_of, least_share: float) -> DataFrame:
+    """Most texts are settled by the frequent words alone. The others are kept with the words they ask for, which are
+    joined to the counts of the rare words, and settled with those."""
+    names = ["row_no", "text", "doc_id", "doc_title", "section_path"]
+    needed = chunks.select(*names)
+    context = chunks.sparkSession.sparkContext
+    models, rare, bound = prepare(needed, least_share)
+    shared = context.broadcast(models)
+    texts = needed.where("text IS NOT NULL")
 
     def start():
         repairer = Repairer(*shared.value)
         return lambda *values: rows_of(repairer, *values)
 
-    return map_rows(needed.where("text IS NOT NULL"), schema, start)
+    if rare is None:
+        return map_rows(texts, schema, start)
+    maps = context.broadcast(Bitmaps(rare))
+    kinds = needed.schema
+    columns = [x.split()[0] for x in schema.split(", ")]
+
+    def start_asking():
+        words, *weights = shared.value
+        asking = AskingLexicon(words, maps.value, bound)
+        repairer = Repairer(asking, *weights)
+
+        def run(*values):
+            asking.asked.clear()
+            rows = rows_of(repairer, *values)
+            if asking.asked:
+                return [(*[None] * len(columns), sorted(asking.asked), *values)]
+            return [(*row, None, *[None] * len(names)) for row in rows]
+
+        return run
+
+    asked_schema = ", ".join([schema, "asked array<string>", *(f"in_{n} {kinds[n].dataType.simpleString()}" for n in names)])
+    first = stored(map_rows(texts, asked_schema, start_asking), "settled")
+    open_ones = first.where("asked IS NOT NULL").select("asked", *(F.col(f"in_{n}").alias(n) for n in names)).withColumn("key", F.sha2("text", 256))
+    wanted = open_ones.select("key", F.explode("asked").alias("word")).distinct().join(rare, "word")
+    extra = wanted.groupBy("key").agg(F.collect_list(F.struct("word", "n", "scanned")).alias("extra"))
+
+    def start_again():
+        words, *weights = shared.value
+        # Of its own, as other tasks of this process may use the shared one.
+        mine = Lexicon([])
+        mine.count, mine.trusted, mine.sorted = dict(words.count), set(words.trusted), words.sorted
+        repairer = Repairer(mine, *weights)
+
+        def run(rare_words, *values):
+            mine.add([(r["word"], r["n"], r["scanned"]) for r in rare_words or ()])
+            return rows_of(repairer, *values)
+
+        return run
+
+    again = map_rows(open_ones.join(extra, "key", "left").select("extra", *names), schema, start_again)
+    return first.where("asked IS NULL").select(*columns).unionByName(again)
 
 
-def faults(chunks: DataFrame) -> DataFrame:
+def faults(chunks: DataFrame, least_share: float = LEAST_SHARE) -> DataFrame:
     """row_no, line_no (from 1), fault: furniture, broken_word or wrong_char; each fault of a line once.
 
     Null, blank and empty texts have none. Rows that occur twice have their faults twice. doc_id, doc_title and
@@ -675,14 +862,14 @@ def faults(chunks: DataFrame) -> DataFrame:
     def rows_of(repairer: Repairer, row_no: int, text: str, doc_id, title, path):
         return [(row_no, line, fault) for line, fault in repairer.analyse(text, doc_id, title, path, repair=False)[0]]
 
-    return _with_models(chunks, "row_no bigint, line_no int, fault string", rows_of)
+    return _with_models(chunks, "row_no bigint, line_no int, fault string", rows_of, least_share)
 
 
-def repaired(chunks: DataFrame) -> DataFrame:
+def repaired(chunks: DataFrame, least_share: float = LEAST_SHARE) -> DataFrame:
     """row_no, text, faults (their number): every text, those with faults as continuous paragraphs, the others as they are."""
 
     def rows_of(repairer: Repairer, row_no: int, text: str, doc_id, title, path):
         found, better = repairer.analyse(text, doc_id, title, path, repair=True)
         return [(row_no, better, len(found))]
 
-    return _with_models(chunks, "row_no bigint, text string, faults int", rows_of)
+    return _with_models(chunks, "row_no bigint, text string, faults int", rows_of, least_share)

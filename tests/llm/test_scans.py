@@ -125,3 +125,27 @@ def test_editor_tells_words_from_misread_ones():
 def test_lexicon_is_bounded(spark):
     texts = spark.createDataFrame([(" ".join(f"w{'abcdefghij'[k % 10]}{'abcdefghij'[k // 10]}" for k in range(100)) + " often" * 900,)], "text string")
     assert set(S.lexicon(texts, least_share=0.5).count) == {"often"}
+
+
+def test_rare_words_count_exactly(spark):
+    rows = clean_rows() + spoilt_rows()[0]
+    rows += [(30_000 + k, f"{SENTENCES[k % 5]} The zephyranthes stands in the hall.", "AB-1", None, None, None) for k in range(3)]
+    rows += [(30_100 + k, f"{SENTENCES[k % 5]} The marine store is closed.", "AB-1", None, None, None) for k in range(15)]
+    rows += [(30_200 + k, f"{SENTENCES[0]} The m0nitoring of the rnarine store goes on.", "AB-1", None, None, None) for k in range(8)]
+    rows += [(30_300, f"{SENTENCES[0]} The zephyranth3s was here.", "AB-1", None, None, None), (30_301, "The zephyr-\nanthes stands in the hall of\nthe well-known zephyran-\nth3s.", "AB-1", None, None, None)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    share = 8e-4
+    models, rare, bound = S.prepare(df.select("row_no", "text", "doc_id", "doc_title", "section_path"), share)
+    assert {"zephyranthes", "marine", "rnarine"} <= {r.word for r in rare.collect()} and bound > 15
+    repairer = S.Repairer(S.Lexicon([tuple(r) for r in S.word_counts(df).collect()]), *models[1:])
+    expected = sorted((r[0], line, fault) for r in rows for line, fault in repairer.analyse(*r[1:5], repair=False)[0])
+    got = sorted(tuple(r) for r in S.faults(df, share).collect())
+    assert got == expected
+    assert (30_300, 1, "wrong_char") in got and (30_301, 1, "broken_word") in got
+    better = {r.row_no: r.text for r in S.repaired(df, share).collect()}
+    assert better == {r[0]: repairer.analyse(*r[1:5], repair=True)[1] for r in rows}
+    assert "zephyranthes was here" in better[30_300]
+    # 15 occurrences are not 20 times 8.
+    assert "monitoring of the rnarine store" in better[30_200]
+    small = S.Bitmaps(rare, 32)
+    assert all(small.may_hold(S._TRUSTED, r.word) or small.may_hold(S._OTHER, r.word) for r in rare.collect())
