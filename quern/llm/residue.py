@@ -64,18 +64,41 @@ _ANY_SIGN = re.compile(r"[{<«\[(%@~|]|&lt;|&LT;|__|##|XX|[A-Z]_[A-Z]|FILL|\$\("
 #: The project's own brackets, and things that look like placeholders but are ordinary notation.
 OWN = re.compile(r"\[\s*(?:assignment\s*:|selection\b)", re.I)
 #: Code blocks, and words by which a text teaches the notation itself.
-FENCE = re.compile(r"```.*?(?:```|\Z)|~~~.*?(?:~~~|\Z)|<(code|pre)\b.{0,2000}?</\1>|`[^`\n]+`", re.S | re.I)
+_CODE = re.compile(r"```|~~~|<(code|pre)\b|`[^`\n]+`", re.I)
+_CODE_ENDS = {tag: re.compile(f"</{tag}>", re.I) for tag in ("code", "pre")}
 TEACHES = re.compile(
     r"\b(?:syntax|notation|tutorial|for example|e\.g\.|template (?:engine|language)|placeholders? (?:such as|like|of the form|are written)|is written as|are written as|denotes?|enclos(?:e|es|ing)|escap(?:e|ed|ing)|variable called|snippet|source code|expression)\b", re.I
 )
 
 
+def _without_code(text: str) -> str:
+    """A text with a space in place of each code block, of any length, in one pass. A tag that is never closed opens none."""
+    kept, at, pos = [], 0, 0
+    ends = dict(_CODE_ENDS)
+    while m := _CODE.search(text, pos):
+        pos = m.end()
+        if m.group(1):
+            tag = m.group(1).lower()
+            # Where no end tag follows, none follows any later opening one.
+            end = ends[tag].search(text, pos) if tag in ends else None
+            if not end:
+                ends.pop(tag, None)
+                continue
+            pos = end.end()
+        elif m.group(0) in ("```", "~~~"):
+            closed = text.find(m.group(0), pos)
+            pos = closed + 3 if closed >= 0 else len(text)
+        kept.append(text[at : m.start()])
+        at = pos
+    return " ".join([*kept, text[at:]])
+
+
 def _placeholder(text: str) -> str | None:
     """The first kind of placeholder that stands in the text itself and neither in code nor in a lesson on notation."""
     if not _ANY_SIGN.search(text):
         return None
-    fenced = "`" in text or "~~~" in text or "</code>" in text or "</pre>" in text
-    prose = FENCE.sub(" ", text) if fenced else text
+    fenced = "`" in text or "~~~" in text or "</" in text
+    prose = _without_code(text) if fenced else text
     total, lessons, first = 0, 0, None
     lower = prose.lower()
     for name, sign, pattern in _COMPILED:

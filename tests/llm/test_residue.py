@@ -51,3 +51,13 @@ def test_operator(spark):
     assert sorted(r.row_no or 0 for r in R.without_residue(chunks).collect()) == [0, 2, 3, 4]
     assert R.without_residue(chunks).columns == chunks.columns
     assert R.residue(chunks.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("tag", ["pre", "code", "PRE"])
+def test_code_blocks_of_any_length_are_no_residue(tag):
+    listing = "echo ${NAME} {{x}} <% y %>\n" * 5_000
+    assert R.judge(f"{PROSE}<{tag} class='a'>{listing}</{tag}> {PROSE}") == []
+    assert R.judge(f"{PROSE}<{tag}>{listing}</{tag}> {PROSE} Ask ${{OWNER}} first.") == [("placeholder", "dollar braces")]
+    # Not closed, so it is no block; and openers without an end cost no more than their length.
+    assert R.judge(f"{PROSE}<{tag}>{PROSE} Ask ${{OWNER}} first.") == [("placeholder", "dollar braces")]
+    assert R._without_code(f"<{tag}>" * 200_000 + "`a`") == f"<{tag}>" * 200_000 + " "
