@@ -1,16 +1,22 @@
 """Problem 4: template residue, filler, error pages and script notices in place of text.
 
-Placeholders are found by a grammar for each kind of delimiter; the other kinds by regular expressions over sentences.
-What only speaks of such things is told from them by its surroundings: a notice addresses a reader or reports a
-failure as happening now, filler stands for itself, and delimiters inside code or in a text that teaches them do not
-count. Every pattern names the signs or words without which it cannot match, so most texts meet few of them.
+Placeholders are found by a grammar for each kind of delimiter. Whether one stands for itself or is only shown follows
+from its surroundings: code around it, quotation, verbs of showing before or after it, and the density of words about
+notation around it and in the whole text. The other kinds are told sentence by sentence, by a linear score over
+features: what is said (a failure, a status, a wish for scripts, a stopgap), to whom (a reader, or nobody), how (as
+happening now, or as a condition, a rule, an explanation), and how much of the text is said so. The words of the
+features are lists by language (English, German, Spanish, French). One pass of an Aho-Corasick automaton tells which
+sentences can score at all, so most texts meet no pattern.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections.abc import Iterator
 
 import ahocorasick
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -61,14 +67,20 @@ _SIGNS = {
 _COMPILED = [(name, _SIGNS[name], re.compile(p, 0 if name in _KEEP_CASE else re.I)) for name, p in GRAMMARS]
 _ANY_SIGN = re.compile(r"[{<«\[(%@~|]|&lt;|&LT;|__|##|XX|[A-Z]_[A-Z]|FILL|\$\(")
 
-#: The project's own brackets, and things that look like placeholders but are ordinary notation.
+#: The project's own brackets.
 OWN = re.compile(r"\[\s*(?:assignment\s*:|selection\b)", re.I)
-#: Code blocks, and words by which a text teaches the notation itself.
 _CODE = re.compile(r"```|~~~|<(code|pre)\b|`[^`\n]+`", re.I)
 _CODE_ENDS = {tag: re.compile(f"</{tag}>", re.I) for tag in ("code", "pre")}
-TEACHES = re.compile(
-    r"\b(?:syntax|notation|tutorial|for example|e\.g\.|template (?:engine|language)|placeholders? (?:such as|like|of the form|are written)|is written as|are written as|denotes?|enclos(?:e|es|ing)|escap(?:e|ed|ing)|variable called|snippet|source code|expression)\b", re.I
+#: Words about notation; how dense they stand tells a lesson from a form (fixed values).
+NOTATION = re.compile(
+    r"\b(?:syntax|notation|tutorial|lesson|placeholders?|variables?|braces|brackets|delimiters?|expressions?|snippets?|templating|template\s+(?:language|engine|file|string|syntax|tag)s?|render(?:s|ed|ing)?|interpolat\w+|escap(?:e|ed|es|ing)|example|e\.g\.|source\s+code|string|syntaktisch|platzhalter|variablen?|beispiel|ejemplo|sintaxis|exemple|syntaxe)\b", re.I
 )
+#: What is shown comes after or before verbs of showing (fixed values).
+_SHOWN_BEFORE = re.compile(r"(?:\b(?:write|writes|written|wrote|type|types|typed|such\s+as|like|of\s+the\s+form|called|named|denoted(?:\s+by)?|as|syntax|notation|token|tag|variable|placeholder|expression|between|example|e\.g\.|i\.e\.)|[:=])\s*[\"'“‘(]?\s*$", re.I)
+_SHOWN_AFTER = re.compile(r"^\s*[\"'”’)]?\s*(?:means|denotes|stands\s+for|is\s+(?:replaced|written|rendered|expanded|filled|a\s+placeholder|the\s+placeholder)|becomes|expands|renders|prints|->|=>|→|⇒|in\s+(?:double\s+)?(?:braces|brackets|quotes))", re.I)
+_QUOTES = {'"': '"', "'": "'", "“": "”", "‘": "’", "„": "“", "«": "»"}
+#: A placeholder counts unless its surroundings weigh as much; words about notation within so many characters count.
+_CONTEXT, _AROUND = 0.8, 220
 
 
 def _without_code(text: str) -> str:
@@ -93,14 +105,33 @@ def _without_code(text: str) -> str:
     return " ".join([*kept, text[at:]])
 
 
+def _shown(text: str, start: int, end: int) -> float:
+    """How much speaks for a placeholder being shown, not left unfilled: quotation, verbs of showing, words about notation."""
+    before, after = text[max(0, start - 60) : start], text[end : end + 60]
+    weight = 0.0
+    if before[-1:] in _QUOTES and after[:1] == _QUOTES[before[-1:]]:
+        weight += 0.6
+    if _SHOWN_BEFORE.search(before) and not before.rstrip().endswith(":"):
+        weight += 0.6
+    if _SHOWN_AFTER.search(after):
+        weight += 0.8
+    around = text[max(0, start - _AROUND) : start] + " " + text[end : end + _AROUND]
+    words = around.count(" ") + 1
+    return weight + 10.0 * sum(1 for _ in NOTATION.finditer(around)) / max(words, 20)
+
+
 def _placeholder(text: str) -> str | None:
-    """The first kind of placeholder that stands in the text itself and neither in code nor in a lesson on notation."""
+    """The first kind of placeholder that stands in the text for itself: neither in code nor shown as an example.
+
+    Where half of the placeholders or more are shown and words about notation are dense in the whole text, it is a
+    lesson, and none counts.
+    """
     if not _ANY_SIGN.search(text):
         return None
     fenced = "`" in text or "~~~" in text or "</" in text
     prose = _without_code(text) if fenced else text
-    total, lessons, first = 0, 0, None
     lower = prose.lower()
+    shown, first, total = 0, None, 0
     for name, sign, pattern in _COMPILED:
         if sign not in prose and sign not in lower:
             continue
@@ -109,32 +140,19 @@ def _placeholder(text: str) -> str | None:
             if found[0] == "[" and OWN.match(found):
                 continue
             total += 1
-            first = first or name
-            sentence = prose[prose.rfind(".", 0, m.start()) + 1 : m.end() + 60]
-            if TEACHES.search(sentence):
-                lessons += 1
-    return first if total > lessons else None
-
-
-# --- filler ------------------------------------------------------------------------------------------------------
-
-#: (what the lower-case text must hold one of, pattern)
-FILLER: list[tuple[str, str]] = [
-    ("lorem", r"\blorem\s+ipsum\b"),
-    ("dummy|filler|placeholder|sample |example |blind |body text|body copy|body content", r"\b(?:dummy|filler|placeholder|sample|example|blind|body)\s+(?:copy|text|content|wording|paragraph|words)\s*(?:for\s+(?:layout|design|position)\b|goes\s+here|here\b|only\b|body\s+text\b)"),
-    ("sample p|sample t|sample s|sample c|sample h|dummy|filler|example p|example t|example s|example c|example h|placeholder", r"(?:^|[.!?]\s+|\n)\s*(?:sample|dummy|filler|example|placeholder)\s+(?:paragraph|text|sentence|copy|content|headline)\s*(?:[.!]|$)"),
-    ("text body|text some|text more|text main", r"(?:^|[.!?:]\s+|\n)\s*(?:body|some|more|main)\s+text\s+(?:body|some|more|main)\s+text\b"),
-    ("goes here|go here|comes here|come here|belongs here|belong here|in here", r"\b(?:your|the|some)?\s*(?:text|words?|wording|content|copy|heading|title|summary|description)\s+(?:goes?|comes?|belongs?)\s+(?:in\s+)?here\b"),
-    ("in this|on this|at this", r"(?:^|[.!?]\s+|\n)\s*(?:your|the|some)\s+(?:text|words?|wording|content|copy|title|heading)\s+(?:in|on|at)\s+this\s+(?:spot|place|space|block|box|section|field)\b"),
-    ("click to|click here|tap to|tap here", r"(?:^|[.!?]\s+|\n)\s*(?:click|tap|double-?click)\s+(?:here\s+)?to\s+(?:edit|add|change|replace|enter)\b"),
-    ("replace this|swap this|overwrite this|delete this", r"\b(?:replace|swap|overwrite|delete)\s+this\s+(?:\w+\s+)?(?:paragraph|text|block|section|sentence|copy|wording|content)\b"),
-    ("write something|write a |write some|write your", r"\bwrite\s+(?:something|a\s+few\s+words|some\s+words|a\s+sentence|your\s+text)\s+(?:about|on|here)\b"),
-    ("how the page|how the layout|how the design|how the text", r"\bthis\s+(?:block|paragraph|text|section|copy|box)\s+(?:only\s+|just\s+|merely\s+)?(?:shows|demonstrates|illustrates|is\s+(?:here\s+)?(?:only|just)\s+to\s+show)\s+how\s+the\s+(?:page|layout|design|text)\b"),
-    ("in the real|in the final|in the actual", r"\b(?:swap|put|drop)\s+in\s+the\s+(?:real|final|actual)\s+(?:wording|text|copy|content)\b"),
-    ("not suppl|not yet suppl|yet to suppl|not been suppl|not yet been suppl", r"\b(?:has|have)\s+(?:not\s+yet|yet\s+to|not)\s+(?:been\s+)?suppl(?:y|ied)\s+(?:the\s+)?(?:wording|text|copy|content)\b"),
-    ("to follow|later|coming soon|not yet", r"\b(?:text|wording|copy|content|paragraph|section)\s+(?:is\s+)?(?:to\s+follow|to\s+be\s+(?:supplied|written|added)\s+later|coming\s+soon|not\s+yet\s+(?:written|supplied|available))\b"),
-    ("dummy|filler|placeholder|sample|blind", r"\bthis\s+(?:is|was)\s+(?:only\s+|just\s+)?(?:a\s+|some\s+)?(?:dummy|filler|placeholder|sample|blind)\s+(?:text|copy|content|paragraph|sentence)\b"),
-]
+            if _shown(prose, m.start(), m.end()) >= _CONTEXT:
+                shown += 1
+            else:
+                first = first or name
+    if first and shown and 2 * shown >= total:
+        words = prose.count(" ") + 1
+        if sum(1 for _ in NOTATION.finditer(prose)) >= 0.03 * words:
+            return None
+    return first
+
+
+# --- pseudo-Latin, keyboard runs, repetition --------------------------------------------------------------------
+
 #: Words of the printers' filler (fixed values).
 PSEUDO_LATIN = frozenset("lorem ipsum dolor sit amet consectetur adipiscing elit sed eiusmod tempor incididunt labore dolore magna aliqua enim minim veniam quis nostrud exercitation ullamco laboris nisi aliquip commodo consequat duis aute irure reprehenderit voluptate velit esse cillum fugiat nulla pariatur excepteur sint occaecat cupidatat proident sunt culpa officia deserunt mollit anim laborum vestibulum fringilla pellentesque curabitur aenean etiam phasellus tellus".split())
 _LATIN_END = re.compile(r"(?:us|um|is|or|as|at|em|os|am|ae|ur|it|et|[aeo])$")
@@ -152,104 +170,178 @@ def _keyed(word: str) -> bool:
     return len(word) >= 4 and any(word in row or word[::-1] in row for row in KEYS)
 
 
-def _filler(low: str, possible: set[int]) -> str | None:
-    if _KEYBOARD in possible:
-        # Keyboard mashing and stopgap words: five in a row, one of them typed along the keyboard, or eight.
-        run = keyed = 0
-        for w in _RUN.findall(low):
-            if _keyed(w):
-                run, keyed = run + 1, keyed + 1
-            elif w in STOPGAP:
-                run += 1
-            else:
-                run = keyed = 0
-            if run >= 5 and (keyed or run >= 8):
-                return "keyboard"
-    latin, last, again = 0, "", 1
+def _keyboard(low: str) -> bool:
+    """Keyboard mashing and stopgap words: five in a row, one of them typed along the keyboard, or eight."""
+    run = keyed = 0
+    for w in _RUN.findall(low):
+        if _keyed(w):
+            run, keyed = run + 1, keyed + 1
+        elif w in STOPGAP:
+            run += 1
+        else:
+            run = keyed = 0
+        if run >= 5 and (keyed or run >= 8):
+            return True
+    return False
+
+
+def _senseless(low: str) -> str | None:
+    """Repetition of one short sentence, or pseudo-Latin. Latin that a text in some language quotes or speaks of is none,
+    unless it makes up a third of it."""
+    latin, words, last, again, spoken = 0, 0, "", 1, False
     for sentence in _ENDS.split(low):
-        # One short sentence over and over.
         if sentence == last and sentence.count(" ") < 8 and len(sentence) > 3:
             again += 1
             if again >= 3 and " " in sentence.strip():
                 return "repetition"
         else:
             last, again = sentence, 1
-        # Pseudo-Latin: sentences without a common word, most of whose words have Latin endings.
+        # Sentences without a common word, most of whose words have Latin endings.
         if not COMMON.isdisjoint(sentence.split()):
+            spoken = spoken or "lorem" in sentence or "ipsum" in sentence
             continue
         w = _RUN.findall(sentence)
         if len(w) < 3 or sum(x in PSEUDO_LATIN or bool(_LATIN_END.search(x)) for x in w) < 0.85 * len(w) or "|" in sentence or len(set(w)) == 1:
             continue
         latin += 1 + (len(w) >= 4 and not PSEUDO_LATIN.isdisjoint(w))
-        if latin >= 2:
-            return "pseudo-Latin"
+        words += len(w)
+    if latin >= 2 and not (spoken and words < 0.33 * (low.count(" ") + 1)):
+        return "pseudo-Latin"
     return None
 
 
-# --- error pages and script notices ------------------------------------------------------------------------------
+# --- sentences: features and their weights -----------------------------------------------------------------------
 
-_THING = r"(?:page|document|file|resource|record|publication|chapter|link(?:\s+target)?|article|item|content|site|service|server|section|view|url|address|request|image|report)"
+_THING = r"(?:(?:web\s?)?(?:page|site)|document|file|resource|record|publication|chapter|link(?:\s+target)?|article|item|content|service|server|host|view|url|address|request|image|report|pdf|session|login|log-?in|connection|viewer|application|app|seite|dokument|datei|inhalt|dienst|sitzung|anfrage|página|documento|archivo|recurso|contenido|servicio|sesión|solicitud|fichier|ressource|contenu|session)"
 _FAILED = (
-    r"(?:is\s+not\s+available|is\s+(?:currently\s+|temporarily\s+)?unavailable|no\s+longer\s+exists?|does\s+not\s+exist|could\s+not\s+be\s+(?:found|opened|loaded|displayed|shown|reached|retrieved)|cannot\s+be\s+(?:found|opened|loaded|displayed|shown|reached)"
-    r"|can'?t\s+be\s+(?:found|opened|loaded|displayed|reached)|was\s+not\s+found|has\s+been\s+(?:taken\s+offline|moved|removed|deleted|renamed|withdrawn)|failed\s+to\s+(?:load|open|respond)|gave\s+no\s+(?:data|answer)|took\s+too\s+long(?:\s+to\s+(?:respond|load))?"
-    r"|timed\s+out|is\s+only\s+open\s+to\s+(?:members|subscribers|staff)|sent\s+no\s+(?:answer|reply|data)|is\s+down(?:\s+for\b)?|did\s+not\s+(?:respond|answer))"
+    r"(?:(?:is|are|was|were)\s+(?:currently\s+|temporarily\s+)?(?:not\s+(?:available|found|accessible|reachable)|unavailable|inaccessible|unreachable|offline|down|gone|missing)|no\s+longer\s+(?:exists?|available)|does\s+not\s+exist|doesn'?t\s+exist|(?:could\s+not|couldn'?t|cannot|can'?t|can\s+not)\s+(?:be\s+(?:found|opened|loaded|displayed|shown|reached|retrieved|processed|completed)|reach|load|open|connect|start|respond)"
+    r"|ha(?:s|ve)\s+(?:been\s+)?(?:taken\s+offline|moved|removed|deleted|renamed|withdrawn|expired|run\s+out|ended|timed\s+out|closed)|failed\s+to\s+(?:load|open|respond|start)|took\s+too\s+long|timed\s+out|expired|(?:sent|gave|returned)\s+no\s+(?:data|answer|reply|response)|did\s+not\s+(?:respond|answer|load)|is\s+only\s+open\s+to"
+    r"|(?:konnte|kann|wurde|ist)\s+(?:\w+\s+){0,3}?nicht\s+(?:gefunden|geladen|geöffnet|angezeigt|erreicht|erreichbar|verfügbar)|ist\s+abgelaufen|nicht\s+mehr\s+verfügbar|no\s+(?:se\s+(?:ha\s+)?(?:pudo|puede|encontró|encontrado)|está\s+disponible|existe|fue\s+encontrad[oa])|ha\s+(?:caducado|expirado|sido\s+(?:movid|eliminad)[oa])|(?:est|a\s+été)\s+(?:introuvable|indisponible|déplacée?|supprimée?)|n'existe\s+(?:pas|plus)|n'a\s+pas\s+(?:pu|été)|a\s+expiré)"
 )
-ERRORS: list[tuple[str, str]] = [
-    ("sorry|oops|alas|hmm|oh|whoops|apologies|notice|problem|warning|error|attention|unfortunately", r"(?:^|[.!?:]\s+|\n)\s*(?:we\s+are\s+(?:very\s+)?sorry|we'?re\s+sorry|sorry|oops|alas|hmm+|uh[- ]?oh|whoops|apologies|notice|problem|warning|error|attention|unfortunately)\s*[,:;.!–—-]+\s*(?:but\s+)?(?:the|this|that|your|an?)\s+(?:\w+\s+){0,4}?" + _FAILED),
-    ("not available|unavailable|longer exist|not exist|could not be|cannot be|can't be|not found|has been taken|has been moved|has been re|has been deleted|has been withdrawn|failed to|gave no|too long|timed out|only open|sent no|is down|did not", r"(?:^|[.!?:]\s+|\n)\s*(?:the|this|that|your)\s+(?:requested\s+)?" + _THING + r"\s+(?:that\s+)?(?:you\s+(?:are\s+looking\s+for|requested|asked\s+for|tried\s+to\s+\w+|wanted)\s+)?" + _FAILED + r"\s*(?:[.!,(]|right\s+now|at\s+the\s+moment|at\s+this\s+time|or\s+(?:renamed|moved|removed|deleted)|for\s+(?:planned|scheduled)|due\s+to|$)"),
-    ("you are|you requested|you asked|you wanted", r"\b(?:page|document|file|resource|record)\s+(?:that\s+)?you\s+(?:are\s+looking\s+for|requested|asked\s+for|wanted)\b"),
-    ("error 1|error 2|error 3|error 4|error 5|error:|error #|status 1|status 2|status 3|status 4|status 5|status:|status #|code 1|code 2|code 3|code 4|code 5|code:|code #", r"(?:^|[.!?]\s+|\n)\s*(?:http\s+)?(?:error|status|code)\s*[:#]?\s*[1-5]\d\d\b"),
-    ("code 4|code 5", r"\bcode\s+[45]\d\d\s*[.)]"),
-    ("(http|( http|(error|( error|(status|( status|(code|( code", r"\(\s*(?:http|error|status|code)\s*:?\s*[1-5]\d\d\s*\)"),
-    ("http", r"\bhttp(?:/\d(?:\.\d)?)?\s+[45]\d\d\b"),
-    ("not found|forbidden|bad gateway|gateway time|bad request|unauthori|server error|service unavailable| gone|too many requests", r"\b[45]\d\d\s*[:–—-]?\s*(?:not\s+found|forbidden|bad\s+gateway|bad\s+request|unauthori[sz]ed|internal\s+server\s+error|service\s+unavailable|gateway\s+time-?out|gone|too\s+many\s+requests)"),
-    ("not found|forbidden|bad gateway|gateway time|bad request|access denied|internal fault|internal error|service unavailable|too many requests|unauthori|server error|timed out|connection re|connection timed|fatal", r"(?:^|[.!?]\s+|\n)\s*(?:not\s+found|forbidden|bad\s+gateway|bad\s+request|access\s+(?:denied|forbidden)|internal\s+(?:server\s+)?(?:error|fault)|service\s+unavailable|gateway\s+time-?out|too\s+many\s+requests|unauthori[sz]ed|server\s+error|request\s+timed\s+out|connection\s+(?:refused|reset|timed\s+out)|fatal(?:\s+error)?)\s*(?:[.!:]|\n|$|\()"),
-    ("request blocked|request was|request rejected|request denied", r"\brequest\s+(?:was\s+)?(?:blocked|rejected|denied)\s+by\b"),
-    ("your session|your log", r"(?:^|[.!?]\s+|\n)\s*your\s+(?:session|login|log-?in)\s+(?:has\s+)?(?:run\s+out|expired|ended|timed\s+out)\b"),
-    ("sign in|log in", r"(?:^|[.!?]\s+|\n)\s*(?:please\s+)?(?:sign|log)\s+in\s+(?:again|first)\b"),
-    ("you lack|you do not|you don't", r"\byou\s+(?:lack|do\s+not\s+have|don'?t\s+have)\s+(?:the\s+)?(?:\w+\s+)?(?:rights?|permissions?|access|privileges?)\s+(?:to|for)\s+(?:view|see|open|access|this|read)\b"),
-    ("unable", r"\bunable\s+to\s+(?:load|open|display|show|render|connect\s+to|reach)\s+(?:the|this|that)\b"),
-    ("traceback|pointerexception|keyerror|typeerror|valueerror|indexerror|attributeerror|stackoverflow|segmentation|.java:", r"\btraceback\s*\(most\s+recent\s+call\s+last\)|\b(?:NullPointerException|KeyError|TypeError|ValueError|IndexError|AttributeError|StackOverflowError|Segmentation\s+fault)\s*[:(]|\bat\s+[\w$.]+\([\w$]+\.java:\d+\)"),
-    ("pool|fetching|trace", r"\b(?:db|database|connection)\s+pool\s+exhausted\b|\bwhile\s+fetching\s+node\b|\bstack\s+trace\s*:"),
-    ("upstream host|upstream server|origin host|origin server|remote host|remote server", r"\b(?:upstream|origin|remote)\s+(?:host|server)\s+(?:sent|gave|returned|did\s+not)\b"),
-    ("this service|this site|this server|this system", r"(?:^|[.!?]\s+|\n)\s*this\s+(?:service|site|server|system)\s+is\s+(?:currently\s+|temporarily\s+)?(?:down|offline|unavailable|closed)\b"),
-    ("quote", r"\bquote\s+(?:event|ticket|reference|error)\s+\w+\s+when\s+you\s+(?:write|call|report)\b"),
-    ("tell the", r"\btell\s+the\s+(?:webmaster|operator)\s+if\s+this\b"),
-    ("go back|return to|spelling", r"(?:^|[.!?]\s+|\n)\s*go\s+back\s+to\s+the\s+(?:start|home)\s*page\b|\breturn\s+to\s+the\s+previous\s+page\b|\bcheck\s+the\s+spelling\s+of\s+the\s+(?:address|url)\b"),
-    ("again|retry", r"(?:^|[.!?]\s+|\n)\s*(?:please\s+)?(?:try\s+again\s+(?:later|in\s+(?:a\s+few|\d+))|retry\s+(?:later|in\s+\d+))\b"),
-]
-
-_JS = r"(?:java\s?script|\bJS\b|ecmascript|(?:client-?side\s+|browser\s+)?scripts?\b|(?:client-?side\s+)?scripting\b|active\s+content)"
-_ON = r"(?:enable|activate|allow|permit|turn\s+on|switch\s+on|unblock)"
-_READER = r"(?:view|see|read|show|open|use|load|continue|proceed|display|access|browse|work)"
-SCRIPTS: list[tuple[str, str]] = [
-    ("script|js|content|browser", r"\b" + _ON + r"\s+(?:the\s+)?(?:use\s+of\s+)?(?:\w+\s+)?" + _JS + r"\s*(?:[.!,;:]|$|(?:\w+\s+){0,6}(?:to|in\s+your|and\s+(?:reload|refresh|try))\b)"),
-    ("script|js|content|browser", r"\b(?:turn|switch)\s+" + _JS + r"\s+on\b"),
-    ("script|js|content|browser", _JS + r"\s+(?:must|has\s+to|have\s+to|needs?\s+to|should)\s+be\s+(?:on|enabled|active|activated|allowed|turned\s+on|switched\s+on)\b"),
-    ("script|js|content|browser", r"\bwithout\s+" + _JS + r"\s*,?\s+(?:you|this|the|we|it)\b[^.!?]{0,80}\b(?:cannot|can\s*not|can'?t|will\s+not|won'?t|does\s+not|doesn'?t)\b"),
-    ("script|js|content|browser", _JS + r"\s+(?:is|are)\s+(?:required|needed|necessary|disabled|off|blocked|turned\s+off|switched\s+off|not\s+(?:enabled|supported|available|active))\b"),
-    ("script|js|content|browser", r"\b(?:needs?|requires?)\s+" + _JS + r"\s*(?:[.!;,]|$|to\s+(?:be\s+)?" + _READER + r"\b)"),
-    ("script|js|content|browser", r"\b(?:necessary|required|needed)\s+to\s+" + _ON + r"\s+" + _JS),
-    ("script|js|content|browser", r"\b(?:browser|device|reader|client)\s+(?:does\s+not|doesn'?t|cannot|can'?t|will\s+not)\s+(?:run|support|allow|execute|accept|have)\s+" + _JS),
-    ("browser|device|reader", r"\b(?:browser|device|reader)\s+(?:is\s+too\s+old|blocks?|has\s+(?:disabled|blocked))\b[^.!?]{0,60}(?:" + _JS + r"|nothing\s+can\s+be)"),
-    ("script", r"\bno-?script\s+(?:mode|version|users?)\b|</?noscript>"),
-    ("cookies", r"\b(?:uses?|needs?|requires?)\s+cookies\s+and\s+scripts\b|\bcookies\s+and\s+scripts\b[^.!?]{0,80}\b(?:off|disabled|blocked)\b"),
-    ("checking|verifying", r"\bchecking\s+your\s+browser\b|\bverifying\s+(?:that\s+)?you\s+are\s+(?:a\s+)?human\b"),
-    ("please", r"\bplease\s+" + _ON + r"\s+it\s+to\s+" + _READER + r"\b"),
-    ("script|js|content|browser", _JS + r"\s+(?:seems?|appears?)\s+to\s+be\s+(?:off|disabled|switched\s+off|turned\s+off|blocked)\b"),
-    ("script|js|content|browser", r"\bdetected\s+that\b[^.!?]{0,60}" + _JS),
-]
-
-_FAMILIES = {"filler": FILLER, "error_page": ERRORS, "script_notice": SCRIPTS}
-#: All patterns, each with its family; _CUES finds in one pass over a text which of them can match.
-_PATTERNS = [(family, re.compile(p, re.I)) for family, patterns in _FAMILIES.items() for _, p in patterns]
-_KEYBOARD = -1
+_REASON = r"(?:not\s+found|forbidden|bad\s+(?:gateway|request)|access\s+(?:denied|forbidden)|permission\s+denied|internal\s+(?:server\s+)?(?:error|fault)|server\s+error|service\s+unavailable|gateway\s+time-?out|too\s+many\s+requests|unauthori[sz]ed|(?:request|connection|session|gateway)\s+(?:timed\s+out|time-?out|refused|reset|expired|blocked|rejected|denied)|gone|seite\s+nicht\s+gefunden|nicht\s+gefunden|zugriff\s+verweigert|interner\s+(?:server)?fehler|página\s+no\s+encontrada|no\s+encontrad[oa]|acceso\s+denegado|error\s+interno|page\s+introuvable|accès\s+refusé|erreur\s+interne)"
+_JS = r"(?:java\s?scripts?|\bjs\b|ecmascript|(?:client-?side\s+|browser\s+)?scripts?\b|(?:client-?side\s+)?scripting\b|active\s+content|aktive\s+inhalte|skripte?\b)"
+_ON = r"(?:enable|activate|allow|permit|turn\s+on|switch\s+on|unblock|aktivieren|aktiviere|einschalten|erlauben|active|activar|habilite|habilitar|permita|activez|activer|autorisez)"
+_READER = r"(?:view|see|read|show|open|use|load|continue|proceed|display|access|browse|work|run)"
+
+#: (weight, pattern) of each family: what is said. Every feature counts once in a sentence (fixed values).
+SAID: dict[str, list[tuple[float, str]]] = {
+    "error_page": [
+        (2.0, r"\b" + _THING + r"\s+(?:(?:that\s+)?you\s+(?:are\s+looking\s+for|requested|asked\s+for|wanted|tried\s+to\s+\w+)\s+|(?:que|die|qui)\s+\w+(?:\s+\w+){0,2}?,?\s+)?(?:\([^()]{1,40}\)\s+)?" + _FAILED),
+        (1.0, r"\b" + _FAILED),
+        (2.0, r"^\W*" + _REASON + r"\s*(?:[.!:(|–—-]|$)"),
+        (2.0, r"^\W*(?:http\s+|fehler\s+|erreur\s+)?[45]\d\d\s*[.:–—|-]?\s*" + _REASON),
+        (2.0, r"^\W*(?:http|error|status|code|fehler|fehlercode|erreur|código|codigo)\s*(?:code\s*)?[:#]?\s*[1-5]\d\d\b"),
+        (2.0, r"\(\s*(?:http|error|status|code|fehler|erreur)\s*:?\s*[1-5]\d\d\s*\)|\bhttp(?:/\d(?:\.\d)?)?\s+[45]\d\d\b|\b[45]\d\d\s*[:–—-]?\s*" + _REASON),
+        (3.0, r"^\W*(?:fatal(?:\s+error)?|critical|panic|uncaught\s+\w+)\s*:\s*\S"),
+        (2.0, r"^\W*(?:exception|error|fehler|erreur)\s*:\s*\S"),
+        (3.0, r"\btraceback\s*\(most\s+recent\s+call\s+last\)|^\W*at\s+[\w$.]+\([\w$]+\.\w+:\d+\)|^\W*file\s+\"[^\"]+\",\s+line\s+\d+"),
+        (2.0, r"^\W*(?:\w+\.)*[A-Z][A-Za-z]*(?:Error|Exception|Fault)\s*[:(]\s*\S"),
+        (2.0, r"\bstack\s*trace\s*:"),
+        (2.0, r"^\W*(?:request|access|connection|session|login|page|file|document|upload|download)\s+(?:was\s+)?(?:blocked|denied|refused|rejected|expired|timed\s+out|reset|failed|unavailable|not\s+found)\b"),
+        (2.0, r"^\W*(?:(?:we\s+(?:are|were)\s+)?unable\s+to|failed\s+to|cannot|could\s+not|can'?t|couldn'?t)\s+(?:load|open|display|show|render|connect|reach|find|process|retrieve)\b"),
+        (2.0, r"\b(?:you\s+(?:lack|do\s+not\s+have|don'?t\s+have|are\s+not\s+(?:allowed|authori[sz]ed|permitted)))\b.{0,40}\b(?:rights?|permissions?|access|privileges?|view|see|open|read)\b"),
+        (1.0, r"^\W*(?:we\s+are\s+(?:very\s+)?sorry|we'?re\s+sorry|sorry|oops|alas|hmm+|uh[- ]?oh|whoops|apologies|unfortunately|leider|entschuldigung|lo\s+sentimos|désolé)\b"),
+        (1.0, r"^\W*(?:oh|notice|problem|warning|attention|achtung|aviso)\s*[,:;!–—-]"),
+        (0.75, r"^\W*(?:please\s+|bitte\s+)?(?:try\s+again|retry|reload|refresh|go\s+back|return\s+to|check\s+the\s+(?:spelling|address|url|link)|contact\s+(?:the|your|our)\s+(?:\w+\s+)?(?:administrator|webmaster|support|operator)|tell\s+the\s+(?:webmaster|administrator|operator)|sign\s+in|log\s+in|slow\s+down|versuchen\s+sie|inténtelo|réessayez)\b"),
+        (1.0, r"\b(?:something\s+(?:broke|went\s+wrong)|on\s+our\s+(?:side|end)|for\s+(?:planned|scheduled)\s+(?:upkeep|maintenance)|ticket\s+\w*\d\w*|(?:event|incident|request)\s+(?:id\s+)?\w*\d\w*|exhausted|etwas\s+ist\s+schief|algo\s+salió\s+mal)\b"),
+    ],
+    "script_notice": [
+        (0.5, _JS),
+        (1.5, r"\b(?:is|are|seems?\s+to\s+be|appears?\s+to\s+be|stays?|remains?)\s+(?:required|needed|necessary|disabled|deactivated|off|blocked|turned\s+off|switched\s+off|not\s+(?:enabled|supported|available|active|allowed))\b"),
+        (1.5, _JS + r"\s+(?:must|has\s+to|have\s+to|needs?\s+to|should)\s+be\s+(?:on|enabled|active|activated|allowed|turned\s+on|switched\s+on)\b"),
+        (1.5, r"\b(?:without|ohne|sin|sans)\s+" + _JS + r".{0,100}\b(?:cannot|can\s*not|can'?t|will\s+not|won'?t|does\s+not|doesn'?t|nothing|only|nicht|no\s+(?:se\s+)?puede|ne\s+peut)\b"),
+        (1.5, r"\b(?:needs?|requires?|benötigt|erfordert|necesita|requiere|nécessite)\s+(?:cookies\s+and\s+)?" + _JS),
+        (1.5, r"\b" + _ON + r"\s+(?:sie\s+|the\s+)?(?:use\s+of\s+)?(?:\w+\s+)?" + _JS + r"|\b(?:turn|switch)\s+" + _JS + r"\s+on\b|" + _JS + r".{0,30}\b(?:aktivieren|einschalten|erlauben|zulassen)\b"),
+        (1.5, r"\b(?:browser|device|reader|client|navegador|navigateur)\b.{0,20}\b(?:does\s+not|doesn'?t|cannot|can'?t|will\s+not|is\s+not|no|ne)\s+(?:run|support|allow|execute|accept|have|allowing|running|unterstützt|admite|prend)\b|\bbrowser\s+unterstützt\s+kein"),
+        (1.5, r"\b(?:browser|device|reader)\s+(?:is\s+(?:too\s+old|outdated)|blocks?|has\s+(?:disabled|blocked))\b"),
+        (1.5, r"\b(?:off|disabled|blocked|deaktiviert|desactivado|désactivé)\s*(?:[.!;,]|$)|\b(?:desactivado|deaktiviert|désactivé)\b"),
+        (2.0, r"\bno-?script\b|</?noscript>"),
+        (2.0, r"\b(?:checking|verifying)\s+(?:your\s+(?:browser|connection|device)|(?:that\s+)?you\s+are\s+(?:a\s+)?human)\b"),
+        (0.5, r"\b(?:to\s+(?:be\s+)?" + _READER + r"|and\s+(?:reload|refresh|try)|um\s+.{1,60}\s+zu\s+\w+|para\s+(?:ver|usar|continuar|leer)|pour\s+(?:voir|utiliser|continuer|lire))\b"),
+        (1.0, r"^\W*(?:please|bitte|por\s+favor|veuillez)\s+.{0,30}\b(?:it|them|this|sie|es|lo)\s+(?:on\s+)?(?:to|in|and)\b"),
+        (0.5, r"\b(?:cookies|nothing\s+can\s+be|cannot\s+start|only\s+this\s+message)\b"),
+    ],
+    "filler": [
+        (2.0, r"\b(?:text|words?|wording|content|copy|heading|title|summary|description)\s+(?:goes?|comes?|belongs?|will\s+(?:go|come|appear))\s+(?:in\s+)?here\b|\b(?:hier\s+steht\s+(?:ihr|dein|der)\s+text|aquí\s+va\s+(?:el|su)\s+texto|votre\s+texte\s+ici)\b"),
+        (2.0, r"^\W*(?:your|the|some)\s+(?:text|words?|wording|content|copy|title|heading)\s+(?:in|on|at)?\s*(?:this\s+(?:spot|place|space|block|box|section|field)|here)\b"),
+        (2.0, r"^\W*(?:click|tap|double-?click)\s+(?:here\s+)?to\s+(?:edit|add|change|replace|enter)\b"),
+        (2.0, r"^\W*(?:please\s+)?(?:replace|swap|overwrite|delete)\s+this\s+(?:\w+\s+)?(?:paragraph|text|block|section|sentence|copy|wording|content)\b"),
+        (2.0, r"^\W*(?:please\s+)?(?:write|say|add|put|enter)\s+(?:something|a\s+few\s+words|some\s+(?:words|text)|a\s+sentence|your\s+text)\s+(?:about\b.*\bhere|on\b.*\bhere|here)\b"),
+        (1.0, r"\b(?:dummy|filler|placeholder|blind|sample|example|body)\s+(?:copy|text|content|wording|paragraph|sentence|words)\b"),
+        (1.0, r"\b(?:for\s+(?:layout|design|position)|goes\s+here|only\s*[.!]?$|body\s+text\s*[.!]?$)"),
+        (1.0, r"^\W*(?:this\s+is\s+(?:only\s+|just\s+)?(?:a\s+|some\s+)?)?(?:dummy|filler|placeholder|blind|sample|example|body|some|more|main)\s+(?:copy|text|content|wording|paragraph|sentence|words|headline)(?:\s+(?:body|some|more|main)\s+text)?\W*$"),
+        (1.0, r"^\W*(?:body|some|more|main)\s+text\s+(?:body|some|more|main)\s+text\b"),
+        (1.0, r"\bthis\s+(?:block|paragraph|text|section|copy|box)\s+(?:is\s+(?:here\s+)?)?(?:only|just|merely)\b"),
+        (1.0, r"\b(?:shows?|demonstrates?|illustrates?|to\s+show|to\s+see)\s+how\s+the\s+(?:page|layout|design|text|column)\b"),
+        (1.0, r"\b(?:the\s+)?(?:real|final|actual|proper)\s+(?:wording|text|copy|content|words)\b"),
+        (1.0, r"^\W*(?:please\s+)?(?:swap|put|drop|paste|fill|add|insert|write)\s+in\b|\blater\s*[.!]?$"),
+        (1.0, r"\b(?:text|wording|copy|content|paragraph|section|description)\s+(?:is\s+)?(?:to\s+follow|coming\s+soon|to\s+be\s+(?:supplied|written|added|provided))\b"),
+        (1.0, r"\b(?:not\s+yet|yet\s+to|still\s+to|has\s+not)\s+(?:been\s+)?(?:suppl|provid|writ|deliver)\w*"),
+        (1.0, r"\b(?:the|its|their)\s+(?:wording|copy|text|content)\s+(?:for|of)\b|\b(?:wording|text|copy|content)\s*(?:later|soon)?\s*[.!]?$"),
+        (1.0, r"\b(?:coming\s+soon|to\s+follow|to\s+come)\s*[.!]?$"),
+    ],
+}
+#: To whom and how, alike for messages and notices: a reader who is addressed, and this place (fixed values).
+_READERS = re.compile(r"\b(?:you|your|we|our|us|please|this\s+(?:page|site|viewer|reader|application|app|service|message|document|library)|the\s+requested|ihr|ihre[nrs]?|sie|bitte|diese\s+seite|usted|su|por\s+favor|esta\s+página|vous|votre|veuillez|cette\s+page)\b", re.I)
+#: A condition or a rule speaks of what may happen, an explanation or a report of somebody else (fixed values).
+_CONDITION = re.compile(r"\b(?:if|when|whenever|unless|whether|in\s+case|wenn|falls|sobald|cuando|siempre\s+que|lorsque|quand)\b", re.I)
+_EXPLAINS = re.compile(r"\b(?:means|denotes|indicates|signals|stands\s+for|refers?\s+to|is\s+(?:called|known\s+as|defined|raised|returned|sent)|are\s+(?:called|raised|returned|sent)|raises|throws|returns|catches|describes|explains|defines|bedeutet|bezeichnet|heißt|significa|indica|signifie|désigne|such\s+as|for\s+example|history|century|(?:since|in)\s+(?:the\s+)?1\d{3}s?)\b", re.I)
+_OTHERS = re.compile(r"\b(?:the|an?|each|every|any|all)\s+(?:\w+\s+){0,2}?(?:user|visitor|tester|team|manager|desk|staff|operator|member|owner|customer|client|author|engineer|employee|administrator|holder|auditor|reviewer)s?\s+(?:who\b|that\b|must\b|should\b|may\b|will\b|can\b|at\b|\w+(?:s|ed)\b)|^\W*(?:staff|users|visitors|sessions|testers|people)\b", re.I)
+_RULE = re.compile(r"\b(?:must|should|shall|may|soll(?:te)?|muss|debe|doit)\b", re.I)
+#: A sentence is residue from this score on; a neighbour that scores helps by half of its score.
+LEAST = 2.0
+
+# Exception names are told by their capitals.
+_SAID = {family: [(w, re.compile(p, 0 if "Exception|Fault" in p else re.I)) for w, p in features] for family, features in SAID.items()}
+
+
+def sentence_score(family: str, sentence: str, alone: bool) -> float:
+    """How much speaks for a sentence being residue of the family; `alone` if it is a line or a text of its own."""
+    score = 0.0
+    for weight, pattern in _SAID[family]:
+        if pattern.search(sentence):
+            if weight >= 3.0:
+                # What only a machine writes needs no further look.
+                return weight
+            score += weight
+    if score <= 0.0:
+        return 0.0
+    if family == "filler":
+        # Stopgaps stand for themselves; what is told of them names a place, a time or somebody.
+        return score - (1.0 if _EXPLAINS.search(sentence) else 0.0) - (0.5 if len(sentence.split()) > 14 else 0.0)
+    to_reader = bool(_READERS.search(sentence))
+    if to_reader:
+        score += 0.5
+    if _EXPLAINS.search(sentence):
+        score -= 3.0 if not to_reader else 1.0
+    if _OTHERS.search(sentence):
+        score -= 2.0
+    condition = _CONDITION.search(sentence)
+    if condition:
+        # "Try again when ..." tells a reader what to do now; "When a page is not found, ..." does not.
+        score -= 0.5 if to_reader or condition.start() > 0.6 * len(sentence) else 2.0
+    if _RULE.search(sentence) and not to_reader and family == "error_page":
+        score -= 1.0
+    if alone:
+        score += 0.5
+    elif family == "script_notice" and not to_reader:
+        score -= 0.25
+    return score
+
+
+#: Words without which no sentence of the family scores enough.
+CUES: dict[str, str] = {
+    "error_page": "not found|not be |n't be|available|longer exist|not exist|n't exist|has been|have been|offline|is down|are down|failed to|too long|timed out|time-out|timeout|expired|run out|no answer|no data|no reply|no response|not respond|not answer|not load|only open|forbidden|bad gateway|bad request|denied|internal |server error|too many|unauthori|refused|rejected|blocked|http|error|status|code|fatal|critical:|panic:|exception|traceback|stack trace|stacktrace|.java:|fault|unable to|cannot|could not|can't|couldn't|you lack|you do not|you don't|you are not|you requested|you asked|you are looking|sorry|oops|whoops|sign in|log in|went wrong|broke|nicht |abgelaufen|fehler|verweigert|encontr|denegado|disponible|existe|caducado|introuvable|indisponible|refusé|erreur|expiré|exhausted",
+    "script_notice": "script|js|active content|aktive inhalte|skript|browser|cookies|you are human|you are a human|navegador|navigateur",
+    "filler": "here|in this|on this|at this|click to|tap to|to edit|replace this|swap|overwrite this|delete this|dummy|filler|placeholder|blind |sample|example |body text|some text|more text|main text|how the|real wording|real text|final |actual |proper |suppl|to follow|coming soon|not yet|yet to|later|something|aquí|texte ici|hier steht",
+}
+_KEYBOARD, _FAMILY_NAMES = -1, tuple(SAID)
 
 
 def _cue_automaton() -> ahocorasick.Automaton:
     by_cue: dict[str, set[int]] = {}
-    for number, (cues, _) in enumerate(x for patterns in _FAMILIES.values() for x in patterns):
-        for cue in cues.split("|"):
+    for number, family in enumerate(_FAMILY_NAMES):
+        for cue in CUES[family].split("|"):
             by_cue.setdefault(cue, set()).add(number)
     for cue in _KEY_STARTS:
         by_cue.setdefault(cue, set()).add(_KEYBOARD)
@@ -261,48 +353,71 @@ def _cue_automaton() -> ahocorasick.Automaton:
 
 
 _CUES = _cue_automaton()
-#: Reports about such things name somebody else as the one concerned.
-_ABOUT = re.compile(r"\b(?:jump\s+host|unless\s+the|(?:a|the)\s+(?:visitor|user|tester|help\s+desk|service\s+desk)\b|how\s+the\s+site|the\s+test\s+(?:checks|shows)|reports\s+the\s+code|staff\s+(?:must|should|may))", re.I)
-
-
-def _matches(number: int, views: tuple[str, ...]) -> bool:
-    """Whether a pattern matches; a notice counts only if its own sentence is no report about such notices."""
-    family, pattern = _PATTERNS[number]
-    for flat in views:
-        for m in pattern.finditer(flat):
-            if family == "filler":
-                return True
-            first = m.start() + len(m.group(0)) - len(m.group(0).lstrip(" .!?:\n"))
-            start = max(flat.rfind(x, 0, first) for x in (". ", "! ", "? ", "\n"))
-            end = min((e for e in (flat.find(x, m.end() - 1) for x in (". ", "! ", "? ", "\n")) if e >= 0), default=len(flat))
-            if not _ABOUT.search(flat[max(0, start) : end + 1]):
-                return True
-    return False
-
-
+_BREAK = re.compile(r"(?<=[.!?;])[\"'”’)]*\s+|\n+|(?<=\|)\s+(?=[A-Z])")
 _SPACES = re.compile(r"[ \t\u00a0]+")
-#: A line that ends within a sentence goes on in the next one.
+#: A line that ends within a sentence goes on in the next one; a capital may also begin a new one after a heading.
 _WRAP = re.compile(r"(?<=[^\n.!?:])\n(?=[^\n])")
 
 
+def _views(lines: str) -> tuple[str, ...]:
+    """The text with all its wrapped lines joined, and with those apart that begin with a capital."""
+    flat = _WRAP.sub(" ", lines)
+    apart = _WRAP.sub(lambda m: "\n" if lines[m.end()].isupper() else " ", lines) if flat != lines else flat
+    return (flat,) if apart == flat else (flat, apart)
+
+
+def _messages(flat: str, wanted: set[int], hits: list[tuple[int, tuple[int, ...]]]) -> Iterator[tuple[str, str]]:
+    """The families with a sentence that scores enough, judged with its neighbours."""
+    starts = [0]
+    for m in _BREAK.finditer(flat):
+        starts.append(m.end())
+    ends = [*starts[1:], len(flat)]
+    asked: dict[int, set[int]] = {}
+    for end, numbers in hits:
+        place = bisect_right(starts, end) - 1
+        for number in numbers:
+            if number in wanted:
+                asked.setdefault(number, set()).add(place)
+    for number, places in sorted(asked.items()):
+        family = _FAMILY_NAMES[number]
+        scores: dict[int, float] = {}
+
+        def score(k: int) -> float:
+            if not 0 <= k < len(starts):
+                return 0.0
+            if k not in scores:
+                sentence = flat[starts[k] : ends[k]].strip()
+                alone = (starts[k] == 0 or flat[starts[k] - 1] == "\n") and (ends[k] == len(flat) or flat[ends[k] - 1] == "\n")
+                scores[k] = sentence_score(family, sentence, alone) if sentence else 0.0
+            return scores[k]
+
+        for k in sorted(places):
+            mine = score(k)
+            if mine > 0 and (mine >= LEAST or mine + 0.5 * max(score(k - 1), score(k + 1), 0.0) >= LEAST and mine >= 1.0):
+                yield family, flat[starts[k] : ends[k]].strip()[:80]
+                break
+
+
 def judge(text: str) -> list[tuple[str, str]]:
     """The kinds of residue in a text: (kind, what showed it)."""
-    lines = _SPACES.sub(" ", text)
-    flat = _WRAP.sub(" ", lines)
-    low = flat.lower()
-    views = (flat, lines) if flat != lines else (flat,)
-    possible: set[int] = set()
-    for _, numbers in _CUES.iter(low):
-        possible.update(numbers)
+    views = _views(_SPACES.sub(" ", text))
+    low = views[0].lower()
     found: dict[str, str] = {}
     if kind := _placeholder(text):
         found["placeholder"] = kind
-    if kind := _filler(low, possible):
+    hits = list(_CUES.iter(low))
+    possible = {n for _, numbers in hits for n in numbers}
+    if kind := ("keyboard" if _KEYBOARD in possible and _keyboard(low) else _senseless(low)):
         found["filler"] = kind
-    for number in sorted(possible - {_KEYBOARD}):
-        family = _PATTERNS[number][0]
-        if family not in found and _matches(number, views):
-            found[family] = "stock phrase" if family == "filler" else "message"
+    # Views have equal lengths, so a cue stands at one place in both; only where lower-casing changes the length it is
+    # looked for in the text with such characters left as they are.
+    if len(low) != len(views[0]):
+        hits = list(_CUES.iter("".join(c.lower() if len(c.lower()) == 1 else c for c in views[0])))
+    for view in views:
+        wanted = {n for n in possible if n != _KEYBOARD and _FAMILY_NAMES[n] not in found}
+        if wanted:
+            for family, sign in _messages(view, wanted, hits):
+                found.setdefault(family, sign)
     return list(found.items())
 
 
@@ -327,6 +442,13 @@ def residue(chunks: DataFrame, text: str = "text", key: str = "row_no") -> DataF
     return map_rows(rows, VERDICT, start)
 
 
-def without_residue(chunks: DataFrame, text: str = "text", key: str = "row_no") -> DataFrame:
-    """The chunks free of residue, with all their columns; rows whose key is null stay."""
-    return chunks.join(residue(chunks, text, key).select(F.col("row_no").alias(key)), key, "left_anti").select(*chunks.columns)
+def without_residue(chunks: DataFrame, text: str = "text") -> DataFrame:
+    """The chunks free of residue, with all their columns. Rows are judged and passed on by the same task, so nothing is
+    shuffled, and rows without a key or with a repeated one are kept or left out each for itself."""
+    place = chunks.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([t is None or not judge(t) for t in batch.column(place).to_pylist()], pa.bool_()))
+
+    return chunks.mapInArrow(run, chunks.schema)

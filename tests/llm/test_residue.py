@@ -34,6 +34,41 @@ def test_harmless(text):
     assert R.judge(PROSE + text) == []
 
 
+#: Texts that teach, explain or tell of such things, none of them like the tables.
+SPOKEN_OF = [
+    "This tutorial explains template syntax.\nHello {{ name }}\nTotal: {{ total }}\nBye {{ user }}\nThe engine replaces each placeholder by its value.",
+    "Jinja lesson: write {{ x }} where the value of x shall stand.",
+    'Lorem ipsum has been the usual dummy text of printers since the 1500s. It comes from a work of Cicero, and "Lorem ipsum dolor sit amet" are its first words. Lorem ipsum dolor sit amet. Later printers changed it until the words had lost their sense.',
+    "The HTTP 404 status means that the server did not find the page.",
+    "Python raises KeyError: when a key is missing.",
+    "Please sign in again at the front gate.",
+    "When a page is not found, the crawler marks the address and goes on.",
+    "The auditor checks whether JavaScript is disabled on the kiosks.",
+]
+#: The same kinds of residue in other languages.
+FOREIGN = [
+    ("error_page", "Die Seite konnte nicht gefunden werden."), ("error_page", "La página que busca no se encontró."), ("error_page", "Fehler 404: Seite nicht gefunden"), ("error_page", "Votre session a expiré."),
+    ("script_notice", "Bitte aktivieren Sie JavaScript, um diese Seite zu sehen."), ("script_notice", "Por favor, active JavaScript para ver esta página."), ("script_notice", "Esta página requiere JavaScript."),
+]
+
+
+@pytest.mark.parametrize("text", SPOKEN_OF)
+def test_what_is_only_spoken_of(text):
+    assert R.judge(text) == []
+    assert R.judge(PROSE + text + " " + PROSE) == []
+
+
+@pytest.mark.parametrize("kind,text", FOREIGN)
+def test_other_languages(kind, text):
+    assert kind in dict(R.judge(text))
+
+
+def test_density_tells_a_form_from_a_lesson():
+    form = "Dear {{ name }}, your order {{ number }} leaves on {{ date }}."
+    lesson = "Template syntax: a variable such as {{ name }} is written in braces; an expression like {{ a + b }} renders its value. " + form
+    assert R.judge(form) and not R.judge(lesson)
+
+
 def test_wrapped_and_upper_case():
     assert dict(R.judge("PLEASE ENABLE\nJAVASCRIPT TO\nVIEW THIS PAGE."))
     assert dict(R.judge("Your session\nhas run out."))
@@ -48,7 +83,8 @@ def test_operator(spark):
     chunks = spark.createDataFrame(rows, "row_no bigint, text string, kinds string")
     got = R.residue(chunks).collect()
     assert sorted(((r.row_no or 0), r.kinds) for r in got) == [(0, ["error_page"]), (1, ["placeholder"]), (1, ["placeholder"])]
-    assert sorted(r.row_no or 0 for r in R.without_residue(chunks).collect()) == [0, 2, 3, 4]
+    # Each row is judged for itself, so residue goes whether its key is null or not.
+    assert sorted(r.row_no or 0 for r in R.without_residue(chunks).collect()) == [2, 3, 4]
     assert R.without_residue(chunks).columns == chunks.columns
     assert R.residue(chunks.where("false")).count() == 0
 
