@@ -100,14 +100,15 @@ SELECT DISTINCT dg.doc_id, eg.item_id FROM dg JOIN eg USING (g)
 
 
 _FIELDS = ("id", "text", "doc_id", "doc_title", "revision", "pub_date", "tier", "chunk_type", "control_id", "section_path", "source_url", "sha256_source")
-_P2 = (
+_P2_CLASSES = (
     "WITH k AS (SELECT rec_id, concat_ws('|', "
     + ", ".join(rf"regexp_replace(lower(coalesce(json_extract_string(payload, '$.{f}'), '')), '[^\p{{L}}\p{{N}}]', '', 'g')" for f in _FIELDS)
     + r""") AS key FROM interim_records WHERE json_valid(payload)),
-     m AS (SELECT rec_id, min(rec_id) OVER (PARTITION BY key) AS kept_rec_id FROM k)
-SELECT kept_rec_id, rec_id FROM m WHERE rec_id <> kept_rec_id
+     m AS (SELECT rec_id, min(rec_id) OVER (PARTITION BY key) AS kept_rec_id, count(*) OVER (PARTITION BY key) AS copies FROM k)
 """
 )
+_P2 = _P2_CLASSES + "SELECT kept_rec_id, rec_id FROM m WHERE rec_id <> kept_rec_id"
+_P2_COLLAPSED = _P2_CLASSES + "SELECT r.rec_id, r.payload, coalesce(m.copies, 1) AS copies FROM interim_records r LEFT JOIN m USING (rec_id) WHERE m.rec_id IS NULL OR m.kept_rec_id = m.rec_id"
 
 _P3 = r"""
 WITH big AS (SELECT row_no, text, max_chars FROM chunks JOIN split_limits USING (chunk_type) WHERE length(text) > max_chars),
@@ -120,4 +121,4 @@ FROM sent GROUP BY row_no
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p2_found": _P2, "p3_found": _P3, "p6_found": _P6}
+    return {"p2_found": _P2, "p2_collapsed": _P2_COLLAPSED, "p3_found": _P3, "p6_found": _P6}

@@ -2,11 +2,11 @@
 
 Progressive refinement of the partition into classes of copies:
 
-1. Cheap invariants of every record, computed in the JVM without leaving it: the number of ASCII letters and digits in
-   all values, and how often some frequent letters occur. They do not depend on the order of fields nor on anything
-   that is ignored. Only (invariants -> count) is shuffled, combined before the shuffle.
-2. Invariants shared by several records are marked in a bitmap of fixed size. It only lets too much through when it
-   fills up, never too little, so its size bound does not depend on the data.
+1. Cheap invariants of every record, computed in the JVM without leaving it: how many of sixteen ASCII letters all values
+   hold, and how often each of twelve of them. They do not depend on the order of fields nor on anything that is
+   ignored, nor on how a value is escaped or nested. Only (invariants -> count) is shuffled, combined before.
+2. Invariants shared by several records are marked in a bitmap whose size follows their number up to a bound (see
+   `marks`). It only lets too much through when it fills up, never too little.
 3. Only records whose mark is set are parsed fully and get the costly key, a 128-bit digest of each field's sequence
    of letters and digits. Classes are then made on it; of a record only ids and keys are shuffled, never its text.
 
@@ -23,12 +23,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm.arrow import map_rows
+from quern.llm.marks import Marks, lacking, met
 from quern.session import stored
 
-#: Letters of which the cheap histogram is made, frequent ones in the corpus languages.
-HISTOGRAM = "etaoinsr"
-#: Size of the bitmap of shared invariants: 2^18 words of 64 bits (2 MB), whatever the data.
-WORD_BITS = 18
+#: Letters of the stripped length: those that no escape of JSON brings in (b, f, n, r, t, u, the digits of codes, true).
+LETTERS = "ghijklmopqsvwxyz"
+#: Letters of which the cheap histogram is made, the frequent ones among them.
+HISTOGRAM = "iosmlhpgwykv"
 #: What lower-casing does not unify: sharp s and the Latin ligatures (fixed values).
 EXPAND = {"ß": "ss", "ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st"}
 _TO_LETTERS = str.maketrans(EXPAND | {"ẞ": "ss"})
@@ -36,11 +37,20 @@ _DROP = bytes(i for i in range(256) if not chr(i).isalnum() or i > 127)
 ROW_FIELDS = ("id", "text", "doc_id", "doc_title", "revision", "pub_date", "tier", "chunk_type", "control_id", "section_path", "source_url", "sha256_source")
 
 
+def _written(value: object) -> str:
+    """A nested value without its outward form: names and values in the order of names or of places; a null is `null`."""
+    if isinstance(value, dict):
+        return " ".join(f"{name} {_written(value[name])}" for name in sorted(value))
+    if isinstance(value, list):
+        return " ".join(map(_written, value))
+    return value if isinstance(value, str) else json.dumps(value)
+
+
 def sequence(value: object) -> bytes:
     """The letters and digits of a value, in lower case; nothing for null."""
     if value is None:
         return b""
-    text = value if isinstance(value, str) else json.dumps(value, sort_keys=True, ensure_ascii=False)
+    text = value if isinstance(value, str) else _written(value)
     if text.isascii():
         return text.lower().encode().translate(None, _DROP)
     return "".join(filter(str.isalnum, text.lower().translate(_TO_LETTERS))).encode()
@@ -71,15 +81,17 @@ def costly_key(payload: str) -> tuple[int, int] | None:
 
 
 def stripped(payload: Column) -> Column:
-    """The ASCII letters and digits of all values, after lower-casing and expansion; empty for what cannot be read.
+    """The letters of LETTERS in all values, after lower-casing and expansion; empty for what cannot be read.
 
-    Records with equal sequences of letters and digits have as many of each letter here.
+    Records with equal sequences of letters and digits have as many of each letter here. A nested value is read as its
+    JSON text, whose names are part of it; its escapes and literals bring in none of the letters but the l of null and
+    false, which copies share.
     """
     record = F.from_json(payload, ", ".join(f"{name} string" for name in ROW_FIELDS), {"mode": "PERMISSIVE"})
     values = F.lower(F.concat_ws("", *[record[name] for name in ROW_FIELDS]))
     for letter, letters in EXPAND.items():
         values = F.replace(values, F.lit(letter), F.lit(letters))
-    return F.regexp_replace(values, "[^a-z0-9]+", "")
+    return F.regexp_replace(values, "[^g-mo-qsv-z]+", "")
 
 
 def keyed(records: DataFrame) -> DataFrame:
@@ -90,55 +102,66 @@ def keyed(records: DataFrame) -> DataFrame:
     return rows.select("rec_id", "payload", F.xxhash64(size, *histogram).alias("cheap"))
 
 
-#: Place of a cheap key in the bitmap.
-_WORD = f"int(shiftrightunsigned(cheap, {64 - WORD_BITS})) AS word"
-_BIT = "shiftleft(1L, int(cheap & 63))"
-
-
-def shared_marks(rows: DataFrame) -> DataFrame:
-    """The bitmap of cheap keys that several records have: at most 2^18 rows of (word, bits)."""
-    several = rows.groupBy("cheap").count().where("count > 1")
-    return several.selectExpr(_WORD, f"{_BIT} AS bit").groupBy("word").agg(F.bit_or("bit").alias("bits"))
-
-
-KEYS = "rec_id bigint, cheap bigint, k1 bigint, k2 bigint"
+KEYS = "rec_id bigint, print bigint, cheap bigint, k1 bigint, k2 bigint"
 
 
 def members(records: DataFrame) -> DataFrame:
-    """The records that share their cheap key with another, each with its costly key."""
+    """The records that share their cheap key with another, each with its costly key.
+
+    print is a hash of the payload as it is: with rec_id it tells rows apart that repeat a rec_id.
+    """
     rows = keyed(records)
-    marked = rows.selectExpr("*", _WORD).join(F.broadcast(shared_marks(rows)), "word").where(f"(bits & {_BIT}) <> 0")
+    shared = stored(rows.groupBy("cheap").count().where("count > 1").select("cheap"), "shared")
+    marked = Marks(shared, "cheap").tell(rows, "cheap").where("_in")
 
     def start():
-        def key(rec_id: int, payload: str, cheap: int) -> list[tuple]:
+        def key(rec_id: int, print_: int, payload: str, cheap: int) -> list[tuple]:
             found = costly_key(payload)
-            return [(rec_id, cheap, *found)] if found else []
+            return [(rec_id, print_, cheap, *found)] if found else []
 
         return key
 
-    return map_rows(marked.select("rec_id", "payload", "cheap"), KEYS, start)
+    return map_rows(marked.select("rec_id", F.xxhash64("payload").alias("print"), "payload", "cheap"), KEYS, start)
+
+
+CLASS = ["cheap", "k1", "k2"]
+
+
+def _classes(keys: DataFrame) -> DataFrame:
+    """Classes of several rows with the one that is kept, the first by rec_id and print; counted by partial aggregation."""
+    least = F.min(F.struct("rec_id", "print"))
+    return keys.groupBy(*CLASS).agg(least.alias("kept"), F.count("*").alias("copies")).where("copies > 1")
 
 
 def copies(records: DataFrame) -> DataFrame:
     """One row for each record that has copies: kept_rec_id (the smallest of its class), rec_id, copies (in all).
 
     The kept record has a row too, with itself. Payloads that are null, cut off, or not a JSON object are no copies of
-    anything, and an empty table has none. A rec_id that occurs twice counts as two copies of one record but has one
-    row. Rows without a rec_id take no part. Other columns are ignored.
+    anything, and an empty table has none. A rec_id that occurs twice has a row each time. Rows without a rec_id take
+    no part. Other columns are ignored.
     """
     keys = stored(members(records), "members")
-    classes = keys.groupBy("cheap", "k1", "k2").agg(F.min("rec_id").alias("kept_rec_id"), F.count("*").alias("copies")).where("copies > 1")
-    found = keys.join(classes.hint("shuffle_hash"), ["cheap", "k1", "k2"])
-    return found.select("kept_rec_id", "rec_id", "copies")
+    found = keys.join(_classes(keys).hint("shuffle_hash"), CLASS)
+    return found.select(F.col("kept.rec_id").alias("kept_rec_id"), "rec_id", "copies")
 
 
 def collapsed(records: DataFrame) -> DataFrame:
-    """One record for each class: rec_id of the kept one, its payload and the number of its copies (1 if single).
+    """One record for each class: rec_id and payload of the kept one, and the number of its copies (1 if single).
 
-    Payloads that cannot be read each stay as they are.
+    The first by rec_id is kept, among rows of one rec_id that with the smaller hash of its payload. Different records
+    that share a rec_id, or have none, all stay; so do payloads that are null or cannot be read, each as it is. Only
+    payloads of kept records with copies are shuffled: the others pass by the bitmaps of what is kept and what goes.
     """
-    found = copies(records)
-    counted = found.where("rec_id = kept_rec_id").select("rec_id", "copies").dropDuplicates(["rec_id"])
-    others = found.where("rec_id <> kept_rec_id").select("rec_id")
-    kept = records.select("rec_id", "payload").join(others, "rec_id", "left_anti").dropDuplicates(["rec_id"])
-    return kept.join(counted, "rec_id", "left").select("rec_id", "payload", F.coalesce("copies", F.lit(1)).alias("copies"))
+    keys = stored(members(records), "members")
+    found = keys.join(_classes(keys).hint("shuffle_hash"), CLASS).select("rec_id", "print", "kept", "copies")
+    is_kept = (F.col("rec_id") == F.col("kept.rec_id")) & (F.col("print") == F.col("kept.print"))
+    gone = stored(found.where(~is_kept).select("rec_id", "print").distinct(), "gone")
+    # A kept row may itself come several times.
+    kept = stored(found.where(is_kept).groupBy("rec_id", "print").agg(F.max("copies").alias("copies"), F.count("*").alias("times")), "kept")
+    rows = records.select("rec_id", "payload", F.xxhash64("payload").alias("print"))
+    named = F.col("rec_id").isNotNull() & F.col("payload").isNotNull()
+    single, several = met(lacking(rows.where(named), ["rec_id", "print"], gone, "mistaken"), ["rec_id", "print"], kept)
+    once = several.where("times IS NULL OR times = 1").select("rec_id", "payload", F.coalesce("copies", F.lit(1)).alias("copies"))
+    repeated = several.where("times > 1").groupBy("rec_id", "print").agg(F.first("payload").alias("payload"), F.first("copies").alias("copies"))
+    alone = rows.where(~named).unionByName(single).select("rec_id", "payload", F.lit(1).cast("bigint").alias("copies"))
+    return alone.unionByName(once).unionByName(repeated.select("rec_id", "payload", "copies"))

@@ -7,6 +7,7 @@ import random
 
 import pytest
 
+from quern.llm import marks as M
 from quern.llm import refine as R
 
 BASE = {"id": "A/1", "text": "Grüße aus dem Café. Straße 5, oﬃce!", "doc_id": "A", "doc_title": None, "revision": "", "pub_date": "2020", "tier": 1, "chunk_type": "task", "control_id": None, "section_path": "1 X > 2 Y", "source_url": "https://a.example", "sha256_source": "ff"}
@@ -69,12 +70,29 @@ def test_against_brute_force(spark):
 def test_bitmap_may_be_full(spark, monkeypatch):
     """With a bitmap of one word everything passes it, and the result is the same."""
     rng = random.Random(4)
-    rows = [(i, dressed(BASE | {"id": str(i // 2)}, rng)) for i in range(40)]
+    rows = [(i, dressed(BASE | {"id": str(i // 2)}, rng)) for i in range(40)] + [(100 + i, dressed(BASE | {"id": f"x{i}"}, rng)) for i in range(300)]
     df = spark.createDataFrame(rows, "rec_id bigint, payload string")
     expected = {(r.kept_rec_id, r.rec_id) for r in R.copies(df).collect()}
-    monkeypatch.setattr(R, "_WORD", "0 AS word")
-    monkeypatch.setattr(R, "_BIT", "1L")
+    whole = sorted(tuple(r) for r in R.collapsed(df).collect())
+    monkeypatch.setattr(M, "LEAST_BITS", 1)
+    monkeypatch.setattr(M, "MOST_BITS", 1)
     assert {(r.kept_rec_id, r.rec_id) for r in R.copies(df).collect()} == expected
+    assert sorted(tuple(r) for r in R.collapsed(df).collect()) == whole
+
+
+def test_no_record_is_lost(spark):
+    """Different records may share a rec_id or have none; only copies go, and each class keeps one."""
+    one, two, three = (json.dumps(BASE | {"id": x}) for x in ("one", "two", "three"))
+    rows = [(None, one), (None, two), (None, one), (1, one), (1, two), (2, two.upper().replace("NULL", "null")), (2, two), (3, three), (3, three), (4, "{cut"), (4, "{cut"), (5, None)]
+    df = spark.createDataFrame(rows, "rec_id bigint, payload string")
+    got = sorted(((r.rec_id or 0), r.payload or "", r.copies) for r in R.collapsed(df).collect())
+    assert got == sorted([(0, one, 1), (0, two, 1), (0, one, 1), (1, one, 1), (1, two, 2), (2, two.upper().replace("NULL", "null"), 1), (3, three, 2), (4, "{cut", 1), (4, "{cut", 1), (5, "", 1)])
+
+
+def test_nested_values_count_without_their_form(spark):
+    rows = [(1, '{"text": {"p": "x\\ny", "q": [1, null]}}'), (2, '{"text": {"q": [1,null], "p": "x y"}}'), (3, '{"text": {"p": "xny", "q": [1, null]}}'), (4, '{"text": {"p": "x\\u0020y", "q": [1, null]}, "id": " - "}')]
+    df = spark.createDataFrame(rows, "rec_id bigint, payload string")
+    assert {(r.kept_rec_id, r.rec_id) for r in R.copies(df).collect() if r.rec_id != r.kept_rec_id} == {(1, 2), (1, 4)}
 
 
 def test_empty(spark):
