@@ -1,32 +1,43 @@
 """Problem 6: passages of held-out test items inside training documents.
 
-A generalised suffix automaton of the normalised items is streamed over the words of every document. The automaton
-of one block of items has a bounded size, which is checked before it is built. Documents
-are never shuffled for the search: each task streams its own.
+1. The items are cut into segments, and these put into blocks of bounded size, for each of which a generalised suffix
+   automaton can be built in one task. Any number of items makes so many blocks.
+2. Every document is streamed once, whatever the number of blocks: runs of its words are looked for whose windows of
+   twelve words are marked in a bitmap of the items' windows. What is not marked is in no item. Documents are not
+   shuffled; only the few marked runs leave their task.
+3. Marked runs meet the automata of the blocks that hold one of their windows, and are streamed through them: that
+   gives the exact matching lengths and items. A block with many runs is split over tasks.
+4. To cut the passages out, documents without any pass by a bitmap; only the others meet their spans in a join.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import reduce
 
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm.arrow import map_rows
+from quern.llm.marks import Marks, met
+from quern.session import stored
 
 #: A word is an unbroken run of letters and digits.
 WORD = re.compile(r"[^\W_]+")
 MIN_WORDS = 12
-#: Words of items in one automaton, of about 700 bytes each; more items are searched for in several blocks.
+#: Words of items in one automaton, of about 700 bytes each.
 BLOCK_WORDS = 200_000
-#: Items are collected to the driver block by block; more blocks than this are taken for an error.
-MAX_BLOCKS = 50
+#: Words of marked runs that one task streams through an automaton.
+PART_WORDS = 2_000_000
 
 
 def words(text: str | None) -> list[str]:
-    return WORD.findall(text.lower()) if text else []
+    """The words of a text in lower case; each for itself where lower-casing the whole would move places."""
+    if not text:
+        return []
+    low = text.lower()
+    return WORD.findall(low) if len(low) == len(text) else [w.lower() for w in WORD.findall(text)]
 
 
 class SuffixAutomaton:
@@ -127,103 +138,206 @@ class SuffixAutomaton:
             done = at
 
 
-def _blocks(items: DataFrame, block_words: int) -> list[DataFrame]:
-    """The items with text, as item_id and text, in blocks of about `block_words` words at most; the size is asked first."""
-    kept = items.where("item_text IS NOT NULL").select("item_id", F.col("item_text").alias("text"))
-    # A word and what follows it take at least two characters.
-    size = kept.agg(F.sum(F.length("text"))).first()[0] or 0
-    count = max(1, -(-size // (2 * block_words)))
-    if count > MAX_BLOCKS:
-        raise ValueError(f"items of {size} characters are more than the search is meant for")
-    return [kept] if count == 1 else [kept.where(F.pmod(F.xxhash64("item_id"), F.lit(count)) == k) for k in range(count)]
+def _hash(text: str) -> int:
+    h = xxhash.xxh64_intdigest(text)
+    return h - (1 << 64) if h >> 63 else h
 
 
-def build_automaton(items: DataFrame, least: int = MIN_WORDS) -> SuffixAutomaton:
-    """The automaton of one block of items."""
-    return SuffixAutomaton([(r[0], words(r[1])) for r in items.collect()], least)
+def segments(items: DataFrame, least: int, block_words: int) -> DataFrame:
+    """item_id, text, words, block: the items as runs of words of bounded length, in blocks.
 
+    A longer item is cut into several segments that share `least` - 1 words, so that none of its windows is lost.
+    """
 
-FOUND = "doc_id bigint, item_id bigint, words int, spans array<struct<first:int,last:int>>"
+    def start():
+        def cut(item_id: int, text: str) -> list[tuple]:
+            tokens = words(text)
+            step = max(block_words - least + 1, least)
+            return [(item_id, " ".join(part), len(part)) for at in range(0, max(len(tokens) - least + 1, 0), step) if len(part := tokens[at : at + step + least - 1]) >= least]
 
+        return cut
 
-def leaks(documents: DataFrame, items: DataFrame, least: int = MIN_WORDS, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """One row for each document and item that share at least `least` consecutive words.
+    rows = items.where("item_text IS NOT NULL AND item_id IS NOT NULL").select("item_id", F.col("item_text").alias("text")).distinct()
+    cut = stored(map_rows(rows, "item_id bigint, text string, words bigint", start), "segments")
+    total = cut.agg(F.sum("words")).first()[0] or 0
+    return cut.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, -(-total // block_words)))).cast("int"))
+
+
+def windows(cut: DataFrame, least: int) -> DataFrame:
+    """window, block: the hash of every window of `least` words of the items."""
+
+    def start():
+        def hashes(block: int, text: str) -> list[tuple]:
+            tokens = text.split(" ")
+            return [(_hash(" ".join(tokens[i : i + least])), block) for i in range(len(tokens) - least + 1)]
+
+        return hashes
+
+    return map_rows(cut.select("block", "text"), "window bigint, block int", start).distinct()
+
+
+RUNS = "row bigint, doc_id bigint, first int, text string, words int, windows array<bigint>"
 
-    words: how many of the document's words lie in such passages; spans: their first and last word, from 0.
-    Null, empty or short texts match nothing; items of fewer than `least` words cannot leak; a document that comes
-    twice gives its rows twice, an item that comes twice under one id counts once. Other columns are ignored.
-    """
-    texts = documents.where(F.col("text").isNotNull()).select("doc_id", "text")
-    found = [_search(texts, build_automaton(block, least)) for block in _blocks(items, block_words)]
-    return reduce(DataFrame.unionByName, found)
 
+def marked_runs(texts: DataFrame, cut: DataFrame, of_items: DataFrame, least: int) -> DataFrame:
+    """The runs of words of every document (row, doc_id, text) all of whose windows are marked."""
 
-def _search(texts: DataFrame, automaton: SuffixAutomaton) -> DataFrame:
-    shared = texts.sparkSession.sparkContext.broadcast(automaton)
+    def start_words():
+        return lambda text: [(_hash(word),) for word in set(text.split(" "))]
+
+    known_marks = Marks(stored(map_rows(cut.select("text"), "h bigint", start_words).distinct(), "item-words"), "h")
+    window_marks = Marks(of_items.select("window").distinct(), "window")
+    shared = texts.sparkSession.sparkContext.broadcast(((known_marks.bits, known_marks.array()), (window_marks.bits, window_marks.array())))
 
     def start():
-        sam = shared.value
+        (word_bits, word_table), (bits, table) = shared.value
+        # Plain integers are faster to look up one by one.
+        word_table, table = word_table.tolist() if word_bits < 16 else word_table, table.tolist() if bits < 16 else table
+        digest = xxhash.xxh64_intdigest
+        cache: dict[str, bool] = {}
+
+        def known(word: str) -> bool:
+            found = cache.get(word)
+            if found is None:
+                if len(cache) > 500_000:
+                    cache.clear()
+                h = digest(word)
+                found = cache[word] = bool(int(word_table[h >> (64 - word_bits)]) >> (h & 63) & 1)
+            return found
+
+        def find(row: int, doc_id: int | None, text: str) -> list[tuple]:
+            tokens = words(text)
+            n, done, out = len(tokens), 0, []
+            # Every run of `least` words covers a position of this stride; if its word is in no item, the run is none.
+            for anchor in range(least - 1, n, least):
+                if anchor < done or not known(tokens[anchor]):
+                    continue
+                start, floor = anchor, max(done, anchor - least + 1)
+                while start > floor and known(tokens[start - 1]):
+                    start -= 1
+                end = anchor + 1
+                while end < n and known(tokens[end]):
+                    end += 1
+                done = end
+                run: list[int] = []
+                for at in range(start, end - least + 1):
+                    h = digest(" ".join(tokens[at : at + least]))
+                    if int(table[h >> (64 - bits)]) >> (h & 63) & 1:
+                        run.append(h - (1 << 64) if h >> 63 else h)
+                    elif run:
+                        out.append((row, doc_id, at - len(run), " ".join(tokens[at - len(run) : at + least - 1]), len(run) + least - 1, run))
+                        run = []
+                if run:
+                    first = end - least + 1 - len(run)
+                    out.append((row, doc_id, first, " ".join(tokens[first:end]), end - first, run))
+            return out
+
+        return find
+
+    return map_rows(texts, RUNS, start)
+
 
-        def find(doc_id: int, text: str) -> list[tuple]:
+SPANS = "row bigint, doc_id bigint, item_id bigint, first int, last int"
+
+
+def spans(texts: DataFrame, items: DataFrame, least: int = MIN_WORDS, block_words: int = BLOCK_WORDS, part_words: int = PART_WORDS) -> DataFrame:
+    """row, doc_id, item_id, first, last: the longest runs of words that a document (row, doc_id, text) shares with an item."""
+    cut = segments(items, least, block_words)
+    of_items = stored(windows(cut, least), "windows")
+    runs = stored(marked_runs(texts, cut, of_items, least), "runs")
+    routes = runs.select("row", "first", F.explode("windows").alias("window")).join(of_items, "window").select("row", "first", "block").distinct()
+    routed = stored(runs.select("row", "doc_id", "first", "text", "words").join(routes, ["row", "first"]), "routed")
+    parts = routed.groupBy("block").agg((F.lit(1) + F.floor(F.sum("words") / part_words)).cast("int").alias("parts"))
+    streams = routed.join(parts, "block").withColumn("part", F.pmod(F.xxhash64("row", "first"), F.col("parts")).cast("int"))
+    copies = cut.join(parts, "block").select("block", "item_id", "text", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+
+    def search(documents, held):
+        import pandas as pd
+
+        automaton = SuffixAutomaton(list(zip(held["item_id"].tolist(), (t.split(" ") for t in held["text"]))), least)
+        out: list[tuple] = []
+        for row, doc_id, first, text in zip(documents["row"], documents["doc_id"], documents["first"], documents["text"]):
             hits: dict[int, list[list[int]]] = {}
-            for end, _, state in sam.matches(words(text)):
-                for item in sam.items[sam.home[state]]:
-                    spans = hits.setdefault(item, [])
-                    if spans and spans[-1][1] >= end - sam.least:
-                        spans[-1][1] = end
+            for end, _, state in automaton.matches(text.split(" ")):
+                for item in automaton.items[automaton.home[state]]:
+                    mine = hits.setdefault(item, [])
+                    # Positions come one after the other; those of one match grow its span.
+                    if mine and mine[-1][1] == end - 1:
+                        mine[-1][1] = end
                     else:
-                        spans.append([end - sam.least + 1, end])
-            return [(doc_id, item, sum(b - a + 1 for a, b in spans), [{"first": a, "last": b} for a, b in spans]) for item, spans in hits.items()]
+                        mine.append([end - least + 1, end])
+            out += [(row, doc_id, item, first + a, first + b) for item, found in hits.items() for a, b in found]
+        frame = pd.DataFrame(out, columns=["row", "doc_id", "item_id", "first", "last"], dtype=object)
+        return frame.astype({"row": "int64", "doc_id": "Int64", "item_id": "int64", "first": "int32", "last": "int32"})
+
+    left = streams.select("block", "part", "row", "doc_id", "first", "text").groupBy("block", "part")
+    return left.cogroup(copies.groupBy("block", "part")).applyInPandas(search, SPANS)
 
-        return find
 
-    return map_rows(texts, FOUND, start)
+def merged(found: DataFrame, key: list[str]) -> DataFrame:
+    """Spans of each key that overlap as one: key, words (how many they cover), spans in order.
+
+    What is gathered is bounded by the words of one document.
+    """
+    gathered = found.groupBy(*key).agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("l"))
+    start = F.array().cast("array<struct<first:int,last:int>>")
+
+    def join(done, x):
+        n, top = F.size(done), F.get(done, F.size(done) - 1)
+        grown = F.array_append(F.slice(done, 1, F.greatest(n - 1, F.lit(0))), F.struct(top["first"].alias("first"), F.greatest(top["last"], x["last"]).alias("last")))
+        return F.when((n > 0) & (x["first"] <= top["last"] + 1), grown).otherwise(F.array_append(done, x))
+
+    one = gathered.withColumn("spans", F.aggregate("l", start, join)).drop("l")
+    return one.withColumn("words", F.aggregate("spans", F.lit(0), lambda n, x: n + x["last"] - x["first"] + 1))
+
+
+def leaks(documents: DataFrame, items: DataFrame, least: int = MIN_WORDS, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """One row for each document and item that share at least `least` consecutive words.
+
+    words: how many of the document's words lie in such passages; spans: their first and last word, from 0.
+    Null, empty or short texts match nothing; items of fewer than `least` words cannot leak; a document that comes
+    twice gives its rows twice, an item that comes twice under one id counts once. Other columns are ignored.
+    """
+    texts = documents.where(F.col("text").isNotNull()).select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    found = merged(spans(texts, items, least, block_words), ["row", "doc_id", "item_id"])
+    return found.select("doc_id", "item_id", "words", "spans")
 
 
 CLEAN = "doc_id bigint, text string, removed_words int, total_words int, coverage double, verdict string"
 
 
-def without_leaks(documents: DataFrame, items: DataFrame, least: int = MIN_WORDS, max_span: int = MIN_WORDS, max_coverage: float = 0.3) -> DataFrame:
+def without_leaks(documents: DataFrame, items: DataFrame, least: int = MIN_WORDS, max_span: int = MIN_WORDS, max_coverage: float = 0.3, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Every document with the passages cut out that match more than `max_span` - 1 words of an item.
 
     verdict: `clean` if nothing matched, `cut` if passages were removed, `dropped` (and text null) if they cover more
     than `max_coverage` of the words. Null texts stay null and are `clean`. Removal never touches other words.
+    Rows that share a doc_id are each judged by their own text.
     """
-    blocks = _blocks(items, BLOCK_WORDS)
-    automata = documents.sparkSession.sparkContext.broadcast([build_automaton(block, least) for block in blocks[:1]])
-    if len(blocks) > 1:
-        raise ValueError("cutting reads every document once, so all items must fit one block")
+    # Rows of one doc_id and one text have the same spans, so both name the row.
+    none = F.lit(-(2**63)).cast("bigint")
+    named = documents.select("doc_id", "text", F.coalesce("doc_id", none).alias("_id"), F.xxhash64("text").alias("_print"))
+    keyed = named.where("text IS NOT NULL").select(F.col("_print").alias("row"), F.col("_id").alias("doc_id"), "text")
+    whole = merged(spans(keyed, items, least, block_words), ["doc_id", "row"]).select(F.col("doc_id").alias("_id"), F.col("row").alias("_print"), "spans")
+    whole = stored(whole.withColumn("spans", F.filter("spans", lambda s: s["last"] - s["first"] + 1 >= max_span)).where(F.size("spans") > 0), "spans")
+    untouched, touched = met(named, ["_id", "_print"], whole)
 
     def start():
-        (sam,) = automata.value
-
-        def cut(doc_id: int, text: str | None) -> list[tuple]:
-            tokens = words(text)
-            spans: list[list[int]] = []
-            for end, matched, _ in sam.matches(tokens):
-                first = end - matched + 1
-                if spans and spans[-1][1] >= first - 1:
-                    spans[-1] = [min(spans[-1][0], first), end]
-                else:
-                    spans.append([first, end])
-            spans = [s for s in spans if s[1] - s[0] + 1 >= max_span]
-            if not spans:
-                return [(doc_id, text, 0, len(tokens), 0.0, "clean")]
-            gone = sum(b - a + 1 for a, b in spans)
-            coverage = gone / len(tokens)
-            if coverage > max_coverage:
-                return [(doc_id, None, gone, len(tokens), coverage, "dropped")]
-            # Lower-casing can change lengths, so positions come from the text as it is.
+        def cut(doc_id: int, text: str, gaps: list) -> list[tuple]:
             places = [m.span() for m in WORD.finditer(text)]
+            gone = sum(s["last"] - s["first"] + 1 for s in gaps)
+            coverage = gone / len(places)
+            if coverage > max_coverage:
+                return [(doc_id, None, gone, len(places), coverage, "dropped")]
             kept, at = [], 0
-            if len(places) != len(tokens):
-                return [(doc_id, None, gone, len(tokens), coverage, "dropped")]
-            for a, b in spans:
-                kept.append(text[at : places[a][0]])
-                at = places[b][1]
+            for s in gaps:
+                kept.append(text[at : places[s["first"]][0]])
+                at = places[s["last"]][1]
             kept.append(text[at:])
-            return [(doc_id, "".join(kept), gone, len(tokens), coverage, "cut")]
+            return [(doc_id, "".join(kept), gone, len(places), coverage, "cut")]
 
         return cut
 
-    return map_rows(documents.select("doc_id", "text"), CLEAN, start)
+    words_of = F.coalesce(F.regexp_count("text", F.lit(r"[\p{L}\p{N}]+")), F.lit(0)).cast("int")
+    clean = untouched.select("doc_id", "text").unionByName(touched.where("spans IS NULL").select("doc_id", "text"))
+    clean = clean.select("doc_id", "text", F.lit(0).alias("removed_words"), words_of.alias("total_words"), F.lit(0.0).alias("coverage"), F.lit("clean").alias("verdict"))
+    return clean.unionByName(map_rows(touched.where("spans IS NOT NULL").select("doc_id", "text", "spans"), CLEAN, start))

@@ -7,6 +7,7 @@ it fills up, so that more rows are settled the exact way, with the same result.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +36,13 @@ class Marks:
         met = rows.selectExpr("*", f"{word} AS _word").join(F.broadcast(self.table), "_word", "left")
         return met.withColumn("_in", F.coalesce(F.expr(f"(_bits & {bit}) <> 0"), F.lit(False))).drop("_word", "_bits")
 
+    def array(self) -> np.ndarray:
+        """The bitmap for Python tasks, at most 16 MB: place h >> (64 - bits), bit h & 63 of a key h without sign."""
+        found = self.table.toArrow()
+        words = np.zeros(1 << self.bits, dtype=np.uint64)
+        words[found.column("_word").to_numpy()] = found.column("_bits").to_numpy().view(np.uint64)
+        return words
+
 
 def _hashed(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.withColumn("_h", F.xxhash64(*keys))

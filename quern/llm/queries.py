@@ -54,7 +54,7 @@ def p4_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = leaks.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "eval_items"))
-    return found.select("doc_id", "item_id")
+    return found.select("doc_id", "item_id").distinct()
 
 
 def p6_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,6 +98,22 @@ WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w
 SELECT DISTINCT dg.doc_id, eg.item_id FROM dg JOIN eg USING (g)
 """
 
+#: The words of every document that lie in a shared run of twelve, and what is left without them and what stands between them.
+_P6_CLEAN = r"""
+WITH e AS (SELECT regexp_extract_all(lower(item_text), '[\p{L}\p{N}]+') AS w FROM eval_items WHERE item_text IS NOT NULL),
+     g AS (SELECT DISTINCT array_to_string(w[i : i + 11], ' ') AS g FROM (SELECT w, unnest(range(1, len(w) - 10)) AS i FROM e WHERE len(w) >= 12)),
+     d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents WHERE text IS NOT NULL),
+     h AS (SELECT doc_id, i, array_to_string(w[i : i + 11], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 10)) AS i FROM d WHERE len(w) >= 12)),
+     c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 12)) AS k FROM h SEMI JOIN g USING (g)),
+     n AS (SELECT doc_id, count(*)::INT AS removed FROM c GROUP BY doc_id),
+     p AS (SELECT doc_id, j, x[j] AS x, regexp_matches(x[j], '^[\p{L}\p{N}]') AS word FROM (SELECT doc_id, regexp_extract_all(text, '[\p{L}\p{N}]+|[^\p{L}\p{N}]+') AS x FROM documents SEMI JOIN n USING (doc_id)), unnest(range(1, len(x) + 1)) AS u(j)),
+     q AS (SELECT *, sum(word::INT) OVER (PARTITION BY doc_id ORDER BY j) AS k FROM p),
+     r AS (SELECT q.doc_id, string_agg(x, '' ORDER BY j) FILTER (NOT coalesce(a.k IS NOT NULL AND (word OR b.k IS NOT NULL), false)) AS text FROM q LEFT JOIN c AS a ON a.doc_id = q.doc_id AND a.k = q.k LEFT JOIN c AS b ON b.doc_id = q.doc_id AND b.k = q.k + 1 GROUP BY q.doc_id)
+SELECT t.doc_id, CASE WHEN n.removed IS NULL THEN t.text WHEN n.removed / len(d.w) > 0.3 THEN NULL ELSE coalesce(r.text, '') END AS text, coalesce(n.removed, 0)::INT AS removed_words, coalesce(len(d.w), 0)::INT AS total_words,
+  coalesce(n.removed / len(d.w), 0.0)::DOUBLE AS coverage, CASE WHEN n.removed IS NULL THEN 'clean' WHEN n.removed / len(d.w) > 0.3 THEN 'dropped' ELSE 'cut' END AS verdict
+FROM documents t LEFT JOIN d USING (doc_id) LEFT JOIN n USING (doc_id) LEFT JOIN r USING (doc_id)
+"""
+
 
 _FIELDS = ("id", "text", "doc_id", "doc_title", "revision", "pub_date", "tier", "chunk_type", "control_id", "section_path", "source_url", "sha256_source")
 _P2_CLASSES = (
@@ -121,4 +137,4 @@ FROM sent GROUP BY row_no
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p2_found": _P2, "p2_collapsed": _P2_COLLAPSED, "p3_found": _P3, "p6_found": _P6}
+    return {"p2_found": _P2, "p2_collapsed": _P2_COLLAPSED, "p3_found": _P3, "p6_found": _P6, "p6_clean": _P6_CLEAN}

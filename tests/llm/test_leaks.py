@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -61,11 +60,24 @@ def test_removal(spark):
     assert got[6].text == "filler " * 50_000
 
 
-def test_blocks_give_the_same(spark, monkeypatch):
+def test_any_number_of_blocks_and_parts_gives_the_same(spark):
     documents, items = frames(spark)
-    whole = sorted(tuple(r)[:3] for r in L.leaks(documents.where("doc_id > 0"), items).collect())
-    assert len(L._blocks(items, 20)) > 1
-    assert sorted(tuple(r)[:3] for r in L.leaks(documents.where("doc_id > 0"), items, block_words=20).collect()) == whole
-    monkeypatch.setattr(L, "MAX_BLOCKS", 1)
-    with pytest.raises(ValueError, match="more than"):
-        L.leaks(documents, items, block_words=20)
+    long = " ".join(f"w{k}" for k in range(200))
+    documents = documents.unionByName(spark.createDataFrame([(7, f"x {long} y", "c"), (8, "w5 " + " ".join(long.split()[80:130]), "c")], documents.schema))
+    items = items.unionByName(spark.createDataFrame([(20, long, 1)], items.schema))
+    whole = sorted((r.doc_id, r.item_id, r.words, str(r.spans)) for r in L.leaks(documents.where("doc_id > 0"), items).collect())
+    assert (7, 20, 200) in [w[:3] for w in whole] and (8, 20, 50) in [w[:3] for w in whole]
+    assert L.segments(items, 12, 20).select("block").distinct().count() > 1
+    assert sorted((r.doc_id, r.item_id, r.words, str(r.spans)) for r in L.leaks(documents.where("doc_id > 0"), items, block_words=20).collect()) == whole
+    kept = sorted((r.doc_id or 0, r.verdict, r.text or "") for r in L.without_leaks(documents, items).collect())
+    assert sorted((r.doc_id or 0, r.verdict, r.text or "") for r in L.without_leaks(documents, items, block_words=20).collect()) == kept
+    rows = documents.where("doc_id > 0").selectExpr("doc_id AS row", "doc_id", "text").where("text IS NOT NULL")
+    one = sorted(tuple(r) for r in L.spans(rows, items).collect())
+    assert sorted(tuple(r) for r in L.spans(rows, items, part_words=30).collect()) == one
+
+
+def test_letters_whose_lower_case_is_longer(spark):
+    documents = spark.createDataFrame([(1, "İstanbul İ " * 30 + PASSAGE + " İstanbul")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, PASSAGE)], "item_id bigint, item_text string")
+    row = L.without_leaks(documents, items).first()
+    assert row.verdict == "cut" and row.text == "İstanbul İ " * 30 + " İstanbul" and row.removed_words == 12
