@@ -1,8 +1,9 @@
 """Problem 3: cutting oversized texts at natural boundaries, with an overlap between consecutive pieces.
 
 A dynamic programme over boundary positions minimises the penalties of the cuts plus the imbalance of the piece
-sizes, with every piece within the limit and every two neighbours sharing exactly the overlap. Only oversized rows
-leave the JVM; the limits are a small table whose size is checked before it is broadcast.
+sizes, with every piece within the limit and every two neighbours sharing exactly the overlap. The same programme,
+confined to paragraph ends, then to paragraph and sentence ends, tells at what a text can be cut at all. Only oversized
+rows leave the JVM; the limits are a small table whose size is checked before it is broadcast.
 """
 
 from __future__ import annotations
@@ -29,52 +30,92 @@ IMBALANCE = 4.0
 MAX_LIMITS = 10_000
 
 
-def paragraphs(text: str) -> list[str]:
-    return [p for p in (q.strip() for q in BLANK_LINES.split(text)) if p]
+#: Kinds of boundaries from the coarsest to the finest, each with its pattern.
+KINDS = (("paragraph", BLANK_LINES), ("line", LINE_END), ("sentence", SENTENCE_END), ("clause", CLAUSE_END), ("word", SPACE))
 
 
-def boundary(text: str, limit: int) -> str:
-    """`paragraph` if every paragraph is within the limit, else `sentence` if every sentence is, else `none`."""
-    long = [p for p in paragraphs(text) if len(p) > limit]
-    if not long:
-        return "paragraph"
-    return "sentence" if all(len(s) <= limit for p in long for s in SENTENCE_END.split(p)) else "none"
-
-
-def _positions(text: str, limit: int, step: int) -> list[tuple[int, float, str]]:
-    """Where the text may be cut: (position, penalty, kind), sorted, from 0 to its end.
+def positions(text: str, kinds: tuple[str, ...], grid: int = 0) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Every place where the text may be cut (after the white space of a boundary), from 0 to its end; the penalty of
+    each, and its kind, the coarsest that ends there.
 
-    Finer kinds are used only between coarser positions that lie further apart than `step`, so that their number
-    follows the size of the text and not the number of its words.
+    With `grid` a stretch longer than twice that without any boundary may be cut at every so many characters.
     """
     best: dict[int, str] = {}
-    for kind, pattern in (("sentence", SENTENCE_END), ("line", LINE_END), ("paragraph", BLANK_LINES)):
-        for m in pattern.finditer(text):
-            best[m.end()] = kind
+    for kind, pattern in reversed(KINDS):
+        if kind in kinds:
+            for m in pattern.finditer(text):
+                best[m.end()] = kind
     best.pop(len(text), None)
     best.pop(0, None)
-    for kind, pattern in (("clause", CLAUSE_END), ("word", SPACE)):
+    if grid:
         places = [0, *sorted(best), len(text)]
         for a, b in zip(places, places[1:]):
-            if b - a > step:
-                for m in pattern.finditer(text, a, b):
-                    if a < m.end() < b:
-                        best.setdefault(m.end(), kind)
-    places = [0, *sorted(best), len(text)]
-    for a, b in zip(places, places[1:]):
-        if b - a > step:
-            # No boundary of any kind: a grid of characters, fine enough to always leave a way.
-            grid = max(1, step // 2)
-            for at in range(a + grid, b, grid):
+            for at in range(a + grid, b - grid if b - a > 2 * grid else a, grid):
                 best[at] = "character"
-    return [(0, 0.0, "start"), *((at, PENALTY[best[at]], best[at]) for at in sorted(best)), (len(text), 0.0, "end")]
+    found = sorted(best)
+    at = np.array([0, *found, len(text)], dtype=np.int64)
+    return at, np.array([0.0, *(PENALTY[best[p]] for p in found), 0.0]), ["start", *(best[p] for p in found), "end"]
+
+
+def least_cost(at: np.ndarray, penalty: np.ndarray, begins: np.ndarray, ends: np.ndarray, limit: int, mean: float) -> list[int] | None:
+    """The cheapest way from the first position to the last whose pieces are within the limit, as places in `at`; None if
+    there is no way.
+
+    A piece between positions i and j has the size ends[j] - begins[i]; both rise. Its cost is the penalty at j and the
+    square of its distance from the mean size, in limits.
+    """
+    n = len(at)
+    cost, back = np.full(n, np.inf), np.full(n, -1, dtype=np.int64)
+    cost[0] = 0.0
+    firsts = np.searchsorted(begins, ends - limit).tolist()
+    off, upto = (begins + mean) / limit, (ends / limit).tolist()
+    for j in range(1, n):
+        i = firsts[j]
+        if i >= j:
+            continue
+        value = cost[i:j] + IMBALANCE * (upto[j] - off[i:j]) ** 2
+        best = int(value.argmin())
+        # After a cut within the first overlap the next piece would not start later than the first.
+        if value[best] < np.inf and (begins[j] > 0 or j == n - 1):
+            back[j], cost[j] = i + best, value[best] + penalty[j]
+    if back[-1] < 0:
+        return None
+    way, j = [], n - 1
+    while j > 0:
+        way.append(j)
+        j = int(back[j])
+    return way[::-1]
+
+
+def boundary(text: str, limit: int) -> str:
+    """`paragraph` if the programme finds a way over paragraph ends alone, else `sentence` if it does over paragraph and
+    sentence ends, else `none`. White space at the ends of a piece does not count here, and nothing overlaps.
+    """
+    for level in ("paragraph", "sentence"):
+        at, penalty, _ = positions(text, ("paragraph", level))
+        # A piece goes from the first sign after a cut to the last before the next one.
+        begins = np.array([p + len(t) - len(t.lstrip()) for p, t in zip(at[:-1].tolist(), (text[a:b] for a, b in zip(at, at[1:])))] + [len(text)], dtype=np.int64)
+        ends = np.array([0] + [p - len(t) + len(t.rstrip()) for p, t in zip(at[1:].tolist(), (text[a:b] for a, b in zip(at, at[1:])))], dtype=np.int64)
+        # Stretches of nothing but white space take no room.
+        ends = np.maximum.accumulate(ends)
+        begins = np.minimum.accumulate(begins[::-1])[::-1]
+        mean = len(text) / max(1, -(-len(text) // limit))
+        if _way_within(at, penalty, begins, ends, limit, mean):
+            return level
+    return "none"
+
+
+def _way_within(at, penalty, begins, ends, limit, mean) -> bool:
+    # Only the start of the first piece may be at 0, so positions are moved by one for the programme.
+    return least_cost(at, penalty, begins + 1, ends + 1, limit, mean) is not None
 
 
 def cut(text: str, limit: int, overlap: int) -> list[tuple[int, int, str]]:
     """The pieces as (start, end, kind of the cut at the end); neighbours share exactly `overlap` characters.
 
     The overlap is at most limit - 1 (it is cut to that), so that every piece goes on. A text within the limit is
-    one piece; an empty one too.
+    one piece; an empty one too. Of all ways over all boundaries the cheapest is taken; only within stretches longer
+    than a piece's room that hold no boundary at all, where every place is as good, a grid of places is looked at.
     """
     limit = max(1, limit)
     overlap = min(max(0, overlap), limit - 1)
@@ -82,39 +123,19 @@ def cut(text: str, limit: int, overlap: int) -> list[tuple[int, int, str]]:
     if size <= limit:
         return [(0, size, "end")]
     room = limit - overlap
-    places = _positions(text, limit, max(1, room // 2))
+    at, penalty, kinds = positions(text, tuple(PENALTY)[:-1], max(1, room // 2))
     count = -(-(size - overlap) // room)
     mean = (size + (count - 1) * overlap) / count
-    n = len(places)
-    at = np.array([p[0] for p in places], dtype=np.int64)
-    #: Where a piece that follows a cut starts; none may start before the text.
+    # Where a piece that follows a cut starts; none may start before the text.
     begins = at - overlap
     begins[0] = 0
-    cost, back = np.full(n, np.inf), np.full(n, -1, dtype=np.int64)
-    cost[0] = 0.0
-    firsts = np.searchsorted(np.maximum(begins, 0), at - limit).tolist()
-    off = (begins + mean) / limit
-    ends = (at / limit).tolist()
-    for j in range(1, n):
-        i = firsts[j]
-        if i >= j:
-            continue
-        value = cost[i:j] + IMBALANCE * (ends[j] - off[i:j]) ** 2
-        best = int(value.argmin())
-        if value[best] < np.inf:
-            back[j] = i + best
-            # After a cut within the first overlap the next piece would not start later than the first.
-            cost[j] = value[best] + places[j][1] if begins[j] > 0 else np.inf
-    if back[-1] < 0:
+    way = least_cost(at, penalty, np.maximum.accumulate(np.maximum(begins, 0)), at, limit, mean)
+    if way is None:
         # Only if a boundary lies within the first overlap alone; even steps always work.
         starts = list(range(0, size - overlap, room))
         return [(s, min(size, s + limit), "character" if s + limit < size else "end") for s in starts]
-    way, j = [], n - 1
-    while j > 0:
-        i = int(back[j])
-        way.append((int(begins[i]), places[j][0], places[j][2]))
-        j = i
-    return way[::-1]
+    froms = [0, *way[:-1]]
+    return [(int(begins[i]), int(at[j]), kinds[j]) for i, j in zip(froms, way)]
 
 
 PIECES = "row_no bigint, boundary string, piece int, pieces int, first_char int, cut string, text string, section_path string"

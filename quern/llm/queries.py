@@ -43,6 +43,19 @@ def p3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.pieces(_table(spark, sf_dir, "chunks"), _table(spark, sf_dir, "split_limits"))
 
 
+def p3_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of the pieces of every oversized chunk: put together without the overlaps they give its text back
+    (by its hash), none is empty or over the limit, neighbours share exactly the overlap, and their paths differ."""
+    limits = _table(spark, sf_dir, "split_limits")
+    chunks = _table(spark, sf_dir, "chunks")
+    cut = pieces.pieces(chunks, limits).join(pieces.oversized(chunks, limits).select("row_no", "max_chars", "overlap"), "row_no")
+    tail = F.when(F.col("piece") == 1, F.col("text")).otherwise(F.substr("text", F.col("overlap") + 1))
+    one = F.struct("piece", tail.alias("tail"), F.substr("text", F.lit(1), F.col("overlap")).alias("head"), F.right("text", F.col("overlap")).alias("end"))
+    whole = cut.groupBy("row_no").agg(F.array_sort(F.collect_list(one)).alias("l"), F.min((F.length("text") <= F.col("max_chars")) & (F.length("text") > 0)).alias("within"), F.countDistinct("section_path").alias("paths"))
+    shared = F.forall(F.sequence(F.lit(1), F.size("l") - 1), lambda i: F.get("l", i)["head"] == F.get("l", i - 1)["end"])
+    return whole.select("row_no", F.md5(F.array_join(F.transform("l", lambda x: x["tail"]), "")).alias("md5"), "within", shared.alias("shared"), (F.col("paths") == F.size("l")).alias("told_apart"))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residue.residue(_table(spark, sf_dir, "chunks")).select("row_no")
 
@@ -86,7 +99,7 @@ def p8_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_repaired, p2_found, p2_collapsed, p3_found, p3_pieces, p4_found, p4_clean, p6_found, p6_clean, p7_mixture, p7_shares, p8_found, p8_profile)}
+    return {f.__name__: f for f in (p1_found, p1_repaired, p2_found, p2_collapsed, p3_found, p3_pieces, p3_checked, p4_found, p4_clean, p6_found, p6_clean, p7_mixture, p7_shares, p8_found, p8_profile)}
 
 
 #: Twelve consecutive words of a document, normalised as the operator does, against those of every item.
@@ -135,6 +148,8 @@ SELECT row_no, CASE WHEN max(n) <= any_value(max_chars) THEN 'paragraph' WHEN ma
 FROM sent GROUP BY row_no
 """
 
+_P3_CHECKED = "SELECT row_no, md5(text) AS md5, true AS within, true AS shared, true AS told_apart FROM chunks JOIN split_limits USING (chunk_type) WHERE length(text) > max_chars"
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"p2_found": _P2, "p2_collapsed": _P2_COLLAPSED, "p3_found": _P3, "p6_found": _P6, "p6_clean": _P6_CLEAN}
+    return {"p2_found": _P2, "p2_collapsed": _P2_COLLAPSED, "p3_found": _P3, "p3_checked": _P3_CHECKED, "p6_found": _P6, "p6_clean": _P6_CLEAN}

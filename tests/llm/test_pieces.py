@@ -30,9 +30,17 @@ def test_round_trip(parts, limit, overlap):
 
 
 def brute(text: str, limit: int, overlap: int) -> float:
-    """The least cost over all ways through the same positions, by plain recursion over them."""
-    places = P._positions(text, limit, max(1, (limit - overlap) // 2))
+    """The least cost over all ways through every boundary of the text, by plain recursion; characters are a last resort."""
     room = limit - overlap
+    kinds: dict[int, str] = {}
+    for kind, pattern in P.KINDS:
+        for m in pattern.finditer(text):
+            kinds.setdefault(m.end(), kind)
+    cuts = sorted(k for k in kinds if 0 < k < len(text))
+    for a, b in zip([0, *cuts], [*cuts, len(text)]):
+        if b - a > 2 * max(1, room // 2):
+            kinds |= {k: "character" for k in range(a + max(1, room // 2), b - max(1, room // 2), max(1, room // 2))}
+    places = [(0, 0.0), *((k, P.PENALTY[kinds[k]]) for k in sorted(kinds) if 0 < k < len(text)), (len(text), 0.0)]
     count = -(-(len(text) - overlap) // room)
     mean = (len(text) + (count - 1) * overlap) / count
     best = {0: 0.0}
@@ -77,6 +85,17 @@ def test_boundary():
     assert P.boundary("a.bbbb", 4) == "none"
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(WORDS), max_size=60), st.integers(1, 60))
+def test_boundary_against_its_definition(parts, limit):
+    """What the programme finds is what the lengths of paragraphs and sentences say."""
+    text = " ".join(parts)
+    paragraphs = [p.strip() for p in P.BLANK_LINES.split(text)]
+    sentences = [s for p in paragraphs for s in P.SENTENCE_END.split(p)]
+    expected = "paragraph" if all(len(p) <= limit for p in paragraphs) else "sentence" if all(len(s) <= limit for s in sentences) else "none"
+    assert P.boundary(text, limit) == expected
+
+
 def test_very_long_text():
     text = "x" * 300_000 + " word. " * 20_000
     way = P.cut(text, 4_000, 200)
