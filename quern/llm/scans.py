@@ -1,8 +1,9 @@
 """Problem 1: noise in text from scanned pages.
 
 Three small models, all averaged perceptrons, repair a text: one tells page furniture from text lines by the form of a
-line and its place on the page; one decides at line ends whether a division mark goes (and the halves are joined) or
-stays; one edits characters, choosing for each to keep, replace or delete it, with or without an insertion after it.
+line and its place on the page, by the distance between page breaks too; one decides at line ends whether a division
+mark goes (and the halves are joined) or stays; one edits characters: for each it predicts, over the whole alphabet of
+the corpus, to keep, replace or delete it, with or without an insertion after it, and ranks sequences of such operations.
 
 They are trained here, without hand-made labels: on the words and lines of the corpus itself, which are taken as
 right, and on copies of them spoilt as scanning does it. What counts as a word of the corpus comes from counts over
@@ -38,7 +39,7 @@ CONFUSIONS = [
     ("t", "f"), ("f", "t"), ("f", "ƒ"), ("t", "+"), ("t", "7"), ("t", "l"), ("u", "v"), ("v", "y"), ("y", "v"), ("n", "u"), ("u", "n"), ("n", "ri"), ("n", "h"), ("m", "rn"), ("m", "in"), ("m", "nn"), ("rn", "m"), ("in", "m"),
     ("w", "vv"), ("vv", "w"), ("u", "ii"), ("u", "ü"), ("ii", "u"), ("d", "cl"), ("cl", "d"), ("k", "lc"), ("h", "ln"), ("r", "i"), ("r", "n"), ("p", "n"), ("x", "×"), ("y", "¥"), ("o", "ö"), ("d", "ol"), ("n", "ii"), ("w", "w/"),
 ]
-_CONFUSED = set("0©1|I!ï5$9628@(<¢é3€ƒ+7ü×¥öá/")
+_CONFUSED = {c for _, misread in CONFUSIONS for c in misread if not (c.isascii() and c.isalpha())}
 
 # --- parameters ----------------------------------------------------------------------------------------------------
 
@@ -89,6 +90,8 @@ class Lexicon:
         self.count = {w: n for w, n, _ in rows}
         self.trusted = {w for w, n, scanned in rows if _is_trusted(w, n, scanned)}
         self.sorted = sorted(w for w in self.trusted if "-" not in w)
+        #: Length of the longest word of the corpus, rare ones included.
+        self.longest = max(map(len, self.trusted), default=0)
         self.added: list[str] = []
         self.starts: set[str] = set()
 
@@ -186,7 +189,7 @@ class AskingLexicon(Lexicon):
     """
 
     def __init__(self, words: Lexicon, bitmaps: Bitmaps, bound: float) -> None:
-        self.count, self.sorted, self.added, self.starts = words.count, words.sorted, [], set()
+        self.count, self.sorted, self.longest, self.added, self.starts = words.count, words.sorted, words.longest, [], set()
         self.asked: set[str] = set()
         self.bitmaps, self.bound = bitmaps, bound
         self.trusted = _Asking(words.trusted, bitmaps, self.asked)
@@ -247,34 +250,140 @@ def all_words(texts: DataFrame, least_share: float) -> tuple[Lexicon, DataFrame
     total = counts.agg(F.sum("n")).first()[0] or 0
     frequent = (F.col("n") >= F.lit(least_share * total)) & (F.length("word") <= 60)
     rare = counts.where(~frequent)
-    return Lexicon([tuple(r) for r in counts.where(frequent).collect()]), None if rare.isEmpty() else rare, least_share * total
+    words = Lexicon([tuple(r) for r in counts.where(frequent).collect()])
+    words.longest = counts.agg(F.max(F.length("word"))).first()[0] or 0
+    return words, None if rare.isEmpty() else rare, least_share * total
 
 
 # --- the character editor ------------------------------------------------------------------------------------------
 
+#: Of the operations that training texts need, the share that must be within reach; the margin follows from it.
+REACH = 0.995
+#: Share of spoilt places in training that come from anywhere in the alphabet instead of CONFUSIONS.
+ANYWHERE = 0.02
+
+
+class Operations:
+    """The operation at each character, by a multi-class averaged perceptron over the characters around it.
+
+    An operation is the text that takes the character's place: itself (keep), another letter of the alphabet (replace),
+    nothing (delete), or two letters (insert). weights: by feature, then by operation; `margin`: how far below keeping an
+    operation may score and still be looked at.
+    """
+
+    def __init__(self, weights: dict | None = None, margin: float = 0.0) -> None:
+        self.weights, self.margin = weights or {}, margin
+        self.cache: dict[tuple, list[str]] = {}
+
+    @staticmethod
+    def features(x: str, i: int) -> tuple:
+        before, after = x[i - 1] if i else "^", x[i + 1] if i + 1 < len(x) else "$"
+        return (x[i], before + x[i], x[i] + after + "+", before + x[i] + after)
+
+    def scores(self, x: str, i: int) -> dict[str, float]:
+        found: dict[str, float] = {x[i]: 0.0}
+        for feature in self.features(x, i):
+            for to, weight in self.weights.get(feature, {}).items():
+                found[to] = found.get(to, 0.0) + weight
+        return found
+
+    def likely(self, x: str, i: int) -> list[str]:
+        """The operations other than keeping that are within the margin; they depend on three characters alone."""
+        key = (x[i - 1] if i else "^", x[i], x[i + 1] if i + 1 < len(x) else "$")
+        known = self.cache.get(key)
+        if known is None:
+            if len(self.cache) > 200_000:
+                self.cache.clear()
+            scores = self.scores(x, i)
+            least = scores[x[i]] - self.margin
+            known = self.cache[key] = sorted(to for to, score in scores.items() if to != x[i] and score >= least)
+        return known
+
+    def train(self, words: list[list[tuple[str, str]]], seed: int, rounds: int = 4) -> None:
+        """On words given as (character, right operation)."""
+        rng = random.Random(seed)
+        model = AveragedPerceptron()
+        known: dict[str, set[str]] = defaultdict(set)
+        for word in words:
+            for c, to in word:
+                known[c] |= {c, to}
+
+        def score(fs: tuple, to: str) -> float:
+            return model.score([(f, to) for f in fs])
+
+        for _ in range(rounds):
+            rng.shuffle(words)
+            for word in words:
+                x = "".join(c for c, _ in word)
+                model.tick()
+                for i, (c, right) in enumerate(word):
+                    fs = self.features(x, i)
+                    others = sorted(known[c] - {right})
+                    if not others:
+                        continue
+                    best = max(others, key=lambda to: score(fs, to))
+                    # The right one must lead by one.
+                    if score(fs, right) < score(fs, best) + 1.0:
+                        model.update([(f, right) for f in fs], [(f, best) for f in fs])
+        self.weights = {}
+        for (feature, to), weight in model.averaged().items():
+            self.weights.setdefault(feature, {})[to] = weight
+        gaps = []
+        for word in words:
+            x = "".join(c for c, _ in word)
+            for i, (c, right) in enumerate(word):
+                if right != c:
+                    scores = self.scores(x, i)
+                    gaps.append(scores[c] - scores.get(right, float("-inf")))
+        gaps.sort()
+        # The least lead that was asked for in training is the unit of what words outside of it may differ by.
+        self.margin = max(0.0, gaps[min(len(gaps) - 1, int(REACH * len(gaps)))] + 1.0) if gaps else 0.0
+        self.cache = {}
+
+
+def spoil(word: str, edits: int, alphabet: list[str], rng: random.Random) -> list[tuple[str, str]]:
+    """A word as scanning may give it: its characters, each with the operation that puts it right."""
+    pairs = [(c, c) for c in word]
+    for _ in range(edits):
+        fine = [i for i, (c, to) in enumerate(pairs) if c == to]
+        if not fine:
+            break
+        if rng.random() < ANYWHERE:
+            at = rng.choice(fine)
+            c = pairs[at][0]
+            kind = rng.randrange(3)
+            if kind == 0:
+                pairs[at] = (rng.choice(alphabet), c)
+            elif kind == 1 and at + 1 < len(pairs) and pairs[at + 1][0] == pairs[at + 1][1]:
+                pairs[at : at + 2] = [(c, c + pairs[at + 1][0])]
+            else:
+                pairs.insert(at + 1, (rng.choice(alphabet), ""))
+            continue
+        x = "".join(c for c, _ in pairs)
+        places = [(a, b.lower(), m.start()) for a, b in CONFUSIONS for m in re.finditer(re.escape(a), x) if all(c == to for c, to in pairs[m.start() : m.end()])]
+        if places:
+            # Confusions are drawn first, so that a frequent letter does not crowd the others out.
+            right, misread = rng.choice(sorted({(a, b) for a, b, _ in places}))
+            at = rng.choice([k for a, b, k in places if (a, b) == (right, misread)])
+            operations = (right,) if len(misread) == 1 else (right, *[""] * (len(misread) - 1)) if len(right) == 1 else tuple(right[: len(misread)])
+            pairs[at : at + len(right)] = list(zip(misread, operations))
+    return pairs
+
+
 class Editor:
-    """Edits a word character by character; the perceptron ranks whole sequences of operations.
+    """Edits a word character by character: operations that the model expects, and a perceptron that ranks sequences.
 
-    An operation at a character is the text that takes its place: itself (keep), another letter (replace), nothing
-    (delete), or a letter with another inserted after it. Sequences with up to two edited places are searched, all of
-    them, and those count that lead to a trusted word.
+    Sequences with up to two edited places (an operation, or one with the next character deleted) are searched, all of
+    those within the margin, and those count that lead to a trusted word.
     """
 
-    def __init__(self, words: Lexicon, weights: dict | None = None) -> None:
+    def __init__(self, words: Lexicon, weights: tuple[dict, dict, float] | None = None) -> None:
         self.words = words
-        self.weights = weights or {}
-        self.edits: dict[str, list[tuple[str, tuple[str, ...]]]] = defaultdict(list)
-        for right, misread in sorted(CONFUSIONS):
-            for m in sorted({misread, misread.lower()}):
-                # The operations at each of the misread characters.
-                if len(m) == 1:
-                    operations: tuple[str, ...] = (right,)
-                elif len(right) == 1:
-                    operations = (right, "")
-                else:
-                    operations = tuple(right[: len(m)])
-                if (m, operations) not in self.edits[m[0]]:
-                    self.edits[m[0]].append((m, operations))
+        self.weights, expected, margin = weights or ({}, {}, 0.0)
+        self.operations = Operations(expected, margin)
+
+    def trained(self) -> tuple[dict, dict, float]:
+        return self.weights, self.operations.weights, self.operations.margin
 
     @staticmethod
     def features(x: str, i: int, to: str) -> tuple:
@@ -287,25 +396,31 @@ class Editor:
         parts = [f for i, to in enumerate(operations) for f in self.features(x, i, to)]
         return (*parts, ("f", self.words.bucket(out)), ("n", edits, min(len(x), 12)), ("odd", edits, sum(c in _CONFUSED for c in x)))
 
+    def _places(self, x: str) -> list[tuple[int, int, tuple[str, ...]]]:
+        """(first, end, operations) of every single edit: one operation, or a replacement with the next character deleted."""
+        likely = [self.operations.likely(x, i) for i in range(len(x))]
+        found = [(i, i + 1, (to,)) for i, several in enumerate(likely) for to in several]
+        return found + [(i, i + 2, (to, "")) for i in range(len(x) - 1) if "" in likely[i + 1] for to in likely[i] if to]
+
     def search(self, x: str, score, hidden: str = "") -> list[tuple[float, str, tuple]]:
         """Outcomes with their features, best first: x itself, and the trusted words (but `hidden`) within reach."""
         trusted = self.words.trusted
-        places = [(i, m, ops) for i, c in enumerate(x) for m, ops in self.edits.get(c, ()) if x.startswith(m, i)]
+        places = sorted(self._places(x))
         outcomes: list[tuple[str, list[str], int]] = [(x, list(x), 0)]
-        for i, m, ops in places:
-            out = x[:i] + "".join(ops) + x[i + len(m) :]
+        for i, end, ops in places:
+            out = x[:i] + "".join(ops) + x[end:]
             if out in trusted and out != hidden:
-                outcomes.append((out, [*x[:i], *ops, *x[i + len(m) :]], 1))
+                outcomes.append((out, [*x[:i], *ops, *x[end:]], 1))
         if len(outcomes) == 1 and len(x) >= 5:
-            for n, (i, m, ops) in enumerate(places):
-                head, end = x[:i] + "".join(ops), i + len(m)
+            for n, (i, end, ops) in enumerate(places):
+                head = x[:i] + "".join(ops)
                 if not self.words.begins(head):
                     continue
-                for j, m2, ops2 in places[n + 1 :]:
+                for j, end2, ops2 in places[n + 1 :]:
                     if j >= end:
-                        out = head + x[end:j] + "".join(ops2) + x[j + len(m2) :]
+                        out = head + x[end:j] + "".join(ops2) + x[end2:]
                         if out in trusted and out != hidden:
-                            outcomes.append((out, [*x[:i], *ops, *x[end:j], *ops2, *x[j + len(m2) :]], 2))
+                            outcomes.append((out, [*x[:i], *ops, *x[end:j], *ops2, *x[end2:]], 2))
         found = []
         for out, operations, edits in outcomes:
             f = self._all(x, operations, out, edits)
@@ -313,29 +428,20 @@ class Editor:
         return sorted(found, key=lambda f: (-f[0], f[1]))
 
     def train(self, seed: int = 1, rounds: int = 3) -> None:
-        """On words spoilt by one or two confusions, and on unspoilt ones taken as unknown."""
+        """On words spoilt at one or two places, and on unspoilt ones taken as unknown."""
         rng = random.Random(seed)
         ranked = sorted((w for w in self.words.sorted if len(w) >= 3 and w.isalpha()), key=lambda w: (-self.words.count[w], w))[:SAMPLE_WORDS]
-        pairs = []
-        for word in ranked:
-            for _ in range(3):
-                spoilt = word
-                for _ in range(1 if rng.random() < 0.8 else 2):
-                    fits = [(a, b) for a, b in CONFUSIONS if a in spoilt]
-                    if fits:
-                        a, b = rng.choice(fits)
-                        at = rng.choice([m.start() for m in re.finditer(re.escape(a), spoilt)])
-                        spoilt = spoilt[:at] + b.lower() + spoilt[at + len(a) :]
-                if spoilt != word and spoilt not in self.words.trusted:
-                    pairs.append((spoilt, word))
-            if rng.random() < 0.5:
-                pairs.append((word, word))
+        alphabet = sorted({c for w in ranked for c in w})
+        spoilt = [(spoil(word, 1 if rng.random() < 0.8 else 2, alphabet, rng), word) for word in ranked for _ in range(4)]
+        spoilt = [(pairs, word) for pairs, word in spoilt if (x := "".join(c for c, _ in pairs)) != word and x not in self.words.trusted]
+        self.operations.train([pairs for pairs, _ in spoilt] + [[(c, c) for c in word] for word in ranked], seed)
+        cases = [("".join(c for c, _ in pairs), word) for pairs, word in spoilt] + [(word, word) for word in ranked if rng.random() < 0.5]
         model = AveragedPerceptron()
         for _ in range(rounds):
-            rng.shuffle(pairs)
-            for spoilt, word in pairs:
+            rng.shuffle(cases)
+            for x, word in cases:
                 model.tick()
-                found = self.search(spoilt, model.score, hidden=word if spoilt == word else "")
+                found = self.search(x, model.score, hidden=word if x == word else "")
                 right = next((f for f in found if f[1] == word), None)
                 if right and found[0][1] != word:
                     model.update(right[2], found[0][2])
@@ -343,7 +449,8 @@ class Editor:
 
     def correct(self, x: str) -> str | None:
         """The trusted word that x should be; None to leave it."""
-        if not 2 <= len(x) <= 40:
+        # Two edits take two characters away at most, so what is longer than that is in reach of no word.
+        if not 2 <= len(x) <= self.words.longest + 2:
             return None
         get = self.weights.get
         found = self.search(x, lambda fs: sum(get(f, 0.0) for f in fs))
@@ -369,7 +476,7 @@ class Joiner:
         if word not in self.cache:
             if len(self.cache) > 200_000:
                 self.cache.clear()
-            known = bool(self.editor.weights) and self.editor.correct(word) is not None
+            known = bool(self.editor.operations.weights) and self.editor.correct(word) is not None
             if isinstance(self.words, AskingLexicon) and self.words.asked:
                 return int(known)
             self.cache[word] = known
@@ -447,6 +554,7 @@ class Furniture:
         # A list of short items has no text lines between which furniture could stand.
         listed = sum(len(lines[i].strip()) < 28 for i in filled) > 0.6 * len(filled)
         paged = (any(number), any(self._named(lines[i], about) for i in filled))
+        period = self._periods([weak[i] for i in filled])
         out: list[tuple] = [()] * len(lines)
         for place, i in enumerate(filled):
             line = lines[i].strip()
@@ -466,10 +574,25 @@ class Furniture:
             out[i] = (
                 ("number", number[i]), ("number", number[i], runs_on), ("number", number[i], repeated > 1), ("repeated", repeated), ("repeated", repeated, ends), ("repeated", repeated, runs_on), ("named", named), ("named", named, near), ("named", named, ends), ("named", named, titled or capitals, digits or bars),
                 ("near", near, titled or capitals, ends), ("form", capitals, titled, digits, bars), ("ends", ends), ("words", words), ("runs on", runs_on, open_before), ("runs on", runs_on, ends, titled or capitals), ("full", len(lines[i].rstrip()) > 0.8 * longest, ends), ("first", place == 0, named), ("last", place == len(filled) - 1, number[i]),
-                ("near", near, named, repeated > 1), ("runs on", runs_on, named, number[i]), ("listed", listed), ("listed", listed, number[i], repeated > 1), ("listed", listed, named), ("turn", runs_on or not open_before, repeated > 1, number[i], titled or capitals), ("low", low, number[i], repeated > 1), ("paged", paged, number[i], named, repeated > 1), ("paged", paged, near, runs_on), ("edge", place in (0, len(filled) - 1), repeated > 1, number[i]), ("bias",),
+                ("near", near, named, repeated > 1), ("runs on", runs_on, named, number[i]), ("listed", listed), ("listed", listed, number[i], repeated > 1), ("listed", listed, named), ("turn", runs_on or not open_before, repeated > 1, number[i], titled or capitals), ("low", low, number[i], repeated > 1), ("paged", paged, number[i], named, repeated > 1), ("paged", paged, near, runs_on), ("edge", place in (0, len(filled) - 1), repeated > 1, number[i]), ("period", period[place]), ("period", period[place], number[i], repeated > 1), ("period", period[place], runs_on, named), ("bias",),
             )
         return out
 
+    @staticmethod
+    def _periods(weak: list[bool]) -> list[int]:
+        """Of each text line that may be furniture, how its place fits the pages: 3 if it is as far from the break before
+        or after as those are from each other on the whole, 2 if not, 1 if there are too few breaks to tell; else 0."""
+        starts = [k for k, w in enumerate(weak) if w and not (k and weak[k - 1])]
+        gaps = [b - a for a, b in zip(starts, starts[1:])]
+        usual = sorted(gaps)[len(gaps) // 2] if len(gaps) > 1 else None
+        out, group = [0] * len(weak), -1
+        for k, w in enumerate(weak):
+            if w:
+                group += not (k and weak[k - 1])
+                mine = gaps[max(0, group - 1) : group + 1]
+                out[k] = 1 if usual is None else 3 if any(abs(g - usual) <= 2 for g in mine) else 2
+        return out
+
     @staticmethod
     def _named(line: str, about: tuple[str, ...]) -> bool:
         """Whether the line is mostly made of what the row says of its document."""
@@ -551,7 +674,7 @@ def _paged(text: str, doc_id: str, title: str, path: str | None, rng: random.Ran
     n, total, letter = rng.randint(1, 60), rng.randint(60, 99), rng.choice("ABCDEF")
     number = rng.choice([lambda n: str(n), lambda n: f"Page {n}", lambda n: f"PAGE {n} OF {total}", lambda n: f"Page {n}/{total}", lambda n: f"- {n} -", lambda n: f"— {n} —", lambda n: f"[{n}]", lambda n: f"{n} |", lambda n: f"{letter}-{n}", lambda n: f"{n} of {total}", _roman])
     header = rng.choice([
-        lambda n: f"{section} | {doc_id}", lambda n: f"{doc_id} — uncontrolled when printed", lambda n: title.upper(), lambda n: title, lambda n: f"Draft of 2020-{rng.randint(10, 12)}  *  {title}", lambda n: f"{doc_id}    {title}", lambda n: f"{title}    {n}",
+        lambda n: f"{section} | {doc_id}", lambda n: f"{doc_id} — {' '.join(text.split()[:3])}", lambda n: title.upper(), lambda n: title, lambda n: f"Draft of 2020-{rng.randint(10, 12)}  *  {title}", lambda n: f"{doc_id}    {title}", lambda n: f"{title}    {n}",
         lambda n: f"APPENDIX {letter}    PAGE {letter}-{n}", lambda n: f"CHAPTER {rng.randint(1, 9)}    {section.upper()}", lambda n: f"{n}    {section}", lambda n: f"{doc_id}, {title}", lambda n: f"For official use only — {doc_id}",
     ])
     with_number, with_header = rng.choice([(True, True), (True, True), (True, False), (False, True)])
@@ -593,7 +716,7 @@ _PLAIN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
 class Repairer:
     """The three models and the lexicon, as every task uses them."""
 
-    def __init__(self, words: Lexicon, editor: dict, joiner: dict, furniture: dict) -> None:
+    def __init__(self, words: Lexicon, editor: tuple[dict, dict, float], joiner: dict, furniture: dict) -> None:
         self.words = words
         self.editor = Editor(words, editor)
         self.joiner = Joiner(words, self.editor, joiner)
@@ -733,17 +856,22 @@ class Repairer:
         return wrong
 
     def _may_have_furniture(self, text: str, doc_id: str | None, title: str | None, path: str | None) -> bool:
+        """Whether a line may be furniture at all: it is a page number, names what the row tells of its document, speaks of
+        a page, or comes again, with or without a number that changes."""
         if "\n" not in text:
             return False
-        if _NUMBER_LINE.search(f"\n{text}\n"):
+        lines = [x for x in map(str.strip, text.split("\n")) if x]
+        if any(len(x) < 40 and PAGE_NUMBER.match(x) for x in lines):
             return True
         low = text.lower()
         if (doc_id and doc_id.lower() in low) or (title and title.lower() in low) or "page " in low:
             return True
-        # A header that comes again, with or without a number that changes.
-        short = [x for x in map(str.strip, text.split("\n")) if x and len(x) < 90 and x[-1] not in ".!?,;:"]
+        short = [x for x in lines if len(x) < 90 and x[-1] not in ".!?,;:"]
         if len(short) != len(set(short)):
             return True
+        about = Furniture.about(doc_id, title, path)
+        if sum(Furniture._named(x, about) for x in short) > (Furniture._named(lines[0], about) if lines else 0):
+            return True
         shapes = [_shape(x) for x in short if any(c.isdigit() for c in x)]
         return len(shapes) != len(set(shapes))
 
@@ -792,7 +920,7 @@ def prepare(chunks: DataFrame, least_share: float = LEAST_SHARE) -> tuple[tuple[
     rows = chunks.where("text IS NOT NULL AND length(text) BETWEEN 300 AND 20000").select("text", "doc_id", "doc_title", "section_path", F.xxhash64("row_no").alias("h")).orderBy("h", "text").limit(SAMPLE_ROWS).collect()
     furniture = Furniture()
     furniture.train([tuple(r)[:4] for r in rows if not scan_signs(r.text, set())])
-    return (words, editor.weights, joiner.weights, furniture.weights), rare, bound
+    return (words, editor.trained(), joiner.weights, furniture.weights), rare, bound
 
 
 def _with_models(chunks: DataFrame, schema: str, rows_of, least_share: float) -> DataFrame:
@@ -839,7 +967,7 @@ def _with_models(chunks: DataFrame, schema: str, rows_of, least_share: float) ->
         words, *weights = shared.value
         # Of its own, as other tasks of this process may use the shared one.
         mine = Lexicon([])
-        mine.count, mine.trusted, mine.sorted = dict(words.count), set(words.trusted), words.sorted
+        mine.count, mine.trusted, mine.sorted, mine.longest = dict(words.count), set(words.trusted), words.sorted, words.longest
         repairer = Repairer(mine, *weights)
 
         def run(rare_words, *values):
