@@ -329,11 +329,27 @@ def sentence_score(family: str, sentence: str, alone: bool) -> float:
     return score
 
 
+def _each(*parts: str) -> list[str]:
+    """Every way to put together one choice of each part."""
+    out = [""]
+    for part in parts:
+        out = [x + choice for x in out for choice in part.split("|")]
+    return out
+
+
+_STOPGAPS = "text|word|wording|content|copy|title|heading|summary|description"
 #: Words without which no sentence of the family scores enough.
-CUES: dict[str, str] = {
-    "error_page": "not found|not be |n't be|available|longer exist|not exist|n't exist|has been|have been|offline|is down|are down|failed to|too long|timed out|time-out|timeout|expired|run out|no answer|no data|no reply|no response|not respond|not answer|not load|only open|forbidden|bad gateway|bad request|denied|internal |server error|too many|unauthori|refused|rejected|blocked|http|error|status|code|fatal|critical:|panic:|exception|traceback|stack trace|stacktrace|.java:|fault|unable to|cannot|could not|can't|couldn't|you lack|you do not|you don't|you are not|you requested|you asked|you are looking|sorry|oops|whoops|sign in|log in|went wrong|broke|nicht |abgelaufen|fehler|verweigert|encontr|denegado|disponible|existe|caducado|introuvable|indisponible|refusé|erreur|expiré|exhausted",
-    "script_notice": "script|js|active content|aktive inhalte|skript|browser|cookies|you are human|you are a human|navegador|navigateur",
-    "filler": "here|in this|on this|at this|click to|tap to|to edit|replace this|swap|overwrite this|delete this|dummy|filler|placeholder|blind |sample|example |body text|some text|more text|main text|how the|real wording|real text|final |actual |proper |suppl|to follow|coming soon|not yet|yet to|later|something|aquí|texte ici|hier steht",
+CUES: dict[str, list[str]] = {
+    "error_page": [
+        *"not found|not be |n't be|not available|unavailable|inaccessible|unreachable|not accessible|not reachable|longer exist|longer available|not exist|n't exist|offline|is down|are down|was down|is gone|are gone|is missing|failed to|too long|timed out|time-out|timeout|expired|run out|no answer|no data|no reply|no response|not respond|not answer|not load|not start|not reach|not open|not connect|only open|forbidden|bad gateway|bad request|denied|internal fault|internal error|internal server|server error|too many requests|unauthorized.|unauthorised.|unauthorized:|unauthorized\n|refused|request blocked|request was|request rejected|rejected by|access blocked|http|fatal|critical:|panic:|uncaught|exception:|exception(|traceback|stack trace|stacktrace|.java:|file \"|fault:|error(|unable to|cannot load|cannot open|cannot display|cannot show|cannot find|cannot connect|cannot reach|could not load|could not find|can't |couldn't |you lack|you do not|you don't|you are not|you requested|you asked|you are looking|sorry|oops|whoops|alas|went wrong|broke on|exhausted|nicht ge|nicht er|nicht ver|nicht an|nicht mehr|abgelaufen|fehler|verweigert|encontr|denegado|no est|no existe|caducado|introuvable|indisponible|refus|erreur|n'existe|n'a pas|expir".split("|"),
+        *_each("error|status|code", " 1| 2| 3| 4| 5|: |:1|:2|:3|:4|:5| #"), *_each("been |has |have ", "taken off|moved|removed|deleted|renamed|withdrawn|ended|closed|timed"),
+    ],
+    "script_notice": "script|js|active content|aktive inhalte|skript|browser|you are human|you are a human|navegador|navigateur".split("|"),
+    "filler": [
+        *_each("go|goes|come|comes|belong|belongs|appear", " here| in here"), *_each(_STOPGAPS, " here|s here| in this| on this| at this|s in this| to follow| coming soon| to be suppl| to be writ| to be prov| to be added"),
+        *_each("in |on |at ", "this ", "spot|place|space|block|box|section|field"), *_each("click |tap |double-click |click here |tap here ", "to "), *_each("replace|swap|overwrite|delete", " this "), *_each("dummy|filler|placeholder|blind|sample|example|body|some|more|main", " ", "copy|text|content|wording|paragraph|sentence|words|headline"),
+        *_each("how the ", "page|layout|design|text|column"), *_each("real|final|actual|proper", " ", "wording|text|copy|content|words"), *_each("not yet |yet to |still to |has not |not been |yet been ", "suppl|provid|writ|deliver|been suppl|been prov|been writ|been deli"), "something about", "something here", "few words", "some words", "a sentence", "your text", "aquí va", "texte ici", "hier steht",
+    ],
 }
 _KEYBOARD, _FAMILY_NAMES = -1, tuple(SAID)
 
@@ -341,7 +357,7 @@ _KEYBOARD, _FAMILY_NAMES = -1, tuple(SAID)
 def _cue_automaton() -> ahocorasick.Automaton:
     by_cue: dict[str, set[int]] = {}
     for number, family in enumerate(_FAMILY_NAMES):
-        for cue in CUES[family].split("|"):
+        for cue in CUES[family]:
             by_cue.setdefault(cue, set()).add(number)
     for cue in _KEY_STARTS:
         by_cue.setdefault(cue, set()).add(_KEYBOARD)
@@ -354,7 +370,7 @@ def _cue_automaton() -> ahocorasick.Automaton:
 
 _CUES = _cue_automaton()
 _BREAK = re.compile(r"(?<=[.!?;])[\"'”’)]*\s+|\n+|(?<=\|)\s+(?=[A-Z])")
-_SPACES = re.compile(r"[ \t\u00a0]+")
+_SPACES = re.compile(r" {2,}|[ \t\u00a0]*[\t\u00a0][ \t\u00a0]*")
 #: A line that ends within a sentence goes on in the next one; a capital may also begin a new one after a heading.
 _WRAP = re.compile(r"(?<=[^\n.!?:])\n(?=[^\n])")
 
