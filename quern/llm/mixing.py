@@ -259,32 +259,33 @@ def blocks(tokens: DataFrame, planned: list[dict], block_tokens: int = BLOCK_TOK
     """source, block (from 0), parts, ids: the tokens of each block that fills a slot, and the documents they are from."""
     by_source = {t["source"]: (number, t) for number, t in enumerate(planned)}
 
-    def start_places():
-        def wanted(row: int, doc_id: int, source: str, n: int, place: int) -> list[tuple]:
-            number, about = by_source[source]
-            mine = np.arange(place // block_tokens, (place + n - 1) // block_tokens + 1)
-            mine = mine[used(mine, about, number, block_tokens, seed)]
-            return [(row, place, mine.tolist())] if len(mine) else []
-
-        return wanted
+    def wanted(batches):
+        for batch in batches:
+            n, place = (batch.column(i).to_numpy() for i in (2, 3))
+            first = place // block_tokens
+            many = (place + n - 1) // block_tokens - first + 1
+            of = np.repeat(np.arange(len(n)), many)
+            mine = first[of] + np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many)
+            sources = np.array([by_source[x][0] for x in batch.column(1).to_pylist()], dtype=np.int64)
+            kept = np.zeros(len(of), dtype=bool)
+            for number in np.unique(sources):
+                these = sources[of] == number
+                kept[these] = used(mine[these], planned[number], int(number), block_tokens, seed)
+            counts = np.bincount(of[kept], minlength=len(n))
+            rows = np.flatnonzero(counts)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts[rows])]).astype(np.int32)), pa.array(mine[kept]))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), pa.array(place[rows]), lists], names=["row", "place", "blocks"])
 
     # Slim rows tell which documents have tokens in a block that is used; only those are shuffled with their tokens.
-    places = stored(map_rows(placed(tokens), "row bigint, place bigint, blocks array<bigint>", start_places), "places")
+    places = stored(placed(tokens).select("row", "source", "tokens", "place").mapInArrow(wanted, "row bigint, place bigint, blocks array<bigint>"), "places")
     told = Marks(places, "row").tell(tokens.select("row", "doc_id", "source", "ids"), "row").where("_in").drop("_in")
     joined = told.join(places.hint("merge"), "row")
 
-    def start_parts():
-        def cut(doc_id: int, source: str, ids: list[int], place: int, wanted: list[int]) -> list[tuple]:
-            out = []
-            for block in wanted:
-                first, last = max(0, block * block_tokens - place), min(len(ids), (block + 1) * block_tokens - place)
-                out.append((source, block, {"at": place + first, "doc_id": doc_id, "from_token": first, "to_token": last, "ids": ids[first:last]}))
-            return out
-
-        return cut
-
-    part = "source string, block bigint, part struct<at:bigint,doc_id:bigint,from_token:int,to_token:int,ids:array<int>>"
-    cut = map_rows(joined.select("doc_id", "source", "ids", "place", "blocks"), part, start_parts)
+    # Each row's tokens are sliced as they are exploded, so no row is copied for its blocks.
+    one = joined.select("doc_id", "source", "ids", "place", F.explode("blocks").alias("block"))
+    first, last = F.greatest(F.lit(0), F.col("block") * block_tokens - F.col("place")).cast("int"), F.least(F.size("ids"), (F.col("block") + 1) * block_tokens - F.col("place")).cast("int")
+    part = F.struct((F.col("place") + first).alias("at"), "doc_id", first.alias("from_token"), last.alias("to_token"), F.slice("ids", first + 1, last - first).alias("ids"))
+    cut = one.select("source", "block", part.alias("part"))
     # A block has at most block_tokens parts, as each holds a token at least.
     grouped = cut.groupBy("source", "block").agg(F.array_sort(F.collect_list("part")).alias("l"))
     named = F.transform("l", lambda p: F.struct(p["at"].alias("at"), p["doc_id"].alias("doc_id"), p["from_token"].alias("from_token"), p["to_token"].alias("to_token")))
