@@ -28,7 +28,7 @@ def tree(files: DataFrame) -> DataFrame:
     """Nodes of all catalogs with what the rows need: order (sorts depth first, parameters before parts before children)."""
     flat = nested.nodes(files, "file_id", "mini_catalog", "catalog", list(nested.OSCAL_KINDS), _COLUMNS)
     code = F.create_map(*[F.lit(x) for pair in {"groups": "0", "params": "1", "parts": "2", "controls": "3"}.items() for x in pair])
-    order = F.array_join(F.transform(F.split("path", r"\."), lambda x, i: F.when(i % 2 == 0, code[x]).otherwise(F.lpad(x, 6, "0"))), ".")
+    order = F.array_join(F.transform(F.split("path", r"\."), lambda x, i: F.when(i % 2 == 0, code[x]).otherwise(F.lpad(x, 10, "0"))), ".")
     # One property alone may stand without its array.
     props = F.coalesce(F.from_json("props", _PROPS), F.array(F.from_json("props", _PROPS[6:-1])))
     return flat.select("file_id", "kind", "path", "parent", "ordinal", "node_id", "title", "name", F.coalesce("prose", F.lit("")).alias("prose"), F.filter(props, lambda p: p.isNotNull()).alias("props"), "label", "select", order.alias("order"))
@@ -63,12 +63,12 @@ def param_index(nodes: DataFrame) -> DataFrame:
     """
     own = nodes.where("kind = 'params' AND node_id <> ''").select("file_id", "node_id", "order", render_param(F.col("node_id"), F.col("label"), F.col("select")).alias("rendered"))
     index = own.groupBy("file_id", F.col("node_id").alias("param_id")).agg(F.max_by("rendered", "order").alias("rendered"))
-    index = stored(index, "params")
+    raw = index = stored(index, "params")
     for _ in range(MAX_PASSES - 1):
         open_ = index.where(F.col("rendered").rlike(MARKER))
         if open_.isEmpty():
             break
-        closed = _substituted(open_, ["file_id", "param_id"], "rendered", index).drop("unresolved")
+        closed = _substituted(open_, ["file_id", "param_id"], "rendered", raw).drop("unresolved")
         index = stored(index.where(~F.col("rendered").rlike(MARKER)).unionByName(closed), "params")
     return index
 
@@ -103,13 +103,13 @@ def part_lines(parts: DataFrame) -> DataFrame:
     marked = parts.join(has_children, ["file_id", "path"], "left").withColumn("control", control).withColumn("top", top).where("control <> ''")
     # The section's own part names the section and gives the method.
     method = F.get(F.filter("props", lambda p: p["name"] == "method"), 0)["value"]
-    heads = marked.where("path = top").select("file_id", "top", F.col("name").alias("section"), F.coalesce(method, F.lit("METHOD")).alias("method"))
+    heads = marked.where("path = top").select("file_id", "top", F.col("name").alias("section"), F.coalesce(method, F.lit("METHOD")).alias("method"), F.col("order").alias("top_order"))
     met = marked.join(heads, ["file_id", "top"]).withColumn("own", F.col("path") == F.col("top"))
     unlabelled = F.col("own") | ((F.col("section") == "assessment-method") & (F.col("parent") == F.col("top")))
     met = met.withColumn("_label", F.when(unlabelled, "").otherwise(part_label(F.col("props"))))
     text = F.rtrim(F.concat(F.when(F.col("_label") != "", F.concat("_label", F.lit(" "))).otherwise(""), F.col("prose")))
     line = F.when((F.col("prose") != "") | ((F.col("_label") != "") & F.col("_inner").isNull()), text)
-    return met.select("file_id", "control", "top", "section", "method", "order", line.alias("line"), "own")
+    return met.select("file_id", "control", "top", "top_order", "section", "method", "order", line.alias("line"), "own")
 
 
 def controls(nodes: DataFrame) -> DataFrame:
@@ -151,10 +151,10 @@ def parse_catalogs(files: DataFrame, assessment_doc: str | None = "assessment")
     statements = joined(lines.where("section = 'statement'"), [])
     guidance = joined(lines.where("section = 'guidance'"), ["top"])
     objectives = joined(lines.where("section = 'assessment-objective'"), [])
-    blocks = joined(lines.where("section = 'assessment-method' AND NOT own"), ["top", "method"]).where("trim(body) <> ''")
+    blocks = joined(lines.where("section = 'assessment-method' AND NOT own"), ["top", "top_order", "method"]).where("trim(body) <> ''")
     title_case = F.array_join(F.transform(F.split(F.lower("method"), "(?<=[^a-z])(?=[a-z])"), F.initcap), "")
     block = F.concat(title_case, F.lit(": "), F.trim("body"))
-    methods = blocks.groupBy("file_id", "control").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("top", block.alias("b")))), lambda x: x["b"]), "\n\n").alias("body"))
+    methods = blocks.groupBy("file_id", "control").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("top_order", block.alias("b")))), lambda x: x["b"]), "\n\n").alias("body"))
 
     def section(bodies: DataFrame, kind_order: int, chunk_type: Column, doc_id: Column, heading: Column, path: Column) -> DataFrame:
         met = live.join(bodies.withColumnRenamed("control", "path"), ["file_id", "path"])

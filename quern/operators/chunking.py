@@ -49,16 +49,16 @@ def hard_split(paragraph: Column, limit: int) -> Column:
     return F.aggregate(sentences, start, pack, finish)
 
 
-def _packed(blocks: Column, target: int) -> Column:
+def _packed(blocks: Column, target: int, most: int) -> Column:
     """Blocks joined by blank lines into parts of at most `target`, each starting with the last block of the part before
-    unless that is long (half the target) or would push the part over the hard limit."""
+    unless that is long (half the target) or would push the part over the hard limit `most`."""
     start = F.struct(F.array().cast("array<string>").alias("parts"), F.array().cast("array<string>").alias("current"), F.lit(0).alias("length"))
 
     def add(state: Column, block: Column) -> Column:
         n, size = F.size(state["current"]), F.length(block)
         overflow = (n > 0) & (state["length"] + size + 2 > target)
         tail = F.element_at(state["current"], -1)
-        overlap = (F.length(tail) < target // 2) & (F.length(tail) + 2 + size <= schemas.MAX_TEXT)
+        overlap = (F.length(tail) < target // 2) & (F.length(tail) + 2 + size <= most)
         after = F.struct(
             F.array_append(state["parts"], F.array_join(state["current"], "\n\n")).alias("parts"),
             F.when(overlap, F.array(tail, block)).otherwise(F.array(block)).alias("current"),
@@ -83,17 +83,18 @@ def balance(parts: Column, least: int = LEAST_PART) -> Column:
     return F.when((F.size(folded) > 1) & (F.length(folded[0]) < least), first).otherwise(folded)
 
 
-def split_text(text: Column, target: int = schemas.TARGET_PART, least: int | None = None) -> Column:
-    """The parts of a text, cut between paragraphs where possible, with one paragraph of overlap."""
+def split_text(text: Column, target: int = schemas.TARGET_PART, most: int = schemas.MAX_TEXT) -> Column:
+    """The parts of a text, cut between paragraphs where possible, with one paragraph of overlap; parts under an eighth of
+    the target are folded into a neighbour."""
     blocks = F.flatten(F.transform(T.paragraphs(text), lambda p: F.when(F.length(p) > target, hard_split(p, target)).otherwise(F.array(p))))
-    return balance(_packed(blocks, target), target // 8 if least is None else least)
+    return balance(_packed(blocks, target, most), target // 8)
 
 
 def split_rows(rows: DataFrame, max_len: int = schemas.MAX_TEXT, target: int = schemas.TARGET_PART) -> DataFrame:
     """Rows over `max_len` as parts, numbered from 1 in id and section_path; adds part (0 for whole rows)."""
     # Short rows never meet the packing expressions, which are not compiled.
     small = rows.where(F.coalesce(F.length("text") <= max_len, F.lit(True))).withColumn("part", F.lit(0))
-    parts = rows.where(F.length("text") > max_len).withColumn("_parts", split_text(F.col("text"), target, LEAST_PART))
+    parts = rows.where(F.length("text") > max_len).withColumn("_parts", split_text(F.col("text"), target, max_len))
     big = parts.select(*[c for c in parts.columns if c != "_parts"], F.posexplode("_parts").alias("_n", "_piece"), F.size("_parts").alias("_of"))
     several = F.col("_of") > 1
     label = F.concat(F.lit(" (part "), (F.col("_n") + 1).cast("string"), F.lit(")"))

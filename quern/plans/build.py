@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quern import schemas
 from quern.functions import text as T
 from quern.operators import chunking, dedupe, quality, rules
-from quern.plans.text import normal_sql
+from quern.plans import chunk_sql
 from quern.sources import artifacts
 
 
@@ -86,7 +86,20 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def chunked_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chunks normalised, stripped, merged and split."""
-    rows, _ = chunking.chunk_rows(_rows(spark, sf_dir))
+    return _printed(chunking.chunk_rows(_rows(spark, sf_dir))[0])
+
+
+def split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All texts cut at a tenth of the usual limit, so that most of them are: between paragraphs, sentences and words."""
+    return _printed(chunking.split_rows(_table(spark, sf_dir, "chunks"), 800, 600))
+
+
+def split_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All texts cut so short that sentences are too long, and some words."""
+    return _printed(chunking.split_rows(_table(spark, sf_dir, "chunks"), 60, 40))
+
+
+def _printed(rows: DataFrame) -> DataFrame:
     return rows.select("row_no", "id", "part", "chunk_type", "section_path", F.length("text").alias("chars"), F.sha2("text", 256).alias("sha256"))
 
 
@@ -105,10 +118,7 @@ def _merged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return merged.select("row_no", "doc_id", "chunk_type", "text"), rejected.select("doc_id", "ref", "rule").distinct()
 
 
-_MERGE = """WITH r AS (SELECT row_no, doc_id, id, chunk_type, split_part(text, chr(10), 1) AS text FROM chunks),
-s AS (SELECT *, coalesce(chunk_type = 'section' AND length(text) < 200, false) AS short FROM r),
-i AS (SELECT *, sum(CASE WHEN short THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY row_no) - CASE WHEN short THEN 0 ELSE 1 END AS island FROM s),
-o AS (SELECT doc_id, island, row_no AS at, coalesce(chunk_type = 'section', false) AS fits FROM i WHERE NOT short)"""
+_MERGE = f"WITH r AS (SELECT row_no, doc_id, id, chunk_type, text FROM chunks),\n{chunk_sql.ISLANDS}"
 
 
 def incremental_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,7 +185,7 @@ def rows_of_retrieved(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        tagged_rows, validated_rows, rejections_by_rule, near_duplicates, chunked_rows, trailing_stubs, merged_sections, incremental_skip, fetch_action_counts, sample_rows, counts_by_document_and_type, family_counts, length_stats,
+        tagged_rows, validated_rows, rejections_by_rule, near_duplicates, chunked_rows, split_rows, split_words, trailing_stubs, merged_sections, incremental_skip, fetch_action_counts, sample_rows, counts_by_document_and_type, family_counts, length_stats,
         text_bytes, expected_counts, control_list, export_order, logged_rejections, rows_without_manifest, rows_of_retrieved,
     )
 }
@@ -189,9 +199,15 @@ SELECT CASE WHEN format IN ('embedded-in-oscal', 'web') THEN 'skipped' WHEN form
     "validated_rows": _VALID + "SELECT row_no, id, doc_id FROM v WHERE late IS NULL",
     "rejections_by_rule": _VALID + "SELECT 'validate' AS stage, rule, count(*) AS n FROM (SELECT rule FROM t WHERE rule IS NOT NULL UNION ALL SELECT late FROM v WHERE late IS NOT NULL) GROUP BY rule",
     "trailing_stubs": _MERGE + " SELECT DISTINCT i.doc_id, i.id AS ref, 'trailing_furniture' AS rule FROM i LEFT JOIN o ON o.doc_id IS NOT DISTINCT FROM i.doc_id AND o.island = i.island WHERE short AND NOT coalesce(fits, false)",
-    "merged_sections": _MERGE
-    + ", g AS (SELECT i.doc_id, o.at, string_agg(text, chr(10) || chr(10) ORDER BY row_no) AS stubs FROM i JOIN o ON o.doc_id IS NOT DISTINCT FROM i.doc_id AND o.island = i.island WHERE short AND fits GROUP BY ALL)"
-    + f" SELECT row_no, i.doc_id, chunk_type, CASE WHEN stubs IS NULL THEN text ELSE {normal_sql('(stubs || chr(10) || chr(10) || text)')} END AS text FROM i LEFT JOIN g ON g.doc_id IS NOT DISTINCT FROM i.doc_id AND g.at = row_no WHERE NOT short",
+    "merged_sections": _MERGE + f" SELECT row_no, i.doc_id, chunk_type, {chunk_sql.MERGED} AS text FROM i LEFT JOIN g ON g.doc_id IS NOT DISTINCT FROM i.doc_id AND g.at = row_no WHERE NOT short",
+    "chunked_rows": chunk_sql.CHUNKED,
+    "split_rows": chunk_sql.split_alone(800, 600),
+    "split_words": chunk_sql.split_alone(60, 40),
+    "near_duplicates": r"""WITH RECURSIVE k AS MATERIALIZED (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS i, dense_rank() OVER (ORDER BY coalesce(title, '')) AS l, dense_rank() OVER (ORDER BY lower(regexp_replace(regexp_replace(text, '\s+', ' ', 'g'), '^\s+|\s+$', '', 'g'))) AS r FROM documents WHERE text IS NOT NULL),
+g(i, doc_id, verdict, ls, rs) AS (SELECT 0::BIGINT, NULL::BIGINT, NULL::VARCHAR, []::BIGINT[], []::BIGINT[]
+UNION ALL SELECT k.i, k.doc_id, CASE WHEN list_contains(ls, l) THEN 'left' WHEN list_contains(rs, r) THEN 'right' ELSE 'accepted' END,
+  CASE WHEN list_contains(ls, l) OR list_contains(rs, r) THEN ls ELSE list_append(ls, l) END, CASE WHEN list_contains(ls, l) OR list_contains(rs, r) THEN rs ELSE list_append(rs, r) END FROM g JOIN k ON k.i = g.i + 1)
+SELECT doc_id, verdict FROM g WHERE i > 0""",
     "counts_by_document_and_type": "SELECT CASE grouping_id(doc_id, chunk_type) WHEN 1 THEN 'document' WHEN 2 THEN 'type' ELSE 'total' END AS level, coalesce(doc_id, chunk_type) AS name, count(*) AS n FROM chunks GROUP BY GROUPING SETS ((doc_id), (chunk_type), ())",
     "family_counts": "SELECT CASE WHEN grouping(f) = 1 THEN 'TOTAL' ELSE f END AS family, "
     + ", ".join(f"count_if(chunk_type = '{k}')::BIGINT AS {k}" for k in ("control", "control_enhancement", "control_discussion", "assessment_objective", "assessment_method"))

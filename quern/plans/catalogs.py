@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.operators import catalog
+from quern.plans import catalog_sql
 
 
 def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,16 +48,4 @@ def baseline_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (catalog_rows, catalog_rejections, catalog_counts, catalog_part_names, catalog_params, catalog_unresolved, baseline_rows)}
-_TREE = """
-WITH RECURSIVE f AS (SELECT file_id, CASE WHEN json_valid(mini_catalog) THEN mini_catalog::JSON END AS j FROM catalog_files),
-n(file_id, kind, path, j) AS (
-  SELECT file_id, '', '', j->'catalog' FROM f WHERE json_type(j->'catalog') = 'OBJECT'
-  UNION ALL
-  SELECT file_id, name, path || '/' || name, child FROM (
-    SELECT n.file_id, n.path, s.name, CASE json_type(n.j->s.name) WHEN 'ARRAY' THEN (n.j->s.name)->i ELSE n.j->s.name END AS child
-    FROM n, (VALUES ('groups'), ('controls'), ('params'), ('parts')) AS s(name),
-         unnest(range(CASE json_type(n.j->s.name) WHEN 'ARRAY' THEN json_array_length(n.j->s.name)::INT WHEN 'OBJECT' THEN 1 ELSE 0 END)) AS u(i)
-  ) WHERE json_type(child) = 'OBJECT'
-)
-"""
-ORACLES = {"catalog_part_names": _TREE + "SELECT j->>'name' AS name, count(*) AS n FROM n WHERE kind = 'parts' AND contains(path, '/controls/parts') GROUP BY 1"}
+ORACLES = catalog_sql.ORACLES | {"catalog_part_names": catalog_sql.TREE + "SELECT j->>'name' AS name, count(*) AS n FROM a WHERE kind = 'parts' AND regexp_matches(path, '(?:^|\\.)controls\\.\\d+\\.parts\\.') GROUP BY 1"}

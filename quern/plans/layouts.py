@@ -71,13 +71,15 @@ def dehyphenated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def impact_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders by status and priority as a grid with blank columns and ragged rows, transcribed."""
+    """All orders by status and level of priority as a grid with blank columns and ragged rows, transcribed."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    cells = orders.groupBy("o_orderstatus").pivot("o_orderpriority").count()
-    names = sorted(c for c in cells.columns if c != "o_orderstatus")[:3]
+    rank = F.substring("o_orderpriority", 1, 1)
+    level = F.when(rank.isin("1", "2"), "HIGH").when(rank == "3", "MODERATE").otherwise("LOW")
+    counts = orders.groupBy("o_orderstatus").agg(*[F.count_if(level == n).alias(n) for n in ("LOW", "MODERATE", "HIGH")])
     label = F.when(F.col("o_orderstatus") == "F", "CONFIDENTIALITY: keeping").when(F.col("o_orderstatus") == "O", "Integrity").otherwise("Availability -  being there.")
-    row = F.array(label, F.lit(" "), *[F.concat(F.lit(" n = "), F.col(f"`{n}`").cast("string")) for n in names])
-    grid = cells.agg(F.array_sort(F.collect_list(row)).alias("g")).select(F.concat(F.array(F.array(F.lit(""), F.lit(None), F.lit("LOW"), F.lit("MODERATE"), F.lit("HIGH"))), "g").alias("g"))
+    row = F.array(label, F.lit(" "), *[F.concat(F.lit(" n = "), F.col(n).cast("string")) for n in ("LOW", "MODERATE", "HIGH")])
+    # One row for each of the three statuses.
+    grid = counts.agg(F.array_sort(F.collect_list(row)).alias("g")).select(F.concat(F.array(F.array(F.lit(""), F.lit(None), F.lit("LOW"), F.lit("MODERATE"), F.lit("HIGH"))), "g").alias("g"))
     return grid.select(layout.transcribe_impact_table(layout.trim_grid(F.col("g"))).alias("text"))
 
 
@@ -98,6 +100,10 @@ _S = r"regexp_replace(text, '^\s+|\s+$', '', 'g')"
 _BODY = f"""WITH {_LINES}, w AS (SELECT doc_id, size, sum(length(text)) AS w, min(line_no) AS first FROM l GROUP BY ALL),
 b AS (SELECT doc_id, size AS body_size FROM w QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY w DESC, first) = 1)"""
 ORACLES = {
+    "impact_table": """WITH o AS (SELECT CASE o_orderstatus WHEN 'F' THEN 2 WHEN 'O' THEN 3 ELSE 1 END AS k, CASE WHEN left(o_orderpriority, 1) IN ('1', '2') THEN 'HIGH' WHEN left(o_orderpriority, 1) = '3' THEN 'MODERATE' ELSE 'LOW' END AS level FROM orders),
+n AS (SELECT k, name, definition, level, l, (SELECT count(*) FROM o WHERE o.k = v.k AND o.level = w.level) AS n FROM (VALUES (1, 'Availability', 'being there'), (2, 'Confidentiality', 'keeping'), (3, 'Integrity', NULL)) AS v(k, name, definition), (VALUES (1, 'LOW'), (2, 'MODERATE'), (3, 'HIGH')) AS w(l, level)),
+t AS (SELECT k, 0 AS l, name || ' (definition): ' || definition AS line FROM n WHERE l = 1 AND definition IS NOT NULL UNION ALL SELECT k, l, name || ' / ' || level || ': n = ' || n FROM n)
+SELECT string_agg(line, chr(10) ORDER BY k, l) AS text FROM t""",
     "body_sizes": _BODY + " SELECT * FROM b",
     "repeating_lines": f"WITH {_LINES}, k AS (SELECT doc_id, regexp_replace(regexp_replace(lower({_S}), '\\s+', ' ', 'g'), '\\d+', '#', 'g') AS key, page FROM l WHERE length({_S}) >= 3), p AS (SELECT doc_id, max(page) AS n FROM l GROUP BY doc_id) SELECT doc_id, key FROM k JOIN p USING (doc_id) GROUP BY doc_id, key HAVING count(DISTINCT page) > greatest(2, 0)",
     "contents": f"WITH {_LINES}, p AS (SELECT doc_id, max(page) AS n FROM l GROUP BY doc_id) SELECT doc_id, page FROM l JOIN p USING (doc_id) WHERE page <= greatest(3, floor(n * 0.2)) AND regexp_matches({_S}, '(?i)^[^\\s][^\\n]{{2,90}}?[\\s.]+(\\d{{1,3}}|[ivxl]{{1,6}})$') GROUP BY doc_id, page",

@@ -26,12 +26,20 @@ def _table(field: str):
     return query
 
 
+def p5_linked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of all flat tables, properties too, with what its parent is, found by the surrogate keys alone."""
+    fields = list(nested.OSCAL_COLUMNS)
+    rows = nested.nodes(_files(spark, sf_dir), "file_id", "mini_catalog", "catalog", fields, {"name": ("name",)})
+    parents = rows.select(F.col("node_key").alias("parent_key"), F.col("kind").alias("parent_kind"), F.col("node_id").alias("parent_id"), F.col("name").alias("parent_name"))
+    return rows.join(parents, "parent_key", "left").select("file_id", "kind", "path", "ordinal", "node_id", "name", "parent_kind", "parent_id", "parent_name")
+
+
 def p5_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The merged schema of all catalogs."""
     return nested.infer_schema(_files(spark, sf_dir), "mini_catalog", "catalog")
 
 
-QUERIES = {f.__name__: f for f in (p5_found, *(_table(f) for f in nested.OSCAL_COLUMNS), p5_schema)}
+QUERIES = {f.__name__: f for f in (p5_found, *(_table(f) for f in nested.OSCAL_COLUMNS), p5_linked, p5_schema)}
 
 _TREE = """
 WITH RECURSIVE f AS (SELECT file_id, CASE WHEN json_valid(mini_catalog) THEN mini_catalog::JSON END AS j FROM catalog_files),
@@ -46,3 +54,12 @@ n(file_id, kind, path, parent, ordinal, j) AS (
 )
 """
 ORACLES = {"p5_found": _TREE + "SELECT file_id, rtrim(kind, 's') AS node_kind, path AS node_path, parent AS parent_path, coalesce(j->>'id', '') AS node_id FROM n WHERE kind <> ''"}
+
+_ALL = _TREE.replace("('parts'))", "('parts'), ('props'))")
+ORACLES["p5_linked"] = _ALL + "SELECT n.file_id, n.kind, n.path, n.ordinal::INT AS ordinal, coalesce(n.j->>'id', '') AS node_id, n.j->>'name' AS name, p.kind AS parent_kind, coalesce(p.j->>'id', CASE WHEN p.kind IS NULL THEN NULL ELSE '' END) AS parent_id, p.j->>'name' AS parent_name FROM n LEFT JOIN n p ON n.parent <> '' AND p.file_id = n.file_id AND p.path = n.parent AND p.kind <> '' WHERE n.kind <> ''"
+#: Fields of all nodes with their types and the depth of the deepest, as the merged schema has them.
+ORACLES["p5_schema"] = r"""WITH RECURSIVE f AS (SELECT CASE WHEN json_valid(mini_catalog) THEN mini_catalog::JSON END AS j FROM catalog_files),
+n(kind, depth, j) AS (SELECT 'catalog', 0, j->'catalog' FROM f WHERE json_type(j->'catalog') = 'OBJECT'
+  UNION ALL SELECT field, depth + 1, c FROM (SELECT n.depth, k AS field, unnest(CASE json_type(n.j->k) WHEN 'ARRAY' THEN (n.j->k)::JSON[] ELSE [n.j->k] END) AS c FROM n, unnest(json_keys(n.j)) AS u(k)) WHERE json_type(c) = 'OBJECT')
+SELECT kind, field, CASE json_type(j->field) WHEN 'OBJECT' THEN 'object' WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'NULL' THEN 'null' WHEN 'DOUBLE' THEN 'double' WHEN 'ARRAY' THEN CASE WHEN list_contains(list_transform((j->field)::JSON[], lambda x: json_type(x)), 'OBJECT') THEN 'array<object>' ELSE 'array' END ELSE 'bigint' END AS type, max(depth)::INT AS depth
+FROM n, unnest(json_keys(j)) AS u(field) GROUP BY ALL"""

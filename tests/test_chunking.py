@@ -77,7 +77,7 @@ def sequential_parts(text: str, target: int, least: int) -> list[str]:
 def test_split_text(spark):
     rng = random.Random(2)
     texts = ["\n\n".join("".join(rng.choices("ab. ", k=rng.randint(1, 90))) for _ in range(rng.randint(1, 25))) for _ in range(300)]
-    df = spark.createDataFrame(list(enumerate(texts)), "k int, t string").select("k", chunking.split_text(F.col("t"), 80, 10).alias("p"))
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, t string").select("k", chunking.split_text(F.col("t"), 80).alias("p"))
     for r in df.collect():
         assert r.p == sequential_parts(texts[r.k], 80, 10)
 
