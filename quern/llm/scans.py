@@ -57,6 +57,8 @@ WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
 PAGE_NUMBER = re.compile(
     r"^\s*(?:[-–—|\[(]\s?)?(?:(?:page|p\.|seite|pag\.?)\s*)?(?:\d{1,4}|[ivxlcdm]{1,8}|[A-Z]-\d{1,4})(?:\s*(?:of|/|von|de)\s*\d{1,4})?(?:\s?[-–—|\])])?\s*$", re.I
 )
+#: What such a line may end with.
+_NUMBER_ENDS = frozenset("0123456789ivxlcdmIVXLCDM-–—|])")
 _SPOILT = re.compile(r"[a-z][0-9@©|!ƒ(ï][a-z]{2}|^[0-9@©|ƒ][a-z]{4}", re.I)
 _SOFT = tuple(f"{mark}{space}\n" for mark in MARKS for space in ("", " "))[1:]
 _NUMBER_LINE = re.compile(r"\n[ ]*(?:[-–—|\[(]\s?)?(?:page\s|p\.\s)?(?:[0-9]{1,4}|[ivxl]{1,6}|[A-Z]-[0-9]{1,3})(?:\s?(?:of|/)\s?[0-9]+)?(?:\s?[-–—|\])])?[ ]*(?=\n)", re.I)
@@ -517,6 +519,7 @@ class Joiner:
 
 # --- page furniture ------------------------------------------------------------------------------------------------
 
+_DIGIT = re.compile(r"\d")
 _DIGITS = re.compile(r"\d+|\b[ivxlcdm]+\b", re.I)
 
 
@@ -543,7 +546,8 @@ class Furniture:
         filled = [i for i, x in enumerate(lines) if x.strip()]
         longest = max((len(lines[i].rstrip()) for i in filled), default=0)
         # The text lines before and after, with those that may be furniture passed over.
-        weak = [number[i] or times[shapes[i]] > 1 or self._named(lines[i], about) for i in range(len(lines))]
+        names = [self._named(x, about) for x in lines]
+        weak = [number[i] or times[shapes[i]] > 1 or names[i] for i in range(len(lines))]
         earlier, later = [""] * len(filled), [""] * len(filled)
         for place in range(1, len(filled)):
             i = filled[place - 1]
@@ -553,7 +557,7 @@ class Furniture:
             later[place] = later[place + 1] if weak[i] else lines[i].strip()
         # A list of short items has no text lines between which furniture could stand.
         listed = sum(len(lines[i].strip()) < 28 for i in filled) > 0.6 * len(filled)
-        paged = (any(number), any(self._named(lines[i], about) for i in filled))
+        paged = (any(number), any(names))
         period = self._periods([weak[i] for i in filled])
         out: list[tuple] = [()] * len(lines)
         for place, i in enumerate(filled):
@@ -563,7 +567,7 @@ class Furniture:
             runs_on = open_before and (after[:1].islower() or before[-1] in MARKS)
             near = any(number[j] for j in filled[max(0, place - 1) : place + 2] if j != i)
             repeated = min(3, times[shapes[i]])
-            named = self._named(line, about)
+            named = names[i]
             ends = line[-1] in ".!?,;:"
             split = line.split()
             capitals, low = line.isupper(), line[0].islower()
@@ -861,7 +865,7 @@ class Repairer:
         if "\n" not in text:
             return False
         lines = [x for x in map(str.strip, text.split("\n")) if x]
-        if any(len(x) < 40 and PAGE_NUMBER.match(x) for x in lines):
+        if any(len(x) < 40 and x[-1] in _NUMBER_ENDS and PAGE_NUMBER.match(x) for x in lines):
             return True
         low = text.lower()
         if (doc_id and doc_id.lower() in low) or (title and title.lower() in low) or "page " in low:
@@ -869,10 +873,12 @@ class Repairer:
         short = [x for x in lines if len(x) < 90 and x[-1] not in ".!?,;:"]
         if len(short) != len(set(short)):
             return True
-        about = Furniture.about(doc_id, title, path)
-        if sum(Furniture._named(x, about) for x in short) > (Furniture._named(lines[0], about) if lines else 0):
-            return True
-        shapes = [_shape(x) for x in short if any(c.isdigit() for c in x)]
+        for part in path.lower().split(" > ") if path else ():
+            # A section's name above its text is its heading.
+            name = part.lstrip("0123456789. ")
+            if len(name) > 3 and name in low and any(name in x.lower() for x in short if x is not lines[0]):
+                return True
+        shapes = [_shape(x) for x in short if _DIGIT.search(x)]
         return len(shapes) != len(set(shapes))
 
     @staticmethod
