@@ -1,6 +1,7 @@
 """python -m quern STAGE: the stages of a build, from files to files.
 
     manifest   MANIFEST                        check a manifest; all problems, exit 1 if any
+    verify     MANIFEST REPORT                 probe every address, write the report; exit 1 if any does not answer
     fetch      MANIFEST FOLDER                 fetch what is missing into FOLDER/raw (--include-web, --force)
     catalog    FILES MANIFEST PROVENANCE OUT   rows and rejections of catalogs (Parquet of file_id, doc_id, mini_catalog)
     lines      LINES MANIFEST PROVENANCE OUT   rows and rejections of laid-out documents (Parquet of lines)
@@ -19,8 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern import schemas
-from quern.operators import catalog, chunking, layout, ordered, publications, quality, rules
-from quern.session import local_session
+from quern.operators import catalog, chunking, ordered, publications, quality, rules
+from quern.session import local_session, release
 from quern.sources import artifacts, fetch, manifest, records, sinks
 
 
@@ -32,16 +33,16 @@ def _write(rows: DataFrame, rejections: DataFrame, out: str) -> None:
 def _rows(spark: SparkSession, folder: str) -> DataFrame:
     """Rows of JSON lines, with seq in the order of documents and ids."""
     read = spark.read.schema(schemas.ROW).json(folder)
-    numbered = ordered.running_sum(read.orderBy("doc_id", "id").withColumn("at", F.monotonically_increasing_id()).withColumn("one", F.lit(1)), "seq", F.lit(1), ["one"], "at")
-    return numbered.drop("at", "one")
+    return ordered.positions(read, [F.col("doc_id"), F.col("id"), F.xxhash64(*schemas.ROW_FIELDS)], "seq")
 
 
-def main(arguments: list[str], spark: SparkSession | None = None) -> int:
+def main(arguments: list[str], spark: SparkSession | None = None, client: fetch.Client | None = None) -> int:
     parser = argparse.ArgumentParser(prog="quern", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
-    parser.add_argument("stage", choices=("manifest", "fetch", "catalog", "lines", "chunk", "validate", "export"))
+    parser.add_argument("stage", choices=("manifest", "verify", "fetch", "catalog", "lines", "chunk", "validate", "export"))
     parser.add_argument("paths", nargs="+")
     parser.add_argument("--include-web", action="store_true")
     parser.add_argument("--force", action="store_true")
+    parser.add_argument("--sample", nargs="*", default=[], help="ids of rows to show")
     parser.add_argument("--assessment", default=None, help="document to which assessment rows belong")
     options = parser.parse_args(arguments)
     spark, paths = spark or local_session(), options.paths
@@ -52,12 +53,25 @@ def main(arguments: list[str], spark: SparkSession | None = None) -> int:
             print(error, file=sys.stderr)
             return 1
         return 0
+    if options.stage == "verify":
+        documents = manifest.read_manifest(spark, paths[0])
+        checks = fetch.verify(spark, documents, client)
+        Path(paths[1]).write_text(sinks.verification_report(documents, checks))
+        dead = checks.where("url IS NOT NULL AND NOT coalesce(status BETWEEN 200 AND 299, false)").count()
+        print(f"{dead} addresses do not answer")
+        return int(dead > 0)
     if options.stage == "fetch":
-        documents = [r.asDict() for r in manifest.read_manifest(spark, paths[0]).collect()]
-        done = fetch.fetch_all(documents, Path(paths[1]), include_web=options.include_web, force=options.force)
+        done = fetch.fetch_all(spark, manifest.read_manifest(spark, paths[0]), Path(paths[1]), client, options.include_web, options.force)
         for name, (action, detail) in done.items():
             print(f"{action:<15} {name} {detail}")
         return int(any(action == "failed" for action, _ in done.values()))
+    done = _stage(options, spark, paths)
+    release(spark)
+    return done
+
+
+def _stage(options: argparse.Namespace, spark: SparkSession, paths: list[str]) -> int:
+    """The stages from rows to rows; their intermediate tables go when the result is written."""
     if options.stage in ("catalog", "lines"):
         source, documents, provenance, out = paths
         about, known = manifest.read_manifest(spark, documents), artifacts.read_provenance(spark, provenance)
@@ -66,13 +80,17 @@ def main(arguments: list[str], spark: SparkSession | None = None) -> int:
             counts.groupBy("family").pivot("kind").sum("n").orderBy("family").show(1_000)
         else:
             rows, rejections = publications.parse_publications(spark.read.schema(schemas.LINE).parquet(source))
-            rows = layout.with_ids(rows.withColumn("seq", F.monotonically_increasing_id()))
-        _write(records.with_document(rows, about, known), rejections, out)
+            rows = publications.identified(rows)
+        full = records.with_document(rows, about, known)
+        _write(full, rejections, out)
+        if options.sample:
+            asked = spark.createDataFrame([(x,) for x in options.sample], "id string")
+            quality.by_ids(spark.read.schema(schemas.ROW).json(f"{out}/rows").withColumn("seq", F.lit(0)), asked).show(len(options.sample), False, True)
         return 0
     if options.stage == "chunk":
         read = records.read_interim(spark, paths[0])
-        ordered_rows = records.strict_rows(read.orderBy("file_name", "line_no")).withColumn("at", F.monotonically_increasing_id()).withColumn("one", F.lit(1))
-        rows, rejections = chunking.chunk_rows(ordered.running_sum(ordered_rows, "seq", F.lit(1), ["one"], "at").drop("at", "one"))
+        numbered = ordered.positions(read, [F.col("file_name"), F.col("line_no")], "seq")
+        rows, rejections = chunking.chunk_rows(records.strict_rows(numbered, keep=("seq",)))
         _write(rows, rejections, paths[1])
         return 0
     if options.stage == "validate":

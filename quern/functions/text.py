@@ -150,16 +150,19 @@ def _resolved(base: Column, href: Column) -> Column:
     root = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
     page = F.regexp_replace(base, r"[?#].*\z", "")
     folder = F.when(page.rlike("^[^:]+://[^/]*\\z"), F.concat(page, F.lit("/"))).otherwise(F.regexp_replace(page, "[^/]*\\z", ""))
-    joined = F.concat(folder, F.regexp_replace(href, r"^(?:\./)+", ""))
-    for _ in range(4):
-        joined = F.regexp_replace(joined, r"(?<=[^/:])/(?!\.\./)[^/]+/\.\./", "/")
-    return F.when(href.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), href).when(href.startswith("//"), F.concat(scheme, href)).when(href.startswith("/"), F.concat(root, href)).otherwise(joined)
+    joined = F.when(href.startswith("/"), F.concat(root, href)).otherwise(F.concat(folder, href))
+    # Of the path, each parent folder takes the last one away; a last one of either kind leaves a folder.
+    start = F.length(root) + 2
+    segments = F.split(F.substr(joined, start), "/")
+    walked = F.aggregate(segments, F.array().cast("array<string>"), lambda done, x: F.when(x == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))).when(x == ".", done).otherwise(F.array_append(done, x)))
+    plain = F.concat(root, F.lit("/"), F.array_join(walked, "/"))
+    return F.when(href.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), href).when(href.startswith("//"), F.concat(scheme, href)).otherwise(F.when(segments.isNotNull() & (F.exists(segments, lambda x: x.isin(".", ".."))), plain).otherwise(joined))
 
 
 def pdf_links(html: Column, base_url: Column, doc_id: Column, preferred_host: str = "nvlpubs.nist.gov") -> Column:
     """Array of (score, url), best first: https links to PDF files that name the publication (2) or its home (1).
 
-    Double slashes, parent folders up to four levels and fragments are resolved; links with no score are left out.
+    Double slashes, parent folders and fragments are resolved; links with no score are left out.
     """
     number = document_number(doc_id)
     hrefs = F.regexp_extract_all(html, F.lit("(?i)href=[\"']([^\"']+?\\.pdf)[\"']"), 1)

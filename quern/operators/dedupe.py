@@ -14,9 +14,6 @@ from pyspark.sql import functions as F
 
 from quern.session import stored
 
-#: More rounds than any chain of alternating duplicates in sight; a longer chain goes on, this is only a guard.
-MAX_ROUNDS = 1_000
-
 
 def greedy(rows: DataFrame, order: str, left: str, right: str, registers: str | None = None) -> DataFrame:
     """order, verdict, of: for every row `accepted`, `left` or `right` (the key it shares; left first) or `unregistered`.
@@ -24,10 +21,11 @@ def greedy(rows: DataFrame, order: str, left: str, right: str, registers: str |
     `of` is the accepted row it repeats. `order` must be unique. Null keys are shared with nobody. Rows whose
     `registers` is false are compared with accepted rows before them but never accepted.
     """
-    keys = rows.select(F.col(order).alias("o"), F.xxhash64(left, F.lit(1)).alias("h"), F.col(left).alias("l"), F.sha2(F.col(right), 256).alias("r"), (F.coalesce(F.col(registers), F.lit(False)) if registers else F.lit(True)).alias("reg")).drop("h")
+    keys = rows.select(F.col(order).alias("o"), F.col(left).alias("l"), F.sha2(F.col(right), 256).alias("r"), (F.coalesce(F.col(registers), F.lit(False)) if registers else F.lit(True)).alias("reg"))
     keys = stored(keys, "dedupe-keys")
     candidates, accepted = keys.where("reg").drop("reg"), None
-    for _ in range(MAX_ROUNDS):
+    # The first undecided row of all is decided in every round, so this ends.
+    while True:
         least_left = candidates.where("l IS NOT NULL").groupBy("l").agg(F.min("o").alias("ol"))
         least_right = candidates.where("r IS NOT NULL").groupBy("r").agg(F.min("o").alias("or"))
         leading = candidates.join(least_left, "l", "left").join(least_right, "r", "left")
@@ -38,8 +36,6 @@ def greedy(rows: DataFrame, order: str, left: str, right: str, registers: str |
         candidates = stored(rest.select("o", "l", "r"), "dedupe-rest")
         if candidates.isEmpty():
             break
-    else:
-        raise RuntimeError("duplicates form a chain of unheard-of length")
     by_left = accepted.where("l IS NOT NULL").select("l", F.col("o").alias("al"))
     by_right = accepted.where("r IS NOT NULL").select("r", F.col("o").alias("ar"))
     found = keys.join(by_left, "l", "left").join(by_right, "r", "left")

@@ -105,30 +105,24 @@ def with_levels(lines: DataFrame) -> DataFrame:
     return lines.join(body_font_size(lines), KEY).withColumn("level", heading_level(F.col("text"), F.col("size"), F.coalesce("bold", F.lit(False)), F.col("body_size")))
 
 
-#: Headings deeper than this are treated alike in trails; dotted numbers of real publications end before it.
-MAX_LEVEL = 9
-
-
 def sectioned(lines: DataFrame) -> DataFrame:
     """Content lines with section (its number in the document, 0 before the first heading), level of a heading line, and
     trail (the headings above the section's own, outermost first) with the section's heading.
 
     The last heading of level k above a line is an ancestor if no higher heading stands between them: no stack is needed.
     """
-    # What is read more than once is written once: a running sum or carried value reads its input twice.
-    content = stored(with_levels(without_furniture(lines)).withColumn("level", F.when(F.col("level") > MAX_LEVEL, MAX_LEVEL).otherwise(F.col("level"))), "content")
-    numbered = stored(ordered.running_sum(content, "section", F.when(F.col("level").isNotNull(), 1).otherwise(0), KEY, "line_no"), "numbered")
-    heads = numbered.where("level IS NOT NULL").select(*KEY, "line_no", "section", "level", T.strip(F.col("text")).alias("heading"), "page")
-    values = {f"a{k}": F.when(F.col("level") == k, F.struct("line_no", "heading")) for k in range(1, MAX_LEVEL)}
-    above = ordered.carried(stored(heads, "heads"), values, KEY, "line_no", current=False)
+    content = ordered.ranged(with_levels(without_furniture(lines)), KEY, "line_no", "content")
+    # A number of a hundred signs has fifty levels at most; usual ones have few, and there are as many columns.
+    deepest = content.agg(F.max("level")).first()[0] or 0
+    place = F.struct("line_no", T.strip(F.col("text")).alias("heading"), "level")
+    carry = {"_head": F.when(F.col("level").isNotNull(), place)} | {f"_a{k}": F.when(F.col("level") == k, place) for k in range(1, deepest)}
+    met = ordered.along(content, KEY, "line_no", {"section": F.when(F.col("level").isNotNull(), 1).otherwise(0)}, carry)
     trail = []
-    for k in range(1, MAX_LEVEL):
-        higher = F.greatest(*[F.coalesce(F.col(f"a{j}.line_no"), F.lit(-1)) for j in range(1, k)], F.lit(-1), F.lit(-1))
-        trail.append(F.when((F.col("level") > k) & (F.col(f"a{k}.line_no") > higher), F.col(f"a{k}.heading")))
-    sections = above.select(*KEY, "section", F.col("level").alias("section_level"), "heading", F.col("page").alias("section_page"), F.array_compact(F.array(*trail)).alias("trail"))
-    renamed = sections.select(F.col("doc_id").alias("_doc"), F.col("section").alias("_section"), *sections.columns[2:])
-    joined = numbered.join(renamed, (F.col("doc_id") == F.col("_doc")) & (F.col("section") == F.col("_section")), "left").drop("_doc", "_section")
-    return joined.withColumn("trail", F.coalesce("trail", F.array().cast("array<string>"))).withColumn("heading", F.coalesce("heading", F.lit(""))).withColumn("section_level", F.coalesce("section_level", F.lit(0)))
+    for k in range(1, deepest):
+        higher = F.greatest(*[F.coalesce(F.col(f"_a{j}.line_no"), F.lit(-1)) for j in range(1, k)], F.lit(-1), F.lit(-1))
+        trail.append(F.when((F.col("_head.level") > k) & (F.col(f"_a{k}.line_no") > higher), F.col(f"_a{k}.heading")))
+    above = F.array_compact(F.array(*trail)) if trail else F.array().cast("array<string>")
+    return met.select(*content.columns, "section", F.coalesce("_head.level", F.lit(0)).alias("section_level"), F.coalesce("_head.heading", F.lit("")).alias("heading"), above.alias("trail"))
 
 
 def body_start_pages(lines: DataFrame) -> DataFrame:
@@ -200,7 +194,7 @@ def extract_definitions(lines: DataFrame, key: list[str] | None = None) -> DataF
     key = key or KEY
     text = T.strip(F.col("text"))
     starts = lines.withColumn("_t", text).withColumn("_start", F.col("_t").rlike(DEFINITION))
-    numbered = ordered.running_sum(starts, "entry", F.col("_start").cast("int"), key, "line_no").where("entry > 0")
+    numbered = ordered.along(starts, key, "line_no", {"entry": F.col("_start").cast("int")}).where("entry > 0")
     term = F.max(F.when(F.col("_start"), clean_heading(F.regexp_extract("_t", DEFINITION, 1))))
     part = F.struct("line_no", F.when(F.col("_start"), F.regexp_extract("_t", DEFINITION, 2)).otherwise(F.col("_t")).alias("p"))
     grouped = numbered.groupBy(*key, "entry").agg(term.alias("term"), F.array_sort(F.collect_list(part)).alias("_p"), F.min("line_no").alias("first_line"))
@@ -217,9 +211,8 @@ def extract_blocks(lines: DataFrame, pattern: str, stop: str | None = None, max_
     opens = text.rlike(pattern)
     closes = (F.col("level") <= max_span_level) | (text.rlike(stop) if stop else F.lit(False))
     event = F.when(opens, "open").when(F.coalesce(closes, F.lit(False)), "close")
-    lines = stored(lines, "block-lines")
-    marked = ordered.carried(lines.withColumn("_text", text).withColumn("_event", event), {"state": F.col("_event")}, KEY, "line_no")
-    numbered = ordered.running_sum(stored(marked, "block-events"), "block", F.when(F.col("_event") == "open", 1).otherwise(0), KEY, "line_no").where("state = 'open'")
+    marked = lines.withColumn("_text", text).withColumn("_event", event)
+    numbered = ordered.along(marked, KEY, "line_no", {"block": F.when(F.col("_event") == "open", 1).otherwise(0)}, {"state": F.col("_event")}).where("state = 'open'")
     trail = F.array_join(F.filter(F.transform(F.filter("trail", lambda h: ~h.rlike(DROPPED_ANCESTOR)), clean_heading), lambda h: h != ""), " > ")
     # An identifier that is itself the heading would otherwise be in its own path.
     path = F.when(F.col("level").isNotNull(), trail).otherwise(F.concat_ws(" > ", F.nullif(trail, F.lit("")), F.nullif(clean_heading(F.col("heading")), F.lit(""))))
@@ -284,15 +277,64 @@ def emit_blocks(blocks: DataFrame, chunk_type: str, min_chars: int = 120, label:
     return rows, _rejection(joined.where(F.length("text") < min_chars), F.col("key"), "block_too_short", F.concat(F.length("text").cast("string"), F.lit(" chars on page "), F.col("page").cast("string")))
 
 
+#: An id that another one would get as its k-th repeat: the other id, and k.
+_NUMBERED_ID = r"^(.+)-([2-9]|[1-9]\d+)\z"
+
+
 def with_ids(rows: DataFrame, order: str = "seq") -> DataFrame:
-    """Adds id, with -2, -3 … for repeated ones in the order of emission; one that a natural id already has moves on."""
+    """Adds id: the natural one for the first row that has it, then the natural one with the least number from 2 on that no
+    earlier row has, in the order of emission. `order` is unique.
+
+    Numbers that natural ids already hold are passed over (`intro-2` may be a heading of its own), and a natural id that
+    an earlier repeat has taken is itself numbered. Which numbers are passed over follows from counts: a number k of an
+    id is reached by a certain repeat, and taken if the row whose natural id it is comes later. So only the ids that
+    look like a numbered other one are gone through, not the rows.
+    """
     made = rows.withColumn("_id", T.make_id(F.col("doc_id"), F.col("chunk_type"), F.col("slug")))
-    ranked = ordered.running_sum(made, "_n", F.lit(1), ["_id"], order)
-    natural = made.select(F.col("_id").alias("id")).distinct().withColumn("_taken", F.lit(True))
-    first = ranked.withColumn("id", F.when(F.col("_n") == 1, F.col("_id")).otherwise(F.concat("_id", F.lit("-"), F.col("_n").cast("string"))))
-    met = first.join(natural, "id", "left")
-    again = (F.col("_n") > 1) & F.coalesce("_taken", F.lit(False))
-    return met.withColumn("id", F.when(again, F.concat("id", F.lit("-dup"))).otherwise(F.col("id"))).drop("_id", "_n", "_taken")
+    made = made.withColumn("_child", F.lit(None).cast("string")).withColumn("_one", F.lit(1))
+    ids = stored(made.groupBy("_id").agg(F.count("*").alias("_rows"), F.min(order).alias("_first")), "ids")
+    base, number = F.regexp_extract("_id", _NUMBERED_ID, 1), F.regexp_extract("_id", _NUMBERED_ID, 2).try_cast("bigint")
+    child = ids.select(F.col("_id").alias("_child"), F.col("_first").alias(order), base.alias("_base"), number.alias("_k")).where("_base <> '' AND _k IS NOT NULL")
+    pairs = stored(child.join(ids.select(F.col("_id").alias("_base"), "_rows"), "_base"), "numbered-ids")
+    # A row of no weight stands among the rows of the other id, to count how many of them come before.
+    events = pairs.select(F.col("_base").alias("_id"), order, "_child", F.lit(0).alias("_one"))
+    ranked = ordered.along(made.unionByName(events, allowMissingColumns=True), ["_id"], order, {"_n": F.col("_one")})
+    decided = _passed_over(stored(pairs.join(ranked.where("_child IS NOT NULL").select(F.col("_id").alias("_base"), "_child", F.col("_n").alias("_before")), ["_base", "_child"]), "counted-ids"))
+    met = ranked.where("_child IS NULL").join(decided, "_id", "left")
+    repeat = F.col("_n") - F.when(F.coalesce("_taken", F.lit(False)), 0).otherwise(1)
+    none = F.array().cast("array<bigint>")
+    numbered = F.aggregate(F.coalesce("_skipped", none), (repeat + 1).cast("bigint"), lambda k, skipped: F.when(skipped <= k, k + 1).otherwise(k))
+    return met.withColumn("id", F.when(repeat == 0, F.col("_id")).otherwise(F.concat("_id", F.lit("-"), numbered.cast("string")))).select(*rows.columns, "id")
+
+
+def _passed_over(pairs: DataFrame) -> DataFrame:
+    """_id, _taken (whether its natural form was taken by a repeat of another id), _skipped (numbers its repeats pass over).
+
+    Ids whose own natural form may be taken wait for the other id; a chain is as long as there are numbers at the end
+    of an id (`intro-2-3`).
+    """
+    spark = pairs.sparkSession
+    decided = spark.createDataFrame([], "_id string, _taken boolean, _skipped array<bigint>")
+    while not pairs.isEmpty():
+        ready = pairs.join(pairs.select(F.col("_child").alias("_base")).distinct(), "_base", "left_anti")
+        known = decided.groupBy(F.col("_id").alias("_base")).agg(F.max("_taken").alias("_taken"))
+        held = ready.join(known, "_base", "left").withColumn("_own", F.when(F.coalesce("_taken", F.lit(False)), 0).otherwise(1))
+        about = held.groupBy("_base").agg(F.max(F.col("_rows") - F.col("_own")).alias("_repeats"), F.array_sort(F.collect_list(F.struct("_k", (F.col("_before") - F.least(F.col("_before"), F.col("_own"))).alias("_past"), "_child"))).alias("_l"))
+        start = F.struct(F.array().cast("array<bigint>").alias("skipped"), F.array().cast("array<string>").alias("taken"))
+
+        def step(state: Column, x: Column) -> Column:
+            reached = x["_k"] - 1 - F.size(state["skipped"])
+            passed = F.struct(F.array_append(state["skipped"], x["_k"]).alias("skipped"), state["taken"].alias("taken"))
+            held_ = F.struct(state["skipped"].alias("skipped"), F.array_append(state["taken"], x["_child"]).alias("taken"))
+            return F.when(reached > F.col("_repeats"), state).when(reached > x["_past"], passed).otherwise(held_)
+
+        result = stored(about.withColumn("_s", F.aggregate("_l", start, step)).select("_base", "_s.skipped", "_s.taken"), "decided-ids")
+        found = result.select(F.col("_base").alias("_id"), F.lit(False).alias("_taken"), F.col("skipped").alias("_skipped")).unionByName(
+            result.select(F.explode("taken").alias("_id"), F.lit(True).alias("_taken"), F.lit(None).cast("array<bigint>").alias("_skipped"))
+        )
+        decided = decided.unionByName(found)
+        pairs = stored(pairs.join(ready.select("_base").distinct(), "_base", "left_anti"), "counted-ids")
+    return decided.groupBy("_id").agg(F.max("_taken").alias("_taken"), F.max("_skipped").alias("_skipped"))
 
 
 def appendix_spans(lines: DataFrame, title: str, larger_by: float = 3.0) -> DataFrame:
@@ -316,42 +358,29 @@ def excluded_from(lines: DataFrame, pattern: str) -> DataFrame:
 def term_definitions(lines: DataFrame, spans: DataFrame) -> DataFrame:
     """doc_id, term, text, first_line of a glossary whose terms are told by type: bold, or a smaller source line below.
 
-    A term may wrap; up to two short lines before a term that is told by its source line belong to it. The pass over a
-    glossary is sequential, so each is read in order by one task: a glossary is a few pages of one publication.
+    A term may wrap; up to two short lines before a term that ends no sentence belong to it. Lines set larger than the
+    body are left out, and so is what comes before the first term.
     """
     content = without_furniture(lines).join(body_font_size(lines), KEY).join(spans, KEY).where(F.col("page").between(F.col("first"), F.col("last")))
     content = content.where(~T.strip(F.col("text")).rlike(HEADER_ONLY)).select(*KEY, "line_no", T.strip(F.col("text")).alias("text"), "size", F.coalesce("bold", F.lit(False)).alias("bold"), "body_size")
-
-    def one(frame):
-        import pandas as pd
-
-        frame = frame.sort_values("line_no", kind="stable")
-        records = list(frame.itertuples(index=False))
-        out: list[tuple] = []
-        term: str | None = None
-        body: list[str] = []
-        at = 0
-        for here, below in zip(records, [*records[1:], None]):
-            told = here.text and len(here.text) <= 80 and abs(here.size - here.body_size) < 0.5
-            sourced = below is not None and below.size < here.body_size - 0.3 and below.text.startswith("[") and len(below.text) > 2 and "]" not in below.text[1:3]
-            if told and (here.bold or sourced):
-                if term is not None and not body:
-                    term = f"{term} {here.text}"
-                    continue
-                pulled: list[str] = []
-                while body and len(pulled) < 2 and len(body[-1]) <= 60 and body[-1][-1] not in ".;:":
-                    pulled.insert(0, body.pop())
-                if term is not None:
-                    out.append((here.doc_id, term, " ".join(body), at))
-                term, body, at = " ".join([*pulled, here.text]), [], here.line_no
-            elif term is not None and here.size <= here.body_size:
-                body.append(here.text)
-        if term is not None:
-            out.append((records[0].doc_id, term, " ".join(body), at))
-        return pd.DataFrame(out, columns=["doc_id", "term", "body", "first_line"])
-
-    found = content.groupBy(*KEY).applyInPandas(one, "doc_id string, term string, body string, first_line long")
-    return found.select("doc_id", "term", F.when(F.trim("body") != "", F.concat("term", F.lit(": "), F.trim("body"))).otherwise(F.col("term")).alias("text"), "first_line")
+    source = (F.col("size") < F.col("body_size") - 0.3) & F.col("text").rlike(SOURCE_LINE)
+    below = ordered.along(content, KEY, "line_no", carry={"_below": F.coalesce(source, F.lit(False))}, forward=False, current=False)
+    told = (F.col("text") != "") & (F.length("text") <= 80) & (F.abs(F.col("size") - F.col("body_size")) < 0.5)
+    kind = F.when(told & (F.col("bold") | F.coalesce("_below", F.lit(False))), "term").when(F.col("size") <= F.col("body_size"), "body")
+    kinds = ordered.along(below.withColumn("_kind", kind).where("_kind IS NOT NULL"), KEY, "line_no", carry={"_last": F.col("_kind")}, current=False)
+    begins = (F.col("_kind") == "term") & ~F.coalesce(F.col("_last") == "term", F.lit(False))
+    entries = ordered.along(kinds, KEY, "line_no", {"entry": begins.cast("int")}).where("entry > 0")
+    listed = lambda which: F.array_sort(F.collect_list(F.when(F.col("_kind") == which, F.struct("line_no", "text"))))
+    # An entry of a printed glossary is gathered in one row.
+    grouped = entries.groupBy(*KEY, "entry").agg(F.min("line_no").alias("first_line"), F.transform(listed("term"), lambda x: x["text"]).alias("_term"), F.transform(listed("body"), lambda x: x["text"]).alias("_body"))
+    loose = lambda i: F.coalesce((F.length(F.get("_body", F.size("_body") - i)) <= 60) & ~F.get("_body", F.size("_body") - i).rlike(r"[.;:]\z"), F.lit(False))
+    several = ordered.along(grouped, KEY, "first_line", carry={"_next": F.col("entry")}, forward=False, current=False)
+    tail = F.when(F.col("_next").isNull(), 0).when(loose(1) & loose(2), 2).when(loose(1), 1).otherwise(0)
+    cut = several.withColumn("_tail", F.slice("_body", F.greatest(F.size("_body") - tail + 1, F.lit(1)), tail)).withColumn("_body", F.slice("_body", 1, F.size("_body") - tail))
+    met = ordered.along(cut, KEY, "first_line", carry={"_pulled": F.col("_tail")}, current=False)
+    term = F.array_join(F.concat(F.coalesce("_pulled", F.array().cast("array<string>")), "_term"), " ")
+    body = F.trim(F.array_join("_body", " "))
+    return met.select(*KEY, term.alias("term"), F.when(body != "", F.concat(term, F.lit(": "), body)).otherwise(term).alias("text"), "first_line")
 
 
 OBJECTIVES, LEVELS = ("Confidentiality", "Integrity", "Availability"), ("LOW", "MODERATE", "HIGH")

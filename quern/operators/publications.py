@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quern.functions import text as T
 from quern.operators import layout
 from quern.session import stored
 
@@ -46,17 +47,23 @@ TREATMENTS = (
     Treatment(("SP-800-218", "SP-800-218A"), block=r"^((?:PO|PS|PW|RV)\.\d+(?:\.\d+)?):\s*\S", span=2, chunk_type="ssdf_practice", min_chars=60, stub_rule="duplicate_practice_stub", dotted_path="SSDF Practices", settle_hyphens=True),
 )
 _ROW = ("doc_id", "chunk_type", "slug", "text", "section_path", "first_line", "page")
+#: Order of emission of a document's rows: blocks, terms told by type, sections with their definitions, tables.
+BLOCKS, TERMS, SECTIONS, DEFINITIONS, TABLES = range(5)
 
 
-def _plain(found: DataFrame, marked: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
-    """Sections as they are, but sections under a glossary heading as definitions."""
+def _emitted(rows: DataFrame, part: int) -> DataFrame:
+    return rows.select(*_ROW, F.lit(part).alias("part"))
+
+
+def _plain(found: DataFrame, marked: DataFrame, definitions: int = SECTIONS) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Sections as they are, but sections under a glossary heading as definitions, which may come after them all."""
     glossary = F.col("heading").rlike(layout.GLOSSARY)
     rows, short = layout.emit_sections(found.where(~glossary))
     inside = found.where(glossary).select("doc_id", "section", layout._path().alias("_path"))
-    lines = marked.where("level IS NULL").select("doc_id", "section", "line_no", "text", "page").join(inside, ["doc_id", "section"])
+    lines = marked.where("level IS NULL").select("doc_id", "section", "line_no", "text", "page", "_range").join(inside, ["doc_id", "section"])
     entries = layout.extract_definitions(lines, ["doc_id", "section"]).join(inside, ["doc_id", "section"])
     good = entries.where(F.length("text") >= 40).select("doc_id", F.lit("definition").alias("chunk_type"), F.col("term").alias("slug"), "text", F.concat_ws(" > ", "_path", "term").alias("section_path"), "first_line", F.lit(None).cast("int").alias("page"))
-    return [rows.select(*_ROW), good], [short, layout._rejection(entries.where(F.length("text") < 40), F.col("term"), "definition_too_short", F.concat(F.length("text").cast("string"), F.lit(" chars")))]
+    return [_emitted(rows, SECTIONS), _emitted(good, definitions)], [short, layout._rejection(entries.where(F.length("text") < 40), F.col("term"), "definition_too_short", F.concat(F.length("text").cast("string"), F.lit(" chars")))]
 
 
 def _treated(lines: DataFrame, found: DataFrame, marked: DataFrame, how: Treatment, grids: DataFrame | None) -> tuple[list[DataFrame], list[DataFrame]]:
@@ -79,7 +86,11 @@ def _treated(lines: DataFrame, found: DataFrame, marked: DataFrame, how: Treatme
             path = F.array_join(F.slice(F.array(F.lit(how.dotted_path), F.get(parts, 0), F.concat_ws(".", F.slice(parts, 1, 2))), 1, 3), " > ")
         label = F.concat(F.lit(how.label), F.col("key")) if how.label else None
         shaped, small = layout.emit_blocks(kept, how.chunk_type, how.min_chars, label, path, layout.vocabulary(lines) if how.settle_hyphens else None)
-        rows.append(shaped.select(*_ROW))
+        if how.chunk_type == "task":
+            # Tasks come in the order of their letters and numbers.
+            key = T.task_sort_key(F.col("slug"))
+            shaped = shaped.withColumn("first_line", F.ascii(key["letter"]).cast("bigint") * 10_000_000_000 + key["number"])
+        rows.append(_emitted(shaped, BLOCKS))
         rejected.append(small)
         # What shares a page with a kept block is covered by it, and that is logged.
         on_page = kept.select("doc_id", "page").distinct()
@@ -89,7 +100,7 @@ def _treated(lines: DataFrame, found: DataFrame, marked: DataFrame, how: Treatme
     if how.glossary:
         spans = layout.appendix_spans(lines, how.glossary)
         entries = layout.term_definitions(lines, spans)
-        rows.append(entries.where(F.length("text") >= 40).select("doc_id", F.lit("definition").alias("chunk_type"), F.col("term").alias("slug"), "text", F.concat(F.lit(f"APPENDIX > {how.glossary} > "), "term").alias("section_path"), "first_line", F.lit(None).cast("int").alias("page")))
+        rows.append(_emitted(entries.where(F.length("text") >= 40).select("doc_id", F.lit("definition").alias("chunk_type"), F.col("term").alias("slug"), "text", F.concat(F.lit(f"APPENDIX > {how.glossary} > "), "term").alias("section_path"), "first_line", F.lit(None).cast("int").alias("page")), TERMS))
         rejected.append(layout._rejection(entries.where(F.length("text") < 40), F.col("term"), "definition_too_short", F.concat(F.length("text").cast("string"), F.lit(" chars"))))
         without = lines.select("doc_id").distinct().join(spans.select("doc_id"), "doc_id", "left_anti")
         rejected.append(layout._rejection(without, F.lit(how.glossary), "glossary_not_found", F.lit("no such title in display type")))
@@ -102,14 +113,15 @@ def _treated(lines: DataFrame, found: DataFrame, marked: DataFrame, how: Treatme
         cells = grids if grids is not None else page.select("doc_id", "page", F.array().cast("array<array<string>>").alias("grid")).where("false")
         read = page.join(cells, ["doc_id", "page"], "left").withColumn("t", layout.transcribe_impact_table(layout.trim_grid(F.col("grid"))))
         intro = "Table 1: Potential Impact Definitions for Security Objectives (FIPS 199).\nThe potential impact on each security objective, by impact level:\n\n"
-        rows.append(read.where("t IS NOT NULL").select("doc_id", F.lit("table").alias("chunk_type"), F.lit("table-1-potential-impact-definitions").alias("slug"), F.concat(F.lit(intro), "t").alias("text"), F.lit("Table 1 > Potential Impact Definitions for Security Objectives").alias("section_path"), F.lit(None).cast("long").alias("first_line"), "page"))
+        rows.append(_emitted(read.where("t IS NOT NULL").select("doc_id", F.lit("table").alias("chunk_type"), F.lit("table-1-potential-impact-definitions").alias("slug"), F.concat(F.lit(intro), "t").alias("text"), F.lit("Table 1 > Potential Impact Definitions for Security Objectives").alias("section_path"), F.lit(None).cast("long").alias("first_line"), "page"), TABLES))
         rejected.append(layout._rejection(read.where("t IS NULL"), F.lit("Table 1"), "extraction_failure", F.lit("no usable grid")))
-    more, less = _plain(found, marked)
+    more, less = _plain(found, marked, DEFINITIONS if how.table else SECTIONS)
     return rows + more, rejected + less
 
 
 def parse_publications(lines: DataFrame, grids: DataFrame | None = None, treatments: tuple[Treatment, ...] = TREATMENTS) -> tuple[DataFrame, DataFrame]:
-    """(rows, rejections) of laid-out documents. rows: doc_id, chunk_type, slug, text, section_path, first_line, page.
+    """(rows, rejections) of laid-out documents. rows: doc_id, chunk_type, slug, text, section_path,
+    first_line, page, part (with first_line the order of emission); `identified` gives them their ids.
 
     `grids` (doc_id, page, grid) holds tables. Documents of no treatment are read as sections and glossaries. Front
     matter is dropped with one rejection for each document. A document without lines gives nothing.
@@ -134,3 +146,9 @@ def parse_publications(lines: DataFrame, grids: DataFrame | None = None, treatme
 
     return united(rows), united(rejected)
 
+
+
+def identified(rows: DataFrame) -> DataFrame:
+    """The rows of `parse_publications` with `id`, repeated ones numbered in the order of emission."""
+    made = stored(rows, "emitted")
+    return layout.with_ids(made.withColumn("seq", F.struct("part", "first_line", "slug", F.xxhash64("text", "section_path")))).drop("seq")

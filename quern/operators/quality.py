@@ -75,6 +75,12 @@ def export_order(rows: DataFrame) -> DataFrame:
     return rows.orderBy("doc_id", key, "id")
 
 
+def export_positions(rows: DataFrame, tie: str) -> DataFrame:
+    """Rows with `place`, from 1, in the published order; rows alike in it follow `tie`."""
+    key = T.control_sort_key(F.coalesce(F.col("control_id"), F.lit("")))
+    return ordered.positions(rows, [F.col("doc_id"), key, F.col("id"), F.col(tie)], "place")
+
+
 def sorted_controls(ids: DataFrame, column: str) -> DataFrame:
     """One row: the distinct control ids in readers' order, how many are base controls, how many enhancements.
 
@@ -90,6 +96,16 @@ def samples(rows: DataFrame, by: str, order: str, n: int) -> DataFrame:
     return ordered.first_n(rows, [by], order, n)
 
 
+def by_ids(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """id, found and the first row of each wanted id (of several with one id the first by `seq`), for a reader to look at.
+
+    `ids` has a column id; an id that occurs twice is asked for once, and one that no row has is reported as not found.
+    """
+    wanted = ids.where("id IS NOT NULL").select("id").distinct()
+    first = ordered.first_rows(rows.join(wanted, "id", "left_semi"), ["id"], [F.col("seq")], [c for c in rows.columns if c != "id"])
+    return wanted.join(first, "id", "left").withColumn("found", F.col("seq").isNotNull())
+
+
 def summary_markdown(valid: DataFrame, rejections: DataFrame, warnings: DataFrame) -> str:
     """The build's summary as text. Only counts by document, type and rule reach the driver."""
     counts = rows_by_document_and_type(valid).collect()

@@ -161,8 +161,14 @@ def control_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def export_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chunks in the order in which they are published. The place is not numbered: sorting is distributed."""
-    return quality.export_order(_rows(spark, sf_dir)).select("row_no", "doc_id", "id")
+    """Chunks with their place in the published order; no task sorts them all."""
+    return quality.export_positions(_rows(spark, sf_dir), "row_no").select("place", "row_no", "doc_id", "id")
+
+
+def rejected_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For everything the rejection log refers to: whether there is a chunk of that id, and the first one."""
+    asked = _table(spark, sf_dir, "rejections").select(F.col("ref").alias("id"))
+    return quality.by_ids(_rows(spark, sf_dir), asked).select("id", "found", "row_no", "chunk_type")
 
 
 def logged_rejections(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,7 +192,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         tagged_rows, validated_rows, rejections_by_rule, near_duplicates, chunked_rows, split_rows, split_words, trailing_stubs, merged_sections, incremental_skip, fetch_action_counts, sample_rows, counts_by_document_and_type, family_counts, length_stats,
-        text_bytes, expected_counts, control_list, export_order, logged_rejections, rows_without_manifest, rows_of_retrieved,
+        text_bytes, expected_counts, control_list, export_order, rejected_ids, logged_rejections, rows_without_manifest, rows_of_retrieved,
     )
 }
 ORACLES = {
@@ -224,7 +230,9 @@ SELECT *, value < low OR (high > 0 AND value > high) AS warning FROM v""",
 k AS (SELECT c, CASE WHEN ok THEN split_part(c, '-', 1) ELSE c END AS f, CASE WHEN ok THEN regexp_extract(c, '-(\d+)', 1)::INT ELSE 0 END AS n, CASE WHEN ok THEN coalesce(try_cast(nullif(regexp_extract(c, '\.(\d+)$', 1), '') AS INT), 0) ELSE 0 END AS e,
 upper(split_part(c, '.', 1)) || CASE WHEN regexp_replace(c, '^[^.]*\.?', '') <> '' THEN '(' || regexp_replace(c, '^[^.]*\.?', '') || ')' ELSE '' END AS shown FROM d)
 SELECT string_agg(shown, ', ' ORDER BY f, n, e, c) AS controls, count_if(NOT contains(c, '.'))::BIGINT AS base, count_if(contains(c, '.'))::BIGINT AS enhancements FROM k""",
-    "export_order": "SELECT row_no, doc_id, id FROM chunks",
+    "export_order": r"""WITH c AS (SELECT row_no, doc_id, id, coalesce(control_id, '') AS c, coalesce(regexp_matches(control_id, '^[a-z]+-\d+(\.\d+)?$'), false) AS ok FROM chunks)
+SELECT row_number() OVER (ORDER BY doc_id NULLS FIRST, CASE WHEN ok THEN split_part(c, '-', 1) ELSE c END, CASE WHEN ok THEN regexp_extract(c, '-(\d+)', 1)::INT ELSE 0 END, CASE WHEN ok THEN coalesce(try_cast(nullif(regexp_extract(c, '\.(\d+)$', 1), '') AS INT), 0) ELSE 0 END, id NULLS FIRST, row_no) AS place, row_no, doc_id, id FROM c""",
+    "rejected_ids": "SELECT id, row_no IS NOT NULL AS found, row_no, chunk_type FROM (SELECT DISTINCT ref AS id FROM rejections WHERE ref IS NOT NULL) LEFT JOIN (SELECT id, row_no, chunk_type FROM chunks QUALIFY row_number() OVER (PARTITION BY id ORDER BY row_no) = 1) USING (id)",
     "logged_rejections": "SELECT stage, rule, count(*) AS n FROM (SELECT DISTINCT doc_id, ref, rule, detail, stage, logged_at FROM rejections) GROUP BY stage, rule",
     "rows_without_manifest": "SELECT row_no, doc_id FROM chunks WHERE doc_id IS NULL OR doc_id NOT IN (SELECT doc_id FROM manifest_docs WHERE doc_id IS NOT NULL)",
     "rows_of_retrieved": "SELECT row_no FROM chunks WHERE sha256_source IN (SELECT sha256 FROM provenance WHERE sha256 IS NOT NULL)",

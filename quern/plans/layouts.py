@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.operators import layout, publications
+from quern.operators import layout, ordered, publications
 from quern.session import stored
 
 
@@ -21,12 +21,32 @@ def body_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.body_font_size(lines(spark, sf_dir))
 
 
+def printed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same documents as if printed: pages numbered from 1, each with a running header, the first with a table of
+    contents of an entry for each page, nine at most."""
+    plain = lines(spark, sf_dir)
+    pages = plain.groupBy("doc_id", F.col("page").alias("_page")).agg(F.min("line_no").alias("line_no"))
+    pages = stored(ordered.running_sum(pages, "page", F.lit(1), ["doc_id"], "line_no").withColumn("page", F.col("page").cast("int")), "pages")
+    header = pages.select("doc_id", (F.col("line_no") - 50_000).alias("line_no"), F.concat(F.lit("  Handbook of "), "doc_id", F.lit("   page "), F.col("page").cast("string")).alias("text"), "page")
+    first = pages.groupBy("doc_id").agg(F.min("page").alias("page"), F.min("line_no").alias("line_no"), F.count("*").alias("n"))
+    entry = first.select("doc_id", "page", "line_no", F.explode(F.sequence(F.lit(1), F.least(F.col("n"), F.lit(9)).cast("int"))).alias("k"))
+    listed = entry.select("doc_id", (F.col("line_no") - 40_000 + F.col("k")).alias("line_no"), F.concat(F.lit("Part "), F.col("k").cast("string"), F.lit(" of the handbook   "), (F.col("k") + 2).cast("string")).alias("text"), "page")
+    more = header.unionByName(listed).select("doc_id", "line_no", "text", "page", F.lit(10.0).alias("size"), F.lit(False).alias("bold"), F.lit(0.0).alias("y"))
+    numbered = plain.withColumnRenamed("page", "_page").join(pages.select("doc_id", "_page", "page"), ["doc_id", "_page"])
+    return numbered.select(*plain.columns).unionByName(more)
+
+
 def repeating_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layout.repeating_furniture(lines(spark, sf_dir), threshold=0.0)
+    return layout.repeating_furniture(printed(spark, sf_dir))
 
 
 def contents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layout.contents_pages(lines(spark, sf_dir), entries=1)
+    return layout.contents_pages(printed(spark, sf_dir))
+
+
+def content_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of the printed documents without their furniture."""
+    return layout.without_furniture(printed(spark, sf_dir)).select("doc_id", "line_no", "page")
 
 
 def heading_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +64,7 @@ def section_trails(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = layout.sections(lines(spark, sf_dir))
-    return found.select("doc_id", "section", "level", "page", "heading", F.size("lines").alias("lines"))
+    return found.select("doc_id", "section", "level", "page", "heading", F.array_join("trail", " > ").alias("trail"), F.size("lines").alias("lines"), F.md5(F.array_join("lines", "\n")).alias("md5"))
 
 
 def definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,38 +104,114 @@ def impact_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def publication_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of all documents with their ids, repeated ones numbered."""
     rows, _ = publications.parse_publications(lines(spark, sf_dir))
-    return layout.with_ids(rows.withColumn("seq", F.monotonically_increasing_id())).select("doc_id", "chunk_type", F.length("text").alias("chars"), "section_path")
+    return publications.identified(rows).select("doc_id", "id", "chunk_type", F.md5("text").alias("md5"), "section_path", "page")
 
 
 def publication_rejections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publications.parse_publications(lines(spark, sf_dir))[1].groupBy("doc_id", "rule").agg(F.count("*").alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (body_sizes, repeating_lines, contents, heading_levels, section_trails, sections, definitions, longest_blocks, dehyphenated, impact_table, publication_rows, publication_rejections)}
+QUERIES = {f.__name__: f for f in (body_sizes, repeating_lines, contents, content_lines, heading_levels, section_trails, sections, definitions, longest_blocks, dehyphenated, impact_table, publication_rows, publication_rejections)}
 
 _LINES = """l AS (SELECT coalesce(source, 'none') AS doc_id, doc_id * 100000 + i - 1 AS line_no, t[i] AS text, doc_id::INT AS page, CASE WHEN length(t[i]) < 60 AND NOT ends_with(t[i], '.') THEN 13.0 ELSE 10.0 END::DOUBLE AS size, ends_with(t[i], ':') AS bold
 FROM (SELECT source, doc_id, string_split(text, chr(10)) AS t FROM documents WHERE text IS NOT NULL), unnest(range(1, len(t) + 1)) AS u(i))"""
 _S = r"regexp_replace(text, '^\s+|\s+$', '', 'g')"
-_BODY = f"""WITH {_LINES}, w AS (SELECT doc_id, size, sum(length(text)) AS w, min(line_no) AS first FROM l GROUP BY ALL),
-b AS (SELECT doc_id, size AS body_size FROM w QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY w DESC, first) = 1)"""
+_KEY = f"regexp_replace(regexp_replace(lower({_S}), '\\s+', ' ', 'g'), '\\d+', '#', 'g')"
+#: The printed documents: pl.
+_PRINTED = (
+    _LINES
+    + """, pg AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY line_no)::INT AS page FROM (SELECT doc_id, page AS old, min(line_no) AS line_no FROM l GROUP BY ALL)), fp AS (SELECT doc_id, min(page) AS page, min(line_no) AS line_no, count(*) AS n FROM pg GROUP BY doc_id),
+pl AS (SELECT l.doc_id, l.line_no, text, pg.page, size, bold FROM l JOIN pg ON pg.doc_id = l.doc_id AND pg.old = l.page UNION ALL SELECT doc_id, line_no - 50000, '  Handbook of ' || doc_id || '   page ' || page, page, 10.0, false FROM pg
+UNION ALL SELECT doc_id, line_no - 40000 + k, 'Part ' || k || ' of the handbook   ' || (k + 2), page, 10.0, false FROM fp, unnest(range(1, least(n, 9) + 1)) AS u(k))"""
+)
+_PLAIN = r"'^$|^[_\-=–—\s]{6,}$|^(?i:(?:page\s+)?[ivxlcdm\d]+(?:\s+of\s+\d+)?)$|\.{4,}\s*\d*\s*$|(?i:this publication is available free of charge|^https?://(?:dx\.)?doi\.org/|^\s*NIST (?:Special Publication|SP)\s+[\d\-.A-Za-z]+\s*$|national institute of standards and technology|u\.s\. department of commerce)'"
+_ENTRY = r"'(?i)^[^\s][^\n]{2,90}?[\s.]+(\d{1,3}|[ivxl]{1,6})$'"
+
+
+def _content(source: str) -> str:
+    """CTEs over lines `source`: rep (furniture keys), con (contents pages), ct (the lines that are content)."""
+    return f"""np AS (SELECT doc_id, max(page) AS n FROM {source} GROUP BY doc_id),
+rep AS (SELECT doc_id, {_KEY} AS key FROM {source} JOIN np USING (doc_id) WHERE length({_S}) >= 3 GROUP BY doc_id, key, n HAVING count(DISTINCT page) > greatest(2, floor(n * 0.5))),
+con AS (SELECT doc_id, page FROM {source} JOIN np USING (doc_id) WHERE page <= greatest(3, floor(n * 0.2)) AND regexp_matches({_S}, {_ENTRY}) GROUP BY doc_id, page HAVING count(*) >= 5),
+ct AS (SELECT * FROM {source} s WHERE NOT regexp_matches({_S}, {_PLAIN}) AND NOT EXISTS (SELECT 1 FROM rep WHERE rep.doc_id = s.doc_id AND rep.key = {_KEY}) AND NOT EXISTS (SELECT 1 FROM con WHERE con.doc_id = s.doc_id AND con.page = s.page))"""
+
+
+def _sized(name: str, source: str) -> str:
+    """CTE `name`: the body size of each document of `source`."""
+    return f"{name} AS (SELECT doc_id, size AS body_size FROM (SELECT doc_id, size, sum(length(text)) AS w, min(line_no) AS first FROM {source} GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY w DESC, first) = 1)"
+
+
+def _levelled(name: str, source: str, sizes: str) -> str:
+    """CTE `name`: the lines of `source` stripped, as t, with their level."""
+    return rf"""{name} AS (SELECT *, CASE WHEN t = '' OR length(t) > 160 OR length(t) = 1 THEN NULL WHEN regexp_matches(t, '[.;]$') AND NOT up AND NOT kw THEN NULL
+WHEN regexp_matches(t, '^\d+(\.\d+)*\s+\S') AND length(t) <= 120 AND size + 0.2 >= body_size THEN length(regexp_replace(regexp_extract(t, '^(\d+(?:\.\d+)*)\s', 1), '[^.]', '', 'g')) + 1
+WHEN kw THEN CASE WHEN regexp_matches(t, '(?i)^TASK') THEN 3 ELSE 1 END WHEN regexp_matches(t, '^[A-Z](\.\d+)+\s+\S') THEN length(regexp_replace(regexp_extract(t, '^([A-Z](?:\.\d+)+)\s', 1), '[^.]', '', 'g')) + 1
+WHEN length(t) <= 80 AND NOT ends_with(t, '.') AND NOT (regexp_matches(t, '^[•▪◦○*·–—-]\s') OR regexp_matches(t, '[,;]$') OR trim(lower(regexp_extract(t, '([^ ]*)$', 1)), ',;:') IN ('and', 'or', 'the', 'of', 'to', 'a', 'an', 'for', 'with', 'in'))
+THEN CASE WHEN size >= body_size + 1 THEN 2 WHEN (bold OR up) AND size >= body_size THEN 3 END END::INT AS level
+FROM (SELECT *, {_S} AS t, regexp_matches({_S}, '(?i)^(CHAPTER|APPENDIX|ANNEX|SECTION|TASK)\s+[A-Z0-9][-A-Z0-9.]*\s*:?') AS kw, upper({_S}) = {_S} AND regexp_matches({_S}, '\p{{L}}') AS up FROM {source} JOIN {sizes} USING (doc_id)))"""
+
+
+#: x: content lines with level and section; sec: sections with heading, trail (a list) and body lines.
+_SECTIONED = f"""WITH RECURSIVE {_LINES}, {_content("l")}, {_sized("b", "ct")}, {_levelled("lv", "ct", "b")},
+x AS (SELECT *, count(level) OVER (PARTITION BY doc_id ORDER BY line_no) AS section FROM lv),
+hd AS (SELECT doc_id, section, level, t FROM x WHERE level IS NOT NULL),
+tr AS (SELECT h.doc_id, h.section, list(a.t ORDER BY a.section) AS trail FROM hd h JOIN hd a ON a.doc_id = h.doc_id AND a.section < h.section AND a.level < h.level
+  WHERE NOT EXISTS (SELECT 1 FROM hd m WHERE m.doc_id = h.doc_id AND m.section > a.section AND m.section < h.section AND m.level <= a.level) GROUP BY ALL),
+sec AS (SELECT doc_id, section, coalesce(max(level), 0) AS level, min(page) AS page, coalesce(max(CASE WHEN level IS NOT NULL THEN t END), '') AS heading, coalesce(list(t ORDER BY line_no) FILTER (level IS NULL), []) AS body, coalesce(any_value(trail), []) AS trail FROM x LEFT JOIN tr USING (doc_id, section) GROUP BY doc_id, section)"""
+_CLEAN = r"regexp_replace(regexp_replace({0}, '\s+', ' ', 'g'), '^\s+|\s+$', '', 'g')"
+_DROPPED = r"'(?i)(gaithersburg|submit comments|trademark|patent disclosure|^abstract$|^keywords$|^acknowledg|^disclaimer|^audience$|bureau drive|attn:|^certain commercial)'"
+_SLUG = r"trim(regexp_replace(regexp_replace(lower(strip_accents({0})), '[^\x00-\x7f]', '', 'g'), '[^a-z0-9.]+', '-', 'g'), '-')"
+_DEFINES = r"'^[A-Z][A-Za-z0-9()/,''’\- ]{2,70}?\s*[:–—]\s+[A-Z(\[][^\n]*$'"
+#: em: the rows of documents without a treatment, in the order of emission; rj: their rejections.
+_PUBLISHED = (
+    _SECTIONED
+    + rf""",
+{_sized("b2", "l")}, {_levelled("lv2", "l", "b2")},
+st AS (SELECT doc_id, CASE WHEN f.page <= greatest(3.0, n * 0.33) THEN f.page ELSE 1 END AS start FROM np LEFT JOIN (SELECT doc_id, min_by(page, line_no) AS page FROM lv2 WHERE level = 1 AND (regexp_extract(t, '^(\d+(?:\.\d+)*)\s+\S', 1) = '1' OR regexp_matches(t, '(?i)^(CHAPTER|SECTION)\s'))
+  AND NOT EXISTS (SELECT 1 FROM con WHERE con.doc_id = lv2.doc_id AND con.page = lv2.page) GROUP BY doc_id) f USING (doc_id)),
+fr AS (SELECT sec.*, st.start, sec.page < st.start AND NOT regexp_matches(heading, '(?i)^(executive summary|abstract)\b') AS gone FROM sec JOIN st USING (doc_id)),
+nm AS (SELECT doc_id, list(DISTINCT heading) AS names FROM fr WHERE gone GROUP BY doc_id),
+kp AS (SELECT fr.doc_id, section, page, heading, body, list_filter(trail, lambda h: NOT list_contains(coalesce(nm.names, []), h)) AS trail, regexp_matches(heading, '(?i)(terms and definitions|glossary|appendix\s+[a-z]\s*[-—:]?\s*(glossary|terms))') AS glossary FROM fr LEFT JOIN nm USING (doc_id) WHERE NOT gone),
+sp AS (SELECT *, {_CLEAN.format("heading")} AS h, regexp_replace(array_to_string(body, chr(10)), '^\s+|\s+$', '', 'g') AS bd, array_to_string(list_filter(list_transform(list_append(list_filter(trail, lambda h: NOT regexp_matches(h, {_DROPPED})), heading), lambda h: {_CLEAN.format("h")}), lambda h: h <> ''), ' > ') AS path FROM kp),
+tx AS (SELECT *, CASE WHEN h <> '' AND bd <> '' THEN h || chr(10) || chr(10) || bd ELSE h || bd END AS text FROM sp WHERE NOT glossary),
+de AS (SELECT *, sum(CASE WHEN ds THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, section ORDER BY line_no) AS entry FROM (SELECT x.doc_id, x.section, x.line_no, x.t, regexp_matches(x.t, {_DEFINES}) AS ds, sp.path FROM x JOIN sp USING (doc_id, section) WHERE glossary AND x.level IS NULL)),
+dt AS (SELECT doc_id, section, entry, any_value(path) AS path, min(line_no) AS first_line, {_CLEAN.format("max(CASE WHEN ds THEN regexp_extract(t, '^([A-Z][A-Za-z0-9()/,''’" + chr(92) + "- ]{2,70}?)" + chr(92) + "s*[:–—]" + chr(92) + "s+[A-Z(" + chr(92) + "[]', 1) END)")} AS term,
+  string_agg(CASE WHEN ds THEN regexp_extract(t, '^[A-Z][A-Za-z0-9()/,''’\- ]{{2,70}}?\s*[:–—]\s+([A-Z(\[][^\n]*)$', 1) ELSE t END, ' ' ORDER BY line_no) AS bd FROM de WHERE entry > 0 GROUP BY doc_id, section, entry),
+em AS (SELECT doc_id, 'section' AS chunk_type, CASE WHEN {_SLUG.format("h")} <> '' THEN h ELSE 'page-' || page END AS slug, text, path AS section_path, page, (SELECT min(line_no) FROM x WHERE x.doc_id = tx.doc_id AND x.section = tx.section) AS first_line FROM tx WHERE length({_S}) >= 40
+  UNION ALL SELECT doc_id, 'definition', term, term || ': ' || regexp_replace(bd, '^\s+|\s+$', '', 'g'), concat_ws(' > ', path, term), NULL, first_line FROM dt WHERE length(term || ': ' || regexp_replace(bd, '^\s+|\s+$', '', 'g')) >= 40),
+rj AS (SELECT doc_id, 'front_matter' AS rule FROM fr WHERE gone GROUP BY doc_id UNION ALL SELECT doc_id, 'section_too_short' FROM tx WHERE length({_S}) < 40
+  UNION ALL SELECT doc_id, 'definition_too_short' FROM dt WHERE length(term || ': ' || regexp_replace(bd, '^\s+|\s+$', '', 'g')) < 40)"""
+)
+#: Ids given one row after the other, as each looks at all before it.
+_NAMED = (
+    _PUBLISHED
+    + rf""",
+nu AS MATERIALIZED (SELECT *, doc_id || '/' || chunk_type || '/' || {_SLUG.format("slug")} AS natural_id, row_number() OVER (PARTITION BY doc_id ORDER BY first_line, slug, text) AS i FROM em),
+gv(doc_id, i, id, seen) AS (SELECT DISTINCT doc_id, 0::BIGINT, '', []::VARCHAR[] FROM nu
+  UNION ALL SELECT doc_id, i, id, list_append(seen, id) FROM (SELECT nu.doc_id, nu.i, gv.seen, CASE WHEN list_contains(gv.seen, natural_id) THEN natural_id || '-' || list_filter(range(2, len(gv.seen) + 3), lambda k: NOT list_contains(gv.seen, natural_id || '-' || k))[1] ELSE natural_id END AS id FROM gv JOIN nu ON nu.doc_id = gv.doc_id AND nu.i = gv.i + 1))
+SELECT nu.doc_id, gv.id, chunk_type, md5(text) AS md5, section_path, page FROM nu JOIN gv USING (doc_id, i)"""
+)
+_BODY = f"WITH {_LINES}, {_sized('b', 'l')}"
 ORACLES = {
     "impact_table": """WITH o AS (SELECT CASE o_orderstatus WHEN 'F' THEN 2 WHEN 'O' THEN 3 ELSE 1 END AS k, CASE WHEN left(o_orderpriority, 1) IN ('1', '2') THEN 'HIGH' WHEN left(o_orderpriority, 1) = '3' THEN 'MODERATE' ELSE 'LOW' END AS level FROM orders),
 n AS (SELECT k, name, definition, level, l, (SELECT count(*) FROM o WHERE o.k = v.k AND o.level = w.level) AS n FROM (VALUES (1, 'Availability', 'being there'), (2, 'Confidentiality', 'keeping'), (3, 'Integrity', NULL)) AS v(k, name, definition), (VALUES (1, 'LOW'), (2, 'MODERATE'), (3, 'HIGH')) AS w(l, level)),
 t AS (SELECT k, 0 AS l, name || ' (definition): ' || definition AS line FROM n WHERE l = 1 AND definition IS NOT NULL UNION ALL SELECT k, l, name || ' / ' || level || ': n = ' || n FROM n)
 SELECT string_agg(line, chr(10) ORDER BY k, l) AS text FROM t""",
     "body_sizes": _BODY + " SELECT * FROM b",
-    "repeating_lines": f"WITH {_LINES}, k AS (SELECT doc_id, regexp_replace(regexp_replace(lower({_S}), '\\s+', ' ', 'g'), '\\d+', '#', 'g') AS key, page FROM l WHERE length({_S}) >= 3), p AS (SELECT doc_id, max(page) AS n FROM l GROUP BY doc_id) SELECT doc_id, key FROM k JOIN p USING (doc_id) GROUP BY doc_id, key HAVING count(DISTINCT page) > greatest(2, 0)",
-    "contents": f"WITH {_LINES}, p AS (SELECT doc_id, max(page) AS n FROM l GROUP BY doc_id) SELECT doc_id, page FROM l JOIN p USING (doc_id) WHERE page <= greatest(3, floor(n * 0.2)) AND regexp_matches({_S}, '(?i)^[^\\s][^\\n]{{2,90}}?[\\s.]+(\\d{{1,3}}|[ivxl]{{1,6}})$') GROUP BY doc_id, page",
-    "heading_levels": _BODY
-    + rf""", h AS (SELECT doc_id, line_no, size, bold, body_size, {_S} AS t FROM l JOIN b USING (doc_id)),
-f AS (SELECT *, regexp_matches(t, '(?i)^(CHAPTER|APPENDIX|ANNEX|SECTION|TASK)\s+[A-Z0-9][-A-Z0-9.]*\s*:?') AS kw, upper(t) = t AND regexp_matches(t, '\p{{L}}') AS up FROM h),
-r AS (SELECT doc_id, line_no, CASE WHEN t = '' OR length(t) > 160 OR length(t) = 1 THEN NULL WHEN regexp_matches(t, '[.;]$') AND NOT up AND NOT kw THEN NULL
-WHEN regexp_matches(t, '^\d+(\.\d+)*\s+\S') AND length(t) <= 120 AND size + 0.2 >= body_size THEN length(regexp_replace(regexp_extract(t, '^(\d+(?:\.\d+)*)\s', 1), '[^.]', '', 'g')) + 1
-WHEN kw THEN CASE WHEN regexp_matches(t, '(?i)^TASK') THEN 3 ELSE 1 END WHEN regexp_matches(t, '^[A-Z](\.\d+)+\s+\S') THEN length(regexp_replace(regexp_extract(t, '^([A-Z](?:\.\d+)+)\s', 1), '[^.]', '', 'g')) + 1
-WHEN length(t) <= 80 AND NOT ends_with(t, '.') AND NOT (regexp_matches(t, '^[•▪◦○*·–—-]\s') OR regexp_matches(t, '[,;]$') OR trim(lower(regexp_extract(t, '([^ ]*)$', 1)), ',;:') IN ('and', 'or', 'the', 'of', 'to', 'a', 'an', 'for', 'with', 'in'))
-THEN CASE WHEN size >= body_size + 1 THEN 2 WHEN (bold OR up) AND size >= body_size THEN 3 END END::INT AS level FROM f)
-SELECT * FROM r WHERE level IS NOT NULL""",
+    "repeating_lines": f"WITH {_PRINTED}, {_content('pl')} SELECT * FROM rep",
+    "contents": f"WITH {_PRINTED}, {_content('pl')} SELECT * FROM con",
+    "content_lines": f"WITH {_PRINTED}, {_content('pl')} SELECT doc_id, line_no, page FROM ct",
+    "heading_levels": f"{_BODY}, {_levelled('lv', 'l', 'b')} SELECT doc_id, line_no, level FROM lv WHERE level IS NOT NULL",
+    "sections": _SECTIONED + " SELECT doc_id, section, level, page, heading, array_to_string(trail, ' > ') AS trail, len(body)::INT AS lines, md5(array_to_string(body, chr(10))) AS md5 FROM sec",
+    "longest_blocks": _SECTIONED
+    + r""", ev AS (SELECT *, regexp_matches(t, '^[a-z0-9]{1,3}[.)]\s') AS opens, coalesce(level <= 1, false) AS closes FROM x),
+bl AS (SELECT *, count_if(opens) OVER w AS block, last_value(CASE WHEN opens THEN 'open' WHEN closes THEN 'close' END IGNORE NULLS) OVER w AS state FROM ev WINDOW w AS (PARTITION BY doc_id ORDER BY line_no)),
+gb AS (SELECT doc_id, block, min_by(regexp_extract(t, '^([a-z0-9]{1,3})[.)]\s', 1), line_no) AS key, length(array_to_string(list(t ORDER BY line_no)[2:], ' ')) AS n FROM bl WHERE state = 'open' GROUP BY doc_id, block)
+SELECT doc_id, key, block, row_number() OVER (PARTITION BY doc_id, key ORDER BY n DESC, block) = 1 AS kept FROM gb""",
+    "publication_rows": _NAMED,
+    "publication_rejections": _PUBLISHED + " SELECT doc_id, rule, count(*) AS n FROM rj GROUP BY ALL",
     "section_trails": """WITH e AS (SELECT 'u' || (user_id % 50) AS doc_id, event_id AS line_no, (length(event_type) % 3 + 1)::INT AS level FROM events),
 w AS (SELECT *, count(*) OVER o AS section, max(CASE WHEN level = 1 THEN line_no END) OVER p AS p1, max(CASE WHEN level = 2 THEN line_no END) OVER p AS p2 FROM e
 WINDOW o AS (PARTITION BY doc_id ORDER BY line_no), p AS (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),

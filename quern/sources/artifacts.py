@@ -25,6 +25,19 @@ def read_artifacts(spark: SparkSession, path: str) -> DataFrame:
     return files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"), "content")
 
 
+def on_disk(spark: SparkSession, manifest: DataFrame, folder: str) -> DataFrame:
+    """doc_id, sha256, bytes of the artifacts that lie where `raw_path` puts them; no rows without any."""
+    places = manifest.select("doc_id", raw_path(folder, F.col("doc_id"), F.col("format"), F.col("url")).alias("_place"))
+    try:
+        files = read_artifacts(spark, folder.rstrip("/") + "/raw")
+    except Exception as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        return spark.createDataFrame([], "doc_id string, sha256 string, bytes bigint")
+    local = files.select(F.regexp_replace("path", "^file:/+", "/").alias("_path"), "sha256", "bytes")
+    return local.join(places, F.col("_path") == F.regexp_replace("_place", "^file:/+", "/")).select("doc_id", "sha256", "bytes")
+
+
 def sanity_problem(content: Column, format_: Column, url: Column) -> Column:
     """What is wrong with an artifact, null if nothing: a PDF must start like one, a catalog must be JSON with `catalog`
     or `profile`, a web source JSON with something in it or a page."""
@@ -73,6 +86,14 @@ def manual_record(manifest: DataFrame, provenance: DataFrame, on_disk: DataFrame
     )
 
 
+def deferred_record(manifest: DataFrame) -> DataFrame:
+    """Provenance of web sources that are not asked for."""
+    none = lambda kind: F.lit(None).cast(kind)
+    return manifest.where("format = 'web'").select(
+        "doc_id", none("string").alias("sha256"), none("bigint").alias("bytes"), none("string").alias("retrieved_at"), "url", none("int").alias("http_status"), F.lit("skipped").alias("source"), F.lit(True).alias("skipped"), F.lit("web source deferred").alias("note")
+    )
+
+
 PROVENANCE_FIELDS = tuple(schemas.PROVENANCE_ENTRY.fieldNames())
 
 

@@ -28,11 +28,11 @@ def decoded(payloads: DataFrame, column: str = "payload") -> DataFrame:
     return payloads.withColumn("problem", problem).withColumn("row", F.when(F.col("problem").isNull(), F.from_json(column, schemas.ROW)))
 
 
-def strict_rows(payloads: DataFrame, column: str = "payload") -> DataFrame:
-    """The rows of payloads; raises at the first that is not exactly one."""
+def strict_rows(payloads: DataFrame, column: str = "payload", keep: tuple[str, ...] = ()) -> DataFrame:
+    """The rows of payloads, with the columns `keep`; raises at the first that is not exactly one."""
     checked = decoded(payloads, column)
     sure = F.when(F.col("problem").isNotNull(), F.raise_error(F.col("problem")).cast(schemas.ROW.simpleString())).otherwise(F.col("row"))
-    return checked.select(sure.alias("row")).select("row.*")
+    return checked.select(*keep, sure.alias("row")).select(*keep, "row.*")
 
 
 def read_interim(spark: SparkSession, folder: str, skip: str = "chunked.rows.jsonl") -> DataFrame:

@@ -34,9 +34,21 @@ def provenance_json(provenance: DataFrame) -> str:
 
 
 def verification_report(manifest: DataFrame, checks: DataFrame) -> str:
-    """Markdown about every publication: doc_id, status of its address, notes. `checks` has doc_id, status, note."""
-    joined = manifest.select("doc_id", "title", "format").join(checks.select("doc_id", "status", "note"), "doc_id", "left")
-    rows = joined.orderBy("doc_id").collect()
-    lines = ["# Verification report", "", "| doc_id | title | format | HTTP | note |", "|---|---|---|---:|---|"]
-    lines += [f"| `{r['doc_id']}` | {r['title']} | {r['format']} | {'-' if r['status'] is None else r['status']} | {r['note'] or ''} |" for r in rows]
+    """Markdown about every publication: whether its address answers, what its landing page says, what people must do.
+
+    `checks` is what `fetch.verify` gives. One row for each publication comes to the driver.
+    """
+    about = checks.select("doc_id", *[c for c in ("status", "method", "note", "resolved_url", "signals") if c in checks.columns])
+    rows = [r.asDict() for r in manifest.select("doc_id", "title", "format", "revision", "url", "landing_page").join(about, "doc_id", "left").orderBy("doc_id").collect()]
+    answers = lambda r: r.get("status") is not None and 200 <= r["status"] < 300
+    lines = ["# Verification report", "", f"Publications: **{len(rows)}**", "", "| doc_id | title | format | HTTP | note |", "|---|---|---|---:|---|"]
+    for r in rows:
+        note = " -> ".join(x for x in (r.get("note") or "", r.get("resolved_url") or "") if x)
+        lines.append(f"| `{r['doc_id']}` | {r['title']} | {r['format']} | {'-' if r.get('status') is None else r['status']} | {note} |")
+    checked = [r for r in rows if r.get("signals")]
+    lines += ["", "## Standing", "", *([f"- `{r['doc_id']}` ({r['revision'] or 'no revision'}): {r['signals']}" for r in checked] or ["- nothing to check"])]
+    dead = [r for r in rows if r["url"] and not answers(r)]
+    lines += ["", "## Verdict", "", *([f"- `{r['doc_id']}` does not answer: {r['url']}" for r in dead] or ["Every address answers."])]
+    manual = [r for r in rows if r["format"] == "pdf-manual"]
+    lines += [f"- `{r['doc_id']}` is placed by hand, from {r['landing_page']}" for r in manual]
     return "\n".join(lines) + "\n"

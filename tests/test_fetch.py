@@ -61,19 +61,45 @@ def test_probe_and_check():
     assert fetch.check_url(web.client(), None, [], list)["status"] is None
 
 
-def test_fetch_all(tmp_path):
+def manifest_of(spark, docs):
+    return spark.createDataFrame([tuple(d[f] for f in schemas.DOCUMENT_FIELDS) for d in docs], schemas.DOCUMENT)
+
+
+def test_fetch_all(spark, tmp_path):
     docs = [DOC, DOC | {"doc_id": "W", "format": "web", "url": "https://a.example/p.json"}, DOC | {"doc_id": "E", "format": "embedded-in-oscal"}, DOC | {"doc_id": "M", "format": "pdf-manual"}, DOC | {"doc_id": "B", "url": "https://a.example/bad"}, DOC | {"doc_id": "C", "format": "oscal", "url": "https://a.example/c"}]
     web = Web({"https://a.example/x.pdf": (200, b" %PDF-1"), "https://a.example/bad": (200, b"<html>"), "https://a.example/p.json": (200, b"[1]"), "https://a.example/c": (200, b'{"catalog": {}}')})
-    first = fetch.fetch_all(docs, tmp_path, web.client())
+    manifest = manifest_of(spark, docs)
+    first = fetch.fetch_all(spark, manifest, tmp_path, web.client())
     assert {k: a for k, (a, _) in first.items()} == {"SP-1": "downloaded", "W": "skipped", "E": "skipped", "M": "manual-missing", "B": "failed", "C": "downloaded"}
-    assert not list(tmp_path.rglob("*.part"))
+    assert not list(tmp_path.rglob("*.incoming"))
     (tmp_path / "raw" / "manual").mkdir()
     (tmp_path / "raw" / "manual" / "M.pdf").write_bytes(b"%PDF")
-    again = fetch.fetch_all(docs, tmp_path, web.client(), include_web=True)
+    again = fetch.fetch_all(spark, manifest, tmp_path, web.client(), include_web=True)
     assert {k: a for k, (a, _) in again.items()}["SP-1"] == "cached" and again["W"][0] == "downloaded" and again["M"][0] == "manual"
-    kept = fetch.load_provenance(tmp_path / "provenance.json")["M"].retrieved_at
-    fetch.fetch_all(docs, tmp_path, web.client())
-    assert fetch.load_provenance(tmp_path / "provenance.json")["M"].retrieved_at == kept
+    kept = json.loads((tmp_path / "provenance.json").read_text())["M"]["retrieved_at"]
+    fetch.fetch_all(spark, manifest, tmp_path, web.client())
+    entries = json.loads((tmp_path / "provenance.json").read_text())
+    assert entries["M"]["retrieved_at"] == kept and entries["C"]["http_status"] == 200 and entries["W"]["skipped"] is True
+    # What has been changed on disk is asked for again.
+    (tmp_path / "raw" / "SP-1.pdf").write_bytes(b"%PDF other")
+    assert fetch.fetch_all(spark, manifest, tmp_path, web.client())["SP-1"][0] == "downloaded"
+
+
+def test_verify(spark, tmp_path, capsys):
+    landing = b'<a href="/pubs/x1.pdf">the file</a> <p>This publication was superseded by Revision 7.</p>'
+    dead = DOC | {"doc_id": "SP-x1", "url": "https://a.example/gone.pdf", "landing_page": "https://a.example/l", "revision": "Rev. 2", "notes": "check the landing page"}
+    lost = DOC | {"doc_id": "SP-2", "url": "https://a.example/lost.pdf", "landing_page": "https://a.example/none"}
+    none = DOC | {"doc_id": "N", "format": "pdf-manual", "url": None, "landing_page": "https://a.example/l"}
+    web = Web({"https://a.example/x.pdf": (200, b""), "https://a.example/gone.pdf": (404, b""), "https://a.example/l": (200, landing), "https://a.example/pubs/x1.pdf": (200, b""), "https://a.example/lost.pdf": (404, b""), "https://a.example/none": (500, b"")})
+    got = {r.doc_id: r for r in fetch.verify(spark, manifest_of(spark, [DOC, dead, lost, none]), web.client()).collect()}
+    assert (got["SP-1"].status, got["SP-1"].resolved_url, got["SP-1"].signals) == (200, None, None)
+    assert got["SP-x1"].resolved_url == "https://a.example/pubs/x1.pdf" and "superseded" in got["SP-x1"].signals and "[7]" in got["SP-x1"].signals
+    assert got["SP-2"].status == 404 and got["N"].note == "no url"
+    path = tmp_path / "m.json"
+    path.write_text(json.dumps({"manifest_version": 1, "dataset_name": "d", "maintainer": "m", "documents": [DOC, dead, lost, none]}))
+    assert main(["verify", str(path), str(tmp_path / "report.md")], spark, web.client()) == 1
+    report = (tmp_path / "report.md").read_text()
+    assert "`SP-2` does not answer" in report and "pubs/x1.pdf" in report and "`N` is placed by hand" in report and "`SP-x1` (Rev. 2)" in report
 
 
 def test_pdf_lines(spark):

@@ -116,10 +116,39 @@ def test_grid(spark):
     assert part is None
 
 
+def one_after_the_other(slugs):
+    """Ids as a sequential reader gives them."""
+    seen, out = set(), []
+    for natural in slugs:
+        k = 2
+        found = natural
+        while found in seen:
+            found, k = f"{natural}-{k}", k + 1
+        seen.add(found)
+        out.append(found)
+    return out
+
+
+def given_ids(spark, groups):
+    rows = [(f"D{g}", "section", slug, k) for g, slugs in enumerate(groups) for k, slug in enumerate(slugs)]
+    got = layout.with_ids(spark.createDataFrame(rows, "doc_id string, chunk_type string, slug string, seq bigint")).orderBy("doc_id", "seq").collect()
+    out: dict = {}
+    for r in got:
+        out.setdefault(r.doc_id, []).append(r.id.split("/", 2)[2])
+    return [out[f"D{g}"] for g in range(len(groups))]
+
+
 def test_ids(spark):
-    rows = spark.createDataFrame([("D", "section", "Intro", 1), ("D", "section", "Intro", 2), ("D", "section", "intro", 3), ("D", "section", "Intro-2", 4)], "doc_id string, chunk_type string, slug string, seq bigint")
-    ids = [r.id for r in layout.with_ids(rows).orderBy("seq").collect()]
-    assert ids[0] == "D/section/intro" and len(set(ids)) == 4
+    known = ["Intro 2", "Intro", "Intro", "Intro", "intro-2", "intro 2"]
+    assert given_ids(spark, [known]) == [["intro-2", "intro", "intro-3", "intro-4", "intro-2-2", "intro-2-3"]]
+    rng = random.Random(9)
+    groups = [[rng.choice(["a", "a", "a", "a-2", "a-3", "a-4", "a-2-2", "a-2-3", "a-2-2-2", "a-1", "a-02", "b", "b-7", "b"]) for _ in range(rng.randint(1, 25))] for _ in range(60)]
+    assert given_ids(spark, groups) == [one_after_the_other(g) for g in groups]
+
+
+def test_many_repeats_of_one_id(spark):
+    slugs = ["x"] * 400 + ["x-5"] * 3 + ["x-700"] + ["x"] * 400 + ["x-700"]
+    assert given_ids(spark, [slugs]) == [one_after_the_other(slugs)]
 
 
 def publication():

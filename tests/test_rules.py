@@ -88,9 +88,9 @@ def test_ordered_helpers(spark):
     rng = random.Random(9)
     rows = [(rng.choice(["a", "b", None]), k * 3, rng.choice([None, None, k])) for k in range(200)]
     df = spark.createDataFrame(rows, "k string, o bigint, v int")
-    sums = {r.o: r.s for r in ordered.running_sum(df, "s", F.col("v"), ["k"], "o", width=50).collect()}
-    last = {r.o: r.x for r in ordered.carried(df, {"x": F.col("v")}, ["k"], "o", width=50).collect()}
-    after = {r.o: r.x for r in ordered.carried(df, {"x": F.col("v")}, ["k"], "o", forward=False, current=False, width=50).collect()}
+    sums = {r.o: r.s for r in ordered.running_sum(df, "s", F.col("v"), ["k"], "o").collect()}
+    last = {r.o: r.x for r in ordered.carried(df, {"x": F.col("v")}, ["k"], "o").collect()}
+    after = {r.o: r.x for r in ordered.carried(df, {"x": F.col("v")}, ["k"], "o", forward=False, current=False).collect()}
     for key in ("a", "b", None):
         group = [r for r in rows if r[0] == key]
         for i, (_, o, _) in enumerate(group):
