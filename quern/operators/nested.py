@@ -12,7 +12,7 @@ import json
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: A merged schema has a row for each kind and field; records that use data as field names would make it unbounded.
@@ -110,12 +110,17 @@ def explode_tree(records: DataFrame, key: str, column: str, root: str, fields: l
     return rows.select(F.col("_key").alias(key), F.explode(F.concat(none, *levels)).alias("n")).select(key, "n.kind", "n.path", "n.parent", "n.ordinal", "n.values")
 
 
+def _surrogate(key: str, path: str) -> Column:
+    """A number that any engine can compute again from the key of the record and the path."""
+    return F.conv(F.substring(F.md5(F.concat_ws("/", F.col(key).cast("string"), path)), 1, 15), 16, 10).cast("bigint")
+
+
 def nodes(records: DataFrame, key: str, column: str, root: str, fields: list[str] | None = None, columns: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
     """Every object in the nested arrays of JSON texts, linked to its parent.
 
     Returns key, kind (the field it is in), path (fields and positions from the root, joined by dots), parent (the path
-    of the enclosing node, empty at the top), ordinal (its position in the array, from 0), node_key and parent_key (64-bit
-    surrogate keys over key and path), node_id (its id as written, empty if it has none), and the values named in
+    of the enclosing node, empty at the top), ordinal (its position in the array, from 0), node_key and parent_key
+    (surrogate keys: 60 bits of a digest of key and path), node_id (its id as written, empty if it has none), and the values named in
     `columns` (name -> names of the fields that lead to it) as strings. `fields` restricts the search to fields of these names; by
     default all that hold arrays of objects somewhere.
     Null, empty and unreadable texts, and such without an object under `root`, have no nodes; nulls and plain values in
@@ -133,7 +138,7 @@ def nodes(records: DataFrame, key: str, column: str, root: str, fields: list[str
     flat = explode_tree(records.select(key, column), key, column, root, listed if depth else [], depth, {"node_id": ("id",)} | (columns or {}))
     return flat.select(
         key, "kind", "path", "parent", "ordinal",
-        F.xxhash64(key, "path").alias("node_key"), F.when(F.col("parent") != "", F.xxhash64(key, "parent")).alias("parent_key"),
+        _surrogate(key, "path").alias("node_key"), F.when(F.col("parent") != "", _surrogate(key, "parent")).alias("parent_key"),
         F.coalesce("values.node_id", F.lit("")).alias("node_id"), *[f"values.{name}" for name in columns or {}],
     )
 

@@ -63,3 +63,16 @@ n(kind, depth, j) AS (SELECT 'catalog', 0, j->'catalog' FROM f WHERE json_type(j
   UNION ALL SELECT field, depth + 1, c FROM (SELECT n.depth, k AS field, unnest(CASE json_type(n.j->k) WHEN 'ARRAY' THEN (n.j->k)::JSON[] ELSE [n.j->k] END) AS c FROM n, unnest(json_keys(n.j)) AS u(k)) WHERE json_type(c) = 'OBJECT')
 SELECT kind, field, CASE json_type(j->field) WHEN 'OBJECT' THEN 'object' WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'NULL' THEN 'null' WHEN 'DOUBLE' THEN 'double' WHEN 'ARRAY' THEN CASE WHEN list_contains(list_transform((j->field)::JSON[], lambda x: json_type(x)), 'OBJECT') THEN 'array<object>' ELSE 'array' END ELSE 'bigint' END AS type, max(depth)::INT AS depth
 FROM n, unnest(json_keys(j)) AS u(field) GROUP BY ALL"""
+
+
+def _flat(field: str) -> str:
+    """One flat table of all catalogs, with surrogate keys made as the operator makes them."""
+    key = "('0x' || substr(md5(concat_ws('/', file_id, {0})), 1, 15))::BIGINT"
+    values = []
+    for name, (first, *rest) in nested.OSCAL_COLUMNS[field].items():
+        at = f"j->'{first}'" + "".join(f"->'{step}'" for step in rest)
+        values.append(f"CASE json_type({at}) WHEN 'VARCHAR' THEN ({at})->>'$' WHEN 'NULL' THEN NULL ELSE ({at})::VARCHAR END AS \"{name}\"")
+    return _ALL + f"SELECT file_id, path, parent, ordinal::INT AS ordinal, {key.format('path')} AS node_key, CASE WHEN parent <> '' THEN {key.format('parent')} END AS parent_key, coalesce(j->>'id', '') AS node_id, {', '.join(values)} FROM n WHERE kind = '{field}'"
+
+
+ORACLES |= {f"p5_{field}": _flat(field) for field in nested.OSCAL_COLUMNS}
