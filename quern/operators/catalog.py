@@ -1,8 +1,9 @@
 """Control catalogs as rows: parameters rendered into prose, part trees flattened to labelled lines, one row each for a
 control's statement, discussion, assessment objective and assessment methods.
 
-Works on the linked flat tables of the catalog tree (see `nested`): all steps are joins and groupings over them, for any
-number of catalogs at once, and the order of the tree is the order of a padded path.
+A catalog is one row until it is exploded: its nodes are an array (see `nested`), to which what stands above them comes
+down, and parameters are resolved within the row. Then parts meet their control in one shuffle by control, and all
+rows of a control are made within its row. Order is that of the tree, by a padded path.
 """
 
 from __future__ import annotations
@@ -21,17 +22,27 @@ MAX_PASSES = 5
 #: Sections of a control by the name of their parts: statement first, children last (fixed values).
 PART_KINDS = {"statement": "statement", "guidance": "guidance", "assessment-objective": "objective", "assessment-method": "method"}
 _PROPS = "array<struct<name:string,value:string,class:string>>"
-_COLUMNS = {"title": ("title",), "name": ("name",), "prose": ("prose",), "props": ("props",), "label": ("label",), "select": ("select",)}
-
-
-def tree(files: DataFrame) -> DataFrame:
-    """Nodes of all catalogs with what the rows need: order (sorts depth first, parameters before parts before children)."""
-    flat = nested.nodes(files, "file_id", "mini_catalog", "catalog", list(nested.OSCAL_KINDS), _COLUMNS)
-    code = F.create_map(*[F.lit(x) for pair in {"groups": "0", "params": "1", "parts": "2", "controls": "3"}.items() for x in pair])
-    order = F.array_join(F.transform(F.split("path", r"\."), lambda x, i: F.when(i % 2 == 0, code[x]).otherwise(F.lpad(x, 10, "0"))), ".")
-    # One property alone may stand without its array.
-    props = F.coalesce(F.from_json("props", _PROPS), F.array(F.from_json("props", _PROPS[6:-1])))
-    return flat.select("file_id", "kind", "path", "parent", "ordinal", "node_id", "title", "name", F.coalesce("prose", F.lit("")).alias("prose"), F.filter(props, lambda p: p.isNotNull()).alias("props"), "label", "select", order.alias("order"))
+_COLUMNS = {name: (name,) for name in ("title", "name", "prose", "props", "label", "select")}
+#: Parameters sort before parts, and parts before child controls (fixed values).
+_CODES = {"groups": "0", "params": "1", "parts": "2", "controls": "3"}
+_CODE = "CASE {field} " + " ".join(f"WHEN '{f}' THEN '{c}'" for f, c in _CODES.items()) + " END"
+#: What comes down to a node: its order, the node right above it, and the group it is in.
+_PASSED = {
+    "ord": ("''", f"concat_ws('.', nullif(n.ord, ''), {_CODE}, lpad(cast(i AS string), 10, '0'))"),
+    "above": ("CAST(NULL AS struct<kind:string,id:string,title:string>)", "named_struct('kind', n.kind, 'id', coalesce(n.values.node_id, ''), 'title', coalesce(n.values.title, ''))"),
+    "home": ("CAST(NULL AS struct<id:string,title:string>)", "CASE WHEN n.kind = 'groups' THEN named_struct('id', coalesce(n.values.node_id, ''), 'title', n.values.title) ELSE n.home END"),
+}
+
+
+def trees(files: DataFrame) -> DataFrame:
+    """file_id, doc_id, nodes (all nodes of a catalog with what comes down to them) and params (latest first, as printed)."""
+    fields = list(nested.OSCAL_KINDS)
+    depth = nested.depth_of(nested.infer_schema(files, "mini_catalog", "catalog"), fields)
+    rows, found = nested.tree_arrays(files, ["file_id", "doc_id"], "mini_catalog", "catalog", fields, depth, {"node_id": ("id",)} | _COLUMNS, _PASSED)
+    arrays = rows.select("file_id", "doc_id", found.alias("nodes"))
+    own = F.filter("nodes", lambda n: (n["kind"] == "params") & (F.coalesce(n["values"]["node_id"], F.lit("")) != ""))
+    printed = F.transform(own, lambda n: F.struct(n["ord"].alias("ord"), n["values"]["node_id"].alias("id"), render_param(n["values"]["node_id"], n["values"]["label"], n["values"]["select"]).alias("rendered")))
+    return arrays.withColumn("params", F.reverse(F.array_sort(printed)))
 
 
 def render_param(node_id: Column, label: Column, select: Column) -> Column:
@@ -42,45 +53,34 @@ def render_param(node_id: Column, label: Column, select: Column) -> Column:
     return F.when(select.isNotNull(), selection).otherwise(F.concat(F.lit("[Assignment: organization-defined "), F.coalesce(F.nullif(label, F.lit("")), node_id, F.lit("")), F.lit("]")))
 
 
-def _substituted(rows: DataFrame, key: list[str], text: str, params: DataFrame) -> DataFrame:
-    """Rows with every marker in `text` replaced once; adds `unresolved`, the ids that no parameter has."""
-    pieces = F.split(text, MARKER.replace("(", "(?:"))
-    ids = F.transform(F.regexp_extract_all(text, F.lit(MARKER), 1), lambda i: F.regexp_replace(i, ",+\\z", ""))
-    cut = rows.select(*rows.columns, F.posexplode(F.zip_with(pieces, ids, lambda p, i: F.struct(p.alias("piece"), i.alias("param")))).alias("_n", "_x"))
-    known = params.select("file_id", F.col("param_id").alias("_param"), F.col("rendered").alias("_rendered"))
-    met = cut.withColumn("_param", F.col("_x.param")).join(known, ["file_id", "_param"], "left")
-    value = F.concat(F.col("_x.piece"), F.when(F.col("_param").isNull(), "").otherwise(F.coalesce("_rendered", F.lit(UNRESOLVED))))
-    missing = F.when(F.col("_param").isNotNull() & F.col("_rendered").isNull(), F.col("_param"))
-    keep = [c for c in rows.columns if c not in (*key, text)]
-    grouped = met.groupBy(*key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_n", value.alias("v")))), lambda s: s["v"]), "").alias(text), F.collect_list(missing).alias("unresolved"), *[F.first(c).alias(c) for c in keep])
-    return grouped.select(*rows.columns, "unresolved")
+def _ids(text: Column) -> Column:
+    return F.transform(F.regexp_extract_all(text, F.lit(MARKER), 1), lambda i: F.regexp_replace(i, ",+\\z", ""))
+
+
+def _known(params: Column, wanted: Column) -> Column:
+    """The rendered form of the latest parameter of an id, null if there is none."""
+    return F.get(F.filter(params, lambda p: p["id"] == wanted), 0)["rendered"]
+
+
+def resolved(text: Column, params: Column, passes: int = MAX_PASSES) -> Column:
+    """A text with its markers replaced, again and again as parameters hold markers too; a catalog's own loops end after
+    `passes` rounds. Ids that no parameter has give a blank one."""
+
+    def once(t: Column, _: Column) -> Column:
+        bits = F.zip_with(F.split(t, MARKER.replace("(", "(?:")), _ids(t), lambda bit, i: F.concat(bit, F.when(i.isNull(), "").otherwise(F.coalesce(_known(params, i), F.lit(UNRESOLVED)))))
+        return F.when(t.rlike(MARKER), F.array_join(bits, "")).otherwise(t)
 
+    return F.aggregate(F.sequence(F.lit(1), F.lit(passes)), text, once)
 
-def param_index(nodes: DataFrame) -> DataFrame:
+
+def param_index(files: DataFrame) -> DataFrame:
     """file_id, param_id, rendered: every parameter of a catalog, the last one of an id, with markers inside it resolved.
 
-    Parameters may refer to others; up to four rounds resolve them before prose is rendered, which makes five passes.
+    Prose takes one more pass than its parameters, which makes five.
     """
-    own = nodes.where("kind = 'params' AND node_id <> ''").select("file_id", "node_id", "order", render_param(F.col("node_id"), F.col("label"), F.col("select")).alias("rendered"))
-    index = own.groupBy("file_id", F.col("node_id").alias("param_id")).agg(F.max_by("rendered", "order").alias("rendered"))
-    raw = index = stored(index, "params")
-    for _ in range(MAX_PASSES - 1):
-        open_ = index.where(F.col("rendered").rlike(MARKER))
-        if open_.isEmpty():
-            break
-        closed = _substituted(open_, ["file_id", "param_id"], "rendered", raw).drop("unresolved")
-        index = stored(index.where(~F.col("rendered").rlike(MARKER)).unionByName(closed), "params")
-    return index
-
-
-def rendered_prose(nodes: DataFrame, params: DataFrame) -> DataFrame:
-    """Parts with their markers resolved; only prose that has any is taken apart. Adds `unresolved`."""
-    parts = nodes.where("kind = 'parts'").withColumn("props", F.to_json("props"))
-    marked = F.col("prose").rlike(MARKER)
-    changed = _substituted(parts.where(marked), ["file_id", "path"], "prose", params)
-    plain = parts.where(~marked).withColumn("unresolved", F.array().cast("array<string>"))
-    left_over = F.regexp_replace("prose", MARKER, UNRESOLVED)
-    return plain.unionByName(changed).withColumn("prose", left_over).withColumn("props", F.from_json("props", _PROPS))
+    listed = trees(files).select("file_id", "params", F.explode("params").alias("p"))
+    shown = listed.select("file_id", F.col("p.id").alias("param_id"), "p.ord", resolved(F.col("p.rendered"), F.col("params"), MAX_PASSES - 1).alias("rendered"))
+    return shown.groupBy("file_id", "param_id").agg(F.max_by("rendered", "ord").alias("rendered"))
 
 
 def part_label(props: Column) -> Column:
@@ -91,45 +91,64 @@ def part_label(props: Column) -> Column:
     return F.coalesce(F.get(plain, 0)["value"], F.get(assessor, 0)["value"], F.lit(""))
 
 
-def part_lines(parts: DataFrame) -> DataFrame:
-    """file_id, control (its path), top (path of the section's part), name, order, line: parts as labelled lines, in order.
+def _props(text: Column) -> Column:
+    # One property alone may stand without its array.
+    several = F.coalesce(F.from_json(text, _PROPS), F.array(F.from_json(text, _PROPS[6:-1])))
+    return F.coalesce(F.filter(several, lambda p: p.isNotNull()), F.array().cast(_PROPS))
+
+
+def controls(files: DataFrame) -> DataFrame:
+    """One row for each control of each catalog: file_id, control (its path), doc_id, what it is called and where it stands,
+    and sections: its own parts in order, each with its name, method and printed lines.
 
-    A label without prose is only a line where nothing is below it; the label of a section's own part is not printed,
-    nor, in a method, those of the parts right below it.
+    A control and its parts are gathered in one row, so its size is that of a printed control.
     """
-    has_children = parts.select("file_id", F.col("parent").alias("path")).distinct().withColumn("_inner", F.lit(True))
-    control = F.regexp_extract("path", r"^((?:.*\.)?controls\.\d+)\.parts\.", 1)
-    top = F.regexp_extract("path", r"^((?:.*\.)?controls\.\d+\.parts\.\d+)", 1)
-    marked = parts.join(has_children, ["file_id", "path"], "left").withColumn("control", control).withColumn("top", top).where("control <> ''")
-    # The section's own part names the section and gives the method.
-    method = F.get(F.filter("props", lambda p: p["name"] == "method"), 0)["value"]
-    heads = marked.where("path = top").select("file_id", "top", F.col("name").alias("section"), F.coalesce(method, F.lit("METHOD")).alias("method"), F.col("order").alias("top_order"))
-    met = marked.join(heads, ["file_id", "top"]).withColumn("own", F.col("path") == F.col("top"))
-    unlabelled = F.col("own") | ((F.col("section") == "assessment-method") & (F.col("parent") == F.col("top")))
-    met = met.withColumn("_label", F.when(unlabelled, "").otherwise(part_label(F.col("props"))))
-    text = F.rtrim(F.concat(F.when(F.col("_label") != "", F.concat("_label", F.lit(" "))).otherwise(""), F.col("prose")))
-    line = F.when((F.col("prose") != "") | ((F.col("_label") != "") & F.col("_inner").isNull()), text)
-    return met.select("file_id", "control", "top", "top_order", "section", "method", "order", line.alias("line"), "own")
-
-
-def controls(nodes: DataFrame) -> DataFrame:
-    """Controls with family, parent control, printed forms and whether they are withdrawn."""
-    own = nodes.where("kind = 'controls'").select("file_id", "path", "parent", "order", F.col("node_id").alias("control_id"), F.coalesce("title", F.lit("")).alias("title"), F.exists(F.coalesce("props", F.array().cast(_PROPS)), lambda p: (p["name"] == "status") & (p["value"] == "withdrawn")).alias("withdrawn"))
-    above = own.select("file_id", F.col("path").alias("parent"), F.col("control_id").alias("parent_id"), F.col("title").alias("parent_title"))
-    group = nodes.where("kind = 'groups'").select("file_id", F.col("path").alias("group"), F.nullif("node_id", F.lit("")).alias("family"), F.coalesce("title", F.upper("node_id")).alias("family_title"))
-    home = own.withColumn("group", F.regexp_extract("path", r"^((?:.*\.)?groups\.\d+)\.", 1))
-    joined = home.join(above, ["file_id", "parent"], "left").join(group, ["file_id", "group"], "left")
-    printed, parent = T.display_id(F.col("control_id")), T.display_id(F.col("parent_id"))
-    family, enhancement = F.upper(F.coalesce("family", F.lit(""))), F.col("parent_id").isNotNull()
-    context = F.concat(F.lit("Family: "), F.coalesce("family_title", F.lit("")), F.lit(" ("), family, F.lit(")"))
-    return joined.select(
-        "file_id", "path", "order", "control_id", "title", "withdrawn", F.coalesce("family", F.lit("")).alias("family"), enhancement.alias("enhancement"), printed.alias("printed"),
-        F.when(enhancement, F.concat(printed, F.lit(" "), F.coalesce("parent_title", F.lit("")), F.lit(" | "), F.col("title"))).otherwise(F.concat(printed, F.lit(" "), F.col("title"))).alias("heading"),
+    catalogs = trees(files)
+    wanted = F.filter("nodes", lambda n: n["kind"].isin("controls", "parts"))
+    flat = catalogs.select("file_id", "doc_id", "params", F.explode(wanted).alias("n")).select("file_id", "doc_id", "params", "n.*")
+    is_part = F.col("kind") == "parts"
+    control = F.when(is_part, F.regexp_extract("path", r"^((?:.*\.)?controls\.\d+)\.parts\.", 1)).otherwise(F.col("path"))
+    prose = F.when(is_part, F.regexp_replace(resolved(F.coalesce("values.prose", F.lit("")), F.col("params")), MARKER, UNRESOLVED))
+    flat = flat.select("file_id", "doc_id", control.alias("control"), is_part.alias("is_part"), "ord", "path", "parent", "values", "above", "home", prose.alias("prose")).where("control <> ''")
+    part = F.struct("ord", "path", "parent", F.col("values.name").alias("name"), F.col("values.props").alias("props"), "prose")
+    about = F.struct("doc_id", "ord", F.coalesce("values.node_id", F.lit("")).alias("id"), F.coalesce("values.title", F.lit("")).alias("title"), F.col("values.props").alias("props"), "above", "home")
+    gathered = flat.groupBy("file_id", "control").agg(F.first(F.when(~F.col("is_part"), about), ignorenulls=True).alias("c"), F.array_sort(F.collect_list(F.when(F.col("is_part"), part))).alias("_parts"))
+    parts = F.transform("_parts", lambda p: F.struct(p["ord"].alias("ord"), p["path"].alias("path"), p["parent"].alias("parent"), p["name"].alias("name"), _props(p["props"]).alias("props"), p["prose"].alias("prose")))
+    gathered = gathered.select("file_id", "control", "c", parts.alias("_parts"))
+
+    def section(top: Column) -> Column:
+        # The section's own part names the section and gives the method; its label is not printed.
+        method = F.coalesce(F.get(F.filter(top["props"], lambda p: p["name"] == "method"), 0)["value"], F.lit("METHOD"))
+        is_method = F.coalesce(top["name"] == "assessment-method", F.lit(False))
+        mine = F.filter("_parts", lambda p: F.startswith(p["path"], F.concat(top["path"], F.lit("."))) | (~is_method & (p["path"] == top["path"])))
+        lines = F.transform(mine, lambda p: _line(p, (p["path"] == top["path"]) | (is_method & (p["parent"] == top["path"]))))
+        return F.struct(top["ord"].alias("ord"), top["name"].alias("name"), method.alias("method"), F.array_join(F.filter(lines, lambda x: F.trim(x) != ""), "\n").alias("body"))
+
+    def _line(p: Column, unlabelled: Column) -> Column:
+        """A label without prose is only a line where no part is below it."""
+        label = F.when(unlabelled, "").otherwise(part_label(p["props"]))
+        text = F.rtrim(F.concat(F.when(label != "", F.concat(label, F.lit(" "))).otherwise(""), p["prose"]))
+        return F.when((p["prose"] != "") | ((label != "") & ~F.exists("_parts", lambda c: c["parent"] == p["path"])), text)
+
+    tops = F.filter("_parts", lambda p: F.regexp_extract(F.substr(p["path"], F.length("control") + 1), r"^(\.parts\.\d+)\z", 1) != "")
+    withdrawn = F.exists(_props(F.col("c.props")), lambda p: (p["name"] == "status") & (p["value"] == "withdrawn"))
+    enhancement = F.coalesce(F.col("c.above.kind") == "controls", F.lit(False))
+    family = F.upper(F.coalesce("c.home.id", F.lit("")))
+    printed, parent = T.display_id(F.col("c.id")), T.display_id(F.col("c.above.id"))
+    context = F.concat(F.lit("Family: "), F.coalesce("c.home.title", F.upper("c.home.id"), F.lit("")), F.lit(" ("), family, F.lit(")"))
+    return gathered.select(
+        "file_id", "control", "c.doc_id", F.col("c.ord").alias("order"), F.col("c.id").alias("control_id"), F.col("c.title").alias("title"), F.coalesce(withdrawn, F.lit(False)).alias("withdrawn"), F.coalesce("c.home.id", F.lit("")).alias("family"), enhancement.alias("enhancement"), printed.alias("printed"),
+        F.when(enhancement, F.concat(printed, F.lit(" "), F.col("c.above.title"), F.lit(" | "), F.col("c.title"))).otherwise(F.concat(printed, F.lit(" "), F.col("c.title"))).alias("heading"),
         F.concat_ws(" > ", family, F.when(enhancement, parent), printed).alias("base_path"),
-        F.when(enhancement, F.concat(context, F.lit(" > "), parent, F.lit(" "), F.coalesce("parent_title", F.lit("")))).otherwise(context).alias("context"),
+        F.when(enhancement, F.concat(context, F.lit(" > "), parent, F.lit(" "), F.col("c.above.title"))).otherwise(context).alias("context"),
+        F.transform(tops, section).alias("sections"),
     )
 
 
+def _is_dull(body: Column) -> Column:
+    return F.lower(F.regexp_replace(F.trim(body), r"\.+\z", "")).isin("none", "")
+
+
 def parse_catalogs(files: DataFrame, assessment_doc: str | None = "assessment") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows, rejections, counts) of catalogs given as file_id, doc_id, mini_catalog.
 
@@ -137,49 +156,38 @@ def parse_catalogs(files: DataFrame, assessment_doc: str | None = "assessment")
     without a statement or an id, and empty discussions are rejected; children of a withdrawn control are read. Without
     an `assessment_doc` there are no assessment rows. counts: file_id, family, kind, n.
     """
-    nodes = stored(tree(files), "catalog-nodes")
-    lines = stored(part_lines(rendered_prose(nodes, param_index(nodes))), "catalog-lines")
-    documents = files.select("file_id", "doc_id").dropDuplicates(["file_id"])
-    known = stored(controls(nodes).join(documents, "file_id"), "catalog-controls")
+    known = stored(controls(files), "catalog-controls")
     live = known.where("NOT withdrawn AND control_id <> ''")
-
-    def joined(rows: DataFrame, by: list[str], condition: Column | None = None) -> DataFrame:
-        text = F.when(condition, F.col("line")) if condition is not None else F.col("line")
-        entry = F.when(F.trim(text) != "", F.struct("order", text.alias("line")))
-        return rows.groupBy("file_id", "control", *by).agg(F.array_join(F.transform(F.array_sort(F.collect_list(entry)), lambda x: x["line"]), "\n").alias("body"))
-
-    statements = joined(lines.where("section = 'statement'"), [])
-    guidance = joined(lines.where("section = 'guidance'"), ["top"])
-    objectives = joined(lines.where("section = 'assessment-objective'"), [])
-    blocks = joined(lines.where("section = 'assessment-method' AND NOT own"), ["top", "top_order", "method"]).where("trim(body) <> ''")
-    title_case = F.array_join(F.transform(F.split(F.lower("method"), "(?<=[^a-z])(?=[a-z])"), F.initcap), "")
-    block = F.concat(title_case, F.lit(": "), F.trim("body"))
-    methods = blocks.groupBy("file_id", "control").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("top_order", block.alias("b")))), lambda x: x["b"]), "\n\n").alias("body"))
-
-    def section(bodies: DataFrame, kind_order: int, chunk_type: Column, doc_id: Column, heading: Column, path: Column) -> DataFrame:
-        met = live.join(bodies.withColumnRenamed("control", "path"), ["file_id", "path"])
-        return met.where("trim(body) <> ''").select("file_id", "order", F.lit(kind_order).alias("kind_order"), chunk_type.alias("chunk_type"), "control_id", doc_id.alias("doc_id"), path.alias("section_path"), T.normalize_text(F.concat(heading, F.lit("\n\n"), F.col("body"))).alias("text"), "family")
-
-    base, printed_title = F.col("base_path"), F.concat("printed", F.lit(" "), "title")
-    dull = F.lower(F.regexp_replace(F.trim("body"), r"\.+\z", "")).isin("none", "")
-    rows = section(statements, 1, F.when(F.col("enhancement"), "control_enhancement").otherwise("control"), F.col("doc_id"), F.concat("heading", F.lit("\n"), "context"), base)
-    rows = rows.unionByName(section(guidance.where(~dull), 2, F.lit("control_discussion"), F.col("doc_id"), F.concat(printed_title, F.lit(" - Discussion\n"), F.col("context")), F.concat(base, F.lit(" > Discussion"))))
+    named = lambda name: F.filter("sections", lambda s: s["name"] == name)
+    joined = lambda found, gap: F.array_join(F.filter(F.transform(found, lambda s: s["body"]), lambda b: b != ""), gap)
+    title_case = lambda method: F.array_join(F.transform(F.split(F.lower(method), "(?<=[^a-z])(?=[a-z])"), F.initcap), "")
+    blocks = F.transform(F.filter(named("assessment-method"), lambda s: F.trim(s["body"]) != ""), lambda s: F.concat(title_case(s["method"]), F.lit(": "), F.trim(s["body"])))
+    head = F.concat("printed", F.lit(" "), "title")
+
+    def made(kind_order: int, chunk_type: Column, doc_id: Column, heading: Column, ending: str, body: Column) -> Column:
+        return F.struct(F.lit(kind_order).alias("kind_order"), chunk_type.alias("chunk_type"), doc_id.alias("doc_id"), F.concat("base_path", F.lit(ending)).alias("section_path"), F.concat(heading, F.lit("\n\n"), body).alias("text"), (F.trim(body) != "").alias("full"))
+
+    own = F.col("doc_id")
+    several = F.transform(F.filter(named("guidance"), lambda s: ~_is_dull(s["body"])), lambda s: made(2, F.lit("control_discussion"), own, F.concat(head, F.lit(" - Discussion\n"), "context"), " > Discussion", s["body"]))
+    all_made = [F.array(made(1, F.when(F.col("enhancement"), "control_enhancement").otherwise("control"), own, F.concat("heading", F.lit("\n"), "context"), "", joined(named("statement"), "\n"))), several]
     if assessment_doc:
-        rows = rows.unionByName(section(objectives, 3, F.lit("assessment_objective"), F.lit(assessment_doc), F.concat(printed_title, F.lit(" - Assessment Objective\nDetermine if the following are satisfied:")), F.concat(base, F.lit(" > Assessment Objective"))))
-        rows = rows.unionByName(section(methods, 4, F.lit("assessment_method"), F.lit(assessment_doc), F.concat(printed_title, F.lit(" - Assessment Methods and Objects")), F.concat(base, F.lit(" > Assessment Methods"))))
-    rows = rows.withColumn("id", T.make_id(F.col("doc_id"), F.col("chunk_type"), F.col("control_id")))
-
-    def rejected(df: DataFrame, rule: str, detail: Column) -> DataFrame:
-        return df.select("doc_id", F.col("control_id").alias("ref"), F.lit(rule).alias("rule"), detail.alias("detail"), F.lit("parse_oscal").alias("stage"))
-
-    with_statement = lines.where("section = 'statement'").select("file_id", F.col("control").alias("path")).distinct()
-    empty = live.join(guidance.where(dull).withColumnRenamed("control", "path"), ["file_id", "path"])
-    rejections = (
-        rejected(known.where("withdrawn"), "withdrawn_control", F.concat("printed", F.lit(" '"), "title", F.lit("' marked withdrawn")))
-        .unionByName(rejected(known.where("NOT withdrawn AND control_id = ''"), "no_id", F.concat(F.lit("control at "), F.col("path"))))
-        .unionByName(rejected(live.join(with_statement, ["file_id", "path"], "left_anti"), "no_statement", F.concat("printed", F.lit(" has no statement part"))))
-        .unionByName(rejected(empty, "empty_discussion", F.concat("printed", F.lit(" discussion is empty or 'None.'"))))
+        doc = F.lit(assessment_doc)
+        all_made.append(F.array(made(3, F.lit("assessment_objective"), doc, F.concat(head, F.lit(" - Assessment Objective\nDetermine if the following are satisfied:")), " > Assessment Objective", joined(named("assessment-objective"), "\n"))))
+        all_made.append(F.array(made(4, F.lit("assessment_method"), doc, F.concat(head, F.lit(" - Assessment Methods and Objects")), " > Assessment Methods", F.array_join(blocks, "\n\n"))))
+    rows = live.select("file_id", "order", "family", "control_id", F.explode(F.concat(*all_made)).alias("r")).where("r.full")
+    rows = rows.select("file_id", "order", "r.kind_order", "r.chunk_type", "control_id", "r.doc_id", "r.section_path", T.normalize_text(F.col("r.text")).alias("text"), T.make_id(F.col("r.doc_id"), F.col("r.chunk_type"), F.col("control_id")).alias("id"), "family")
+
+    reasons = F.array_compact(
+        F.when(F.col("withdrawn"), F.array(F.struct(F.lit("withdrawn_control").alias("rule"), F.concat("printed", F.lit(" '"), "title", F.lit("' marked withdrawn")).alias("detail"))))
+        .when(F.col("control_id") == "", F.array(F.struct(F.lit("no_id").alias("rule"), F.concat(F.lit("control at "), "control").alias("detail"))))
+        .otherwise(
+            F.concat(
+                F.array(F.when(F.size(named("statement")) == 0, F.struct(F.lit("no_statement").alias("rule"), F.concat("printed", F.lit(" has no statement part")).alias("detail")))),
+                F.transform(F.filter(named("guidance"), lambda s: _is_dull(s["body"])), lambda s: F.struct(F.lit("empty_discussion").alias("rule"), F.concat("printed", F.lit(" discussion is empty or 'None.'")).alias("detail"))),
+            )
+        )
     )
+    rejections = known.select("doc_id", F.col("control_id").alias("ref"), F.explode(reasons).alias("x")).select("doc_id", "ref", "x.rule", "x.detail", F.lit("parse_oscal").alias("stage"))
     withdrawn = known.where("withdrawn").select("file_id", "family", F.lit("withdrawn").alias("kind"))
     counts = rows.select("file_id", "family", F.col("chunk_type").alias("kind")).unionByName(withdrawn).groupBy("file_id", "family", "kind").agg(F.count("*").alias("n"))
     return rows.drop("family"), rejections, counts
@@ -193,9 +201,9 @@ def part_names(files: DataFrame) -> DataFrame:
 
 def unresolved_params(files: DataFrame) -> DataFrame:
     """Markers in prose that no parameter of the catalog resolves, by id."""
-    nodes = stored(tree(files), "catalog-nodes")
-    found = rendered_prose(nodes, param_index(nodes)).select(F.explode("unresolved").alias("param_id"))
-    return found.groupBy("param_id").agg(F.count("*").alias("n"))
+    prose = F.transform(F.filter("nodes", lambda n: n["kind"] == "parts"), lambda n: F.coalesce(n["values"]["prose"], F.lit("")))
+    found = trees(files).select("params", F.explode(F.flatten(F.transform(prose, _ids))).alias("param_id"))
+    return found.where(_known(F.col("params"), F.col("param_id")).isNull()).groupBy("param_id").agg(F.count("*").alias("n"))
 
 
 def parse_profiles(profiles: DataFrame) -> DataFrame:

@@ -15,10 +15,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: A merged schema has a row for each kind and field; records that use data as field names would make it unbounded.
+from quern.session import stored
+
+#: Child tables when none are named: the plan has a step for each, so records that use data as field names are refused.
 MAX_FIELDS = 20_000
-#: Deeper nesting is taken for an error.
-MAX_DEPTH = 200
 
 
 def _kind_of(value: object) -> str:
@@ -81,33 +81,46 @@ def _attributes(node: str, columns: dict[str, tuple[str, ...]]) -> str:
     return f"struct({', '.join(values)})"
 
 
-def _children(name: str, columns: dict[str, tuple[str, ...]]) -> str:
+def _children(name: str, columns: dict[str, tuple[str, ...]], passed: dict[str, tuple[str, str]]) -> str:
     """SQL for the objects in field `name` of the node `n`, as an array of structs; one alone has ordinal 0."""
     label, at = _literal(name), f"n.m[{_literal(name)}]"
     many = f"transform(try_cast({at} AS array<variant>), x -> try_cast(x AS {_OBJECT}))"
     alone = f"array(try_cast({at} AS {_OBJECT}))"
+    more = "".join(f" {sql.replace('{field}', label)} AS `{given}`," for given, (_, sql) in passed.items())
     return (
         f"filter(transform(CASE WHEN {at} IS NULL THEN array() ELSE coalesce({many}, {alone}) END, (x, i) -> struct({label} AS kind, concat_ws('.', nullif(n.path, ''), {label}, i) AS path, n.path AS parent, int(i) AS ordinal,"
-        f" {_attributes('x', columns)} AS values, x AS m)), c -> c.m IS NOT NULL)"
+        f" {_attributes('x', columns)} AS values,{more} x AS m)), c -> c.m IS NOT NULL)"
     )
 
 
-def explode_tree(records: DataFrame, key: str, column: str, root: str, fields: list[str], depth: int, columns: dict[str, tuple[str, ...]]) -> DataFrame:
-    """key, kind (the field), path, parent, ordinal, values of every object below `root` reached over `fields`.
+def tree_arrays(records: DataFrame, keep: list[str], column: str, root: str, fields: list[str], depth: int, columns: dict[str, tuple[str, ...]], passed: dict[str, tuple[str, str]] | None = None) -> tuple[DataFrame, Column]:
+    """(the columns `keep` of every readable record with its levels, the array of its nodes): all objects below `root`
+    reached over `fields`, as structs of kind (the field), path, parent, ordinal, values, level by level.
 
-    Within the row of a record each level is one array, made from the level before; all are exploded together at the
-    end. So a record is read once and every node is handled once, whatever the depth. A node is opened one level at a
-    time, as a map of its fields.
+    Within the row of a record each level is one array, made from the level before. So a record is read once and every
+    node is handled once, whatever the depth; a node is opened as a map of its fields. passed: further values of a node
+    by name, as SQL for the root's and SQL for a child's, which may use those of its parent `n`, the place `i` and
+    `{field}`, the field it is in: so what stands above a node comes down to it without a join.
     """
+    passed = passed or {}
     top = f"try_cast(try_cast(try_parse_json({column}) AS {_OBJECT})[{_literal(root)}] AS {_OBJECT})"
-    rows = records.where(F.col(column).isNotNull()).select(F.col(key).alias("_key"), F.expr(top).alias("m")).where("m IS NOT NULL")
-    rows = rows.select("_key", F.expr("array(struct('' AS path, m))").alias("_0"))
+    rows = records.where(F.col(column).isNotNull()).select(*keep, F.expr(top).alias("_m")).where("_m IS NOT NULL")
+    begin = "".join(f" {sql} AS `{given}`," for given, (sql, _) in passed.items())
+    rows = rows.select(*keep, F.expr(f"array(struct('' AS kind, '' AS path, {_attributes('_m', columns)} AS values,{begin} _m AS m))").alias("_0"))
     for level in range(depth):
-        below = f"flatten(transform(_{level}, n -> concat({', '.join(_children(f, columns) for f in fields)})))"
+        below = f"flatten(transform(_{level}, n -> concat({', '.join(_children(f, columns, passed) for f in fields)})))"
         rows = rows.select("*", F.expr(below).alias(f"_{level + 1}"))
-    levels = [F.expr(f"transform(_{k}, n -> struct(n.kind, n.path, n.parent, n.ordinal, n.values))") for k in range(1, depth + 1)]
-    none = F.expr(f"filter(array(struct('' AS kind, '' AS path, '' AS parent, 0 AS ordinal, {_attributes(f'CAST(NULL AS {_OBJECT})', columns)} AS values)), n -> false)")
-    return rows.select(F.col("_key").alias(key), F.explode(F.concat(none, *levels)).alias("n")).select(key, "n.kind", "n.path", "n.parent", "n.ordinal", "n.values")
+    more = "".join(f", n.`{given}`" for given in passed)
+    levels = [F.expr(f"transform(_{k}, n -> struct(n.kind, n.path, n.parent, n.ordinal, n.values{more}))") for k in range(1, depth + 1)]
+    nothing = "".join(f", {sql} AS `{given}`" for given, (sql, _) in passed.items())
+    none = F.expr(f"filter(array(struct('' AS kind, '' AS path, '' AS parent, 0 AS ordinal, {_attributes(f'CAST(NULL AS {_OBJECT})', columns)} AS values{nothing})), n -> false)")
+    return rows, F.concat(none, *levels)
+
+
+def depth_of(schema: DataFrame, fields: list[str] | None = None) -> int:
+    """How many levels of the wanted fields there may be; depth counts objects of all fields, so it is that at least."""
+    nested = schema.where(F.col("type").isin("object", "array<object>"))
+    return 1 + (nested if fields is None else nested.where(F.col("field").isin(*fields))).agg(F.coalesce(F.max("depth"), F.lit(-1))).first()[0]
 
 
 def _surrogate(key: str, path: str) -> Column:
@@ -127,15 +140,17 @@ def nodes(records: DataFrame, key: str, column: str, root: str, fields: list[str
     the arrays are no nodes but keep their positions; empty arrays have none. Records with the same key or the same
     text each give their nodes. Other columns are ignored. A null key stays null.
     """
-    schema = infer_schema(records, column, root).limit(MAX_FIELDS + 1).collect()
-    if len(schema) > MAX_FIELDS:
-        raise ValueError(f"more than {MAX_FIELDS} different fields; the records use data as field names")
-    listed = sorted({r["field"] for r in schema if r["type"] == "array<object>"}) if fields is None else fields
-    # Depth counts objects of all fields, so it is at least the number of levels that are exploded.
-    depth = 1 + max((r["depth"] for r in schema if r["field"] in listed and r["type"] in ("object", "array<object>")), default=-1)
-    if depth > MAX_DEPTH:
-        raise ValueError(f"nested more than {MAX_DEPTH} levels deep")
-    flat = explode_tree(records.select(key, column), key, column, root, listed if depth else [], depth, {"node_id": ("id",)} | (columns or {}))
+    schema = infer_schema(records, column, root)
+    listed = fields
+    if listed is None:
+        schema = stored(schema, "schema")
+        found = schema.where("type = 'array<object>'").select("field").distinct().limit(MAX_FIELDS + 1).collect()
+        if len(found) > MAX_FIELDS:
+            raise ValueError(f"more than {MAX_FIELDS} fields hold arrays of objects; the records use data as field names")
+        listed = sorted(r["field"] for r in found)
+    depth = depth_of(schema, listed) if listed else 0
+    rows, found = tree_arrays(records, [key], column, root, listed, depth, {"node_id": ("id",)} | (columns or {}))
+    flat = rows.select(key, F.explode(found).alias("n")).select(key, "n.kind", "n.path", "n.parent", "n.ordinal", "n.values")
     return flat.select(
         key, "kind", "path", "parent", "ordinal",
         _surrogate(key, "path").alias("node_key"), F.when(F.col("parent") != "", _surrogate(key, "parent")).alias("parent_key"),

@@ -32,7 +32,7 @@ def catalog_part_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def catalog_params(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every parameter as it is printed."""
-    return catalog.param_index(catalog.tree(_files(spark, sf_dir)))
+    return catalog.param_index(_files(spark, sf_dir))
 
 
 def catalog_unresolved(spark: SparkSession, sf_dir: str) -> DataFrame:
