@@ -40,7 +40,16 @@ KEY = ["doc_id"]
 
 def furniture_key(text: Column) -> Column:
     """A line without what changes from page to page: case, spacing and digits."""
-    return F.regexp_replace(F.regexp_replace(F.lower(T.strip(text)), r"(?U)\s+", " "), r"\d+", "#")
+    return _furniture_key(T.strip(text))
+
+
+def _furniture_key(stripped: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(F.lower(stripped), r"(?U)\s+", " "), r"\d+", "#")
+
+
+def _stripped(lines: DataFrame) -> DataFrame:
+    """Lines with `_t`, the text without white space at its ends, so that it is stripped once."""
+    return lines if "_t" in lines.columns else lines.withColumn("_t", T.strip(F.col("text")))
 
 
 def clean_heading(text: Column) -> Column:
@@ -59,23 +68,24 @@ def body_font_size(lines: DataFrame) -> DataFrame:
 
 def repeating_furniture(lines: DataFrame, threshold: float = 0.5) -> DataFrame:
     """doc_id, key of lines on more than half of the pages of their document, but on three at least."""
-    keys = lines.withColumn("key", furniture_key(F.col("text"))).where(F.length(T.strip(F.col("text"))) >= 3)
+    keys = _stripped(lines).where(F.length("_t") >= 3).withColumn("key", _furniture_key(F.col("_t")))
     pages = keys.groupBy(*KEY, "key").agg(F.countDistinct("page").alias("on"))
     return pages.join(page_counts(lines), KEY).where(F.col("on") > F.greatest(F.lit(2), F.floor(F.col("pages") * threshold))).select(*KEY, "key")
 
 
 def contents_pages(lines: DataFrame, entries: int = 5) -> DataFrame:
     """doc_id, page of tables of contents: early pages with five lines that end in a page number."""
-    early = lines.join(page_counts(lines), KEY).where(F.col("page") <= F.greatest(F.lit(3), F.floor(F.col("pages") * 0.2)))
-    return early.where(T.strip(F.col("text")).rlike(CONTENTS_ENTRY)).groupBy(*KEY, "page").agg(F.count("*").alias("n")).where(F.col("n") >= entries).select(*KEY, "page")
+    early = _stripped(lines).join(page_counts(lines), KEY).where(F.col("page") <= F.greatest(F.lit(3), F.floor(F.col("pages") * 0.2)))
+    return early.where(F.col("_t").rlike(CONTENTS_ENTRY)).groupBy(*KEY, "page").agg(F.count("*").alias("n")).where(F.col("n") >= entries).select(*KEY, "page")
 
 
 def without_furniture(lines: DataFrame) -> DataFrame:
     """Lines that are content: not blank, no rule, page number, leader, boilerplate, repeating line or contents page."""
     # One pattern for all, so that a line is stripped and read once.
     plain = "|".join(f"(?:{p})" for p in (r"^\z", RULE, PAGE_NUMBER, LEADERS, *BOILERPLATE))
-    kept = lines.where(~T.strip(F.col("text")).rlike(plain)).withColumn("key", furniture_key(F.col("text")))
-    return kept.join(repeating_furniture(lines), [*KEY, "key"], "left_anti").join(contents_pages(lines), [*KEY, "page"], "left_anti").select(*lines.columns)
+    shaped = _stripped(lines)
+    kept = shaped.where(~F.col("_t").rlike(plain)).withColumn("key", _furniture_key(F.col("_t")))
+    return kept.join(repeating_furniture(shaped), [*KEY, "key"], "left_anti").join(contents_pages(shaped), [*KEY, "page"], "left_anti").select(*lines.columns)
 
 
 def _is_upper(text: Column) -> Column:
@@ -84,7 +94,10 @@ def _is_upper(text: Column) -> Column:
 
 def heading_level(text: Column, size: Column, bold: Column, body_size: Column) -> Column:
     """Depth of a line as a heading, null for body text. Numbers are trusted first; type decides where there are none."""
-    t = T.strip(text)
+    return _heading_level(T.strip(text), size, bold, body_size)
+
+
+def _heading_level(t: Column, size: Column, bold: Column, body_size: Column) -> Column:
     keyword, upper = t.rlike(KEYWORD), _is_upper(t)
     depth = lambda pattern: F.length(F.regexp_replace(F.regexp_extract(t, pattern, 1), r"[^.]", "")) + 1
     last_word = F.regexp_replace(F.lower(F.substring_index(t, " ", -1)), "^[,;:]+|[,;:]+\\z", "")
@@ -102,7 +115,8 @@ def heading_level(text: Column, size: Column, bold: Column, body_size: Column) -
 
 def with_levels(lines: DataFrame) -> DataFrame:
     """Lines with body_size and level. One row for each document is joined on; the planner broadcasts it while small."""
-    return lines.join(body_font_size(lines), KEY).withColumn("level", heading_level(F.col("text"), F.col("size"), F.coalesce("bold", F.lit(False)), F.col("body_size")))
+    shaped = _stripped(lines).join(body_font_size(lines), KEY)
+    return shaped.withColumn("level", _heading_level(F.col("_t"), F.col("size"), F.coalesce("bold", F.lit(False)), F.col("body_size"))).select(*lines.columns, "body_size", "level")
 
 
 def sectioned(lines: DataFrame) -> DataFrame:
@@ -111,7 +125,7 @@ def sectioned(lines: DataFrame) -> DataFrame:
 
     The last heading of level k above a line is an ancestor if no higher heading stands between them: no stack is needed.
     """
-    content = ordered.ranged(with_levels(without_furniture(lines)), KEY, "line_no", "content")
+    content = stored(with_levels(without_furniture(ordered.ranged(lines, KEY, "line_no", "lines"))), "content")
     # A number of a hundred signs has fifty levels at most; usual ones have few, and there are as many columns.
     deepest = content.agg(F.max("level")).first()[0] or 0
     place = F.struct("line_no", T.strip(F.col("text")).alias("heading"), "level")

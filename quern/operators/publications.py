@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions import text as T
-from quern.operators import layout
+from quern.operators import layout, ordered
 from quern.session import stored
 
 
@@ -126,7 +126,7 @@ def parse_publications(lines: DataFrame, grids: DataFrame | None = None, treatme
     `grids` (doc_id, page, grid) holds tables. Documents of no treatment are read as sections and glossaries. Front
     matter is dropped with one rejection for each document. A document without lines gives nothing.
     """
-    lines = stored(lines, "lines")
+    lines = ordered.ranged(lines, layout.KEY, "line_no", "lines")
     marked = stored(layout.sectioned(lines), "sectioned")
     found, front = layout.drop_front_matter(stored(layout.gathered(marked), "sections"), layout.body_start_pages(lines))
     rows, rejected = [], [front]
