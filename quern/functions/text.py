@@ -6,6 +6,7 @@ a final line end, so anchors are `\\z`.
 
 from __future__ import annotations
 
+import json
 import unicodedata
 
 from pyspark.sql import Column
@@ -58,28 +59,29 @@ def normalize_text(text: Column) -> Column:
 
 
 def _ascii_forms() -> tuple[dict[str, str], dict[str, str]]:
-    """By rule: what remains in ASCII of each compatibility-decomposed character, for one letter and for several."""
+    """By rule: what remains in ASCII of each compatibility-decomposed character, for one sign and for several."""
     one, several = {}, {}
-    for code in [*range(0xA0, 0x250), *range(0x1E00, 0x1F00), *range(0x2070, 0x2100), *range(0x2150, 0x218A), *range(0xFB00, 0xFB07), *range(0xFF01, 0xFF5F)]:
-        kept = unicodedata.normalize("NFKD", chr(code)).encode("ascii", "ignore").decode()
+    for code in range(0xA0, 0x20000):
+        kept = unicodedata.normalize("NFKD", chr(code)).encode("ascii", "ignore").decode() if not 0xD800 <= code < 0xE000 else ""
         if kept:
             (one if len(kept) == 1 else several)[chr(code)] = kept
     return one, several
 
 
 _ASCII_ONE, _ASCII_SEVERAL = _ascii_forms()
-_OFTEN_SEVERAL = {c: s for c, s in _ASCII_SEVERAL.items() if c in "¼½¾™ﬀﬁﬂﬃﬄﬅﬆĲĳ№"}
+_SEVERAL_CLASS = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in _ASCII_SEVERAL) + "]"
 
 
 def slugify(text: Column) -> Column:
     """A readable fragment of an id: ASCII letters, digits and dots in lower case, everything else one hyphen.
 
-    Accents of the Latin blocks, full-width letters and common ligatures and fractions are resolved; characters
-    without an ASCII form vanish.
+    Accents, full-width and mathematical letters, ligatures and fractions are resolved by compatibility decomposition;
+    characters without an ASCII form vanish.
     """
-    plain = text
-    for one, several in _OFTEN_SEVERAL.items():
-        plain = F.replace(plain, F.lit(one), F.lit(several))
+    # Few texts hold a sign that stands for several; only those are gone through sign by sign.
+    forms = F.from_json(F.lit(json.dumps(_ASCII_SEVERAL)), "map<string,string>")
+    spelt = F.array_join(F.transform(F.split(text, ""), lambda c: F.coalesce(F.try_element_at(forms, c), c)), "")
+    plain = F.when(text.rlike(_SEVERAL_CLASS), spelt).otherwise(text)
     plain = F.translate(plain, "".join(_ASCII_ONE), "".join(_ASCII_ONE.values()))
     plain = F.lower(F.regexp_replace(plain, r"[^\x00-\x7F]", ""))
     return F.regexp_replace(F.regexp_replace(plain, "[^a-z0-9.]+", "-"), "^-+|-+\\z", "")

@@ -53,17 +53,25 @@ def _run_folder(spark: SparkSession) -> str:
     return f"{shared_dir(spark).rstrip('/')}/quern-{spark.sparkContext.applicationId}"
 
 
+def _held(spark: SparkSession) -> tuple:
+    """The folder of intermediate tables with its file system, in the JVM."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_run_folder(spark))
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The frame written once into the shared folder and read back: later uses do not run its plan again.
 
     The files survive the loss of any executor, unlike cached blocks. They lie in one folder of the application, which
-    `release` removes; that also happens when the driver ends.
+    `release` removes, and the end of the driver at the latest.
     """
     spark = df.sparkSession
     folder = _run_folder(spark)
     if folder not in _kept:
+        system, path = _held(spark)
+        system.mkdirs(path)
+        system.deleteOnExit(path)
         _kept.add(folder)
-        atexit.register(release, spark)
     path = f"{folder}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -75,10 +83,8 @@ _kept: set[str] = set()
 def release(spark: SparkSession) -> None:
     """Removes all intermediate tables of this application. Frames that were made before and not yet written need them,
     so it is called when results have been written."""
-    if spark.sparkContext._jsc is None:
-        return
-    try:
-        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_run_folder(spark))
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
-    except Exception:  # the JVM may have ended before
-        pass
+    folder = _run_folder(spark)
+    if folder in _kept:
+        system, path = _held(spark)
+        system.delete(path, True)
+        _kept.discard(folder)

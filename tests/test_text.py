@@ -25,7 +25,7 @@ def test_normalize_text(spark, raw, normal):
     assert value(spark, T.normalize_text, raw) == normal
 
 
-@pytest.mark.parametrize("raw,slug", [("AC-2.3 Account Management", "ac-2.3-account-management"), ("  Café — Ünïcode  ", "cafe-unicode"), ("ﬁle ½", "file-12"), ("•", ""), ("日本", ""), ("A  &  B", "a-b"), ("GOVERN 1.1", "govern-1.1")])
+@pytest.mark.parametrize("raw,slug", [("AC-2.3 Account Management", "ac-2.3-account-management"), ("  Café — Ünïcode  ", "cafe-unicode"), ("ﬁle ½", "file-12"), ("•", ""), ("日本", ""), ("A  &  B", "a-b"), ("GOVERN 1.1", "govern-1.1"), ("Ⅷ ㎏ ⑩ 𝐀bc Ａ ﷺ", "viii-kg-10-abc-a"), ("Ω ǆ ²", "dz-2")])
 def test_slugify(spark, raw, slug):
     assert value(spark, T.slugify, raw) == slug
 
@@ -67,6 +67,11 @@ def test_links(spark):
     assert got == ["https://csrc.example/a/SP.800-60v1r1.pdf", "https://csrc.example/pubs/up/80060v1r1.pdf", "https://nvlpubs.nist.gov/z.PDF"]
 
 
+@pytest.mark.parametrize("href,url", [("../../../../../../x.pdf", "https://h.example/x.pdf"), ("./a/./../b.pdf", "https://h.example/1/2/3/4/5/b.pdf"), ("/q/../r.pdf", "https://h.example/r.pdf"), ("../../6/7/../8.pdf", "https://h.example/1/2/3/6/8.pdf"), ("//o.example/s.pdf", "https://o.example/s.pdf")])
+def test_parent_folders(spark, href, url):
+    assert value(spark, lambda b, h: T._resolved(b, h), "https://h.example/1/2/3/4/5/page.html?q#f", href) == url
+
+
 def test_addresses(spark):
     old = value(spark, T.alternate_urls, "https://nvlpubs.nist.gov/nistpubs/SpecialPublications/NIST.SP.800-60v1.pdf")
     assert [u.rsplit("/", 1)[1] for u in old] == ["nistspecialpublication80060v1.pdf", "nistspecialpublication800-60v1.pdf"]
