@@ -102,6 +102,9 @@ class Lexicon:
         i = bisect_left(self.sorted, prefix)
         return i < len(self.sorted) and self.sorted[i].startswith(prefix) or prefix in self.starts
 
+    def those_trusted(self, words: set[str]) -> set[str]:
+        return words & self.trusted
+
     def add(self, rows: list[tuple[str, int, int]]) -> None:
         """Rare words that a text asks for. They are right for any text, and go when there are many of them."""
         if len(self.added) > 100_000:
@@ -195,6 +198,16 @@ class AskingLexicon(Lexicon):
         self.asked: set[str] = set()
         self.bitmaps, self.bound = bitmaps, bound
         self.trusted = _Asking(words.trusted, bitmaps, self.asked)
+        self.surely = words.trusted
+
+    def those_trusted(self, words: set[str]) -> set[str]:
+        found = words & self.surely
+        bits, size = self.bitmaps.bits[_TRUSTED], self.bitmaps.size
+        for word in words - found:
+            place = crc32(word.encode()) % size
+            if bits[place >> 5] >> (place & 31) & 1:
+                self.asked.add(word)
+        return found
 
     def begins(self, prefix: str) -> bool:
         return super().begins(prefix) or self.bitmaps.may_hold(_STARTS, prefix)
@@ -406,23 +419,20 @@ class Editor:
 
     def search(self, x: str, score, hidden: str = "") -> list[tuple[float, str, tuple]]:
         """Outcomes with their features, best first: x itself, and the trusted words (but `hidden`) within reach."""
-        trusted = self.words.trusted
         places = sorted(self._places(x))
         outcomes: list[tuple[str, list[str], int]] = [(x, list(x), 0)]
-        for i, end, ops in places:
-            out = x[:i] + "".join(ops) + x[end:]
-            if out in trusted and out != hidden:
-                outcomes.append((out, [*x[:i], *ops, *x[end:]], 1))
-        if len(outcomes) == 1 and len(x) >= 5:
+        single = {k: x[:i] + "".join(ops) + x[end:] for k, (i, end, ops) in enumerate(places)}
+        good = self.words.those_trusted(set(single.values()) - {hidden})
+        if good:
+            outcomes += [(single[k], [*x[:i], *ops, *x[end:]], 1) for k, (i, end, ops) in enumerate(places) if single[k] in good]
+        elif len(x) >= 5:
             for n, (i, end, ops) in enumerate(places):
                 head = x[:i] + "".join(ops)
                 if not self.words.begins(head):
                     continue
-                for j, end2, ops2 in places[n + 1 :]:
-                    if j >= end:
-                        out = head + x[end:j] + "".join(ops2) + x[end2:]
-                        if out in trusted and out != hidden:
-                            outcomes.append((out, [*x[:i], *ops, *x[end:j], *ops2, *x[end2:]], 2))
+                pairs = [(head + x[end:j] + "".join(ops2) + x[end2:], j, end2, ops2) for j, end2, ops2 in places[n + 1 :] if j >= end]
+                good = self.words.those_trusted({p[0] for p in pairs} - {hidden})
+                outcomes += [(out, [*x[:i], *ops, *x[end:j], *ops2, *x[end2:]], 2) for out, j, end2, ops2 in pairs if out in good]
         found = []
         for out, operations, edits in outcomes:
             f = self._all(x, operations, out, edits)
