@@ -27,6 +27,25 @@ def tagged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("row_no", F.col("failed.rule").alias("rule"))
 
 
+#: What is done to copies of all chunks so that each rule is met: column -> SQL value, alike in Spark and DuckDB.
+_SPOILT: list[dict[str, str]] = [
+    {}, {"id": "CAST(NULL AS STRING)"}, {"tier": "5"}, {"control_id": "'zz-1'"}, {"text": "'APPENDIX B PAGE B-2 Too short.'"}, {"text": "'Too short.'"}, {"text": "concat(text, ' {{ name }}')"}, {"text": "concat('NIST SP 800-53 Rev. 5   Page 7', chr(10), text)"},
+    {"text": "concat('[NISTIR 7298] See (2019) available at ', text)"}, {"text": "concat('and so ', text)", "chunk_type": "'section'", "control_id": "CAST(NULL AS STRING)"}, {"sha256_source": "'unknown'"}, {"doc_id": "'nowhere'"}, {"chunk_type": "'poem'"}, {"section_path": "'A > b > C'", "text": "'CHAPTER 1 Short.'"},
+]
+_JUDGED = ("id", "text", "doc_id", "doc_title", "revision", "pub_date", "tier", "chunk_type", "control_id", "section_path", "source_url", "sha256_source")
+
+
+def tagged_spoilt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first rule that each chunk fails as it is, and after each of the ways to spoil it."""
+    chunks = _table(spark, sf_dir, "chunks")
+    copies = [chunks.selectExpr(f"row_no * 100 + {k} AS row_no", *[f"{how.get(c, c)} AS {c}" for c in _JUDGED]) for k, how in enumerate(_SPOILT)]
+    rows = copies[0]
+    for copy in copies[1:]:
+        rows = rows.unionByName(copy)
+    judged = rules.tagged(rows.withColumn("seq", F.col("row_no")), _table(spark, sf_dir, "manifest_docs"), _table(spark, sf_dir, "provenance"))
+    return judged.select("row_no", F.col("failed.rule").alias("rule"))
+
+
 _HEADER = r"(?i)^(?:APPENDIX|CHAPTER)\s+[A-Za-z0-9-]{1,10}\s+(?:PAGE\s+[A-Za-z0-9-]{1,10}\s+)?"
 _TAG = r"^\[[A-Z0-9][A-Za-z0-9 .\-]{0,40}\]\s*"
 _TAGGED = rf"""
@@ -191,7 +210,7 @@ def rows_of_retrieved(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        tagged_rows, validated_rows, rejections_by_rule, near_duplicates, chunked_rows, split_rows, split_words, trailing_stubs, merged_sections, incremental_skip, fetch_action_counts, sample_rows, counts_by_document_and_type, family_counts, length_stats,
+        tagged_rows, tagged_spoilt, validated_rows, rejections_by_rule, near_duplicates, chunked_rows, split_rows, split_words, trailing_stubs, merged_sections, incremental_skip, fetch_action_counts, sample_rows, counts_by_document_and_type, family_counts, length_stats,
         text_bytes, expected_counts, control_list, export_order, rejected_ids, logged_rejections, rows_without_manifest, rows_of_retrieved,
     )
 }
@@ -202,6 +221,11 @@ SELECT m.doc_id, CASE WHEN format IN ('embedded-in-oscal', 'web') THEN 'skipped'
 SELECT CASE WHEN format IN ('embedded-in-oscal', 'web') THEN 'skipped' WHEN format = 'pdf-manual' THEN CASE WHEN sha256 IS NULL THEN 'manual-missing' ELSE 'manual' END WHEN sha256 IS NOT NULL THEN 'cached' ELSE 'download' END AS action, count(*) AS n FROM manifest_docs m LEFT JOIN p USING (doc_id) GROUP BY 1""",
     "sample_rows": "SELECT chunk_type, row_no FROM chunks QUALIFY row_number() OVER (PARTITION BY chunk_type ORDER BY row_no) <= 3",
     "tagged_rows": "WITH " + _TAGGED + " SELECT row_no, rule FROM t",
+    "tagged_spoilt": "WITH spoilt AS ("
+    + " UNION ALL ".join("SELECT row_no * 100 + " + str(k) + " AS row_no, " + ", ".join(f"{how.get(c, c)} AS {c}" for c in _JUDGED) + " FROM chunks" for k, how in enumerate(_SPOILT))
+    + "),"
+    + _TAGGED.replace("FROM chunks c", "FROM spoilt c")
+    + " SELECT row_no, rule FROM t",
     "validated_rows": _VALID + "SELECT row_no, id, doc_id FROM v WHERE late IS NULL",
     "rejections_by_rule": _VALID + "SELECT 'validate' AS stage, rule, count(*) AS n FROM (SELECT rule FROM t WHERE rule IS NOT NULL UNION ALL SELECT late FROM v WHERE late IS NOT NULL) GROUP BY rule",
     "trailing_stubs": _MERGE + " SELECT DISTINCT i.doc_id, i.id AS ref, 'trailing_furniture' AS rule FROM i LEFT JOIN o ON o.doc_id IS NOT DISTINCT FROM i.doc_id AND o.island = i.island WHERE short AND NOT coalesce(fits, false)",

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.plans import build, catalogs, layouts, nested, records, streams, text
+from quern.plans import build, catalogs, files, layouts, nested, records, streams, text
 
-_MODULES = (text, build, records, catalogs, layouts, streams, nested)
+_MODULES = (text, build, files, records, catalogs, layouts, streams, nested)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -66,15 +66,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     `release` removes, and the end of the driver at the latest.
     """
     spark = df.sparkSession
+    path = fresh_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A path of its own among the intermediate tables."""
     folder = _run_folder(spark)
     if folder not in _kept:
         system, path = _held(spark)
         system.mkdirs(path)
         system.deleteOnExit(path)
         _kept.add(folder)
-    path = f"{folder}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
 _kept: set[str] = set()

@@ -38,16 +38,19 @@ def strict_rows(payloads: DataFrame, column: str = "payload", keep: tuple[str, .
 def read_interim(spark: SparkSession, folder: str, skip: str = "chunked.rows.jsonl") -> DataFrame:
     """payload, file_name, line_no of all row files of a folder, without the next stage's own output.
 
-    Line numbers are taken within each file as it is split: (file offset order) by monotonically increasing ids.
+    A row file may be one file or a folder of parts, as a stage writes it. Lines are numbered by part, by the block in
+    which they were read, and by their place in it.
     """
-    lines = spark.read.text(folder, pathGlobFilter="*.rows.jsonl").select(F.col("value").alias("payload"), F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_block_start").alias("block"))
-    kept = lines.where((F.col("file_name") != skip) & (F.col("payload") != "")).withColumn("at", F.monotonically_increasing_id())
-    numbered = ordered.running_sum(kept, "line_no", F.lit(1), ["file_name"], "at")
+    source = F.col("_metadata.file_path")
+    lines = spark.read.text(f"{folder.rstrip('/')}/*.rows.jsonl").select(F.col("value").alias("payload"), F.regexp_extract(source, r"([^/]+\.rows\.jsonl)(?:/[^/]*)?\z", 1).alias("file_name"), source.alias("_part"), F.col("_metadata.file_block_start").alias("_block"))
+    kept = lines.where((F.col("file_name") != skip) & (F.col("payload") != "")).withColumn("_at", F.struct("_part", "_block", F.monotonically_increasing_id().alias("n")))
+    numbered = ordered.running_sum(kept.drop("_part", "_block"), "line_no", F.lit(1), ["file_name"], "_at")
     return numbered.select("payload", "file_name", "line_no")
 
 
 def read_rejections(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.schema(schemas.REJECTION).json(folder, pathGlobFilter="*.rejections.jsonl")
+    """The rejections of all stages of a folder; see `read_interim`."""
+    return spark.read.schema(schemas.REJECTION).json(f"{folder.rstrip('/')}/*.rejections.jsonl")
 
 
 #: Fields of a playbook record and the headings they get (fixed values).
