@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quern.operators import layout, ordered, publications
 from quern.session import stored
+from quern.sources import pdf
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +37,15 @@ def printed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered.select(*plain.columns).unionByName(more)
 
 
+def span_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of the documents from spans, one for each word and each space: long words are bold, words set by length."""
+    plain = lines(spark, sf_dir)
+    word = lambda w: F.struct(w.alias("text"), (F.length(w) % 7 + 8.25).cast("double").alias("size"), F.when(F.length(w) > 6, 16).otherwise(4).alias("flags"))
+    space = F.struct(F.lit(" ").alias("text"), F.lit(30.0).alias("size"), F.lit(16).alias("flags"))
+    cut = F.flatten(F.transform(F.split("text", " "), lambda w: F.array(word(w), space)))
+    return pdf.lines_of(plain.select("doc_id", "page", "line_no", (F.col("y") + 0.25).alias("y"), cut.alias("spans")))
+
+
 def repeating_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.repeating_furniture(printed(spark, sf_dir))
 
@@ -162,7 +172,7 @@ def treated_rejections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _treated(spark, sf_dir)[1].groupBy("doc_id", "rule").agg(F.count("*").alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (body_sizes, repeating_lines, contents, content_lines, heading_levels, section_trails, sections, definitions, longest_blocks, dehyphenated, impact_table, publication_rows, publication_rejections, treated_rows, treated_rejections)}
+QUERIES = {f.__name__: f for f in (body_sizes, span_lines, repeating_lines, contents, content_lines, heading_levels, section_trails, sections, definitions, longest_blocks, dehyphenated, impact_table, publication_rows, publication_rejections, treated_rows, treated_rejections)}
 
 _LINES = """l AS (SELECT coalesce(source, 'none') AS doc_id, doc_id * 100000 + i - 1 AS line_no, t[i] AS text, doc_id::INT AS page, CASE WHEN length(t[i]) < 60 AND NOT ends_with(t[i], '.') THEN 13.0 ELSE 10.0 END::DOUBLE AS size, ends_with(t[i], ':') AS bold
 FROM (SELECT source, doc_id, string_split(text, chr(10)) AS t FROM documents WHERE text IS NOT NULL), unnest(range(1, len(t) + 1)) AS u(i))"""
@@ -282,6 +292,9 @@ n AS (SELECT k, name, definition, level, l, (SELECT count(*) FROM o WHERE o.k =
 t AS (SELECT k, 0 AS l, name || ' (definition): ' || definition AS line FROM n WHERE l = 1 AND definition IS NOT NULL UNION ALL SELECT k, l, name || ' / ' || level || ': n = ' || n FROM n)
 SELECT string_agg(line, chr(10) ORDER BY k, l) AS text FROM t""",
     "body_sizes": _BODY + " SELECT * FROM b",
+    "span_lines": f"WITH {_LINES}"
+    + r""", w AS (SELECT *, list_sort(list_transform(list_filter(string_split(text, ' '), lambda w: regexp_replace(w, '\s', '', 'g') <> ''), lambda w, i: {'n': -length(w), 'i': i}))[1].n * -1 AS n FROM l)
+SELECT doc_id, line_no, regexp_replace(text, '^\s+|\s+$', '', 'g') AS text, page, CASE (n % 7)::INT WHEN 0 THEN 8.2 WHEN 1 THEN 9.2 WHEN 2 THEN 10.2 WHEN 3 THEN 11.2 WHEN 4 THEN 12.2 WHEN 5 THEN 13.2 ELSE 14.2 END::DOUBLE AS size, n > 6 AS bold, round_even(i - 1 + 0.25, 1)::DOUBLE AS y FROM (SELECT w.*, line_no % 100000 + 1 AS i FROM w) WHERE n IS NOT NULL""",
     "repeating_lines": f"WITH {_PRINTED}, {_content('pl')} SELECT * FROM rep",
     "contents": f"WITH {_PRINTED}, {_content('pl')} SELECT * FROM con",
     "content_lines": f"WITH {_PRINTED}, {_content('pl')} SELECT doc_id, line_no, page FROM ct",

@@ -34,12 +34,18 @@ def p5_linked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(parents, "parent_key", "left").select("file_id", "kind", "path", "ordinal", "node_id", "name", "parent_kind", "parent_id", "parent_name")
 
 
+def p5_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of all child tables that the merged schema asks for: of every field that holds objects in arrays somewhere."""
+    rows = nested.nodes(_files(spark, sf_dir), "file_id", "mini_catalog", "catalog")
+    return rows.select("file_id", "kind", "path", "parent", "ordinal", "node_id")
+
+
 def p5_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The merged schema of all catalogs."""
     return nested.infer_schema(_files(spark, sf_dir), "mini_catalog", "catalog")
 
 
-QUERIES = {f.__name__: f for f in (p5_found, *(_table(f) for f in nested.OSCAL_COLUMNS), p5_linked, p5_schema)}
+QUERIES = {f.__name__: f for f in (p5_found, *(_table(f) for f in nested.OSCAL_COLUMNS), p5_linked, p5_inferred, p5_schema)}
 
 _TREE = """
 WITH RECURSIVE f AS (SELECT file_id, CASE WHEN json_valid(mini_catalog) THEN mini_catalog::JSON END AS j FROM catalog_files),
@@ -76,3 +82,14 @@ def _flat(field: str) -> str:
 
 
 ORACLES |= {f"p5_{field}": _flat(field) for field in nested.OSCAL_COLUMNS}
+
+#: o: all objects; a: the fields that hold objects in arrays somewhere; n: what is reached over those alone.
+ORACLES["p5_inferred"] = r"""WITH RECURSIVE f AS (SELECT file_id, CASE WHEN json_valid(mini_catalog) THEN mini_catalog::JSON END AS j FROM catalog_files),
+o(j) AS (SELECT j->'catalog' FROM f WHERE json_type(j->'catalog') = 'OBJECT'
+  UNION ALL SELECT c FROM (SELECT unnest(CASE json_type(o.j->k) WHEN 'ARRAY' THEN (o.j->k)::JSON[] ELSE [o.j->k] END) AS c FROM o, unnest(json_keys(o.j)) AS u(k)) WHERE json_type(c) = 'OBJECT'),
+a AS (SELECT DISTINCT k FROM o, unnest(json_keys(j)) AS u(k) WHERE CASE json_type(j->k) WHEN 'ARRAY' THEN list_contains(list_transform((j->k)::JSON[], lambda x: json_type(x)), 'OBJECT') ELSE false END),
+n(file_id, kind, path, parent, ordinal, j) AS (SELECT file_id, '', '', '', 0, j->'catalog' FROM f WHERE json_type(j->'catalog') = 'OBJECT'
+  UNION ALL SELECT file_id, k, CASE WHEN path = '' THEN '' ELSE path || '.' END || k || '.' || i, path, i, child FROM (
+    SELECT n.file_id, n.path, a.k, i, CASE json_type(n.j->a.k) WHEN 'ARRAY' THEN (n.j->a.k)->i ELSE n.j->a.k END AS child
+    FROM n, a, unnest(range(CASE json_type(n.j->a.k) WHEN 'ARRAY' THEN json_array_length(n.j->a.k)::INT WHEN 'OBJECT' THEN 1 ELSE 0 END)) AS u(i)) WHERE json_type(child) = 'OBJECT')
+SELECT file_id, kind, path, parent, ordinal::INT AS ordinal, coalesce(j->>'id', '') AS node_id FROM n WHERE kind <> ''"""

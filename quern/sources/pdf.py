@@ -1,103 +1,93 @@
 """PDF files as the relation of lines, where a PDF library is installed.
 
-    spark.dataSource.register(PdfLines)
-    spark.read.format("pdf_lines").load(folder)
+    files = pdf.read_files(spark, folder)
+    lines = pdf.lines_of(pdf.spans(files))
+    grids = pdf.grids(files)
 
-and their tables as grids, the largest of each page, by `PdfGrids` (format pdf_grids).
-
-One task reads one file. A line's size and weight are those of its longest span, so that a stray footnote mark does not
-make or break a heading.
+Executors read the files, from any file system that Spark can. Python only hands out what the library finds, spans and
+tables; what makes a line of spans is a plan like any other.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from pathlib import Path
+from collections.abc import Callable, Iterator
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quern import schemas
+from quern.functions import text as T
 
 try:
     import pymupdf
 except ImportError:
     pymupdf = None
 
+#: The bit of a span's flags that says it is bold (fixed value).
 BOLD = 1 << 4
 
 
-def line_of(spans: list[dict], bbox: tuple, page: int) -> tuple | None:
-    """(text, page, size, bold, y) of the spans of a line; None if they hold only space."""
-    visible = [s for s in spans if s["text"].strip()]
-    if not visible:
-        return None
-    main = max(visible, key=lambda s: len(s["text"]))
-    return "".join(s["text"] for s in spans).strip(), page, round(float(main["size"]), 1), bool(main["flags"] & BOLD), round(float(bbox[1]), 1)
+def read_files(spark: SparkSession, folder: str) -> DataFrame:
+    """doc_id (the file's name without its ending) and content of every PDF file of a folder and those below it."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.pdf").load(folder)
+    return files.select(F.regexp_extract("path", r"([^/]+)\.pdf\z", 1).alias("doc_id"), "content")
+
 
+def _each(files: DataFrame, schema: str, found: Callable[[str, object], Iterator[dict]]) -> DataFrame:
+    """What `found` gives for each opened file; a file is read by one task, and its rows leave page by page."""
+    if pymupdf is None:
+        raise ImportError("reading PDF files needs pymupdf")
+    arrow = pa.schema(files.sparkSession.createDataFrame([], schema).toArrow().schema)
 
-class _File(InputPartition):
-    def __init__(self, path: str) -> None:
-        super().__init__(path)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc_id, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                with pymupdf.open(stream=content, filetype="pdf") as document:
+                    for rows in found(doc_id, document):
+                        yield pa.RecordBatch.from_pylist(rows, schema=arrow)
 
+    return files.select("doc_id", "content").mapInArrow(run, schema)
 
-class _Reader(DataSourceReader):
-    def __init__(self, folder: str) -> None:
-        self.folder = folder
 
-    def partitions(self) -> list[_File]:
-        return [_File(str(p)) for p in sorted(Path(self.folder).rglob("*.pdf"))]
+SPANS = "doc_id string, page int, line_no bigint, y double, spans array<struct<text:string,size:double,flags:int>>"
 
-    def read(self, partition: _File) -> Iterator[tuple]:
-        with pymupdf.open(partition.value) as document:
-            yield from self.rows(Path(partition.value).stem, document)
 
+def spans(files: DataFrame) -> DataFrame:
+    """The lines of every page as the library finds them, with their spans."""
 
-class _Lines(_Reader):
-    def rows(self, name: str, document) -> Iterator[tuple]:
+    def found(doc_id: str, document) -> Iterator[list[dict]]:
         number = 0
         for page, content in enumerate(document, start=1):
+            rows = []
             for block in content.get_text("dict")["blocks"]:
                 for raw in block.get("lines", []):
-                    line = line_of(raw["spans"], raw["bbox"], page)
-                    if line:
-                        yield (name, number, *line)
-                        number += 1
-
-
-class _Grids(_Reader):
-    def rows(self, name: str, document) -> Iterator[tuple]:
-        for page, content in enumerate(document, start=1):
-            tables = [t.extract() for t in content.find_tables().tables]
-            if tables:
-                yield name, page, max(tables, key=len)
+                    own = [{"text": s["text"], "size": float(s["size"]), "flags": int(s["flags"])} for s in raw["spans"]]
+                    rows.append({"doc_id": doc_id, "page": page, "line_no": number, "y": float(raw["bbox"][1]), "spans": own})
+                    number += 1
+            yield rows
 
+    return _each(files, SPANS, found)
 
-class _Pdf(DataSource):
-    kind: type[_Reader]
 
-    def reader(self, schema) -> DataSourceReader:
-        if pymupdf is None:
-            raise ImportError("reading PDF files needs pymupdf")
-        return self.kind(self.options["path"])
+def lines_of(found: DataFrame) -> DataFrame:
+    """doc_id, line_no, text, page, size, bold, y of lines given as spans; lines of nothing but space are none.
 
+    Size and weight are those of the longest span that shows, of equal ones the first, so that a stray footnote mark does
+    not make or break a heading.
+    """
+    visible = F.filter("spans", lambda s: T.strip(s["text"]) != "")
+    longest = F.array_min(F.transform(visible, lambda s, i: F.struct((-F.length(s["text"])).alias("n"), i.alias("i"), s["size"].alias("size"), s["flags"].alias("flags"))))
+    text = T.strip(F.array_join(F.transform("spans", lambda s: s["text"]), ""))
+    shown = found.select("doc_id", "line_no", text.alias("text"), "page", longest.alias("main"), F.bround("y", 1).alias("y")).where("main IS NOT NULL")
+    return shown.select("doc_id", "line_no", "text", "page", F.bround("main.size", 1).alias("size"), (F.col("main.flags").bitwiseAND(BOLD) != 0).alias("bold"), "y")
 
-class PdfLines(_Pdf):
-    kind = _Lines
 
-    @classmethod
-    def name(cls) -> str:
-        return "pdf_lines"
+def grids(files: DataFrame) -> DataFrame:
+    """doc_id, page, grid: of the tables of each page that with the most rows."""
 
-    def schema(self):
-        return schemas.LINE
-
-
-class PdfGrids(_Pdf):
-    kind = _Grids
-
-    @classmethod
-    def name(cls) -> str:
-        return "pdf_grids"
+    def found(doc_id: str, document) -> Iterator[list[dict]]:
+        for page, content in enumerate(document, start=1):
+            tables = [t.extract() for t in content.find_tables().tables]
+            yield [{"doc_id": doc_id, "page": page, "grid": max(tables, key=len)}] if tables else []
 
-    def schema(self):
-        return "doc_id string, page int, grid array<array<string>>"
+    return _each(files, "doc_id string, page int, grid array<array<string>>", found)

@@ -102,13 +102,20 @@ def test_verify(spark, tmp_path, capsys):
     assert "`SP-2` does not answer" in report and "pubs/x1.pdf" in report and "`N` is placed by hand" in report and "`SP-x1` (Rev. 2)" in report
 
 
-def test_pdf_lines(spark):
-    spans = [{"text": "12 ", "size": 6, "flags": 0}, {"text": "A heading", "size": 13.04, "flags": 16}]
-    assert pdf.line_of(spans, (0, 70.26, 9, 9), 3) == ("12 A heading", 3, 13.0, True, 70.3)
-    assert pdf.line_of([{"text": "  ", "size": 6, "flags": 0}], (0, 0, 0, 0), 1) is None
+def test_pdf_lines(spark, tmp_path):
+    rows = [
+        ("D", 3, 0, 70.26, [("12 ", 6.0, 0), ("A heading", 13.04, 16)]), ("D", 3, 1, 0.0, [("  ", 6.0, 0)]), ("D", 3, 2, 0.0, []), ("D", 4, 3, 1.0, [("same", 9.0, 16), ("size", 8.0, 0), (" ", 20.0, 0)]),
+    ]
+    got = pdf.lines_of(spark.createDataFrame(rows, pdf.SPANS)).orderBy("line_no").collect()
+    assert [tuple(r) for r in got] == [("D", 0, "12 A heading", 3, 13.0, True, 70.3), ("D", 3, "samesize", 4, 9.0, True, 1.0)]
+    (tmp_path / "deep").mkdir()
+    (tmp_path / "deep" / "SP-1.pdf").write_bytes(b"%PDF")
+    (tmp_path / "other.txt").write_bytes(b"")
+    files = pdf.read_files(spark, str(tmp_path))
+    assert [r.doc_id for r in files.collect()] == ["SP-1"]
     if pdf.pymupdf is None:
         with pytest.raises(ImportError):
-            pdf.PdfLines({"path": "x"}).reader(None)
+            pdf.spans(files)
 
 
 def test_stages(spark, tmp_path, capsys):
