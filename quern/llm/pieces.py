@@ -57,9 +57,9 @@ def positions(text: str, kinds: tuple[str, ...], grid: int = 0) -> tuple[np.ndar
     return at, np.array([0.0, *(PENALTY[best[p]] for p in found), 0.0]), ["start", *(best[p] for p in found), "end"]
 
 
-def least_cost(at: np.ndarray, penalty: np.ndarray, begins: np.ndarray, ends: np.ndarray, limit: int, mean: float) -> list[int] | None:
-    """The cheapest way from the first position to the last whose pieces are within the limit, as places in `at`; None if
-    there is no way.
+def least_cost(at: np.ndarray, penalty: np.ndarray, begins: np.ndarray, ends: np.ndarray, limit: int, mean: float) -> tuple[list[int], float] | None:
+    """The cheapest way from the first position to the last whose pieces are within the limit, as places in `at`, and what
+    it costs; None if there is no way.
 
     A piece between positions i and j has the size ends[j] - begins[i]; both rise. Its cost is the penalty at j and the
     square of its distance from the mean size, in limits.
@@ -84,7 +84,7 @@ def least_cost(at: np.ndarray, penalty: np.ndarray, begins: np.ndarray, ends: np
     while j > 0:
         way.append(j)
         j = int(back[j])
-    return way[::-1]
+    return way[::-1], float(cost[-1])
 
 
 def boundary(text: str, limit: int) -> str:
@@ -123,19 +123,22 @@ def cut(text: str, limit: int, overlap: int) -> list[tuple[int, int, str]]:
     if size <= limit:
         return [(0, size, "end")]
     room = limit - overlap
-    at, penalty, kinds = positions(text, tuple(PENALTY)[:-1], max(1, room // 2))
     count = -(-(size - overlap) // room)
     mean = (size + (count - 1) * overlap) / count
-    # Where a piece that follows a cut starts; none may start before the text.
-    begins = at - overlap
-    begins[0] = 0
-    way = least_cost(at, penalty, np.maximum.accumulate(np.maximum(begins, 0)), at, limit, mean)
-    if way is None:
-        # Only if a boundary lies within the first overlap alone; even steps always work.
-        starts = list(range(0, size - overlap, room))
-        return [(s, min(size, s + limit), "character" if s + limit < size else "end") for s in starts]
-    froms = [0, *way[:-1]]
-    return [(int(begins[i]), int(at[j]), kinds[j]) for i, j in zip(froms, way)]
+    # A way over the coarser kinds that costs no more than one cut of the next finer kind is the cheapest of all.
+    for kinds, next_finer, grid in ((("paragraph", "line", "sentence"), "clause", 0), (("paragraph", "line", "sentence", "clause"), "word", 0), (tuple(PENALTY)[:-1], None, max(1, room // 2))):
+        at, penalty, names = positions(text, kinds, grid)
+        # Where a piece that follows a cut starts; none may start before the text.
+        begins = at - overlap
+        begins[0] = 0
+        found = least_cost(at, penalty, np.maximum.accumulate(np.maximum(begins, 0)), at, limit, mean)
+        if found and (next_finer is None or found[1] <= PENALTY[next_finer]):
+            way = found[0]
+            froms = [0, *way[:-1]]
+            return [(int(begins[i]), int(at[j]), names[j]) for i, j in zip(froms, way)]
+    # Only if a boundary lies within the first overlap alone; even steps always work.
+    starts = list(range(0, size - overlap, room))
+    return [(s, min(size, s + limit), "character" if s + limit < size else "end") for s in starts]
 
 
 PIECES = "row_no bigint, boundary string, piece int, pieces int, first_char int, cut string, text string, section_path string"

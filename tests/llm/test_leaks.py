@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -81,3 +83,23 @@ def test_letters_whose_lower_case_is_longer(spark):
     items = spark.createDataFrame([(1, PASSAGE)], "item_id bigint, item_text string")
     row = L.without_leaks(documents, items).first()
     assert row.verdict == "cut" and row.text == "İstanbul İ " * 30 + " İstanbul" and row.removed_words == 12
+
+
+def test_spans_against_brute_force(spark):
+    """Random texts over few words, so that runs touch, overlap and come again; blocks and parts of a few words."""
+    rng = random.Random(8)
+    vocabulary = [f"w{k}" for k in range(6)]
+    texts = {k: rng.choices([*vocabulary, "other", "x"], k=rng.randint(0, 60)) for k in range(80)}
+    held = {100 + k: rng.choices(vocabulary, k=rng.randint(1, 30)) for k in range(12)}
+    expected = set()
+    for d, words in texts.items():
+        for i, item in held.items():
+            runs = {tuple(item[k : k + 4]) for k in range(len(item) - 3)}
+            covered = {at for k in range(len(words) - 3) if tuple(words[k : k + 4]) in runs for at in range(k, k + 4)}
+            if covered:
+                expected.add((d, i, len(covered)))
+    documents = spark.createDataFrame([(d, "  ".join(w).upper()) for d, w in texts.items()], "doc_id bigint, text string")
+    items = spark.createDataFrame([(i, " ".join(w)) for i, w in held.items()], "item_id bigint, item_text string")
+    for blocks in (10_000, 25):
+        got = {(r.doc_id, r.item_id, r.words) for r in L.leaks(documents, items, least=4, block_words=blocks).collect()}
+        assert got == expected
