@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quern.llm import leaks, mixing, pieces, reading, refine, residue, scans
@@ -65,6 +65,11 @@ def p4_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residue.without_residue(_table(spark, sf_dir, "chunks")).select("row_no", "id", "text", "doc_id", "chunk_type", "section_path")
 
 
+def p4_parted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that are free of residue and those that are not: together every chunk once."""
+    return p4_found(spark, sf_dir).withColumn("clean", F.lit(False)).unionByName(p4_clean(spark, sf_dir).select("row_no", F.lit(True).alias("clean"))).select("row_no")
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = leaks.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "eval_items"))
     return found.select("doc_id", "item_id").distinct()
@@ -85,6 +90,24 @@ def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.shares(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "mix_targets"))
 
 
+def p7_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of the mixture for every source with a target: met (its share of all tokens but for rounding), kept
+    (no more tokens than max_repeats allows), counted (the slots hold what the report says), once (each block fills a
+    slot at most once in each repeat), whole (the tokens of a slot are those of its parts)."""
+    mixed = p7_mixture(spark, sf_dir)
+    parts = F.aggregate("parts", F.lit(0), lambda n, p: n + p["to_token"] - p["from_token"])
+    by_source = mixed.groupBy("source").agg(
+        F.sum("tokens").alias("in_slots"), (F.countDistinct("repeat", "block") == F.count("*")).alias("once"), F.min((parts == F.size("ids")) & (F.col("tokens") == F.size("ids"))).alias("whole")
+    )
+    report = p7_shares(spark, sf_dir).join(by_source, "source", "left")
+    # One row for each source, a few dozen.
+    total, sources = F.sum("mixture_tokens").over(Window.partitionBy(F.lit(1))), F.count("*").over(Window.partitionBy(F.lit(1)))
+    return report.select(
+        "source", F.round("target_share", 9).alias("target_share"), "max_repeats", "documents", (F.abs(F.col("mixture_tokens") - total * F.col("reachable_share")) <= sources + 1).alias("met"), (F.col("mixture_tokens") <= F.col("available_tokens") * F.col("max_repeats")).alias("kept"),
+        (F.coalesce("in_slots", F.lit(0)) == F.col("mixture_tokens")).alias("counted"), F.coalesce("once", F.lit(True)).alias("once"), F.coalesce("whole", F.lit(True)).alias("whole"),
+    )
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     levels = reading.reading_levels(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "reading_labels"))
     return levels.select("doc_id", "band").distinct()
@@ -99,7 +122,7 @@ def p8_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_repaired, p2_found, p2_collapsed, p3_found, p3_pieces, p3_checked, p4_found, p4_clean, p6_found, p6_clean, p7_mixture, p7_shares, p8_found, p8_profile)}
+    return {f.__name__: f for f in (p1_found, p1_repaired, p2_found, p2_collapsed, p3_found, p3_pieces, p3_checked, p4_found, p4_clean, p4_parted, p6_found, p6_clean, p7_mixture, p7_shares, p7_checked, p8_found, p8_profile)}
 
 
 #: Twelve consecutive words of a document, normalised as the operator does, against those of every item.
@@ -150,6 +173,9 @@ FROM sent GROUP BY row_no
 
 _P3_CHECKED = "SELECT row_no, md5(text) AS md5, true AS within, true AS shared, true AS told_apart FROM chunks JOIN split_limits USING (chunk_type) WHERE length(text) > max_chars"
 
+_P7_CHECKED = r"""WITH d AS (SELECT regexp_replace(regexp_replace(lower(source), '^[\s_-]+|[\s_-]+$', '', 'g'), '[\s_-]+', '_', 'g') AS source, count(*) AS documents FROM documents WHERE text <> '' AND source IS NOT NULL GROUP BY 1)
+SELECT source, round(target_share, 9) AS target_share, max_repeats, coalesce(documents, 0) AS documents, true AS met, true AS kept, true AS counted, true AS once, true AS whole FROM mix_targets LEFT JOIN d USING (source)"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"p2_found": _P2, "p2_collapsed": _P2_COLLAPSED, "p3_found": _P3, "p3_checked": _P3_CHECKED, "p6_found": _P6, "p6_clean": _P6_CLEAN}
+    return {"p2_found": _P2, "p2_collapsed": _P2_COLLAPSED, "p3_found": _P3, "p3_checked": _P3_CHECKED, "p6_found": _P6, "p6_clean": _P6_CLEAN, "p4_parted": "SELECT row_no FROM chunks", "p7_checked": _P7_CHECKED}

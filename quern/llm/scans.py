@@ -433,6 +433,9 @@ class Editor:
                 pairs = [(head + x[end:j] + "".join(ops2) + x[end2:], j, end2, ops2) for j, end2, ops2 in places[n + 1 :] if j >= end]
                 good = self.words.those_trusted({p[0] for p in pairs} - {hidden})
                 outcomes += [(out, [*x[:i], *ops, *x[end:j], *ops2, *x[end2:]], 2) for out, j, end2, ops2 in pairs if out in good]
+        if len(outcomes) == 1:
+            # Nothing to choose from, so nothing is weighed.
+            return [(0.0, x, ())]
         found = []
         for out, operations, edits in outcomes:
             f = self._all(x, operations, out, edits)
