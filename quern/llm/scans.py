@@ -64,14 +64,14 @@ _SOFT = tuple(f"{mark}{space}\n" for mark in MARKS for space in ("", " "))[1:]
 _NUMBER_LINE = re.compile(r"\n[ ]*(?:[-–—|\[(]\s?)?(?:page\s|p\.\s)?(?:[0-9]{1,4}|[ivxl]{1,6}|[A-Z]-[0-9]{1,3})(?:\s?(?:of|/)\s?[0-9]+)?(?:\s?[-–—|\])])?[ ]*(?=\n)", re.I)
 
 
-def scan_signs(text: str, fine: set[str]) -> bool:
+def scan_signs(text: str, fine: set[str], tokens: list[str] | None = None) -> bool:
     """Whether a text shows signs of scanning: divided words, lone page numbers, signs within words.
 
-    `fine` gathers tokens that are none, as most tokens recur.
+    `fine` gathers tokens that are none, as most tokens recur; `tokens` are those of the text, if they are at hand.
     """
     if "\n" in text and (any(m in text for m in _SOFT) or _NUMBER_LINE.search(text)):
         return True
-    unsure = set(text.split()) - fine
+    unsure = set(text.split() if tokens is None else tokens) - fine
     spoilt = {t for t in unsure if _SPOILT.search(t)}
     if len(fine) > 500_000:
         fine.clear()
@@ -243,7 +243,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
             for text in batch.column(0).to_pylist():
                 tokens = text.split()
                 everywhere.update(tokens)
-                if scan_signs(text, fine):
+                if scan_signs(text, fine, tokens):
                     scanned.update(tokens)
             if len(everywhere) > 300_000:
                 yield out()
