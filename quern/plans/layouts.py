@@ -15,7 +15,7 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("text IS NOT NULL")
     cut = docs.select(F.coalesce("source", F.lit("none")).alias("doc_id"), F.col("doc_id").alias("_page"), F.posexplode(F.split("text", "\n")).alias("_n", "text"))
     large = (F.length("text") < 60) & ~F.col("text").endswith(".")
-    return cut.select("doc_id", (F.col("_page") * 100_000 + F.col("_n")).alias("line_no"), "text", F.col("_page").cast("int").alias("page"), F.when(large, 13.0).otherwise(10.0).alias("size"), F.col("text").endswith(":").alias("bold"), F.col("_n").cast("double").alias("y"))
+    return cut.select("doc_id", (F.col("_page") * 100_000 + F.col("_n")).alias("line_no"), "text", F.col("_page").alias("page"), F.when(large, 13.0).otherwise(10.0).alias("size"), F.col("text").endswith(":").alias("bold"), F.col("_n").cast("double").alias("y"))
 
 
 def body_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
