@@ -104,8 +104,8 @@ def _treated(lines: DataFrame, found: DataFrame, marked: DataFrame, how: Treatme
         rejected.append(layout._rejection(entries.where(F.length("text") < 40), F.col("term"), "definition_too_short", F.concat(F.length("text").cast("string"), F.lit(" chars"))))
         without = lines.select("doc_id").distinct().join(spans.select("doc_id"), "doc_id", "left_anti")
         rejected.append(layout._rejection(without, F.lit(how.glossary), "glossary_not_found", F.lit("no such title in display type")))
-        pages = spans.select("doc_id", F.explode(F.sequence("first", "last")).alias("page"))
-        found = found.join(pages, ["doc_id", "page"], "left_anti")
+        within = found.join(spans, "doc_id", "left").where(~F.coalesce(F.col("page").between(F.col("first"), F.col("last")), F.lit(False)))
+        found = within.drop("first", "last")
     if how.table:
         page = layout.pages_containing(lines, how.table).groupBy("doc_id").agg(F.max("page").alias("page"))
         documents = lines.select("doc_id").distinct()

@@ -147,14 +147,16 @@ def dressed(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(pub.startswith("SP-800-218"), F.concat(F.lit("PO."), j, F.lit(".1: define who well-"))).otherwise("plain beginning of a page")
     )
     cut = docs.select(pub.alias("doc_id"), F.col("doc_id").alias("_page"), F.posexplode(F.concat(F.array(first), F.split("text", "\n"))).alias("_n", "text"))
-    pages = cut.select("doc_id", (F.col("_page") * 100_000 + F.col("_n")).alias("line_no"), "text", F.col("_page").cast("int").alias("page"), F.lit(10.0).alias("size"), F.lit(False).alias("bold"))
+    pages = cut.select("doc_id", (F.col("_page") * 100_000 + F.col("_n")).alias("line_no"), "text", F.col("_page").alias("page"), F.lit(10.0).alias("size"), F.lit(False).alias("bold"))
     at = _LAST * 100_000
     nations = spark.read.parquet(f"{sf_dir}/nation.parquet").select((F.lit(at + 1) + 2 * F.col("n_nationkey")).cast("bigint").alias("line_no"), F.lower("n_name").alias("term"), F.concat(F.lit("Place number "), F.col("n_nationkey").cast("string"), F.lit(" of region "), F.col("n_regionkey").cast("string"), F.lit(", as the table of nations has it.")).alias("about"))
     title = spark.createDataFrame([("SP-800-37r2", "GLOSSARY"), ("SP-800-137", "GLOSSARY"), ("FIPS-199", "TABLE 1: POTENTIAL IMPACT DEFINITIONS"), ("SP-800-60v2r1", "APPENDIX E memoranda")], "doc_id string, text string")
+    # In larger tables pages follow the glossaries: a rule in display type, no content, ends them on their own page.
+    rules = spark.createDataFrame([("SP-800-37r2",), ("SP-800-137",)], "doc_id string").select("doc_id", F.lit(at + 100_000).cast("bigint").alias("line_no"), F.lit("_" * 6).alias("text"), F.lit(_LAST + 1).alias("page"), F.lit(16.0).alias("size"), F.lit(False).alias("bold"))
     titles = title.select("doc_id", F.lit(at).cast("bigint").alias("line_no"), "text", F.lit(_LAST).alias("page"), F.lit(16.0).alias("size"), F.lit(False).alias("bold"))
     both = nations.select("*", F.explode(F.array(F.lit("SP-800-37r2"), F.lit("SP-800-137"))).alias("doc_id"))
     entries = both.select("doc_id", F.explode(F.array(F.struct("line_no", F.col("term").alias("text"), F.lit(True).alias("bold")), F.struct((F.col("line_no") + 1).alias("line_no"), F.col("about").alias("text"), F.lit(False).alias("bold")))).alias("x")).select("doc_id", "x.line_no", "x.text", F.lit(_LAST).alias("page"), F.lit(10.0).alias("size"), "x.bold")
-    return pages.unionByName(titles).unionByName(entries).withColumn("y", F.lit(0.0))
+    return pages.unionByName(titles).unionByName(rules).unionByName(entries).withColumn("y", F.lit(0.0))
 
 
 def _treated(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
