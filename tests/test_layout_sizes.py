@@ -32,7 +32,7 @@ def widened(sql: str) -> str:
     return sql.replace("doc_id::INT AS page", "doc_id AS page").replace("pg::INT AS page", "pg AS page").replace("coalesce(cutoff, 1e9)", "coalesce(cutoff, 1e18)")
 
 
-@pytest.mark.parametrize("name", ["content_lines", "publication_rejections", "sections", "treated_rows", "contents", "publication_rows", "span_lines", "longest_blocks", "repeating_lines"])
+@pytest.mark.parametrize("name", ["content_lines", "publication_rejections", "sections", "treated_rows", "contents", "publication_rows", "span_lines", "longest_blocks", "repeating_lines", "treated_rejections"])
 def test_ids_above_int(spark, large_ids, name):
     df = layouts.QUERIES[name](spark, large_ids)
     columns = sorted(df.columns)
